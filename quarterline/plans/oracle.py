@@ -8,6 +8,8 @@ to DECIMAL(10,4), which reproduces Spark's exact-decimal results.
 
 from __future__ import annotations
 
+from quarterline.sources import fixtures as fx
+
 FIXTURE_HEAD = """
 li as (
   select l_suppkey, l_shipdate, l_orderkey, l_linenumber, l_returnflag, l_linestatus,
@@ -116,6 +118,90 @@ features as (
   from sg s left join eg e on s.ticker = e.ticker and s.fiscal_period = e.fiscal_period)
 """
 
+MATRIX_CTE = f"""
+matrix as (
+  select ticker, fiscal_period, {', '.join(FEATURES)},
+    cast(case when eps_surprise > 0 then 1 when eps_surprise < 0 then 0
+              when eps_status = 'beat' then 1 when eps_status = 'miss' then 0 end as double) eps_status,
+    eps_surprise
+  from features)
+"""
+FEAT = GROWTH_CTES.strip() + ",\n" + MATRIX_CTE.strip()
+
+# Fixture calendar used by the split keys (see plans.queries).
+SPLIT_CASE = ("case when contains(fiscal_period, '1997') or contains(fiscal_period, '1998') then 'train' "
+              "when contains(fiscal_period, '1999') then 'val' when contains(fiscal_period, '2000') then 'test' end")
+
+ROWS_CTE = FEAT + f""",
+splitted as (select *, {SPLIT_CASE} split from matrix),
+rows_ds as (
+  select ticker, fiscal_period, eps_surprise, split, {', '.join(f'cast({c} as double) {c}' for c in FEATURES)},
+    eps_status label
+  from splitted
+  where split is not null and eps_status is not null and {' and '.join(f'{c} is not null' for c in FEATURES)}),
+scored as (
+  select *, cast(0.3 as double) + cast(0.05 as double) * coalesce(qoq_eps, 0)
+          + cast(0.01 as double) * coalesce(yoy_rev, 0) + cast(-0.02 as double) * coalesce(momentum, 0) logit
+  from rows_ds),
+predicted as (select *, round_even(1 / (1 + exp(-logit)), 0) prediction from scored)
+"""
+
+SEQ_CTE = FEAT + """,
+mp as (
+  select *, cast(split_part(fiscal_period, ' ', 2) as integer) as year, cast(substr(fiscal_period, 2, 1) as integer) as quarter
+  from matrix where ticker is not null),
+sq as (select *, row_number() over (partition by ticker order by year, quarter, fiscal_period) rn from mp)
+"""
+
+
+def sheet_sql(sheet: str) -> str:
+    """The long form of one fixture sheet, straight from the statements."""
+    parts = []
+    for title, column in fx.SHEETS[sheet]:
+        expr = column or fx.FILLER_ROWS[title]
+        parts.append(f"select ticker, '{title}' Metrics, fiscal_period, cast({expr} as decimal(10,4)) value "
+                     "from financial_statements")
+    return "\n  union all ".join(parts)
+
+
+def scan_cte(sheet: str) -> str:
+    """Sheet cells after the wide round trip: (ticker, title) x every period."""
+    return f"""
+sheet_{sheet} as ({sheet_sql(sheet)}),
+scan_{sheet} as (
+  select k.ticker, k.Metrics, p.fiscal_period, s.value
+  from (select distinct ticker, Metrics from sheet_{sheet}) k
+  cross join (select distinct fiscal_period from sheet_{sheet}) p
+  left join sheet_{sheet} s on s.ticker = k.ticker and s.Metrics = k.Metrics and s.fiscal_period = p.fiscal_period)
+"""
+
+
+COMPANIES_CTE = """
+co as (
+  select s_suppkey ticker, s_name company_name, n_name sector, cast(null as varchar) industry,
+    cast(round(s_acctbal * 1000) as bigint) market_cap
+  from supplier left join nation on s_nationkey = n_nationkey where s_acctbal >= 0)
+"""
+
+STATEMENT_COLS = ("ticker, fiscal_period, period_type, revenue, cost_of_revenue, gross_profit, operating_expenses, "
+                  "operating_income, net_income, eps, total_assets, total_liabilities, total_equity, current_assets, "
+                  "current_liabilities, cash, total_debt, operating_cash_flow, "
+                  "cast(operating_cash_flow - free_cash_flow as decimal(10,4)) capex, free_cash_flow")
+INCOME_COLS = ("ticker, fiscal_period, period_type, revenue, cost_of_revenue, gross_profit, operating_expenses, "
+               "operating_income, net_income, eps")
+BALANCE_COLS = "total_assets, total_liabilities, total_equity, current_assets, current_liabilities, cash, total_debt"
+INCOME_REGEX = "(?i)Revenue|Cost of revenue|Gross Profit|Operating Expenses|Operating Income|Net Income|eps"
+FEED_COLS = ('snap_date "date", act_symbol, l_orderkey, l_linenumber, period, period_end_date, consensus, '
+             'num "count", high, low')
+POSITION_CTES = """
+sp as (select ticker, fiscal_period, eps,
+         row_number() over (order by ticker, right(fiscal_period,4), left(fiscal_period,2), fiscal_period) position
+       from financial_statements),
+ep as (select e.ticker est_ticker, e.fiscal_period est_fiscal_period, consensus_eps,
+         row_number() over (order by -e.ticker, right(e.fiscal_period,4), left(e.fiscal_period,2), e.fiscal_period) position
+       from analyst_estimates e join supplier on s_suppkey = e.ticker)
+"""
+
 ORACLES: dict[str, str] = {}
 
 
@@ -123,4 +209,200 @@ def register(key: str, sql: str) -> None:
     ORACLES[key] = sql
 
 
+# 2.1 sources / sinks
+for _s in ("income", "balance", "cash"):
+    register(f"scan_wide_{_s}", q(f"select * from scan_{_s}", scan_cte(_s)))
+register("derived_metric_pick", q(
+    "select ticker, case Metrics when 'EPS (Diluted)' then 'eps' when 'Free Cash Flow' then 'free_cash_flow' "
+    "else Metrics end Metrics, fiscal_period, value from scan_derived "
+    "where Metrics in ('EPS (Diluted)', 'Free Cash Flow', 'Total Debt')", scan_cte("derived")))
+register("scan_estimates", q(
+    'select snap_date "date", cast(act_symbol as varchar) act_symbol, period, period_end_date, consensus, '
+    'num "count", high, low, l_orderkey, l_linenumber from eps_estimate'))
+register("sink_statements", q(f"select cast(ticker as varchar) ticker, * exclude (ticker) from "
+                              f"(select {STATEMENT_COLS} from financial_statements)"))
+register("sink_estimates", q("select * from analyst_estimates"))
+register("export_matrix", q(
+    "select cast(ticker as varchar) ticker, fiscal_period, "
+    + ", ".join(f"cast({c} as double) {c}" for c in FEATURES)
+    + ", eps_status, cast(eps_surprise as double) eps_surprise from matrix", FEAT))
+register("idempotent_reload", ORACLES["sink_statements"])
+register("split_by_year", q(f"select * from (select *, {SPLIT_CASE} split from matrix) where split is not null",
+                            FEAT))
+register("seed_upsert_new", q(
+    "select * from co union all select distinct ticker, null, null, null, null from financial_statements "
+    "where ticker not in (select ticker from co)", COMPANIES_CTE))
+register("feature_skeleton", q("select ticker, fiscal_period from financial_statements"))
+register("schema_conform", ORACLES["sink_statements"])
+
+# 2.2 quality
+register("dup_keys", q("select act_symbol, period, period_end_date, count(*) n_rows from eps_estimate "
+                       "group by act_symbol, period, period_end_date having count(*) > 1"))
+register("fk_orphans", q("select ticker, fiscal_period from financial_statements "
+                         "where ticker not in (select ticker from co)", COMPANIES_CTE))
+_base_cols = ["rev", "qty", "tax", "dsc", "ext", "opn", "fa", "fn", "fr"]
+register("domain_violations", q("\nunion all ".join(
+    f"select ticker, fiscal_period, '{c}' \"column\", 'decimal(10,4) range' rule, cast({c} as double) value "
+    f"from base where abs({c}) >= 1000000" for c in _base_cols)))
+register("bad_periods", q(
+    "select * from (select 'financial_statements' source, ticker, fiscal_period from financial_statements "
+    "union all select 'analyst_estimates', ticker, fiscal_period from analyst_estimates) "
+    "where not coalesce(regexp_matches(fiscal_period, '^Q[1-4] [0-9]{4}$'), false)"))
+register("zero_denominators", q(f"""
+select ticker, fiscal_period, 'revenue' denominator from zs where revenue = 0
+union all select ticker, fiscal_period, 'total_assets' from zs where total_assets = 0
+union all select ticker, fiscal_period, 'total_assets - total_liabilities' from zs where total_assets - total_liabilities = 0
+union all select ticker, fiscal_period, 'current_liabilities' from zs where current_liabilities = 0
+union all select ticker, fiscal_period, 'revenue lag 1' from zs where r1 = 0
+union all select ticker, fiscal_period, 'revenue lag 4' from zs where r4 = 0
+union all select ticker, fiscal_period, 'consensus_eps' from ze where consensus_eps = 0
+union all select ticker, fiscal_period, 'consensus_eps lag 1' from ze where c1 = 0
+union all select ticker, fiscal_period, 'consensus_eps lag 4' from ze where c4 = 0
+""", f"""
+zs as (select *, lag(revenue, 1) over {W} r1, lag(revenue, 4) over {W} r4 from financial_statements),
+ze as (select *, lag(consensus_eps, 1) over {W} c1, lag(consensus_eps, 4) over {W} c4 from analyst_estimates)
+"""))
+
+# 2.3 reshape
+register("dropna_any", q("""
+select d.ticker, d.Metrics, d.fiscal_period, d.value from scan_income d
+join (select ticker, Metrics, count(value) n from scan_income group by ticker, Metrics) pm
+  on pm.ticker = d.ticker and pm.Metrics = d.Metrics
+join (select ticker, count(distinct fiscal_period) np from scan_income where value is not null group by ticker) pt
+  on pt.ticker = d.ticker
+where pm.n = pt.np""", scan_cte("income")))
+register("append_by_name", q(
+    "select ticker, Metrics, fiscal_period, value, cast(null as varchar) sheet from scan_income union all "
+    "select ticker, 'eps', fiscal_period, value, 'derived' from scan_derived where Metrics = 'EPS (Diluted)'",
+    scan_cte("income") + "," + scan_cte("derived")))
+register("transpose_income", q(f"select {INCOME_COLS} from financial_statements"))
+register("transpose_balance", q(f"select ticker, fiscal_period, {BALANCE_COLS} from financial_statements"))
+register("transpose_cash", q("select ticker, fiscal_period, operating_cash_flow, cast(0 as decimal(10,4)) capex, "
+                             "free_cash_flow from financial_statements"))
+register("metric_rename", q(
+    "select ticker, case Metrics when 'Revenue' then 'revenue' when 'Cost of revenue' then 'cost_of_revenue' "
+    "when 'Gross Profit' then 'gross_profit' when 'Operating Expenses' then 'operating_expenses' "
+    "when 'Operating Income (Loss)' then 'operating_income' when 'Net Income' then 'net_income' else Metrics end "
+    "Metrics, fiscal_period, value from scan_income", scan_cte("income")))
+register("statement_projection", q(
+    "select ticker, fiscal_period, revenue, cost_of_revenue, gross_profit, operating_expenses, operating_income, "
+    "net_income from financial_statements"))
+register("period_type", q("select ticker, fiscal_period, left(fiscal_period, 2) period_type from financial_statements"))
+register("period_parts", q(
+    "select ticker, fiscal_period, right(fiscal_period, 4) year_text, left(fiscal_period, 2) quarter_text, "
+    "cast(split_part(fiscal_period, ' ', 2) as integer) as year, cast(substr(fiscal_period, 2, 1) as integer) as quarter "
+    "from financial_statements"))
+register("capex", q("select ticker, fiscal_period, cast(operating_cash_flow - free_cash_flow as decimal(10,4)) capex "
+                    "from financial_statements"))
+
+# 2.4 filters
+register("metric_regex_filter", q(f"select * from scan_income where regexp_matches(Metrics, '{INCOME_REGEX}')",
+                                  scan_cte("income")))
+register("estimate_filter", q(
+    f"select {FEED_COLS} from eps_estimate where period = 'Current Quarter' "
+    "and period_end_date > date '1994-12-31' and period_end_date < date '2001-10-31'"))
+register("universe_semi", q("select ticker, fiscal_period from financial_statements "
+                            "where ticker in (select ticker from co)", COMPANIES_CTE))
+register("split_by_target", q("""
+select ticker, fiscal_period target_period, cast(eps_status as double) label,
+  case when year < 1999 or (year = 1999 and quarter < 3) then 'train'
+       when year < 2000 or (year = 2000 and quarter < 1) then 'val' else 'test' end split
+from sq where rn > 4""", SEQ_CTE))
+
+# 2.5 joins
+register("join_income_balance", q(f"select {INCOME_COLS}, {BALANCE_COLS} from financial_statements"))
+register("financial_statements", q(f"select {STATEMENT_COLS} from financial_statements"))
+register("eps_compare_key", q(
+    "select s.ticker, s.fiscal_period, s.eps, e.consensus_eps, e.ticker is not null matched "
+    "from financial_statements s left join analyst_estimates e "
+    "on s.ticker = e.ticker and s.fiscal_period = e.fiscal_period"))
+register("eps_compare_position", q(
+    "select position, ticker, fiscal_period, eps, est_ticker, est_fiscal_period, consensus_eps "
+    "from sp join ep using (position)", POSITION_CTES))
+register("feature_matrix", q("select * from matrix", FEAT))
+register("update_from", q("""
+select s.ticker, s.fiscal_period, p.consensus, p.num "count"
+from financial_statements s left join p on s.ticker = p.ticker and s.fiscal_period = p.fiscal_period and p.rn = 1""", """
+f as (select act_symbol ticker,
+        concat('Q', cast(quarter(period_end_date) as varchar(10)), ' ', cast(year(period_end_date) as varchar(10))) fiscal_period,
+        snap_date, l_orderkey, l_linenumber, consensus, num from eps_estimate),
+p as (select *, row_number() over (partition by ticker, fiscal_period
+        order by snap_date, l_orderkey, l_linenumber, consensus, num) rn from f)
+"""))
 register("features_all", q("select * from features", GROWTH_CTES))
+register("features_position_aligned", q(f"""
+select f.ticker, f.fiscal_period, {', '.join('f.' + c for c in FEATURES)}, pf.eps_status, pf.eps_surprise
+from features f left join pf on f.ticker = pf.ticker and f.fiscal_period = pf.fiscal_period""",
+    GROWTH_CTES.strip() + "," + POSITION_CTES + f""",
+pf as (select s.ticker, s.fiscal_period, case when s.eps > e.consensus_eps then 'beat' else 'miss' end eps_status,
+         {dec(pct('s.eps', 'e.consensus_eps'))} eps_surprise
+       from sp s join ep e using (position))
+"""))
+
+# 2.6 aggregations
+register("distinct_tickers", q("select distinct ticker from financial_statements"))
+register("first_snapshot", q(f"select {FEED_COLS} from first_snap where rn = 1"))
+register("accuracy_by_split", q(
+    "select split, count(*) n, round(avg(case when prediction = label then cast(1 as double) "
+    "else cast(0 as double) end) * 100, 6) accuracy from predicted group by split", ROWS_CTE))
+register("bce_by_split", q(
+    "select split, count(*) n, round(avg(greatest(logit, 0) - logit * label + ln(1 + exp(-abs(logit)))), 6) bce "
+    "from predicted group by split", ROWS_CTE))
+
+# 2.7 windows
+register("lag_revenue_1", q(f"select ticker, fiscal_period, revenue, lag(revenue, 1) over {W} prev_revenue "
+                            "from financial_statements"))
+register("lag_revenue_4", q(f"select ticker, fiscal_period, revenue, lag(revenue, 4) over {W} revenue_4_back "
+                            "from financial_statements"))
+register("lag_consensus_1", q(f"select ticker, fiscal_period, consensus_eps, lag(consensus_eps, 1) over {W} "
+                              "prev_consensus from analyst_estimates"))
+register("lag_consensus_4", q(f"select ticker, fiscal_period, consensus_eps, lag(consensus_eps, 4) over {W} "
+                              "consensus_4_back from analyst_estimates"))
+register("momentum", q("select ticker, fiscal_period, momentum from sg", GROWTH_CTES))
+register("quarter_number", q(
+    "select act_symbol ticker, period_end_date, year(period_end_date) as year, row_number() over "
+    "(partition by act_symbol, year(period_end_date) order by period_end_date) quarter_num from first_snap where rn = 1"))
+register("sequence_dataset", q(f"""
+select t.ticker, t.fiscal_period target_period, t.year, t.quarter, t.eps_status label, s.rn - t.rn + 5 step,
+  {', '.join(f'cast(s.{c} as double) {c}' for c in FEATURES)}
+from sq t join sq s on s.ticker = t.ticker and s.rn between t.rn - 4 and t.rn - 1
+where t.rn > 4""", SEQ_CTE))
+
+# 2.8 sorts
+register("ordered_statements", q(
+    "select ticker, fiscal_period, row_number() over (order by ticker, right(fiscal_period,4), "
+    "left(fiscal_period,2), fiscal_period) load_position from financial_statements"))
+
+# 2.9 set operations
+register("union_all_by_name", q(
+    "select *, 'income' sheet from scan_income union all select *, 'balance' from scan_balance "
+    "union all select *, 'cash' from scan_cash",
+    scan_cte("income") + "," + scan_cte("balance") + "," + scan_cte("cash")))
+
+# 2.10 scalar functions
+register("quarter_label", q(
+    "select act_symbol ticker, period_end_date, concat('Q', cast(row_number() over (partition by act_symbol, "
+    "year(period_end_date) order by period_end_date) as varchar(10)), ' ', cast(year(period_end_date) as varchar(10))) "
+    "fiscal_period from first_snap where rn = 1"))
+register("eps_status", q("select ticker, fiscal_period, eps_status from features", GROWTH_CTES))
+register("eps_surprise", q("select ticker, fiscal_period, eps_surprise from features", GROWTH_CTES))
+register("final_label", q("select ticker, fiscal_period, eps_status from matrix", FEAT))
+register("predict_from_logit", q(
+    "select ticker, fiscal_period, logit, round(1 / (1 + exp(-logit)), 6) probability, prediction from predicted",
+    ROWS_CTE))
+
+# 2.11 domain features
+register("analyst_estimates", q("select * from analyst_estimates"))
+for _f in ("qoq_rev", "yoy_rev"):
+    register(_f, q(f"select ticker, fiscal_period, {_f} from sg", GROWTH_CTES))
+for _f in ("qoq_eps", "yoy_eps"):
+    register(_f, q(f"select s.ticker, s.fiscal_period, e.{_f} from financial_statements s left join eg e "
+                   "on s.ticker = e.ticker and s.fiscal_period = e.fiscal_period", GROWTH_CTES))
+for _f in RATIOS:
+    register(_f, q(f"select ticker, fiscal_period, {_f} from sg", GROWTH_CTES))
+
+# 2.12 datasets
+register("row_dataset", q("select * from rows_ds", ROWS_CTE))
+register("null_feature_rows", q(
+    "select ticker, fiscal_period, " + " + ".join(f"cast({c} is null as integer)" for c in FEATURES)
+    + " n_null_features from matrix where " + " or ".join(f"{c} is null" for c in FEATURES), FEAT))

@@ -1,22 +1,50 @@
 """Named queries: one per operator of the inventory, each ``(spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver tables under ``sf_dir`` (through the fixture
-derivations in ``sources.fixtures``) and runs over them whole.
+derivations in ``sources.fixtures``) and runs over them whole.  Fixture
+analogues of the reference's calendar: data spans 1995-2001 instead of
+2019-2024, so year splits shift by 24 years (train 1997-1998, val 1999,
+test 2000; sequence boundaries Q3 1999 and Q1 2000).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarterline.operators import assemble
-from quarterline.operators.estimates import analyst_estimates
+from quarterline.functions.labels import predict_from_logit, sigmoid
+from quarterline.functions.periods import period_parts, period_type, quarter_text, year_text
+from quarterline.operators import assemble, datasets, metrics, models, quality, reshape, statements
+from quarterline.operators.align import eps_compare_key, eps_compare_position
+from quarterline.operators.estimates import (
+    analyst_estimates,
+    estimate_filter,
+    first_snapshot,
+    quarter_number,
+    universe_semi,
+)
+from quarterline.operators.growth import consensus_growth, lagged, revenue_growth
+from quarterline.operators.ratios import ratios
+from quarterline.schemas import FEATURE_COLUMNS, FINANCIAL_STATEMENTS, conform
+from quarterline.session import shared_dir
 from quarterline.sources import fixtures as fx
+from quarterline.sources import sinks
+from quarterline.sources.wide import conform_feed, read_matrix
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Fixture calendar (see module docstring).
+YEAR_SPLITS = {"train": [1997, 1998], "val": [1999], "test": [2000]}
+VAL_START, TEST_START = (1999, 3), (2000, 1)
+SEQ_LEN = 4
+# Fixed linear scorer for the metric keys (weights on features, then bias).
+SCORER = {"qoq_eps": 0.05, "yoy_rev": 0.01, "momentum": -0.02}
+SCORER_BIAS = 0.3
+
 
 def query(key: str) -> Callable[[Query], Query]:
     def deco(fn: Query) -> Query:
@@ -26,21 +54,454 @@ def query(key: str) -> Callable[[Query], Query]:
     return deco
 
 
-# ---------------------------------------------------------------- fixtures
-def statements(spark: SparkSession, d: str) -> DataFrame:
+# ---------------------------------------------------------------- inputs
+def statements_of(spark: SparkSession, d: str) -> DataFrame:
     return fx.financial_statements(spark, d)
 
 
-def estimates(spark: SparkSession, d: str, **kw) -> DataFrame:
-    return analyst_estimates(fx.estimate_feed(spark, d), window=fx.FIXTURE_WINDOW,
-                             tie_breakers=fx.FIXTURE_TIE_BREAKERS, **kw)
+def feed_of(spark: SparkSession, d: str) -> DataFrame:
+    return fx.estimate_feed(spark, d)
+
+
+def estimates_of(spark: SparkSession, d: str, **kw) -> DataFrame:
+    return analyst_estimates(feed_of(spark, d), window=fx.FIXTURE_WINDOW, tie_breakers=fx.FIXTURE_TIE_BREAKERS, **kw)
+
+
+def features_of(spark: SparkSession, d: str, **kw) -> DataFrame:
+    return assemble.features_all(statements_of(spark, d), estimates_of(spark, d), **kw)
+
+
+def matrix_of(spark: SparkSession, d: str) -> DataFrame:
+    return assemble.feature_matrix(features_of(spark, d))
+
+
+def sheet_of(spark: SparkSession, d: str, sheet: str) -> DataFrame:
+    """Scan of one wide sheet kind for all companies, in tidy long form."""
+    return reshape.scan_wide(fx.wide_sheet(spark, d, sheet))
+
+
+def tidy_statements(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    derived = sheet_of(spark, d, "derived")
+    return (
+        statements.income_statement(sheet_of(spark, d, "income"), derived),
+        statements.balance_statement(sheet_of(spark, d, "balance"), derived),
+        statements.cash_statement(sheet_of(spark, d, "cash"), derived),
+    )
+
+
+def scored_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows = datasets.row_dataset(datasets.split_by_year(matrix_of(spark, d), YEAR_SPLITS))
+    logit = metrics.linear_logit(SCORER, SCORER_BIAS)
+    return rows.withColumn("logit", logit).withColumn("prediction", predict_from_logit("logit"))
+
+
+def sequences_of(spark: SparkSession, d: str) -> DataFrame:
+    return datasets.sequence_windows(matrix_of(spark, d), k=SEQ_LEN)
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return shared_dir(spark, "quarterline-sinks", f"{name}-{uuid.uuid4().hex}")
+
+
+# ---------------------------------------------------------------- 2.1 sources / sinks
+@query("scan_wide_income")
+def q_scan_wide_income(spark, d):
+    return sheet_of(spark, d, "income")
+
+
+@query("scan_wide_balance")
+def q_scan_wide_balance(spark, d):
+    return sheet_of(spark, d, "balance")
+
+
+@query("scan_wide_cash")
+def q_scan_wide_cash(spark, d):
+    return sheet_of(spark, d, "cash")
+
+
+@query("derived_metric_pick")
+def q_derived_metric_pick(spark, d):
+    picks = {k: v for p in statements.DERIVED_PICKS.values() for k, v in p.items()}
+    return reshape.pick_metrics(sheet_of(spark, d, "derived"), picks)
+
+
+@query("scan_estimates")
+def q_scan_estimates(spark, d):
+    return conform_feed(feed_of(spark, d))
+
+
+@query("sink_statements")
+def q_sink_statements(spark, d):
+    path = _scratch(spark, "financial_statements")
+    sinks.write_table(conform(statements.with_capex(statements_of(spark, d)), FINANCIAL_STATEMENTS), path)
+    return spark.read.parquet(path)
+
+
+@query("sink_estimates")
+def q_sink_estimates(spark, d):
+    path = _scratch(spark, "analyst_estimates")
+    sinks.write_table(estimates_of(spark, d), path)
+    return spark.read.parquet(path)
+
+
+@query("export_matrix")
+def q_export_matrix(spark, d):
+    path = _scratch(spark, "findata")
+    sinks.export_matrix(matrix_of(spark, d), path)
+    return read_matrix(spark, path)
+
+
+@query("idempotent_reload")
+def q_idempotent_reload(spark, d):
+    path = _scratch(spark, "reload")
+    table = conform(statements.with_capex(statements_of(spark, d)), FINANCIAL_STATEMENTS)
+    sinks.write_table(table, path, mode="overwrite")
+    sinks.write_table(table, path, mode="overwrite")
+    return spark.read.parquet(path)
+
+
+@query("split_by_year")
+def q_split_by_year(spark, d):
+    return datasets.split_by_year(matrix_of(spark, d), YEAR_SPLITS)
+
+
+@query("seed_upsert_new")
+def q_seed_upsert_new(spark, d):
+    seed = statements_of(spark, d).select("ticker")
+    return sinks.seed_upsert_new(fx.companies(spark, d), seed)
+
+
+@query("feature_skeleton")
+def q_feature_skeleton(spark, d):
+    return assemble.feature_skeleton(statements_of(spark, d))
+
+
+@query("schema_conform")
+def q_schema_conform(spark, d):
+    return statements.conform_statements(statements.with_capex(statements_of(spark, d)))
+
+
+# ---------------------------------------------------------------- 2.2 quality
+@query("dup_keys")
+def q_dup_keys(spark, d):
+    return quality.duplicate_keys(feed_of(spark, d), ["act_symbol", "period", "period_end_date"])
+
+
+@query("fk_orphans")
+def q_fk_orphans(spark, d):
+    return quality.fk_orphans(statements_of(spark, d), fx.companies(spark, d)).select("ticker", "fiscal_period")
+
+
+@query("domain_violations")
+def q_domain_violations(spark, d):
+    base = fx.statement_base(spark, d)
+    return quality.domain_violations(base, ["ticker", "fiscal_period"],
+                                     decimal_columns=["rev", "qty", "tax", "dsc", "ext", "opn", "fa", "fn", "fr"])
+
+
+@query("bad_periods")
+def q_bad_periods(spark, d):
+    s = statements_of(spark, d).select(F.lit("financial_statements").alias("source"), "ticker", "fiscal_period")
+    e = estimates_of(spark, d).select(F.lit("analyst_estimates").alias("source"), "ticker", "fiscal_period")
+    return quality.bad_periods(s.unionByName(e))
+
+
+@query("zero_denominators")
+def q_zero_denominators(spark, d):
+    return quality.zero_denominators(statements_of(spark, d), estimates_of(spark, d))
+
+
+# ---------------------------------------------------------------- 2.3 reshape
+@query("dropna_any")
+def q_dropna_any(spark, d):
+    return reshape.dropna_any(sheet_of(spark, d, "income"))
+
+
+@query("append_by_name")
+def q_append_by_name(spark, d):
+    picked = reshape.pick_metrics(sheet_of(spark, d, "derived"), statements.DERIVED_PICKS["income"])
+    return reshape.append_by_name(sheet_of(spark, d, "income"), picked.withColumn("sheet", F.lit("derived")))
+
+
+@query("transpose_income")
+def q_transpose_income(spark, d):
+    return tidy_statements(spark, d)[0]
+
+
+@query("transpose_balance")
+def q_transpose_balance(spark, d):
+    return tidy_statements(spark, d)[1]
+
+
+@query("transpose_cash")
+def q_transpose_cash(spark, d):
+    return tidy_statements(spark, d)[2]
+
+
+@query("metric_rename")
+def q_metric_rename(spark, d):
+    return reshape.metric_rename(sheet_of(spark, d, "income"), statements.INCOME_RENAMES)
+
+
+@query("statement_projection")
+def q_statement_projection(spark, d):
+    # All surviving titles pivoted (data-driven columns), then the fixed projection.
+    long = reshape.metric_regex_filter(reshape.reported_cells(sheet_of(spark, d, "income")),
+                                       statements.INCOME_PATTERNS)
+    wide = reshape.metric_rename(long, statements.INCOME_RENAMES).groupBy("ticker", "fiscal_period").pivot(
+        "Metrics").agg(F.first("value"))
+    return wide.select("ticker", "fiscal_period", *statements.INCOME_COLUMNS[:-1])
+
+
+@query("period_type")
+def q_period_type(spark, d):
+    return statements_of(spark, d).select("ticker", "fiscal_period", period_type("fiscal_period").alias("period_type"))
+
+
+@query("period_parts")
+def q_period_parts(spark, d):
+    year, quarter = period_parts("fiscal_period")
+    return statements_of(spark, d).select(
+        "ticker", "fiscal_period", year_text("fiscal_period").alias("year_text"),
+        quarter_text("fiscal_period").alias("quarter_text"), year.alias("year"), quarter.alias("quarter"),
+    )
+
+
+@query("capex")
+def q_capex(spark, d):
+    return statements.with_capex(statements_of(spark, d)).select("ticker", "fiscal_period", "capex")
 
 
-def features(spark: SparkSession, d: str, **kw) -> DataFrame:
-    return assemble.features_all(statements(spark, d), estimates(spark, d), **kw)
+# ---------------------------------------------------------------- 2.4 filters
+@query("metric_regex_filter")
+def q_metric_regex_filter(spark, d):
+    return reshape.metric_regex_filter(sheet_of(spark, d, "income"), statements.INCOME_PATTERNS)
+
+
+@query("estimate_filter")
+def q_estimate_filter(spark, d):
+    return estimate_filter(feed_of(spark, d), fx.FIXTURE_WINDOW)
+
+
+@query("universe_semi")
+def q_universe_semi(spark, d):
+    return universe_semi(statements_of(spark, d), fx.companies(spark, d)).select("ticker", "fiscal_period")
+
+
+@query("split_by_target")
+def q_split_by_target(spark, d):
+    seqs = datasets.split_by_target(sequences_of(spark, d), VAL_START, TEST_START)
+    return seqs.select("ticker", "target_period", "label", "split")
+
+
+# ---------------------------------------------------------------- 2.5 joins
+@query("join_income_balance")
+def q_join_income_balance(spark, d):
+    income, balance, _ = tidy_statements(spark, d)
+    return statements.join_income_balance(income, balance)
+
+
+@query("financial_statements")
+def q_financial_statements(spark, d):
+    return statements.financial_statements(*tidy_statements(spark, d))
+
+
+@query("eps_compare_key")
+def q_eps_compare_key(spark, d):
+    return eps_compare_key(statements_of(spark, d), estimates_of(spark, d))
+
+
+@query("eps_compare_position")
+def q_eps_compare_position(spark, d):
+    return eps_compare_position(statements_of(spark, d), estimates_of(spark, d), fx.universe(spark, d))
+
+
+@query("feature_matrix")
+def q_feature_matrix(spark, d):
+    return matrix_of(spark, d)
+
+
+@query("update_from")
+def q_update_from(spark, d):
+    feed = feed_of(spark, d).select(
+        F.col("act_symbol").alias("ticker"),
+        F.concat(F.lit("Q"), F.quarter("period_end_date").cast("string"), F.lit(" "),
+                 F.year("period_end_date").cast("string")).alias("fiscal_period"),
+        "date", "l_orderkey", "l_linenumber", "consensus", "count",
+    )
+    skeleton = assemble.feature_skeleton(statements_of(spark, d))
+    return assemble.update_from(skeleton, feed, ["ticker", "fiscal_period"], ["consensus", "count"],
+                                pick_order=["date", "l_orderkey", "l_linenumber"])
 
 
-# ---------------------------------------------------------------- features
 @query("features_all")
 def q_features_all(spark, d):
-    return features(spark, d)
+    return features_of(spark, d)
+
+
+@query("features_position_aligned")
+def q_features_position_aligned(spark, d):
+    return features_of(spark, d, alignment="position", universe=fx.universe(spark, d))
+
+
+# ---------------------------------------------------------------- 2.6 aggregations
+@query("distinct_tickers")
+def q_distinct_tickers(spark, d):
+    return datasets.distinct_tickers(matrix_of(spark, d))
+
+
+@query("first_snapshot")
+def q_first_snapshot(spark, d):
+    return first_snapshot(estimate_filter(feed_of(spark, d), fx.FIXTURE_WINDOW), fx.FIXTURE_TIE_BREAKERS)
+
+
+@query("accuracy_by_split")
+def q_accuracy_by_split(spark, d):
+    out = metrics.accuracy_by_split(scored_rows(spark, d))
+    return out.withColumn("accuracy", F.round("accuracy", 6))
+
+
+@query("bce_by_split")
+def q_bce_by_split(spark, d):
+    return metrics.bce_by_split(scored_rows(spark, d)).withColumn("bce", F.round("bce", 6))
+
+
+# ---------------------------------------------------------------- 2.7 windows
+@query("lag_revenue_1")
+def q_lag_revenue_1(spark, d):
+    return lagged(statements_of(spark, d), "revenue", 1, "prev_revenue").select(
+        "ticker", "fiscal_period", "revenue", "prev_revenue")
+
+
+@query("lag_revenue_4")
+def q_lag_revenue_4(spark, d):
+    return lagged(statements_of(spark, d), "revenue", 4, "revenue_4_back").select(
+        "ticker", "fiscal_period", "revenue", "revenue_4_back")
+
+
+@query("lag_consensus_1")
+def q_lag_consensus_1(spark, d):
+    return lagged(estimates_of(spark, d), "consensus_eps", 1, "prev_consensus").select(
+        "ticker", "fiscal_period", "consensus_eps", "prev_consensus")
+
+
+@query("lag_consensus_4")
+def q_lag_consensus_4(spark, d):
+    return lagged(estimates_of(spark, d), "consensus_eps", 4, "consensus_4_back").select(
+        "ticker", "fiscal_period", "consensus_eps", "consensus_4_back")
+
+
+@query("momentum")
+def q_momentum(spark, d):
+    return revenue_growth(statements_of(spark, d)).select("ticker", "fiscal_period", "momentum")
+
+
+@query("quarter_number")
+def q_quarter_number(spark, d):
+    firsts = first_snapshot(estimate_filter(feed_of(spark, d), fx.FIXTURE_WINDOW), fx.FIXTURE_TIE_BREAKERS)
+    return quarter_number(firsts).select(F.col("act_symbol").alias("ticker"), "period_end_date", "year",
+                                         "quarter_num")
+
+
+@query("sequence_dataset")
+def q_sequence_dataset(spark, d):
+    return datasets.explode_windows(sequences_of(spark, d))
+
+
+# ---------------------------------------------------------------- 2.8 sorts
+@query("ordered_statements")
+def q_ordered_statements(spark, d):
+    return statements.ordered_statements(statements_of(spark, d)).select("ticker", "fiscal_period", "load_position")
+
+
+# ---------------------------------------------------------------- 2.9 set operations
+@query("union_all_by_name")
+def q_union_all_by_name(spark, d):
+    frames = [sheet_of(spark, d, s).withColumn("sheet", F.lit(s)) for s in ("income", "balance", "cash")]
+    return reshape.union_all_by_name(*frames)
+
+
+# ---------------------------------------------------------------- 2.10 scalar functions
+@query("quarter_label")
+def q_quarter_label(spark, d):
+    return estimates_of(spark, d, keep_period_end=True).select("ticker", "period_end_date", "fiscal_period")
+
+
+@query("eps_status")
+def q_eps_status(spark, d):
+    return features_of(spark, d).select("ticker", "fiscal_period", "eps_status")
+
+
+@query("eps_surprise")
+def q_eps_surprise(spark, d):
+    return features_of(spark, d).select("ticker", "fiscal_period", "eps_surprise")
+
+
+@query("final_label")
+def q_final_label(spark, d):
+    return matrix_of(spark, d).select("ticker", "fiscal_period", "eps_status")
+
+
+@query("predict_from_logit")
+def q_predict_from_logit(spark, d):
+    rows = scored_rows(spark, d)
+    return rows.select("ticker", "fiscal_period", "logit", F.round(sigmoid("logit"), 6).alias("probability"),
+                       "prediction")
+
+
+# ---------------------------------------------------------------- 2.11 domain features
+@query("analyst_estimates")
+def q_analyst_estimates(spark, d):
+    return estimates_of(spark, d)
+
+
+for _name in ("qoq_rev", "yoy_rev"):
+    def _growth(spark, d, _name=_name):
+        return revenue_growth(statements_of(spark, d)).select("ticker", "fiscal_period", _name)
+
+    QUERIES[_name] = _growth
+
+for _name in ("qoq_eps", "yoy_eps"):
+    def _eps_growth(spark, d, _name=_name):
+        skeleton = assemble.feature_skeleton(statements_of(spark, d))
+        return assemble.update_from(skeleton, consensus_growth(estimates_of(spark, d)),
+                                    ["ticker", "fiscal_period"], [_name])
+
+    QUERIES[_name] = _eps_growth
+
+for _name in ("net_margin", "gross_margin", "oper_margin", "roe", "de_ratio", "current_ratio", "cash_ratio",
+              "asset_turn"):
+    def _ratio(spark, d, _name=_name):
+        return ratios(statements_of(spark, d)).select("ticker", "fiscal_period", _name)
+
+    QUERIES[_name] = _ratio
+
+
+# ---------------------------------------------------------------- 2.12 datasets and models
+@query("row_dataset")
+def q_row_dataset(spark, d):
+    return datasets.row_dataset(datasets.split_by_year(matrix_of(spark, d), YEAR_SPLITS))
+
+
+@query("null_feature_rows")
+def q_null_feature_rows(spark, d):
+    return datasets.null_feature_rows(matrix_of(spark, d))
+
+
+@query("mlp_predictions")
+def q_mlp_predictions(spark, d):
+    rows = datasets.row_dataset(datasets.split_by_year(matrix_of(spark, d), YEAR_SPLITS))
+    model = models.fit_row_classifier(rows.where(F.col("split") == "train"), max_iter=100)
+    return models.score(model, rows.where(F.col("split") != "train"),
+                        ["ticker", "fiscal_period", "split", "label"])
+
+
+@query("sequence_predictions")
+def q_sequence_predictions(spark, d):
+    seqs = datasets.split_by_target(sequences_of(spark, d), VAL_START, TEST_START)
+    seqs = datasets.flatten_windows(seqs).where(F.col("label").isNotNull())
+    seqs = seqs.where(F.forall("seq_features", lambda x: x.isNotNull()))
+    model = models.fit_sequence_classifier(seqs.where(F.col("split") == "train"), SEQ_LEN * len(FEATURE_COLUMNS),
+                                           max_iter=100)
+    return models.score(model, seqs.where(F.col("split") != "train"), ["ticker", "target_period", "split", "label"],
+                        sequence=True)

@@ -156,6 +156,7 @@ INCOME_SHEET = [
     ("Operating Expenses", "operating_expenses"),
     ("Operating Income (Loss)", "operating_income"),
     ("Net Income", "net_income"),
+    ("Net Income Common", None),
     ("Weighted Average Shares", None),
     ("Preferred Dividends", None),
 ]
@@ -181,6 +182,7 @@ DERIVED_SHEET = [
 
 # Values of the sheet rows that feed no tidy column (SQL over statements).
 FILLER_ROWS = {
+    "Net Income Common": "net_income",
     "Weighted Average Shares": "cost_of_revenue",
     "Preferred Dividends": "nullif(current_liabilities, 0)",
     "Goodwill": "nullif(cash, 0)",
