@@ -20,7 +20,7 @@ from quarterline.functions.numeric import pct_change, to_store
 from quarterline.functions.periods import quarter_text, year_text
 from quarterline.operators.align import eps_compare_position
 from quarterline.operators.estimates import first_per_key
-from quarterline.operators.growth import growth_columns
+from quarterline.operators.growth import with_growth
 from quarterline.operators.ratios import ratio_columns
 from quarterline.schemas import FEATURE_COLUMNS
 
@@ -50,14 +50,18 @@ def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str], set_c
 
 def statement_features(statements: DataFrame) -> DataFrame:
     """Revenue growth, momentum and the eight ratios plus eps, one window."""
-    cols = {**growth_columns("revenue"), **ratio_columns()}
-    return statements.select(*KEYS, "eps", *[to_store(c).alias(n) for n, c in cols.items()])
+    ratio_cols = ratio_columns()
+    # Ratios are rounded before the exchange so the shuffle carries 10,4 decimals.
+    base = statements.select(*KEYS, "eps", "revenue", *[to_store(v).alias(k) for k, v in ratio_cols.items()])
+    g = with_growth(base, "revenue", "rev")
+    growth = ["qoq_rev", "yoy_rev", "momentum"]
+    return g.select(*KEYS, "eps", *[to_store(c).alias(c) for c in growth], *ratio_cols)
 
 
 def estimate_features(estimates: DataFrame) -> DataFrame:
     """Consensus growth (computed before any join) and the consensus itself."""
-    cols = growth_columns("consensus_eps", prefix="eps", with_momentum=False)
-    return estimates.select(*KEYS, "consensus_eps", *[to_store(c).alias(n) for n, c in cols.items()])
+    g = with_growth(estimates.select(*KEYS, "consensus_eps"), "consensus_eps", "eps", with_momentum=False)
+    return g.select(*KEYS, "consensus_eps", *[to_store(c).alias(c) for c in ("qoq_eps", "yoy_eps")])
 
 
 def features_all(statements: DataFrame, estimates: DataFrame, alignment: str = "key",

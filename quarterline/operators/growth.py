@@ -1,7 +1,9 @@
 """Row-offset growth features over per-ticker quarter windows.
 
 Every window is ``PARTITION BY ticker ORDER BY year text, quarter text``,
-so Spark plans one hash exchange on ticker and one sort for all lags.
+so Spark plans one hash exchange on ticker and one sort for all lags:
+the sort keys and lags are materialised as columns once, and the nested
+momentum window reuses the same attributes (no second sort).
 ``LAG(x, k)`` means k *rows* earlier, not k calendar quarters: a missing
 quarter shifts the comparison, exactly as in the reference.  A ticker has
 one row per quarter, so a partition never grows with the fact table.
@@ -9,11 +11,13 @@ one row per quarter, so a partition never grows with the fact table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from quarterline.functions.numeric import pct_change, to_store
-from quarterline.functions.periods import period_order
+from quarterline.functions.periods import period_order, quarter_text, year_text
+
+_Y, _Q = "__year_text", "__quarter_text"
 
 
 def quarter_window(ticker: str = "ticker", period: str = "fiscal_period") -> WindowSpec:
@@ -21,6 +25,12 @@ def quarter_window(ticker: str = "ticker", period: str = "fiscal_period") -> Win
     return Window.partitionBy(ticker).orderBy(*period_order(period), F.col(period))
 
 
+def _keyed_window(df: DataFrame, ticker: str, period: str) -> tuple[DataFrame, WindowSpec]:
+    if _Y not in df.columns:
+        df = df.withColumn(_Y, year_text(period)).withColumn(_Q, quarter_text(period))
+    return df, Window.partitionBy(ticker).orderBy(_Y, _Q, period)
+
+
 def lagged(df: DataFrame, column: str, offset: int, alias: str | None = None,
            ticker: str = "ticker", period: str = "fiscal_period") -> DataFrame:
     """Add ``LAG(column, offset)`` over the quarter window."""
@@ -28,28 +38,27 @@ def lagged(df: DataFrame, column: str, offset: int, alias: str | None = None,
     return df.withColumn(alias, F.lag(column, offset).over(quarter_window(ticker, period)))
 
 
-def growth_columns(value: str, ticker: str = "ticker", period: str = "fiscal_period",
-                   prefix: str = "rev", with_momentum: bool = True) -> dict[str, Column]:
-    """Unrounded QoQ / YoY percent change (and momentum) of ``value``.
+def with_growth(df: DataFrame, value: str, prefix: str, with_momentum: bool = True,
+                ticker: str = "ticker", period: str = "fiscal_period") -> DataFrame:
+    """Add unrounded ``qoq_<prefix>``, ``yoy_<prefix>`` (and ``momentum``).
 
-    momentum = YoY(t) - YoY(t-4), computed from *unrounded* YoY values; it
-    needs eight earlier rows.  All three share one window specification.
+    momentum = YoY(t) - YoY(t-4), from *unrounded* YoY values; it needs
+    eight earlier rows.  Helper columns start with ``__`` (drop them or
+    select the outputs).
     """
-    w = quarter_window(ticker, period)
-    yoy = pct_change(F.col(value), F.lag(value, 4).over(w))
-    cols = {
-        f"qoq_{prefix}": pct_change(F.col(value), F.lag(value, 1).over(w)),
-        f"yoy_{prefix}": yoy,
-    }
+    df, w = _keyed_window(df, ticker, period)
+    lag1, lag4 = f"__{value}_lag1", f"__{value}_lag4"
+    df = df.withColumn(lag1, F.lag(value, 1).over(w)).withColumn(lag4, F.lag(value, 4).over(w))
+    df = df.withColumn(f"qoq_{prefix}", pct_change(value, lag1)).withColumn(f"yoy_{prefix}", pct_change(value, lag4))
     if with_momentum:
-        cols["momentum"] = yoy - F.lag(yoy, 4).over(w)
-    return cols
+        df = df.withColumn("momentum", F.col(f"yoy_{prefix}") - F.lag(f"yoy_{prefix}", 4).over(w))
+    return df
 
 
 def revenue_growth(statements: DataFrame, ticker: str = "ticker", period: str = "fiscal_period") -> DataFrame:
     """(ticker, fiscal_period, qoq_rev, yoy_rev, momentum) as DECIMAL(10,4)."""
-    cols = growth_columns("revenue", ticker, period, "rev")
-    return statements.select(ticker, period, *[to_store(c).alias(n) for n, c in cols.items()])
+    g = with_growth(statements.select(ticker, period, "revenue"), "revenue", "rev", True, ticker, period)
+    return g.select(ticker, period, *[to_store(c).alias(c) for c in ("qoq_rev", "yoy_rev", "momentum")])
 
 
 def consensus_growth(estimates: DataFrame, ticker: str = "ticker", period: str = "fiscal_period") -> DataFrame:
@@ -58,5 +67,5 @@ def consensus_growth(estimates: DataFrame, ticker: str = "ticker", period: str =
     Computed on the estimate table before any join, so a quarter without a
     statement still serves as the lag of the next one.
     """
-    cols = growth_columns("consensus_eps", ticker, period, "eps", with_momentum=False)
-    return estimates.select(ticker, period, *[to_store(c).alias(n) for n, c in cols.items()])
+    g = with_growth(estimates.select(ticker, period, "consensus_eps"), "consensus_eps", "eps", False, ticker, period)
+    return g.select(ticker, period, *[to_store(c).alias(c) for c in ("qoq_eps", "yoy_eps")])

@@ -15,6 +15,10 @@ _DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Per-quarter tables are hash-partitioned by ticker for their windows; let
+    # the (ticker, fiscal_period) joins reuse that instead of re-shuffling.
+    # Safe here: after aggregation a ticker holds only its quarters.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
