@@ -41,11 +41,12 @@ MATRIX_SCHEMA = T.StructType(
 
 
 def read_wide_sheets(spark: SparkSession, path: str, fmt: str = "parquet", ticker_from: str = "column",
-                     ticker_pattern: str = r"([^/_]+)_[A-Z]+\.[a-z]+$") -> DataFrame:
+                     ticker_pattern: str = r"([^/_]+)_[A-Z]+(?:\.[A-Za-z]+)?(?:/[^/]*)?$") -> DataFrame:
     """Read every company's sheet of one kind and return the tidy long form.
 
-    ``ticker_from="path"`` takes the ticker from the file name with
-    ``ticker_pattern`` (first group), e.g. ``AAPL_PL.parquet`` -> AAPL.
+    ``ticker_from="path"`` takes the ticker from the file name (or, for a
+    written dataset folder, the folder name) with ``ticker_pattern`` (first
+    group), e.g. ``AAPL_PL.parquet`` -> AAPL.
     """
     reader = spark.read
     if fmt == "parquet":

@@ -1,0 +1,70 @@
+"""Hand-made edge rows (zero lags, null / negative consensus, ties, gaps)."""
+
+from decimal import Decimal
+
+from helpers import estimate_row, estimates, periods, statement_row, statements
+
+from quarterline.operators.assemble import feature_matrix, features_all
+from quarterline.operators.growth import revenue_growth
+
+
+def _by_period(df):
+    return {r.fiscal_period: r for r in df.collect()}
+
+
+def test_zero_lag_gives_null_growth(spark):
+    rows = [statement_row("AAA", p, revenue=r) for p, r in zip(periods(2019, 6), [0, 10, 20, 30, 40, 50], strict=True)]
+    g = _by_period(revenue_growth(statements(spark, rows)))
+    assert g["Q2 2019"].qoq_rev is None                      # previous revenue is 0
+    assert g["Q3 2019"].qoq_rev == Decimal("100.0000")
+    assert g["Q1 2020"].yoy_rev is None                      # four rows back is 0
+    assert g["Q2 2020"].yoy_rev == Decimal("400.0000")
+
+
+def test_missing_quarter_shifts_row_offset_lag(spark):
+    ps = ["Q1 2019", "Q2 2019", "Q4 2019", "Q1 2020", "Q2 2020"]   # Q3 2019 missing
+    rows = [statement_row("AAA", p, revenue=r) for p, r in zip(ps, [10, 20, 40, 50, 60], strict=True)]
+    g = _by_period(revenue_growth(statements(spark, rows)))
+    assert g["Q4 2019"].qoq_rev == Decimal("100.0000")       # compared with Q2 2019, one row back
+    assert g["Q2 2020"].yoy_rev == Decimal("500.0000")       # four rows back is Q1 2019
+
+
+def test_momentum_needs_eight_rows(spark):
+    rows = [statement_row("AAA", p, revenue=100 + i) for i, p in enumerate(periods(2019, 9))]
+    g = _by_period(revenue_growth(statements(spark, rows)))
+    assert g["Q4 2020"].momentum is None
+    assert g["Q1 2021"].momentum is not None
+
+
+def test_label_edge_cases(spark):
+    fs = statements(spark, [
+        statement_row("AAA", "Q1 2020", eps=1.0),     # consensus NULL, matched
+        statement_row("BBB", "Q1 2020", eps=0.5),     # consensus negative, eps above
+        statement_row("CCC", "Q1 2020", eps=2.0),     # eps equals consensus
+        statement_row("DDD", "Q1 2020", eps=2.0),     # no estimate row at all
+    ])
+    est = estimates(spark, [
+        estimate_row("AAA", "Q1 2020", None),
+        estimate_row("BBB", "Q1 2020", -1.0),
+        estimate_row("CCC", "Q1 2020", 2.0),
+        estimate_row("EEE", "Q1 2020", 1.0),           # estimate without a statement
+    ])
+    feats = {r.ticker: r for r in features_all(fs, est).collect()}
+    assert (feats["AAA"].eps_status, feats["AAA"].eps_surprise) == ("miss", None)
+    assert feats["BBB"].eps_status == "beat" and feats["BBB"].eps_surprise == Decimal("-150.0000")
+    assert (feats["CCC"].eps_status, feats["CCC"].eps_surprise) == ("miss", Decimal("0.0000"))
+    assert (feats["DDD"].eps_status, feats["DDD"].eps_surprise) == (None, None)
+    assert "EEE" not in feats
+
+    matrix = {r.ticker: r for r in feature_matrix(features_all(fs, est)).collect()}
+    assert matrix["BBB"].eps_status == 0.0      # negative surprise wins over 'beat'
+    assert matrix["CCC"].eps_status == 0.0      # zero surprise: 'miss' -> 0.0
+    assert matrix["AAA"].eps_status == 0.0      # NULL surprise: 'miss' -> 0.0
+    assert matrix["DDD"].eps_status is None
+
+
+def test_feature_matrix_estimate_keys(spark):
+    fs = statements(spark, [statement_row("AAA", "Q1 2020"), statement_row("BBB", "Q1 2020")])
+    est = estimates(spark, [estimate_row("AAA", "Q1 2020", 1.0)])
+    m = feature_matrix(features_all(fs, est), est, keys_from="estimates").collect()
+    assert sorted((r.ticker or "~", r.fiscal_period or "~") for r in m) == [("AAA", "Q1 2020"), ("~", "~")]
