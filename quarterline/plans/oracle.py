@@ -320,6 +320,10 @@ register("eps_compare_position", q(
     "select position, ticker, fiscal_period, eps, est_ticker, est_fiscal_period, consensus_eps "
     "from sp join ep using (position)", POSITION_CTES))
 register("feature_matrix", q("select * from matrix", FEAT))
+register("feature_matrix_estimate_keys", q(
+    "select ae.ticker, ae.fiscal_period, " + ", ".join("m." + c for c in FEATURES) + ", m.eps_status, m.eps_surprise "
+    "from analyst_estimates ae right join matrix m on right(ae.fiscal_period, 4) = right(m.fiscal_period, 4) "
+    "and left(ae.fiscal_period, 2) = left(m.fiscal_period, 2) and ae.ticker = m.ticker", FEAT))
 register("update_from", q("""
 select s.ticker, s.fiscal_period, p.consensus, p.num "count"
 from financial_statements s left join p on s.ticker = p.ticker and s.fiscal_period = p.fiscal_period and p.rn = 1""", """
@@ -362,6 +366,10 @@ register("momentum", q("select ticker, fiscal_period, momentum from sg", GROWTH_
 register("quarter_number", q(
     "select act_symbol ticker, period_end_date, year(period_end_date) as year, row_number() over "
     "(partition by act_symbol, year(period_end_date) order by period_end_date) quarter_num from first_snap where rn = 1"))
+register("quarter_number_appearance", q(
+    "select act_symbol ticker, period_end_date, year(period_end_date) as year, row_number() over "
+    "(partition by act_symbol, year(period_end_date) order by snap_date, period_end_date) quarter_num "
+    "from first_snap where rn = 1"))
 register("sequence_dataset", q(f"""
 select t.ticker, t.fiscal_period target_period, t.year, t.quarter, t.eps_status label, s.rn - t.rn + 5 step,
   {', '.join(f'cast(s.{c} as double) {c}' for c in FEATURES)}

@@ -321,6 +321,12 @@ def q_feature_matrix(spark, d):
     return matrix_of(spark, d)
 
 
+@query("feature_matrix_estimate_keys")
+def q_feature_matrix_estimate_keys(spark, d):
+    # The reference's RIGHT JOIN keeps keys from the estimate side (NULL when unmatched).
+    return assemble.feature_matrix(features_of(spark, d), estimates_of(spark, d), keys_from="estimates")
+
+
 @query("update_from")
 def q_update_from(spark, d):
     feed = feed_of(spark, d).select(
@@ -403,6 +409,13 @@ def q_quarter_number(spark, d):
                                          "quarter_num")
 
 
+@query("quarter_number_appearance")
+def q_quarter_number_appearance(spark, d):
+    firsts = first_snapshot(estimate_filter(feed_of(spark, d), fx.FIXTURE_WINDOW), fx.FIXTURE_TIE_BREAKERS)
+    return quarter_number(firsts, numbering="appearance").select(
+        F.col("act_symbol").alias("ticker"), "period_end_date", "year", "quarter_num")
+
+
 @query("sequence_dataset")
 def q_sequence_dataset(spark, d):
     return datasets.explode_windows(sequences_of(spark, d))

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference processes whole files in batch and has no stream source,
+watermark, time window, session, stateful operator or late-data rule, so
+there is nothing to re-express with Structured Streaming.  The batch flows
+in ``quarterline.plans.flows`` are idempotent (overwrite) and can be
+re-run whenever new sheets or snapshots land.
+"""
