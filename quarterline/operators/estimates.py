@@ -104,7 +104,7 @@ def quarter_number(df: DataFrame, ticker: str = "act_symbol", numbering: str = "
         raise ValueError(f"numbering must be 'period_end' or 'appearance', not {numbering!r}")
     year = F.year("period_end_date")
     w = Window.partitionBy(ticker, year).orderBy(*order)
-    return df.withColumn("year", year).withColumn("quarter_num", F.row_number().over(w))
+    return df.withColumns({"year": year, "quarter_num": F.row_number().over(w)})
 
 
 def analyst_estimates(feed: DataFrame, window: tuple[str, str] = REFERENCE_WINDOW,
@@ -120,10 +120,12 @@ def analyst_estimates(feed: DataFrame, window: tuple[str, str] = REFERENCE_WINDO
     filtered = estimate_filter(feed, window, universe)
     firsts = first_snapshot(filtered, tie_breakers).repartition("act_symbol")
     numbered = quarter_number(firsts, "act_symbol", numbering)
-    out = numbered.withColumn("fiscal_period", quarter_label("quarter_num", "year"))
-    for src, dst in ESTIMATE_RENAMES.items():
-        out = out.withColumnRenamed(src, dst)
-    cols = ["ticker", "fiscal_period", "consensus_eps", "num_analysts", "eps_high", "eps_low"]
-    if keep_period_end:
-        cols.append("period_end_date")
-    return out.select(*cols).withColumn("num_analysts", F.col("num_analysts").cast("int"))
+    cols = [
+        F.col("act_symbol").alias("ticker"),
+        quarter_label("quarter_num", "year").alias("fiscal_period"),
+        *[F.col(src).alias(dst) for src, dst in ESTIMATE_RENAMES.items() if src != "act_symbol"],
+    ]
+    out = numbered.select(*cols, "period_end_date").select(
+        "ticker", "fiscal_period", "consensus_eps", F.col("num_analysts").cast("int").alias("num_analysts"),
+        "eps_high", "eps_low", "period_end_date")
+    return out if keep_period_end else out.drop("period_end_date")

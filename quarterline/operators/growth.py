@@ -27,7 +27,7 @@ def quarter_window(ticker: str = "ticker", period: str = "fiscal_period") -> Win
 
 def _keyed_window(df: DataFrame, ticker: str, period: str) -> tuple[DataFrame, WindowSpec]:
     if _Y not in df.columns:
-        df = df.withColumn(_Y, year_text(period)).withColumn(_Q, quarter_text(period))
+        df = df.withColumns({_Y: year_text(period), _Q: quarter_text(period)})
     return df, Window.partitionBy(ticker).orderBy(_Y, _Q, period)
 
 
@@ -48,8 +48,8 @@ def with_growth(df: DataFrame, value: str, prefix: str, with_momentum: bool = Tr
     """
     df, w = _keyed_window(df, ticker, period)
     lag1, lag4 = f"__{value}_lag1", f"__{value}_lag4"
-    df = df.withColumn(lag1, F.lag(value, 1).over(w)).withColumn(lag4, F.lag(value, 4).over(w))
-    df = df.withColumn(f"qoq_{prefix}", pct_change(value, lag1)).withColumn(f"yoy_{prefix}", pct_change(value, lag4))
+    df = df.withColumns({lag1: F.lag(value, 1).over(w), lag4: F.lag(value, 4).over(w)})
+    df = df.withColumns({f"qoq_{prefix}": pct_change(value, lag1), f"yoy_{prefix}": pct_change(value, lag4)})
     if with_momentum:
         df = df.withColumn("momentum", F.col(f"yoy_{prefix}") - F.lag(f"yoy_{prefix}", 4).over(w))
     return df

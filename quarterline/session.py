@@ -62,6 +62,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
             base = tempfile.mkdtemp(prefix="quarterline-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base

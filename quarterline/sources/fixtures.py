@@ -10,7 +10,9 @@ oracle SQL also uses, so both sides see identical inputs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterline.functions.periods import quarter_label
@@ -39,30 +41,65 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def statement_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per (supplier, quarter) sums; map-side combined before the shuffle.
+# The fixture's per-quarter sums (name -> SQL over line items).
+BASE_SUMS = {
+    "rev": "ext * (1 - disc)",
+    "qty": "qty",
+    "tax": "ext * tax",
+    "dsc": "ext * disc",
+    "ext": "ext",
+    "opn": "case when l_linestatus = 'O' then ext else 0 end",
+    "fa": "case when l_returnflag = 'A' then ext else 0 end",
+    "fn": "case when l_returnflag = 'N' then ext else 0 end",
+    "fr": "case when l_returnflag = 'R' then ext else 0 end",
+}
+
+
+def _unscaled_terms() -> dict[str, tuple[Column, int]]:
+    """Each sum's summand as an exact 64-bit integer and its decimal scale."""
+    ext = (F.col("ext") * 100).cast("long")
+    disc = (F.col("disc") * 100).cast("long")
+    tax = (F.col("tax") * 100).cast("long")
+    qty = (F.col("qty") * 100).cast("long")
 
-    Grouped on integer (year, quarter) and labelled once per group, which
-    is the same grouping as the text label but cheaper to hash.
+    def flag(col: str, value: str) -> Column:
+        return F.when(F.col(col) == value, ext).otherwise(F.lit(0).cast("long"))
+
+    return {
+        "rev": (ext * (100 - disc), 4),
+        "qty": (qty, 2),
+        "tax": (ext * tax, 4),
+        "dsc": (ext * disc, 4),
+        "ext": (ext, 2),
+        "opn": (flag("l_linestatus", "O"), 2),
+        "fa": (flag("l_returnflag", "A"), 2),
+        "fn": (flag("l_returnflag", "N"), 2),
+        "fr": (flag("l_returnflag", "R"), 2),
+    }
+
+
+def statement_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (supplier, quarter) exact sums of ``BASE_SUMS``.
+
+    Same values and types as ``sum(<decimal expr>)``, computed in two
+    levels so the hot loop adds 64-bit integers instead of BigDecimals:
+    first per (key, scan task) over unscaled longs -- a task reads a
+    bounded number of rows, so no overflow whatever the key skew -- then
+    the few per-task partials of a key are added as DECIMAL(38,0) and
+    rescaled.  Both levels aggregate map-side before their shuffle.
+    Grouped on integer (year, quarter) and labelled once per group.
     """
     li = line_items(spark, sf_dir).drop("fiscal_period")
-    sums = li.groupBy(
-        F.col("l_suppkey").alias("ticker"),
-        F.year("l_shipdate").alias("__y"),
-        F.quarter("l_shipdate").alias("__q"),
-    ).agg(
-        F.sum(F.expr("ext * (1 - disc)")).alias("rev"),
-        F.sum("qty").alias("qty"),
-        F.sum(F.expr("ext * tax")).alias("tax"),
-        F.sum(F.expr("ext * disc")).alias("dsc"),
-        F.sum("ext").alias("ext"),
-        F.sum(F.expr("case when l_linestatus = 'O' then ext else 0 end")).alias("opn"),
-        F.sum(F.expr("case when l_returnflag = 'A' then ext else 0 end")).alias("fa"),
-        F.sum(F.expr("case when l_returnflag = 'N' then ext else 0 end")).alias("fn"),
-        F.sum(F.expr("case when l_returnflag = 'R' then ext else 0 end")).alias("fr"),
-    )
-    return sums.select("ticker", quarter_label("__q", "__y").alias("fiscal_period"),
-                       "rev", "qty", "tax", "dsc", "ext", "opn", "fa", "fn", "fr")
+    keys = [F.col("l_suppkey").alias("ticker"), F.year("l_shipdate").alias("__y"),
+            F.quarter("l_shipdate").alias("__q")]
+    types = {f.name: f.dataType for f in li.select(*[F.sum(F.expr(e)).alias(n) for n, e in BASE_SUMS.items()]).schema}
+    terms = _unscaled_terms()
+    per_task = li.groupBy(*keys, F.spark_partition_id().alias("__task")).agg(
+        *[F.sum(term).alias(n) for n, (term, _) in terms.items()])
+    totals = per_task.groupBy("ticker", "__y", "__q").agg(
+        *[F.sum(F.col(n).cast("decimal(38,0)")).alias(n) for n in terms])
+    scaled = [(F.col(n) * F.lit(Decimal(1).scaleb(-scale))).cast(types[n]).alias(n) for n, (_, scale) in terms.items()]
+    return totals.select("ticker", quarter_label("__q", "__y").alias("fiscal_period"), *scaled)
 
 
 # The fixture's statement formulas (column -> SQL expression
