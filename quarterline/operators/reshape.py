@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterline.functions.periods import period_type
@@ -53,15 +53,19 @@ def dropna_any(long: DataFrame) -> DataFrame:
     """Drop every (ticker, metric) that has a NULL in any reported period.
 
     A ticker's periods are the columns of its own sheet, i.e. the periods
-    in which any of its metrics has a value.  Aggregates only: per-metric
-    value counts and per-ticker period counts, then a semi join.
+    in which any of its metrics has a value.  Two windows over one hash
+    partitioning on ticker (a company's sheet is metrics x periods cells,
+    bounded whatever the table size): values per metric, and the distinct
+    reported periods per ticker.  One pass, no self-join.
     """
-    per_metric = long.groupBy("ticker", "Metrics").agg(F.count("value").alias("__vals"))
-    per_ticker = long.where(F.col("value").isNotNull()).groupBy("ticker").agg(
-        F.countDistinct("fiscal_period").alias("__periods")
-    )
-    complete = per_metric.join(per_ticker, "ticker").where(F.col("__vals") == F.col("__periods"))
-    return long.join(complete.select("ticker", "Metrics"), ["ticker", "Metrics"], "left_semi")
+    by_metric = Window.partitionBy("ticker", "Metrics")
+    by_ticker = Window.partitionBy("ticker")
+    reported = F.when(F.col("value").isNotNull(), F.col("fiscal_period"))
+    counted = long.withColumns({
+        "__vals": F.count("value").over(by_metric),
+        "__periods": F.size(F.collect_set(reported).over(by_ticker)),
+    })
+    return counted.where(F.col("__vals") == F.col("__periods")).drop("__vals", "__periods")
 
 
 def reported_cells(long: DataFrame) -> DataFrame:

@@ -261,12 +261,25 @@ def sheet_long(spark: SparkSession, sf_dir: str, sheet: str) -> DataFrame:
     )
 
 
-def wide_sheet(spark: SparkSession, sf_dir: str, sheet: str) -> DataFrame:
+def fiscal_periods(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Labels of the quarters present in the fact, oldest first.
+
+    The wide layout needs its column names when the plan is built, so this
+    is one small job over a single date column; the result is a few dozen
+    labels (bounded by the calendar, not by the data volume).
+    """
+    li = read_table(spark, sf_dir, "lineitem").where(F.col("l_shipdate").isNotNull())
+    quarters = li.select(F.year("l_shipdate").alias("y"), F.quarter("l_shipdate").alias("q")).distinct()
+    return [f"Q{r.q} {r.y}" for r in sorted(quarters.collect())]
+
+
+def wide_sheet(spark: SparkSession, sf_dir: str, sheet: str, periods: list[str] | None = None) -> DataFrame:
     """One sheet in the wide layout: (ticker, Metrics, '<Qn yyyy>'...).
 
     One row per (ticker, metric title) and one column per fiscal period,
-    as the per-company spreadsheets are laid out.  The period columns come
-    from the data (pivot collects the bounded set of distinct quarters).
+    as the per-company spreadsheets are laid out.  Pass ``periods`` (see
+    ``fiscal_periods``) to share one column list across sheets.
     """
+    periods = periods if periods is not None else fiscal_periods(spark, sf_dir)
     long = sheet_long(spark, sf_dir, sheet)
-    return long.groupBy("ticker", "Metrics").pivot("fiscal_period").agg(F.first("value"))
+    return long.groupBy("ticker", "Metrics").pivot("fiscal_period", periods).agg(F.first("value"))
