@@ -7,7 +7,7 @@ datasets for Spark ML come out.  Every operator is a plain
 ``DataFrame -> DataFrame`` function whose work runs on Spark.
 """
 
-from quarterline.session import build_session, shared_dir
+from quarterline.session import build_session, cluster_conf, shared_dir
 
-__all__ = ["build_session", "shared_dir"]
+__all__ = ["build_session", "cluster_conf", "shared_dir"]
 __version__ = "0.1.0"

@@ -50,6 +50,26 @@ def build_session(
     return spark
 
 
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict[str, str]:
+    """Settings sized to the input volume, for ``build_session(conf=...)``.
+
+    Shuffles start with about one partition per ``partition_bytes`` of
+    input (AQE then coalesces small ones and splits skewed ones), scans
+    read splits of the same size, and anything under 64 MB measured at
+    runtime is broadcast.  For 100 TB this gives ~400k -> capped at
+    ``max_partitions`` initial shuffle partitions of ~1 GB at most.
+    """
+    initial = max(200, min(max_partitions, input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """Folder every executor can see, taken from ``spark.checkpoint.dir``.
 
