@@ -364,14 +364,15 @@ register("lag_consensus_4", q(f"select ticker, fiscal_period, consensus_eps, lag
                               "consensus_4_back from analyst_estimates"))
 register("momentum", q("select ticker, fiscal_period, momentum from sg", GROWTH_CTES))
 register("quarter_number", q(
-    "select act_symbol ticker, period_end_date, year(period_end_date) as year, row_number() over "
-    "(partition by act_symbol, year(period_end_date) order by period_end_date) quarter_num from first_snap where rn = 1"))
+    "select act_symbol ticker, period_end_date, cast(year(period_end_date) as integer) as year, cast(row_number() over "
+    "(partition by act_symbol, year(period_end_date) order by period_end_date) as integer) quarter_num "
+    "from first_snap where rn = 1"))
 register("quarter_number_appearance", q(
-    "select act_symbol ticker, period_end_date, year(period_end_date) as year, row_number() over "
-    "(partition by act_symbol, year(period_end_date) order by snap_date, period_end_date) quarter_num "
+    "select act_symbol ticker, period_end_date, cast(year(period_end_date) as integer) as year, cast(row_number() "
+    "over (partition by act_symbol, year(period_end_date) order by snap_date, period_end_date) as integer) quarter_num "
     "from first_snap where rn = 1"))
 register("sequence_dataset", q(f"""
-select t.ticker, t.fiscal_period target_period, t.year, t.quarter, t.eps_status label, s.rn - t.rn + 5 step,
+select t.ticker, t.fiscal_period target_period, t.year, t.quarter, t.eps_status label, cast(s.rn - t.rn + 5 as integer) step,
   {', '.join(f'cast(s.{c} as double) {c}' for c in FEATURES)}
 from sq t join sq s on s.ticker = t.ticker and s.rn between t.rn - 4 and t.rn - 1
 where t.rn > 4""", SEQ_CTE))

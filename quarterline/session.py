@@ -78,13 +78,18 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     (a local test session) is a private folder created and registered, so
     that ``DataFrame.checkpoint()`` and the table sinks have somewhere to go.
     """
-    base = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext handle
+        sc = None
+    base = sc.getCheckpointDir() if sc is not None else None
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
-            if not spark.sparkContext.master.startswith("local"):
+            if sc is None or not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
             base = tempfile.mkdtemp(prefix="quarterline-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
+        if sc is not None:
+            sc.setCheckpointDir(base)
+            base = sc.getCheckpointDir() or base
     return "/".join([base.rstrip("/"), *parts])
