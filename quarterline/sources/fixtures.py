@@ -18,9 +18,21 @@ from pyspark.sql import functions as F
 from quarterline.functions.periods import quarter_label
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table as a lazy parquet scan (pruned/pushed by Catalyst)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table as a lazy parquet scan (pruned/pushed by Catalyst).
+
+    The driver tables are immutable inputs, so one DataFrame handle per
+    session and path is reused: files are listed and footers read once,
+    like a catalog table, instead of on every query.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark._jsparkSession.hashCode(), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
