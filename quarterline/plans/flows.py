@@ -28,7 +28,7 @@ from quarterline.operators.statements import (
 )
 from quarterline.schemas import ANALYST_ESTIMATES, FEATURE_COLUMNS, conform
 from quarterline.session import shared_dir
-from quarterline.sources.sinks import export_matrix, write_table
+from quarterline.sources.sinks import export_matrix, write_bucketed, write_table
 from quarterline.sources.wide import read_estimate_feed, read_wide_sheets
 
 # The reference's year splits for the row model and the
@@ -55,8 +55,14 @@ def table_dir(spark: SparkSession, name: str = "tables") -> str:
 
 def load_stage(spark: SparkSession, sheets: SheetPaths, feed_path: str, out_dir: str, feed_fmt: str = "csv",
                window: tuple[str, str] = REFERENCE_WINDOW, universe: DataFrame | Sequence | None = None,
-               tie_breakers: Sequence[str] = ()) -> dict[str, str]:
-    """Wide sheets + snapshot feed -> ``financial_statements`` and ``analyst_estimates``."""
+               tie_breakers: Sequence[str] = (), buckets: int | None = None) -> dict[str, str]:
+    """Wide sheets + snapshot feed -> ``financial_statements`` and ``analyst_estimates``.
+
+    With ``buckets`` both tables are written bucketed and sorted by ticker
+    (tables ``financial_statements`` / ``analyst_estimates`` in the session
+    catalog), so the feature stage runs its windows and its join without
+    any exchange.
+    """
     def scan(path):
         return read_wide_sheets(spark, path, sheets.fmt, sheets.ticker_from)
 
@@ -68,18 +74,36 @@ def load_stage(spark: SparkSession, sheets: SheetPaths, feed_path: str, out_dir:
     )
     paths = {"financial_statements": f"{out_dir}/financial_statements",
              "analyst_estimates": f"{out_dir}/analyst_estimates"}
-    write_table(conform_statements(fs), paths["financial_statements"])
     feed = read_estimate_feed(spark, feed_path, feed_fmt)
-    est = analyst_estimates(feed, window, universe, tie_breakers)
-    write_table(conform(est, ANALYST_ESTIMATES), paths["analyst_estimates"])
+    est = conform(analyst_estimates(feed, window, universe, tie_breakers), ANALYST_ESTIMATES)
+    fs = conform_statements(fs)
+    for name, df in (("financial_statements", fs), ("analyst_estimates", est)):
+        if buckets:
+            write_bucketed(df, name, paths[name], buckets)
+        else:
+            write_table(df, paths[name])
     return paths
 
 
+def _read_stage_table(spark: SparkSession, tables: str, name: str, bucketed: bool) -> DataFrame:
+    """The bucketed catalog table written by ``load_stage(buckets=...)``, or the files."""
+    return spark.table(name) if bucketed else spark.read.parquet(f"{tables}/{name}")
+
+
+def feature_inputs(spark: SparkSession, tables: str, bucketed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(statements, estimates) as written by ``load_stage``."""
+    return (_read_stage_table(spark, tables, "financial_statements", bucketed),
+            _read_stage_table(spark, tables, "analyst_estimates", bucketed))
+
+
 def feature_stage(spark: SparkSession, tables: str, alignment: str = "key", universe: DataFrame | None = None,
-                  export: bool = True) -> dict[str, str]:
-    """Tables -> ``features`` table and the ordered ``findata`` CSV export."""
-    fs = spark.read.parquet(f"{tables}/financial_statements")
-    est = spark.read.parquet(f"{tables}/analyst_estimates")
+                  export: bool = True, bucketed: bool = False) -> dict[str, str]:
+    """Tables -> ``features`` table and the ordered ``findata`` CSV export.
+
+    ``bucketed=True`` reads the bucketed tables of ``load_stage(buckets=...)``:
+    the windows and the join then need no exchange.
+    """
+    fs, est = feature_inputs(spark, tables, bucketed)
     paths = {"features": f"{tables}/features", "findata": f"{tables}/findata_csv"}
     write_table(features_all(fs, est, alignment, universe), paths["features"])
     if export:

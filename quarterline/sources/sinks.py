@@ -24,6 +24,19 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     writer.save(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, by: str = "ticker",
+                   sort_by: Sequence[str] = ("ticker", "fiscal_period")) -> None:
+    """Write an external table bucketed and sorted by ``by`` (co-location).
+
+    Tables written this way with the same bucket count join and window on
+    ``by`` without a shuffle: the data is laid out once, at load time.  The
+    files live at ``path`` (shared storage); ``name`` is registered in the
+    session catalog.
+    """
+    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, by).sortBy(*sort_by)
+     .option("path", path).saveAsTable(name))
+
+
 def export_matrix(matrix: DataFrame, path: str) -> None:
     """CSV with header, ordered by ticker, year, quarter, NULL keys last.
 
