@@ -60,6 +60,15 @@ def _seq_vectors(df: DataFrame) -> DataFrame:
     return df.withColumn("seq_features_vec", array_to_vector("seq_features"))
 
 
+def parameter_count(model: PipelineModel) -> int:
+    """Number of trained weights and biases of the network (A5).
+
+    The reference's 13-16-8-1 network has 369; the Spark form 13-16-8-2
+    (two-class softmax output) has 378.
+    """
+    return sum(len(stage.weights) for stage in model.stages if hasattr(stage, "weights"))
+
+
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], sequence: bool = False) -> DataFrame:
     """Probability of class 1 and the hard prediction (M5)."""
     data = _seq_vectors(df) if sequence else df

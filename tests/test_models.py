@@ -18,6 +18,15 @@ def test_mlp_predictions_deterministic(spark, sf_small):
     assert {r.split for r in acc} <= {"val", "test"}
 
 
+def test_parameter_count(spark, sf_small):
+    from quarterline.operators import datasets, models
+    from quarterline.plans.queries import YEAR_SPLITS, matrix_of
+
+    rows = datasets.row_dataset(datasets.split_by_year(matrix_of(spark, sf_small), YEAR_SPLITS))
+    model = models.fit_row_classifier(rows, max_iter=5)
+    assert models.parameter_count(model) == 13 * 16 + 16 + 16 * 8 + 8 + 8 * 2 + 2
+
+
 def test_sequence_predictions(spark, sf_small):
     rows = entry.queries()["sequence_predictions"](spark, sf_small).collect()
     assert len(rows) > 0 and {r.split for r in rows} <= {"val", "test"}

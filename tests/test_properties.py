@@ -37,6 +37,19 @@ def test_pt3_quarterly_growth_compounds_to_yearly(spark, sf_small):
     assert float(chk.select(F.max(F.abs("d"))).first()[0]) < 5e-3
 
 
+def test_pt4_consensus_growth_compounds_to_yearly(spark, sf_small):
+    from quarterline.operators.growth import consensus_growth
+    from quarterline.plans.queries import estimates_of
+
+    g = consensus_growth(estimates_of(spark, sf_small))
+    w = quarter_window()
+    step = 1 + F.col("qoq_eps") / 100
+    prod = step * F.lag(step, 1).over(w) * F.lag(step, 2).over(w) * F.lag(step, 3).over(w)
+    chk = g.select(((prod - 1) * 100 - F.col("yoy_eps")).alias("d"), F.col("yoy_eps")).where("d is not null")
+    rel = chk.select(F.max(F.abs("d") / F.greatest(F.lit(1), F.abs("yoy_eps")))).first()[0]
+    assert float(rel) < 5e-3
+
+
 def test_pt5_label_is_sign_of_surprise(spark, sf_small):
     m = matrix_of(spark, sf_small)
     bad = m.where("(eps_surprise > 0 and eps_status != 1.0) or (eps_surprise < 0 and eps_status != 0.0)")
