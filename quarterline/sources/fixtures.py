@@ -29,7 +29,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     like a catalog table, instead of on every query.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark._jsparkSession.hashCode(), path)
+    try:
+        session_id = spark._jsparkSession.hashCode()
+    except AttributeError:  # sessions without a JVM handle: key on the Python object
+        session_id = id(spark)
+    key = (session_id, path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
