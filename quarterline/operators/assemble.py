@@ -75,7 +75,10 @@ def features_all(statements: DataFrame, estimates: DataFrame, alignment: str = "
     comparison found no partner keep NULL status and surprise.
     """
     sf = statement_features(statements)
-    ef = estimate_features(estimates).withColumn("__matched", F.lit(True))
+    # One estimate row per key, as an UPDATE ... FROM applies one match per
+    # target row (duplicate keys appear when a load is appended twice).
+    ef = first_per_key(estimate_features(estimates), KEYS, ["consensus_eps", "qoq_eps", "yoy_eps"])
+    ef = ef.withColumn("__matched", F.lit(True))
     joined = sf.join(ef, KEYS, "left")
     if alignment == "key":
         matched = F.coalesce(F.col("__matched"), F.lit(False))

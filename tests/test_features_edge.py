@@ -68,3 +68,12 @@ def test_feature_matrix_estimate_keys(spark):
     est = estimates(spark, [estimate_row("AAA", "Q1 2020", 1.0)])
     m = feature_matrix(features_all(fs, est), est, keys_from="estimates").collect()
     assert sorted((r.ticker or "~", r.fiscal_period or "~") for r in m) == [("AAA", "Q1 2020"), ("~", "~")]
+
+
+def test_duplicate_estimate_load_does_not_multiply_rows(spark):
+    fs = statements(spark, [statement_row("AAA", "Q1 2020", eps=2.0), statement_row("AAA", "Q2 2020", eps=2.0)])
+    est_rows = [estimate_row("AAA", "Q1 2020", 1.0), estimate_row("AAA", "Q2 2020", 3.0)]
+    est = estimates(spark, est_rows + est_rows)          # the same load appended twice
+    feats = features_all(fs, est).collect()
+    assert len(feats) == 2
+    assert {r.fiscal_period: r.eps_status for r in feats} == {"Q1 2020": "beat", "Q2 2020": "miss"}
