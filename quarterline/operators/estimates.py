@@ -70,7 +70,9 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     ``min(struct(order..., rest...))`` is an ordinary aggregate: partial
     aggregation runs before the shuffle, so a key holding a third of all
     rows is reduced map-side instead of being sorted in one task.  Include
-    enough ``order`` columns to make the pick unique.
+    enough ``order`` columns to make the pick unique, and project ``df`` to
+    the columns you need first: every column is part of the struct, so
+    none can be pruned from the scan afterwards.
     """
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
@@ -118,6 +120,10 @@ def analyst_estimates(feed: DataFrame, window: tuple[str, str] = REFERENCE_WINDO
     hash-partitioned on the symbol once and both later windows reuse it.
     """
     filtered = estimate_filter(feed, window, universe)
+    # Only the columns that survive: the struct in the first-snapshot
+    # aggregate would otherwise keep every feed column alive in the scan.
+    needed = ["date", "act_symbol", "period_end_date", *tie_breakers, *ESTIMATE_RENAMES]
+    filtered = filtered.select(*dict.fromkeys(needed))
     firsts = first_snapshot(filtered, tie_breakers).repartition("act_symbol")
     numbered = quarter_number(firsts, "act_symbol", numbering)
     cols = [
