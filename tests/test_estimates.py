@@ -72,3 +72,13 @@ def test_first_per_key_hot_key(spark):
     df = spark.createDataFrame(rows, "k string, o int, v int")
     got = {r.k: (r.o, r.v) for r in first_per_key(df, ["k"], ["o", "v"]).collect()}
     assert got == {"hot": (0, 0), "cold": (5, 1)}
+
+
+def test_same_date_snapshots_tie_break(spark):
+    # Same snapshot date and period end: without other tie-breakers the lower consensus wins,
+    # whatever the input order, so reruns give the same table.
+    rows = [snap("2019-01-02", "AAA", "2019-03-31", 1.2), snap("2019-01-02", "AAA", "2019-03-31", 1.1)]
+    for ordered in (rows, rows[::-1]):
+        feed = spark.createDataFrame(ordered, FEED).repartition(2)
+        got = [r.consensus_eps for r in analyst_estimates(feed).collect()]
+        assert got == [Decimal("1.1000")]
