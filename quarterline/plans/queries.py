@@ -64,9 +64,16 @@ def feed_of(spark: SparkSession, d: str) -> DataFrame:
 
 
 def estimates_of(spark: SparkSession, d: str, **kw) -> DataFrame:
+    if not kw:
+        return _fixture_estimates(spark, d)
     return analyst_estimates(feed_of(spark, d), window=fx.FIXTURE_WINDOW, tie_breakers=fx.FIXTURE_TIE_BREAKERS, **kw)
 
 
+@fx.memoized
+def _fixture_estimates(spark: SparkSession, d: str) -> DataFrame:
+    return analyst_estimates(feed_of(spark, d), window=fx.FIXTURE_WINDOW, tie_breakers=fx.FIXTURE_TIE_BREAKERS)
+
+
 def features_of(spark: SparkSession, d: str, **kw) -> DataFrame:
     return assemble.features_all(statements_of(spark, d), estimates_of(spark, d), **kw)
 

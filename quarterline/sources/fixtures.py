@@ -10,6 +10,8 @@ oracle SQL also uses, so both sides see identical inputs.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,25 +20,43 @@ from pyspark.sql import functions as F
 from quarterline.functions.periods import quarter_label
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_HANDLES: dict[tuple[int, str, str], DataFrame] = {}
+
+
+def _session_id(spark: SparkSession) -> int:
+    try:
+        return spark._jsparkSession.hashCode()
+    except AttributeError:  # sessions without a JVM handle: key on the Python object
+        return id(spark)
+
+
+def memoized(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Reuse one lazy DataFrame per (session, input folder) for ``fn``.
+
+    The driver tables are immutable, so their scans and the fixture plans
+    derived from them are built once per session (like catalog views):
+    no data is cached, only the plan handle.
+    """
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (_session_id(spark), fn.__name__, sf_dir.rstrip("/"))
+        if key not in _HANDLES:
+            _HANDLES[key] = fn(spark, sf_dir)
+        return _HANDLES[key]
+
+    return wrapper
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table as a lazy parquet scan (pruned/pushed by Catalyst).
 
-    The driver tables are immutable inputs, so one DataFrame handle per
-    session and path is reused: files are listed and footers read once,
-    like a catalog table, instead of on every query.
+    One handle per session and path: files are listed and footers read once.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    try:
-        session_id = spark._jsparkSession.hashCode()
-    except AttributeError:  # sessions without a JVM handle: key on the Python object
-        session_id = id(spark)
-    key = (session_id, path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    key = (_session_id(spark), "table", path)
+    if key not in _HANDLES:
+        _HANDLES[key] = spark.read.parquet(path)
+    return _HANDLES[key]
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,6 +160,7 @@ STATEMENT_FORMULAS = {
 }
 
 
+@memoized
 def financial_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tidy statements: one row per (ticker, fiscal_period), DECIMAL(10,4).
 
@@ -154,6 +175,7 @@ def financial_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@memoized
 def estimate_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Analyst-estimate snapshot feed in the reference's column layout.
 
