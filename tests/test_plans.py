@@ -23,7 +23,7 @@ def shuffles(text: str) -> int:
 def test_feature_plan_shape(spark, sf_small):
     text = plan(features_of(spark, sf_small))
     assert "SinglePartition" not in text                   # nothing funnels through one task
-    assert shuffles(text) <= 5                             # 2 per input side + 1 ticker repartition
+    assert shuffles(text) <= 4                             # aggregate + ticker exchange per input side
     schemas = [line for line in text.splitlines() if line.startswith("ReadSchema: struct<l_")]
     assert schemas and all("l_partkey" not in s for s in schemas)      # column pruning at the scan
 
