@@ -17,12 +17,14 @@ block totals, whose count is the chosen block number.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterline.functions.periods import period_order
+from quarterline.session import shared_dir
 
 
 def _directed(cols: Sequence[str], ascending: bool | Sequence[bool]) -> list[Column]:
@@ -78,8 +80,20 @@ def eps_compare_key(statements: DataFrame, estimates: DataFrame) -> DataFrame:
     )
 
 
+def _materialized(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint, but computes the plan once
+    (a reliable RDD checkpoint recomputes it for the write unless cached).
+    """
+    path = shared_dir(df.sparkSession, "quarterline-materialized", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def eps_compare_position(statements: DataFrame, estimates: DataFrame, universe: DataFrame | None = None,
-                         list_pos: str = "list_pos", blocks: int | None = None) -> DataFrame:
+                         list_pos: str = "list_pos", blocks: int | None = None,
+                         materialize: bool = False) -> DataFrame:
     """Inner join of statements and estimates on load position.
 
     Statements load sorted by ticker, then period.  Estimates load in the
@@ -87,11 +101,18 @@ def eps_compare_position(statements: DataFrame, estimates: DataFrame, universe:
     without it, ticker order) and inside a ticker by period.  Output:
     position, ticker, fiscal_period, eps, est_ticker, est_fiscal_period,
     consensus_eps.
+
+    Positions read each input twice (per-ticker counts, then the rows).  When
+    an input is an expensive plan rather than a stored table, pass
+    ``materialize=True``: both narrow inputs (one row per ticker-quarter)
+    are written once to the shared checkpoint folder and read from there.
     """
     within = [*period_order("fiscal_period"), F.col("fiscal_period")]
-    s = sequential_position(statements.select("ticker", "fiscal_period", "eps"), "ticker", ["ticker"],
-                            within, blocks=blocks)
+    st = statements.select("ticker", "fiscal_period", "eps")
     e = estimates.select("ticker", "fiscal_period", "consensus_eps")
+    if materialize:
+        st, e = _materialized(st), _materialized(e)
+    s = sequential_position(st, "ticker", ["ticker"], within, blocks=blocks)
     e_order = ["ticker"]
     if universe is not None:
         e = e.join(universe.select("ticker", list_pos), "ticker")

@@ -65,7 +65,8 @@ def estimate_features(estimates: DataFrame) -> DataFrame:
 
 
 def features_all(statements: DataFrame, estimates: DataFrame, alignment: str = "key",
-                 universe: DataFrame | None = None, blocks: int | None = None) -> DataFrame:
+                 universe: DataFrame | None = None, blocks: int | None = None,
+                 materialize: bool = False) -> DataFrame:
     """The ``features`` table: keys, 13 features, eps_status, eps_surprise.
 
     ``alignment="key"`` (default) compares each quarter's actual EPS with
@@ -73,6 +74,7 @@ def features_all(statements: DataFrame, estimates: DataFrame, alignment: str = "
     load position as the reference does (see ``align``); ``universe``
     (ticker, list_pos) then gives the estimate load order.  Rows whose
     comparison found no partner keep NULL status and surprise.
+    ``materialize`` is passed to ``eps_compare_position``.
     """
     sf = statement_features(statements)
     # One estimate row per key, as an UPDATE ... FROM applies one match per
@@ -87,7 +89,7 @@ def features_all(statements: DataFrame, estimates: DataFrame, alignment: str = "
         return joined.select(*KEYS, *FEATURE_COLUMNS, status.alias("eps_status"), surprise.alias("eps_surprise"))
     if alignment != "position":
         raise ValueError(f"alignment must be 'key' or 'position', not {alignment!r}")
-    pairs = eps_compare_position(statements, estimates, universe, blocks=blocks).select(
+    pairs = eps_compare_position(statements, estimates, universe, blocks=blocks, materialize=materialize).select(
         *KEYS,
         beat_miss("eps", "consensus_eps").alias("eps_status"),
         to_store(pct_change("eps", "consensus_eps")).alias("eps_surprise"),

@@ -322,7 +322,9 @@ def q_eps_compare_key(spark, d):
 
 @query("eps_compare_position")
 def q_eps_compare_position(spark, d):
-    return eps_compare_position(statements_of(spark, d), estimates_of(spark, d), fx.universe(spark, d))
+    # Inputs are plans over line items here, so they are checkpointed once.
+    return eps_compare_position(statements_of(spark, d), estimates_of(spark, d), fx.universe(spark, d),
+                                materialize=True)
 
 
 @query("feature_matrix")
@@ -356,7 +358,7 @@ def q_features_all(spark, d):
 
 @query("features_position_aligned")
 def q_features_position_aligned(spark, d):
-    return features_of(spark, d, alignment="position", universe=fx.universe(spark, d))
+    return features_of(spark, d, alignment="position", universe=fx.universe(spark, d), materialize=True)
 
 
 # ---------------------------------------------------------------- 2.6 aggregations
