@@ -37,6 +37,14 @@ def test_load_and_feature_flow(spark, sf_small, inputs, buckets):
     assert got.count() == exp.count() == 280
     assert got.exceptAll(exp.select(*got.columns)).count() == 0
     assert spark.read.option("header", "true").csv(f"{tables}/findata_csv").count() == 280
+    if not buckets:
+        from quarterline.plans.flows import model_stage
+        from quarterline.plans.queries import TEST_START, VAL_START, YEAR_SPLITS
+
+        acc = model_stage(spark, tables, YEAR_SPLITS, VAL_START, TEST_START, max_iter=10).collect()
+        assert {(r.model, r.split) for r in acc} <= {(m, s) for m in ("row", "sequence") for s in ("val", "test")}
+        assert {r.model for r in acc} == {"row", "sequence"}
+        assert all(0.0 <= r.accuracy <= 100.0 and r.n > 0 for r in acc)
     if buckets:
         # Windows and join run on the bucket layout: no shuffle, even as a sort-merge join.
         old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -64,3 +64,9 @@ def test_seed_upsert(spark):
     got = {r.ticker: r.company_name for r in sinks.seed_upsert_new(existing, seed).collect()}
     assert got == {"AAA": "Alpha", "BBB": None}
     assert Decimal("1") == Decimal("1.0")
+
+
+def test_shared_dir_uses_session_checkpoint_dir(spark):
+    base = spark.sparkContext.getCheckpointDir()
+    path = shared_dir(spark, "x", "y")
+    assert base and path == base.rstrip("/") + "/x/y"
