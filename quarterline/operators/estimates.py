@@ -20,7 +20,7 @@ from quarterline.functions.periods import quarter_label
 REFERENCE_WINDOW = ("2018-12-31", "2025-01-31")
 CURRENT_QUARTER = "Current Quarter"
 
-# Feed column -> analyst_estimates column.
+# Feed column -> analyst_estimates column.
 ESTIMATE_RENAMES = {
     "act_symbol": "ticker",
     "count": "num_analysts",

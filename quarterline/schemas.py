@@ -84,7 +84,7 @@ FEATURES = T.StructType(
     + [T.StructField("eps_status", S), T.StructField("eps_surprise", D)]
 )
 
-# VARCHAR(n) bounds of the declared tables (column -> n).
+# VARCHAR(n) bounds of the declared tables (column -> n).
 VARCHAR_LIMITS = {
     "ticker": 10,
     "fiscal_period": 10,
