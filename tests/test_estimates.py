@@ -82,3 +82,21 @@ def test_same_date_snapshots_tie_break(spark):
         feed = spark.createDataFrame(ordered, FEED).repartition(2)
         got = [r.consensus_eps for r in analyst_estimates(feed).collect()]
         assert got == [Decimal("1.1000")]
+
+
+def test_csv_feed_scan(spark, tmp_path):
+    from quarterline.sources.wide import read_estimate_feed
+
+    csv = tmp_path / "eps_estimate.csv"
+    csv.write_text(
+        "date,act_symbol,period,period_end_date,consensus,recent,count,high,low,year_ago\n"
+        "2019-01-02,AAA,Current Quarter,2019-03-31,1.25,1.2,4,1.5,1.0,0.9\n"
+        "2019-01-09,AAA,Current Quarter,2019-03-31,1.30,1.3,5,1.6,1.1,0.9\n"
+        "2019-01-02,AAA,Next Quarter,2019-06-30,1.40,1.4,4,1.7,1.2,1.0\n"
+        "2019-04-01,AAA,Current Quarter,2019-06-30,1.45,1.4,6,1.8,1.3,1.0\n")
+    feed = read_estimate_feed(spark, str(csv))
+    assert dict(feed.dtypes)["period_end_date"] == "date" and dict(feed.dtypes)["count"] == "int"
+    rows = {r.fiscal_period: r for r in analyst_estimates(feed).collect()}
+    assert set(rows) == {"Q1 2019", "Q2 2019"}
+    assert (rows["Q1 2019"].consensus_eps, rows["Q1 2019"].num_analysts) == (Decimal("1.2500"), 4)
+    assert rows["Q2 2019"].consensus_eps == Decimal("1.4500")
