@@ -91,3 +91,15 @@ def test_statements_round_trip(spark, sf_small):
     expected = statements.with_capex(fx.financial_statements(spark, sf_small)).select(*FINANCIAL_STATEMENTS.fieldNames())
     assert built.count() == expected.count() == 280
     assert built.exceptAll(expected).count() == 0 and expected.exceptAll(built).count() == 0
+
+
+def test_read_wide_sheets_from_csv(spark, tmp_path):
+    (tmp_path / "AAA_PL.csv").write_text(",Q1 2020,Q2 2020\nRevenue,10.5,11\nNet Income,1,n/a\n")
+    (tmp_path / "BBB_PL.csv").write_text(",Q1 2020,Q2 2020\nRevenue,7,8.25\nNet Income,2,3\n")
+    long = read_wide_sheets(spark, str(tmp_path / "*_PL.csv"), fmt="csv", ticker_from="path")
+    got = {(r.ticker, r.Metrics, r.fiscal_period): r.value for r in long.collect()}
+    assert got[("AAA", "Revenue", "Q1 2020")] == Decimal("10.5000")
+    assert got[("BBB", "Revenue", "Q2 2020")] == Decimal("8.2500")
+    assert got[("AAA", "Net Income", "Q2 2020")] is None          # unparsable cell -> NULL
+    kept = {(r.ticker, r.Metrics) for r in reshape.dropna_any(long).collect()}
+    assert ("AAA", "Net Income") not in kept and ("BBB", "Net Income") in kept
