@@ -4,8 +4,9 @@ The reference builds ``features`` with one INSERT and fifteen full-table
 UPDATE ... FROM passes.  Here the statement features are one projection
 over one window (no join at all), the estimate features one window over
 the estimate table, and everything meets in a single left join on
-(ticker, fiscal_period): two exchanges on small per-quarter tables after
-the statement aggregate, regardless of how many features there are.
+(ticker, fiscal_period) that reuses both sides' ticker partitioning: one
+ticker exchange per input side after its aggregate, however many features
+there are (four shuffles for the whole table from the raw facts).
 """
 
 from __future__ import annotations
