@@ -87,7 +87,7 @@ def test_same_date_snapshots_tie_break(spark):
 def test_csv_feed_scan(spark, tmp_path):
     from quarterline.sources.wide import read_estimate_feed
 
-    csv = tmp_path / "eps_estimate.csv"
+    csv = tmp_path / "estimate_snapshots.csv"
     csv.write_text(
         "date,act_symbol,period,period_end_date,consensus,recent,count,high,low,year_ago\n"
         "2019-01-02,AAA,Current Quarter,2019-03-31,1.25,1.2,4,1.5,1.0,0.9\n"
