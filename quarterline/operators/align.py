@@ -59,14 +59,30 @@ def ticker_starts(df: DataFrame, ticker: str, ticker_order: Sequence[str],
     )
 
 
+def _materialized(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint, but computes the plan once
+    (a reliable RDD checkpoint recomputes it for the write unless cached).
+    """
+    path = shared_dir(df.sparkSession, "quarterline-materialized", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def sequential_position(df: DataFrame, ticker: str, ticker_order: Sequence[str],
                         within_order: Sequence[Column], ascending: bool | Sequence[bool] = True,
-                        name: str = "position", blocks: int | None = None) -> DataFrame:
+                        name: str = "position", blocks: int | None = None,
+                        materialize: bool = False) -> DataFrame:
     """Add a 1-based, gap-free global position in (ticker order, within order).
 
     Same numbers as ``row_number() OVER (ORDER BY ticker_order, within)``
     (the SERIAL id of an ordered load) without a single-partition window.
+    ``df`` is read twice (counts, rows); with ``materialize=True`` it is
+    written once to the shared checkpoint folder first (see ``_materialized``).
     """
+    if materialize:
+        df = _materialized(df)
     starts = ticker_starts(df, ticker, ticker_order, ascending, blocks)
     ranked = df.withColumn("__rn", F.row_number().over(Window.partitionBy(ticker).orderBy(*within_order)))
     return ranked.join(starts, ticker).withColumn(name, F.col("__start") + F.col("__rn")).drop("__start", "__rn")
@@ -80,17 +96,6 @@ def eps_compare_key(statements: DataFrame, estimates: DataFrame) -> DataFrame:
     )
 
 
-def _materialized(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as a table in the shared folder and read it back.
-
-    Cuts the lineage like a reliable checkpoint, but computes the plan once
-    (a reliable RDD checkpoint recomputes it for the write unless cached).
-    """
-    path = shared_dir(df.sparkSession, "quarterline-materialized", uuid.uuid4().hex)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def eps_compare_position(statements: DataFrame, estimates: DataFrame, universe: DataFrame | None = None,
                          list_pos: str = "list_pos", blocks: int | None = None,
                          materialize: bool = False) -> DataFrame:

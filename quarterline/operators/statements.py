@@ -107,7 +107,7 @@ def financial_statements(income: DataFrame, balance: DataFrame, cash: DataFrame)
     return out.select(*[c for c in FINANCIAL_STATEMENTS.fieldNames()])
 
 
-def ordered_statements(statements: DataFrame, name: str = "load_position") -> DataFrame:
+def ordered_statements(statements: DataFrame, name: str = "load_position", materialize: bool = False) -> DataFrame:
     """Statements with their load position: ticker, then year, quarter (O1).
 
     The reference sorts the whole frame before the insert so the SERIAL
@@ -115,7 +115,8 @@ def ordered_statements(statements: DataFrame, name: str = "load_position") -> Da
     an offset (no global sort), and callers sort only if they must.
     """
     return sequential_position(statements, "ticker", ["ticker"],
-                               [*period_order("fiscal_period"), F.col("fiscal_period")], name=name)
+                               [*period_order("fiscal_period"), F.col("fiscal_period")], name=name,
+                               materialize=materialize)
 
 
 def conform_statements(df: DataFrame) -> DataFrame:

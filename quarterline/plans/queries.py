@@ -435,7 +435,8 @@ def q_sequence_dataset(spark, d):
 # ---------------------------------------------------------------- 2.8 sorts
 @query("ordered_statements")
 def q_ordered_statements(spark, d):
-    return statements.ordered_statements(statements_of(spark, d)).select("ticker", "fiscal_period", "load_position")
+    keys = statements_of(spark, d).select("ticker", "fiscal_period")
+    return statements.ordered_statements(keys, materialize=True)
 
 
 # ---------------------------------------------------------------- 2.9 set operations
