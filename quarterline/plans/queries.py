@@ -82,18 +82,32 @@ def matrix_of(spark: SparkSession, d: str) -> DataFrame:
     return assemble.feature_matrix(features_of(spark, d))
 
 
-def sheet_of(spark: SparkSession, d: str, sheet: str, periods: list[str] | None = None) -> DataFrame:
-    """Scan of one wide sheet kind for all companies, in tidy long form."""
-    return reshape.scan_wide(fx.wide_sheet(spark, d, sheet, periods))
+def sheet_of(spark: SparkSession, d: str, sheet: str) -> DataFrame:
+    """Scan of one wide sheet kind for all companies, in tidy long form.
+
+    The sheets are fixtures over immutable tables, so their (lazy) plans
+    are built once per session and reused.
+    """
+    return reshape.scan_wide(_wide_sheets(spark, d)[sheet])
+
+
+_SHEET_CACHE: dict[tuple[int, str], dict[str, DataFrame]] = {}
+
+
+def _wide_sheets(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    key = (fx._session_id(spark), d.rstrip("/"))
+    if key not in _SHEET_CACHE:
+        periods = fx.fiscal_periods(spark, d)
+        _SHEET_CACHE[key] = {k: fx.wide_sheet(spark, d, k, periods) for k in fx.SHEETS}
+    return _SHEET_CACHE[key]
 
 
 def tidy_statements(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    periods = fx.fiscal_periods(spark, d)
-    derived = sheet_of(spark, d, "derived", periods)
+    derived = sheet_of(spark, d, "derived")
     return (
-        statements.income_statement(sheet_of(spark, d, "income", periods), derived),
-        statements.balance_statement(sheet_of(spark, d, "balance", periods), derived),
-        statements.cash_statement(sheet_of(spark, d, "cash", periods), derived),
+        statements.income_statement(sheet_of(spark, d, "income"), derived),
+        statements.balance_statement(sheet_of(spark, d, "balance"), derived),
+        statements.cash_statement(sheet_of(spark, d, "cash"), derived),
     )
 
 
@@ -227,9 +241,8 @@ def q_dropna_any(spark, d):
 
 @query("append_by_name")
 def q_append_by_name(spark, d):
-    periods = fx.fiscal_periods(spark, d)
-    picked = reshape.pick_metrics(sheet_of(spark, d, "derived", periods), statements.DERIVED_PICKS["income"])
-    return reshape.append_by_name(sheet_of(spark, d, "income", periods), picked.withColumn("sheet", F.lit("derived")))
+    picked = reshape.pick_metrics(sheet_of(spark, d, "derived"), statements.DERIVED_PICKS["income"])
+    return reshape.append_by_name(sheet_of(spark, d, "income"), picked.withColumn("sheet", F.lit("derived")))
 
 
 @query("transpose_income")
@@ -442,8 +455,7 @@ def q_ordered_statements(spark, d):
 # ---------------------------------------------------------------- 2.9 set operations
 @query("union_all_by_name")
 def q_union_all_by_name(spark, d):
-    periods = fx.fiscal_periods(spark, d)
-    frames = [sheet_of(spark, d, s, periods).withColumn("sheet", F.lit(s)) for s in ("income", "balance", "cash")]
+    frames = [sheet_of(spark, d, s).withColumn("sheet", F.lit(s)) for s in ("income", "balance", "cash")]
     return reshape.union_all_by_name(*frames)
 
 
