@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import minhash, packing
+from quarterline.llm import language, minhash, packing, quality
 from quarterline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def query(name: str):
     return add
 
 
+@query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), stratum=F.col("lang"))
+
+
 @query("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
@@ -31,3 +36,8 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_minhash")
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op10_language")
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/pages.parquet"))
