@@ -1,0 +1,139 @@
+"""Secret scan: fixed forms, and strings that read as random rather than as identifiers.
+
+Two character Markov models, one of random strings and one of ordinary identifiers, are counted from labelled
+samples; a string is a secret if its log-likelihood ratio is over a threshold. DataFrame functions only.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from quarterline.llm.common import staged
+
+#: kind, pattern, group whose length counts, least length. Matches are leftmost and do not overlap within a kind.
+#: A run that is too short for access or hex can't hold a longer one, so their patterns state the length.
+FORMS = [
+    ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
+    ("hex", r"[0-9a-f]{24,}", 0, 24),
+]
+RANDOM = "random"
+#: Strings of this alphabet and length are judged by the models.
+CANDIDATE = r"[A-Za-z0-9+/=_-]{16,}"
+#: Identifiers that the model of ordinary strings is counted from.
+ORDINARY = r"[A-Za-z0-9+/=_-]{8,}"
+#: At most about so many documents (chosen by a hash) give the labelled samples.
+FIT_DOCUMENTS = 50_000
+#: Nats by which a string must be likelier as random: odds of a million to one against an ordinary string.
+THRESHOLD = math.log(1e6)
+#: ASCII; 0 stands for the start and the end.
+ALPHABET = 128
+
+_SPANS = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
+
+
+def _matches(text: Column, kind: str, rank: int, pattern: str, group: int, least: int) -> Column:
+    """Spans of one kind in code points, from the texts between the matches and the matches themselves."""
+    parts = F.struct(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("whole"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"),
+        F.split(text, pattern, -1).alias("gaps"))
+    empty = F.array().cast(_SPANS)
+
+    def located(p: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            start = acc["at"] + F.length(F.get(p["gaps"], i))
+            end = start + F.length(F.get(p["whole"], i))
+            span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), F.get(p["value"], i).alias("value"))
+            return F.struct(end.alias("at"), F.when(F.length(F.get(p["value"], i)) >= least, F.concat(acc["out"], F.array(span).cast(_SPANS))).otherwise(acc["out"]).alias("out"))
+
+        return F.when(F.size(p["whole"]) == 0, empty).otherwise(F.aggregate(
+            F.sequence(F.lit(0), F.size(p["whole"]) - 1), F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"]))
+
+    return F.when(text.rlike(pattern), F.get(F.transform(F.array(parts), located), 0)).otherwise(empty)
+
+
+def with_forms(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``forms``: the spans of the fixed forms, by start and kind. A null text is empty."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.withColumn("forms", F.array_sort(F.concat(*[_matches(text, k, i, *rest) for i, (k, *rest) in enumerate(FORMS)])))
+
+
+def labelled_samples(scanned: DataFrame, text_col: str = "text") -> DataFrame:
+    """value, random: values of the fixed forms, and the identifiers of documents without any."""
+    random = scanned.select(F.explode("forms.value").alias("value"), F.lit(True).alias("random"))
+    ordinary = scanned.where(F.size("forms") == 0).select(
+        F.explode(F.regexp_extract_all(text_col, F.lit(ORDINARY), F.lit(0))).alias("value"), F.lit(False).alias("random"))
+    return random.unionByName(ordinary)
+
+
+def _codes(value: Column) -> Column:
+    return F.transform(F.split(value, ""), lambda c: F.least(F.ascii(c), F.lit(ALPHABET - 1)))
+
+
+def train(samples: DataFrame) -> list[float] | None:
+    """Log-likelihood ratios of the transitions a -> b at a * ALPHABET + b; None without samples of both kinds.
+
+    Counts are smoothed by a half in each possible cell. Only the (bounded) transition counts reach the driver.
+    """
+    steps = samples.where("value <> ''").select("random", F.explode(F.arrays_zip(
+        F.concat(F.array(F.lit(0)), _codes(F.col("value"))).alias("a"), F.concat(_codes(F.col("value")), F.array(F.lit(0))).alias("b"))).alias("s"))
+    counts = {True: {}, False: {}}
+    for r in steps.groupBy("random", F.col("s.a").alias("a"), F.col("s.b").alias("b")).count().collect():
+        counts[r["random"]][r["a"], r["b"]] = r["count"]
+    if not counts[True] or not counts[False]:
+        return None
+    cells = sorted({x for c in counts.values() for ab in c for x in ab})
+    out = [0.0] * ALPHABET**2
+    for a in range(ALPHABET):
+        totals = {k: sum(c.get((a, b), 0) + 0.5 for b in cells) for k, c in counts.items()}
+        for b in range(ALPHABET):
+            p, q = ((counts[k].get((a, b), 0) + 0.5) / totals[k] for k in (True, False))
+            out[a * ALPHABET + b] = math.log(p / q)
+    return out
+
+
+def ratio(value: Column, model: list[float]) -> Column:
+    """Log-likelihood ratio of a string, random against ordinary."""
+    table = F.split(F.lit(",".join(f"{x:.6g}" for x in model)), ",").cast("array<double>")
+    return F.aggregate(
+        F.concat(_codes(value), F.array(F.lit(0))), F.struct(F.lit(0).alias("a"), F.lit(0.0).alias("sum")),
+        lambda acc, b: F.struct(b.alias("a"), (acc["sum"] + F.get(table, acc["a"] * ALPHABET + b)).alias("sum")), lambda acc: acc["sum"])
+
+
+def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", fit_documents: int = FIT_DOCUMENTS, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with ``forms`` and ``spans`` (start, rank, end, kind, value; code points, end exclusive).
+
+    ``spans`` are the forms and, of kind random, the candidates that overlap none of them and whose ratio is over the
+    threshold. A null or empty text has none. The models come from this table's own labelled samples; without samples
+    of both kinds only the forms are found. Equal texts get equal spans; other columns are passed on.
+    """
+    scanned = with_forms(docs, text_col)
+    share = min(1.0, fit_documents / max(docs.count(), 1))
+    chosen = docs.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(1_000_000)) < round(share * 1_000_000)).select(text_col)
+    model = train(labelled_samples(staged(with_forms(chosen, text_col), "secrets-sample"), text_col))
+    if model is None:
+        return scanned.withColumn("spans", F.col("forms"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    found = _matches(text, RANDOM, len(FORMS), CANDIDATE, 0, 16)
+    extra = F.filter("candidates", lambda c: ~F.exists("forms", lambda f: (f["start"] < c["end"]) & (c["start"] < f["end"])) & (ratio(c["value"], model) > threshold))
+    return scanned.withColumn("candidates", found).withColumn("spans", F.array_sort(F.concat("forms", extra))).drop("candidates")
+
+
+def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
+    """The text with each stretch covered by spans (sorted by start) replaced by ``mark``."""
+    def step(acc: Column, s: Column) -> Column:
+        before = F.when(s["start"] >= acc["at"], F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(F.lit(""))
+        return F.struct(F.concat(acc["out"], before).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
+
+    done = F.aggregate(spans, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step,
+                       lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) == 0, text).otherwise(done)
+
+
+def listed(spans: Column) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
