@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import language, minhash, packing, quality, secrets
+from quarterline.llm import language, minhash, packing, quality, secrets, suffix_tree
 from quarterline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def query(name: str):
     return add
 
 
+@query("op1_suffix_tree")
+def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
 @query("op2_quality")
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), stratum=F.col("lang"))
