@@ -18,47 +18,42 @@ from pyspark.sql import functions as F
 
 from quarterline.llm.common import record_batch, sliced, staged
 
-#: Encoded words kept per Python worker; beyond, the memory is begun anew (only speed depends on it).
-CACHE_WORDS = 400_000
-
-
 class Encoder:
-    """Token ids of whole texts as little-endian bytes, with the words met before remembered.
+    """Token ids of whole texts as little-endian bytes, as the tokenizer of ``path`` gives them.
 
-    A single space before a non-space always begins a new pre-token of a byte-level BPE, so a text may be encoded
-    in parts cut there. Texts with other runs of spaces are encoded whole.
+    A byte-level BPE is run by a faster library from the same file's vocabulary; in every slice some text is encoded
+    both ways, and should the ids ever differ, or a text hold a special token's string, the tokenizer itself is used.
     """
 
     def __init__(self, path: str):
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.end = np.zeros(1, self.dtype).tobytes()
-        self.known: dict[str, bytes] = {}
-        specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain = lambda t: not any(s in t for s in specials)
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.fast = None
+        if "ByteLevel(add_prefix_space=False" in str(self.tokenizer.pre_tokenizer) and self.tokenizer.normalizer is None:
+            # printable characters stand for themselves, the other bytes for characters from 256 on
+            plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+            byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in plain)}
+            ranks = {bytes(byte[c] for c in k): v for k, v in self.tokenizer.get_vocab(with_added_tokens=False).items() if k not in self.specials}
+            self.fast = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _slow(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _quick(self, text: str) -> bytes:
+        if self.fast is None or any(s in text for s in self.specials):
+            return self._slow(text)
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype(self.dtype).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts: list[list[str] | None] = []
-        whole: list[str] = []
-        for t in texts:
-            p = t.split(" ")
-            # an empty part or one that begins with white space: a run of spaces
-            if self.plain(t) and all(x and not x[0].isspace() for x in p[1:]):
-                parts.append([p[0], *[" " + x for x in p[1:]]])
-            else:
-                parts.append(None)
-                whole.append(t)
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = list({x for p in parts if p for x in p} - self.known.keys())
-        self.known.update(zip(new, self._ids(new)))
-        rest = iter(self._ids(whole))
-        return [(b"".join(map(self.known.__getitem__, p)) if p is not None else next(rest)) + self.end for p in parts]
+        sample = sorted(texts, key=len)[len(texts) // 2] if texts else ""
+        use = self._quick if self._quick(sample) == self._slow(sample) else self._slow
+        return [use(t) + self.end for t in texts]
 
 
 def encoded(docs: DataFrame, tokenizer: str, id_col: str, text_col: str) -> DataFrame:
