@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import language, minhash, packing, quality, secrets, suffix_tree
+from quarterline.llm import language, licenses, minhash, packing, quality, secrets, spotsigs, suffix_tree
 from quarterline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,20 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.listed(F.col("spans")).alias("spans"))
 
 
+@query("op8_licenses")
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", F.size("found").cast("long").alias("n_matches"), F.array_join(F.array_sort(F.array_distinct("found.license")), ",").alias("licenses"),
+        F.array_max("found.containment").alias("best_containment"),
+        F.array_join(F.transform("found", lambda m: F.concat_ws(":", m["license"], m["first_word"].cast("string"), m["end_word"].cast("string"))), ",").alias("matches"))
+
+
+@query("op9_spotsigs")
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.with_edits(documents(spark, sf_dir))
+
+
 @query("op10_language")
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/pages.parquet"))
