@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 from quarterline.llm.common import mix, sliced
 
 BLANK = "▁"
-#: Stands for a BLANK that is in the text itself; no valid text holds it.
-OWN_BLANK = "\ud800"
 SLICE_BYTES = 6 << 20
 
 
@@ -62,9 +60,10 @@ class Pieces:
         self.end_id, self.end_weight = np.array(self.end_id), np.array(self.end_weight)
         self.steps, self.next = pd.Index(np.fromiter(steps.keys(), np.int64, len(steps))), np.fromiter(steps.values(), np.int64, len(steps))
 
-    def words(self, text: str) -> list[str]:
-        """The parts of the text, each to be read with a BLANK before it; no piece reaches over their edges."""
-        text = text.replace(BLANK, OWN_BLANK)
+    def words(self, text: str, own_blank: str) -> list[str]:
+        """The parts of the text, each to be read with a BLANK before it; no piece reaches over their edges.
+        ``own_blank`` stands for a BLANK that is in the text itself."""
+        text = text.replace(BLANK, own_blank)
         parts = text.split(" ")
         if not self.apart:
             return [text.replace(" ", BLANK)]
@@ -73,17 +72,25 @@ class Pieces:
         return parts
 
     def lattice(self, spelled: list[str]) -> tuple[np.ndarray, ...]:
-        """Edges of all words' lattices by their end: start, piece, key; and where each word's first and last place is.
-
-        Places are numbered through all words. An edge's key is its end plus the share, of the paths to that end, of
-        the edges up to it.
-        """
-        code = np.frombuffer((BLANK + BLANK.join(spelled)).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        """Edges of all words' lattices by their end: start, piece, and the share, of the paths to that end, of the
+        end's edges up to this one; where each place's edges begin; and each word's first and last place."""
+        code = np.frombuffer((BLANK + BLANK.join(spelled)).encode("utf-32-le"), np.uint32).astype(np.int64)
         length = np.array([len(w) + 1 for w in spelled])
-        first = np.cumsum(length) - length  # of the word's characters; its places begin a word's number later
-        word = np.repeat(np.arange(len(spelled)), length)
+        first = np.cumsum(length) - length
+        word = np.repeat(np.arange(len(spelled), dtype=np.int32), length)
         left = np.repeat(first + length, length) - np.arange(len(code))  # characters to the word's end
-        begin = np.arange(len(code))
+        # places are numbered by their distance from the word's begin, so that one order serves both passes
+        rank = np.empty(len(spelled), np.int32)
+        rank[np.argsort(-length, kind="stable")] = np.arange(len(spelled))
+        at_depth = np.concatenate((np.cumsum(np.bincount(length)[::-1])[::-1], [0]))  # words of this length or more
+        offset = np.concatenate(([0], np.cumsum(at_depth))).astype(np.int32)
+        depth = (np.arange(len(code)) - first[word]).astype(np.int32)
+        place = offset[depth] + rank[word]
+        begin = np.argsort(place, kind="stable")
+
+        def reached(at: np.ndarray, size: int) -> np.ndarray:
+            return offset[depth[at] + size] + rank[word[at]]
+
         starts, ends, ids, weights = [], [], [], []
         state, at, size = np.zeros(len(code), np.int64), begin, 0
         while len(at):
@@ -92,51 +99,51 @@ class Pieces:
             hit = i >= 0
             at, state = at[hit], self.next[i[hit]]
             full = self.end_id[state] >= 0
-            starts.append(at[full])
-            ends.append(at[full] + size)
+            starts.append(place[at[full]])
+            ends.append(reached(at[full], size))
             ids.append(self.end_id[state[full]])
             weights.append(self.end_weight[state[full]])
             more = left[at] > size
             at, state = at[more], state[more]
             if size == 1:  # characters without a piece of their own: bytes
                 bare = np.ones(len(code), bool)
-                bare[starts[0]] = False
-                bare = np.flatnonzero(bare)
+                bare[np.searchsorted(place[begin], starts[0])] = False
+                bare = begin[bare]
                 c = code[bare]
-                starts.append(bare)
-                ends.append(bare + 1)
+                starts.append(place[bare])
+                ends.append(reached(bare, 1))
                 ids.append(-1 - c)
                 weights.append(self.rare * (1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)))
         start, end, piece, weight = (np.concatenate(x) for x in (starts, ends, ids, weights))
-        of = word[start]
-        start, end = start + of, end + of  # as places
-        order = np.lexsort((end, end - first[of] - of))  # by the distance of the end from the word's begin
-        start, end, piece, weight, depth = start[order], end[order], piece[order], weight[order], (end - first[of] - of)[order]
-        forward = np.zeros(len(code) + len(spelled))
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(depth)) + 1, [len(depth)]))
-        share = np.empty(len(start))
-        for lo, hi in zip(cuts, cuts[1:]):
-            path = forward[start[lo:hi]] + weight[lo:hi]
-            e = end[lo:hi]
-            group = np.concatenate(([0], np.flatnonzero(np.diff(e)) + 1))
-            total = np.logaddexp.reduceat(path, group)
-            forward[e[group]] = total
-            share[lo:hi] = np.exp(path - np.repeat(total, np.diff(np.append(group, hi - lo))))
         order = np.argsort(end, kind="stable")
-        start, end, piece, share = start[order], end[order], piece[order], share[order]
+        start, end, piece, weight = start[order], end[order], piece[order], weight[order]
+        group = np.concatenate(([0], np.flatnonzero(np.diff(end)) + 1))  # where each end's edges begin
+        edges_of = np.diff(np.append(group, len(end)))
+        lo = np.zeros(offset[-1] + 1, np.int64)
+        lo[end[group]] = group
+        forward = np.zeros(offset[-1] + 1)
+        cuts = np.searchsorted(end, offset[1:])
+        cuts = cuts[: np.searchsorted(cuts, len(end)) + 1]
+        which = np.searchsorted(group, cuts)
+        path = np.empty(len(start))
+        for i, j, g, h in zip(cuts, cuts[1:], which, which[1:]):
+            path[i:j] = forward[start[i:j]] + weight[i:j]
+            forward[end[group[g:h]]] = np.logaddexp.reduceat(path[i:j], group[g:h] - i)
+        share = np.exp(path - forward[end])
         sums = np.cumsum(share)
-        group = np.concatenate(([0], np.flatnonzero(np.diff(end)) + 1))
-        before = np.repeat(sums[group] - share[group], np.diff(np.append(group, len(end))))
-        within = np.clip(sums - before, 0, 1)
-        within[np.append(group[1:], len(end)) - 1] = 1.0  # the last of each end takes what rounding leaves
-        return start, piece, end + within, first + np.arange(len(spelled)), first + np.arange(len(spelled)) + length
+        up_to = sums - np.repeat(sums[group] - share[group], edges_of)
+        up_to[group + edges_of - 1] = 2.0  # the last of each end takes what rounding leaves
+        return start, piece, up_to, lo, rank, offset[length] + rank
 
     def sample(self, keys: list, texts: list[str], seed: int = 0) -> list[np.ndarray]:
         """Piece ids of one sampled segmentation of each text; an empty text has the blank's."""
-        split = [self.words(t) for t in texts]
+        own_blank = BLANK
+        if any(BLANK in t for t in texts):  # a character that no text holds
+            own_blank = next(c for c in map(chr, range(0x10FFFF, 0xE000, -1)) if not any(c in t for t in texts))
+        split = [self.words(t, own_blank) for t in texts]
         count = np.array([len(w) for w in split])
         codes, spelled = pd.factorize(np.array([w for ws in split for w in ws], object))
-        start, piece, key, low, high = self.lattice(list(spelled))
+        start, piece, up_to, begin, low, high = self.lattice(list(spelled))
         number = np.arange(len(codes)) - np.repeat(np.cumsum(count) - count, count)
         rows = np.array([xxhash.xxh64_intdigest(repr(k), seed=seed) for k in keys], np.uint64)
         state = mix(np.repeat(rows, count) + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -145,7 +152,11 @@ class Pieces:
         step = 0
         while len(live):
             u = (mix(state[live] + np.uint64(step * 0xD1B54A32D192ED03 & (1 << 64) - 1)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
-            e = np.searchsorted(key, place + u, "right")
+            e = begin[place]
+            on = np.flatnonzero(up_to[e] <= u)
+            while len(on):
+                e[on] += 1
+                on = on[up_to[e[on]] <= u[on]]
             taken.append(piece[e])
             whose.append(live)
             place = start[e]
@@ -158,9 +169,9 @@ class Pieces:
         for k, (t, w) in enumerate(zip(taken, whose)):
             out[after[w] - 1 - k] = t
         edges = after[np.cumsum(count) - 1]
-        return [self._spelled(out[a:b]) for a, b in zip(np.concatenate(([0], edges)), edges)]
+        return [self._spelled(out[a:b], own_blank) for a, b in zip(np.concatenate(([0], edges)), edges)]
 
-    def _spelled(self, edges: np.ndarray) -> np.ndarray:
+    def _spelled(self, edges: np.ndarray, own_blank: str) -> np.ndarray:
         bare = edges < 0
         if not bare.any():
             return edges
@@ -168,7 +179,7 @@ class Pieces:
         edges = np.where(plain, self.byte[np.where(plain, -1 - edges, 0)], edges)
         if not (edges < 0).any():
             return edges
-        parts = [[e] if e >= 0 else self.byte[list((BLANK if chr(-1 - e) == OWN_BLANK else chr(-1 - e)).encode())] for e in edges]
+        parts = [[e] if e >= 0 else self.byte[list((BLANK if chr(-1 - e) == own_blank else chr(-1 - e)).encode())] for e in edges]
         return np.concatenate(parts)
 
     def decode(self, ids: np.ndarray) -> str:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import language, licenses, minhash, packing, quality, secrets, spotsigs, suffix_tree
+from quarterline.llm import language, licenses, minhash, packing, pieces, quality, secret_scan, spotsigs, suffix_tree
 from quarterline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,16 +43,21 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
+@query("op6_pieces")
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model")).drop("ids")
+
+
 @query("op7_secrets")
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    found = secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))
 
     def count(kind: str):
         return F.size(F.filter("forms", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return found.select(
-        "doc_id", *[count(kind) for kind, *_ in secrets.FORMS], F.sha2(secrets.listed(F.col("forms")), 256).alias("base_sha256"),
-        secrets.listed(F.col("spans")).alias("spans"))
+        "doc_id", *[count(kind) for kind, *_ in secret_scan.FORMS], F.sha2(secret_scan.listed(F.col("forms")), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"))
 
 
 @query("op8_licenses")
