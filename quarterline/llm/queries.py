@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import language, licenses, minhash, packing, pieces, quality, secret_scan, spotsigs, suffix_tree
+from quarterline.llm import language, licenses, minhash, packing, pieces, quality, secret_scan, spotsigs, suffix_tree, warc
 from quarterline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,14 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), stratum=F.col("lang"))
 
 
+@query("op3_revisits")
+def op3_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = warc.captures(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    entries = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return warc.with_bodies(warc.resolve(log), log).select(
+        "record_id", "address", "captured", "response_id", "verdict", F.array_join(entries, ";").alias("headers"), F.sha2("body", 256).alias("body_sha256"))
+
+
 @query("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
@@ -77,3 +85,36 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_language")
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+ORACLES["op3_revisits"] = r"""
+WITH shaped AS (
+  SELECT page_id p, html, url,
+    regexp_replace(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^.*@', ''), '^www\.|:(80|443)$', '', 'g') AS host,
+    regexp_replace(regexp_extract(url, '^[^:]*://[^/?#]*([^?#]*)', 1), '/+$', '') AS path,
+    list_sort(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'),
+      lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|gclid|fbclid|ref)(=|$)'))) AS query,
+    '"' || substr(md5(html), 1, 16) || '"' AS tag, 'day ' || CAST(page_id // 1440 AS VARCHAR) AS modified
+  FROM pages),
+addressed AS (
+  SELECT *, CASE WHEN host <> '' THEN host || path || '?' || array_to_string(query, '&') END AS address FROM shaped),
+responses AS (
+  SELECT 2 * p AS response_id, address, 60 * p AS at, tag, modified, html FROM addressed WHERE html IS NOT NULL),
+revisits AS (
+  SELECT 2 * p + 1 AS record_id, address, 60 * p + 86400 * (1 + p % 30) AS captured, modified,
+    CASE WHEN p % 11 = 0 THEN '"other"' WHEN p % 7 = 0 THEN NULL WHEN p % 3 = 0 THEN 'W/' || tag ELSE tag END AS sent
+  FROM addressed),
+ranked AS (
+  SELECT v.*, r.response_id, r.tag, r.modified AS r_modified, r.html, r.at,
+    row_number() OVER (PARTITION BY v.record_id ORDER BY r.at DESC, r.response_id DESC) AS n
+  FROM revisits v LEFT JOIN responses r ON r.address = v.address AND r.at < v.captured),
+judged AS (
+  SELECT *, CASE WHEN response_id IS NULL THEN 'unmatched'
+    WHEN sent IS NOT NULL AND tag IS NOT NULL THEN CASE WHEN regexp_replace(sent, '^W/', '') = tag THEN 'resolved' ELSE 'changed' END
+    WHEN modified = r_modified THEN 'resolved' ELSE 'changed' END AS verdict
+  FROM ranked WHERE n = 1)
+SELECT record_id, address, captured, response_id, verdict,
+  CASE WHEN verdict = 'resolved' THEN 'content-type=text/html;date=' || captured || ';etag=' || coalesce(sent, tag) || ';last-modified=' || r_modified END AS headers,
+  CASE WHEN verdict = 'resolved' THEN sha256(html) END AS body_sha256
+FROM judged
+"""
