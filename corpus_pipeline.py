@@ -1,7 +1,7 @@
 """Clean a corpus: language, quality, near-duplicates, secrets, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each stage's rows to the shared folder
-and hands the next stage what it reads from there.
+and hands the next stage what it reads from there. All stages but the last return the columns of their input.
 """
 
 from __future__ import annotations
@@ -10,14 +10,51 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import minhash, packing
-from quarterline.llm.common import documents, staged
+from quarterline.llm import language, minhash, packing, quality, secret_scan
+from quarterline.llm.common import documents, staged, with_ids
+
+
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is kept; rows without an id are kept if a row without one is."""
+    ids = staged(kept.select("doc_id").distinct(), "pipeline-kept")
+    some = with_ids(docs, ids.where("doc_id is not null"), "doc_id").select(docs.columns)
+    return some.unionByName(docs.where("doc_id is null")) if not ids.where("doc_id is null").isEmpty() else some
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the evidence does not tell go."""
+    return _only(docs, language.identify(docs, spark.read.parquet(f"{sf_dir}/pages.parquet")).where("kept"))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that break a rule at its risk-controlled cutoff go, and those mostly of repeated words or without any.
+
+    Shortness alone is no fault here: short documents are among the good labelled ones.
+    """
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _only(docs, quality.judged(docs, labels, stratum=F.col("lang"), min_words=1).where("kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id."""
-    kept = minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return _only(docs, minhash.near_duplicates(docs).where("kept"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the texts; n_chars follows."""
+    row = F.struct(*docs.columns).alias("row")  # other columns may have any names
+    found = secret_scan.scan(docs.select("doc_id", "text", row))
+    found = found.withColumn("masked", secret_scan.redacted(F.col("text"), F.col("spans")))
+    clean = F.size("spans") == 0
+
+    def column(name: str, kind: str):
+        if name == "text":
+            return F.when(clean, F.col("row.text")).otherwise(F.col("masked")).alias(name)
+        if name == "n_chars":
+            return F.when(clean, F.col("row.n_chars")).otherwise(F.length("masked").cast(kind)).alias(name)
+        return F.col(f"row.`{name}`").alias(name)
+
+    return found.select(*[column(*c) for c in docs.dtypes])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,9 +62,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("near_dedup", near_dedup), ("packing", pack)]
+STAGES = [("language_id", language_id), ("quality_rules", quality_rules), ("near_dedup", near_dedup), ("secret_scans", secret_scans), ("packing", pack)]
 
-#: Learned models and minhash are not SQL; the stages are tested against brute force.
+#: Learned models and MinHash are not SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 

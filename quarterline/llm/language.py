@@ -33,7 +33,7 @@ def _trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the byte trigrams (BUCKETS: none, at a text's end) and where each text's begin."""
     buf = _LOWER[np.frombuffer(b"".join(t + b"\n\n\n" for t in texts), np.uint8)].astype(np.uint32)
     code = np.full(len(buf), BUCKETS, np.int64)
-    code[:-2] = ((buf[:-2] * 0x9E3779B1 + buf[1:-1] * 0x85EBCA77 + buf[2:] * 0xC2B2AE3D) >> 13) % BUCKETS
+    code[:-2] = ((buf[:-2] << 16 | buf[1:-1] << 8 | buf[2:]) * np.uint32(0x9E3779B1) >> np.uint32(8)) % BUCKETS
     first = np.concatenate(([0], np.cumsum([len(t) + 3 for t in texts])))
     for k in (1, 2, 3, 4, 5):  # trigrams that reach over the end; those of texts of one or two bytes too
         at = first[1:] - k
@@ -71,9 +71,10 @@ def fit(evidence: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[list[str], np.nd
     counts = np.zeros((len(langs), BUCKETS + 1))
     if langs:
         counts[np.searchsorted(langs, rows["lang"]), rows["bucket"]] = rows["n"]
-    counts[:, :BUCKETS] += 0.5
+    seen = counts.sum(axis=0) > 0
+    counts[:, seen] += 0.5
     logs = np.log(counts.clip(1e-300) / counts.sum(axis=1, keepdims=True).clip(1e-300))
-    logs[:, BUCKETS] = 0
+    logs[:, ~seen] = 0  # a trigram that no language has says nothing
     return langs, logs.astype(np.float32)
 
 
@@ -109,8 +110,8 @@ def identify(docs: DataFrame, pages: DataFrame | None = None, declared: str = "l
 
     A page's markup language goes before the declared one. Returns doc_id, language, confidence, text_language,
     declared, and kept: the posterior of the best language is ``least_confidence`` or more and there is a text.
-    Missing evidence says nothing. Null and empty texts and those of one or two bytes have no text evidence and are
-    rejected; ties go to the alphabetically first language. Without any declared language nothing can be told:
+    Missing evidence says nothing. Null and empty texts, those of one or two bytes and those without any known trigram
+    have no text evidence and are rejected; ties go to the alphabetically first language. Without any declared language nothing can be told:
     language null, nothing kept. Repeated rows are judged alike; a null doc_id has no page.
     """
     evidence = docs.select("doc_id", "text", primary(F.col(declared)).alias("declared"), F.col(site).alias("site"))
@@ -126,7 +127,7 @@ def identify(docs: DataFrame, pages: DataFrame | None = None, declared: str = "l
         for b in sliced(batches, "text", 1 << 20):
             code, first = _trigrams(utf8(b.column("text")))
             sums = np.stack([np.add.reduceat(x[code].astype(np.float64), first) for x in shared.value], axis=1)
-            grams = np.add.reduceat((code < BUCKETS).astype(np.int64), first)
+            grams = np.add.reduceat(shared.value[0][code] != 0, first, dtype=np.int64)
             best = np.where(grams > 0, sums.argmax(axis=1), -1)
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in fields), pa.array(list(sums), pa.list_(pa.float64())), pa.array(best, pa.int32())],

@@ -142,8 +142,9 @@ class Pieces:
             own_blank = next(c for c in map(chr, range(0x10FFFF, 0xE000, -1)) if not any(c in t for t in texts))
         split = [self.words(t, own_blank) for t in texts]
         count = np.array([len(w) for w in split])
-        codes, spelled = pd.factorize(np.array([w for ws in split for w in ws], object))
-        start, piece, up_to, begin, low, high = self.lattice(list(spelled))
+        found = pa.array([w for ws in split for w in ws], pa.string()).dictionary_encode()
+        codes, spelled = found.indices.to_numpy(), found.dictionary.to_pylist()
+        start, piece, up_to, begin, low, high = self.lattice(spelled)
         number = np.arange(len(codes)) - np.repeat(np.cumsum(count) - count, count)
         rows = np.array([xxhash.xxh64_intdigest(repr(k), seed=seed) for k in keys], np.uint64)
         state = mix(np.repeat(rows, count) + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))

@@ -29,6 +29,8 @@ ORDINARY = r"[A-Za-z0-9+/=_-]{8,}"
 FIT_DOCUMENTS = 50_000
 #: Nats by which a string must be likelier as random: odds of a million to one against an ordinary string.
 THRESHOLD = math.log(1e6)
+#: Observations that a symbol's own frequency counts for beside the transitions seen.
+SMOOTHING = 10.0
 #: ASCII; 0 stands for the start and the end.
 ALPHABET = 128
 
@@ -77,7 +79,8 @@ def _codes(value: Column) -> Column:
 def train(samples: DataFrame) -> list[float] | None:
     """Log-likelihood ratios of the transitions a -> b at a * ALPHABET + b; None without samples of both kinds.
 
-    Counts are smoothed by a half in each possible cell. Only the (bounded) transition counts reach the driver.
+    Transitions are smoothed towards their target's own frequency as by SMOOTHING observations, and that by a half in
+    each cell. Only the (bounded) transition counts reach the driver.
     """
     steps = samples.where("value <> ''").select("random", F.explode(F.arrays_zip(
         F.concat(F.array(F.lit(0)), _codes(F.col("value"))).alias("a"), F.concat(_codes(F.col("value")), F.array(F.lit(0))).alias("b"))).alias("s"))
@@ -86,13 +89,15 @@ def train(samples: DataFrame) -> list[float] | None:
         counts[r["random"]][r["a"], r["b"]] = r["count"]
     if not counts[True] or not counts[False]:
         return None
-    cells = sorted({x for c in counts.values() for ab in c for x in ab})
+    symbols = range(ALPHABET)
     out = [0.0] * ALPHABET**2
-    for a in range(ALPHABET):
-        totals = {k: sum(c.get((a, b), 0) + 0.5 for b in cells) for k, c in counts.items()}
-        for b in range(ALPHABET):
-            p, q = ((counts[k].get((a, b), 0) + 0.5) / totals[k] for k in (True, False))
-            out[a * ALPHABET + b] = math.log(p / q)
+    for sign, c in ((1, counts[True]), (-1, counts[False])):
+        target = [sum(c.get((a, b), 0) for a in symbols) + 0.5 for b in symbols]
+        whole = sum(target)
+        for a in symbols:
+            row = sum(c.get((a, b), 0) for b in symbols)
+            for b in symbols:
+                out[a * ALPHABET + b] += sign * math.log((c.get((a, b), 0) + SMOOTHING * target[b] / whole) / (row + SMOOTHING))
     return out
 
 
@@ -104,22 +109,32 @@ def ratio(value: Column, model: list[float]) -> Column:
         lambda acc, b: F.struct(b.alias("a"), (acc["sum"] + F.get(table, acc["a"] * ALPHABET + b)).alias("sum")), lambda acc: acc["sum"])
 
 
+def _fold(text_col: str) -> Column:
+    return F.pmod(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.lit(2))
+
+
 def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", fit_documents: int = FIT_DOCUMENTS, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``forms`` and ``spans`` (start, rank, end, kind, value; code points, end exclusive).
 
     ``spans`` are the forms and, of kind random, the candidates that overlap none of them and whose ratio is over the
-    threshold. A null or empty text has none. The models come from this table's own labelled samples; without samples
-    of both kinds only the forms are found. Equal texts get equal spans; other columns are passed on.
+    threshold. A null or empty text has none. The models come from this table's own labelled samples, in two halves by
+    a hash of the text: each half is judged by the other's models, so that no string testifies for itself. Where a
+    half lacks samples of a kind, the other keeps its forms alone. Equal texts get equal spans; other columns are
+    passed on, unless they are named forms, spans or candidates.
     """
     scanned = with_forms(docs, text_col)
     share = min(1.0, fit_documents / max(docs.count(), 1))
-    chosen = docs.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(1_000_000)) < round(share * 1_000_000)).select(text_col)
-    model = train(labelled_samples(staged(with_forms(chosen, text_col), "secrets-sample"), text_col))
-    if model is None:
-        return scanned.withColumn("spans", F.col("forms"))
+    chosen = docs.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(1_000_000)) < round(share * 1_000_000)).select(F.col(text_col).alias("text"))
+    sample = staged(with_forms(chosen), "secrets-sample")
+    models = [train(labelled_samples(sample.where(_fold("text") != k))) for k in (0, 1)]
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = _matches(text, RANDOM, len(FORMS), CANDIDATE, 0, 16)
-    extra = F.filter("candidates", lambda c: ~F.exists("forms", lambda f: (f["start"] < c["end"]) & (c["start"] < f["end"])) & (ratio(c["value"], model) > threshold))
+
+    def likely(value: Column) -> Column:
+        over = [F.lit(False) if m is None else ratio(value, m) > threshold for m in models]
+        return F.when(_fold(text_col) == 0, over[0]).otherwise(over[1])
+
+    extra = F.filter("candidates", lambda c: ~F.exists("forms", lambda f: (f["start"] < c["end"]) & (c["start"] < f["end"])) & likely(c["value"]))
     return scanned.withColumn("candidates", found).withColumn("spans", F.array_sort(F.concat("forms", extra))).drop("candidates")
 
 
