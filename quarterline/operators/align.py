@@ -7,8 +7,8 @@ the i-th statement row with the i-th estimate row whatever their tickers.
 
 Global load positions are computed without a global sort of the fact:
   1. rows per ticker (aggregate, one row per ticker);
-  2. range-partition that per-ticker table by the ticker order into a
-     fixed number of blocks, prefix-sum inside each block (window per
+  2. range-partition that per-ticker table by the ticker order into
+     blocks, write it, then prefix-sum inside each block (window per
      block) and across block totals (one row per block, broadcast);
   3. ``row_number`` inside each ticker + the ticker's start offset.
 Every step is partitioned; nothing is ordered in a single task except the
@@ -24,73 +24,81 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterline.functions.periods import period_order
+from quarterline.operators.estimates import first_per_key
 from quarterline.session import shared_dir
 
 
-def _directed(cols: Sequence[str], ascending: bool | Sequence[bool]) -> list[Column]:
-    flags = [ascending] * len(cols) if isinstance(ascending, bool) else list(ascending)
-    return [F.col(c).asc() if a else F.col(c).desc() for c, a in zip(cols, flags, strict=True)]
+#: Tickers per block of the prefix sum.
+BLOCK_TICKERS = 50_000
+
+
+def _materialized(df: DataFrame, work_dir: str | None = None) -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint, but computes the plan once.
+    ``work_dir``: a folder of the caller's, who removes it when done.
+    """
+    spark = df.sparkSession
+    path = f"{work_dir or shared_dir(spark, 'quarterline-materialized')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ticker_starts(df: DataFrame, ticker: str, ticker_order: Sequence[str],
-                  ascending: bool | Sequence[bool] = True, blocks: int | None = None) -> DataFrame:
-    """(ticker, __start): rows of all tickers before this one in ``ticker_order``.
+                  ascending: bool | Sequence[bool] = True, blocks: int | None = None,
+                  work_dir: str | None = None) -> DataFrame:
+    """(ticker, __start): rows of all tickers before this one in ``ticker_order``, NULLs last.
 
     ``ticker_order`` are columns of ``df`` constant per ticker (the ticker
-    itself, or a joined list position).  ``blocks`` defaults to the
-    session's shuffle partition count.
+    itself, or a joined list position).  The per-ticker counts are written
+    with their block, so that both readers see the same blocks whatever
+    sampling dealt them; ``blocks`` defaults to one per ``BLOCK_TICKERS``.
     """
-    blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order_names = list(dict.fromkeys([*ticker_order]))
-    counts = df.groupBy(ticker, *[c for c in order_names if c != ticker]).agg(F.count(F.lit(1)).alias("__n"))
     flags = [ascending] * len(ticker_order) if isinstance(ascending, bool) else list(ascending)
-    sort_keys = _directed(list(ticker_order), flags)
+    sort_keys = [F.col(c).asc_nulls_last() if a else F.col(c).desc_nulls_last() for c, a in zip(ticker_order, flags, strict=True)]
     if ticker not in ticker_order:
-        sort_keys.append(F.col(ticker).asc())
-    ranged = counts.repartitionByRange(blocks, *sort_keys).withColumn("__blk", F.spark_partition_id())
+        sort_keys.append(F.col(ticker).asc_nulls_last())
+    others = [c for c in dict.fromkeys(ticker_order) if c != ticker]
+    counts = _materialized(df.groupBy(ticker, *others).agg(F.count(F.lit(1)).alias("__n")), work_dir)
+    blocks = blocks or 1 + counts.count() // BLOCK_TICKERS
+    ranged = _materialized(counts.repartitionByRange(blocks, *sort_keys).withColumn("__blk", F.spark_partition_id()), work_dir)
     before = Window.partitionBy("__blk").orderBy(*sort_keys).rowsBetween(Window.unboundedPreceding, -1)
-    ranged = ranged.withColumn("__pre", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    placed = ranged.withColumn("__pre", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     totals = ranged.groupBy("__blk").agg(F.sum("__n").alias("__tot"))
-    # One row per block, bounded by ``blocks``: ordering it in one task is cheap.
+    # One row per block of many tickers: ordering and broadcasting them is cheap.
     earlier = Window.orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__blk", F.coalesce(F.sum("__tot").over(earlier), F.lit(0)).alias("__off"))
-    return ranged.join(F.broadcast(offsets), "__blk").select(
+    return placed.join(F.broadcast(offsets), "__blk").select(
         ticker, (F.col("__off") + F.col("__pre")).cast("long").alias("__start")
     )
 
 
-def _materialized(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as a table in the shared folder and read it back.
-
-    Cuts the lineage like a reliable checkpoint, but computes the plan once
-    (a reliable RDD checkpoint recomputes it for the write unless cached).
-    """
-    path = shared_dir(df.sparkSession, "quarterline-materialized", uuid.uuid4().hex)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def sequential_position(df: DataFrame, ticker: str, ticker_order: Sequence[str],
                         within_order: Sequence[Column], ascending: bool | Sequence[bool] = True,
                         name: str = "position", blocks: int | None = None,
-                        materialize: bool = False) -> DataFrame:
+                        materialize: bool = False, work_dir: str | None = None) -> DataFrame:
     """Add a 1-based, gap-free global position in (ticker order, within order).
 
-    Same numbers as ``row_number() OVER (ORDER BY ticker_order, within)``
-    (the SERIAL id of an ordered load) without a single-partition window.
-    ``df`` is read twice (counts, rows); with ``materialize=True`` it is
-    written once to the shared checkpoint folder first (see ``_materialized``).
+    Same numbers as ``row_number() OVER (ORDER BY ticker_order NULLS LAST,
+    within)`` (the SERIAL id of an ordered load) without a single-partition
+    window; rows without a ticker come last.  ``df`` is read twice (counts,
+    rows); with ``materialize=True`` it is written once first.
     """
     if materialize:
-        df = _materialized(df)
-    starts = ticker_starts(df, ticker, ticker_order, ascending, blocks)
+        df = _materialized(df, work_dir)
+    starts = ticker_starts(df, ticker, ticker_order, ascending, blocks, work_dir).withColumnRenamed(ticker, "__ticker")
     ranked = df.withColumn("__rn", F.row_number().over(Window.partitionBy(ticker).orderBy(*within_order)))
-    return ranked.join(starts, ticker).withColumn(name, F.col("__start") + F.col("__rn")).drop("__start", "__rn")
+    joined = ranked.join(starts, F.col(ticker).eqNullSafe(F.col("__ticker")))
+    return joined.withColumn(name, F.col("__start") + F.col("__rn")).drop("__start", "__rn", "__ticker")
 
 
 def eps_compare_key(statements: DataFrame, estimates: DataFrame) -> DataFrame:
-    """(ticker, fiscal_period, eps, consensus_eps, matched): left join on keys."""
-    est = estimates.select("ticker", "fiscal_period", "consensus_eps", F.lit(True).alias("matched"))
+    """(ticker, fiscal_period, eps, consensus_eps, matched): left join on keys.
+
+    One estimate per key, as in ``features_all``: a doubled load multiplies nothing.
+    """
+    est = first_per_key(estimates.select("ticker", "fiscal_period", "consensus_eps"), ["ticker", "fiscal_period"], ["consensus_eps"])
+    est = est.withColumn("matched", F.lit(True))
     return statements.select("ticker", "fiscal_period", "eps").join(est, ["ticker", "fiscal_period"], "left").select(
         "ticker", "fiscal_period", "eps", "consensus_eps", F.coalesce("matched", F.lit(False)).alias("matched")
     )
@@ -98,7 +106,7 @@ def eps_compare_key(statements: DataFrame, estimates: DataFrame) -> DataFrame:
 
 def eps_compare_position(statements: DataFrame, estimates: DataFrame, universe: DataFrame | None = None,
                          list_pos: str = "list_pos", blocks: int | None = None,
-                         materialize: bool = False) -> DataFrame:
+                         materialize: bool = False, work_dir: str | None = None) -> DataFrame:
     """Inner join of statements and estimates on load position.
 
     Statements load sorted by ticker, then period.  Estimates load in the
@@ -116,13 +124,13 @@ def eps_compare_position(statements: DataFrame, estimates: DataFrame, universe:
     st = statements.select("ticker", "fiscal_period", "eps")
     e = estimates.select("ticker", "fiscal_period", "consensus_eps")
     if materialize:
-        st, e = _materialized(st), _materialized(e)
-    s = sequential_position(st, "ticker", ["ticker"], within, blocks=blocks)
+        st, e = _materialized(st, work_dir), _materialized(e, work_dir)
+    s = sequential_position(st, "ticker", ["ticker"], within, blocks=blocks, work_dir=work_dir)
     e_order = ["ticker"]
     if universe is not None:
         e = e.join(universe.select("ticker", list_pos), "ticker")
         e_order = [list_pos]
-    e = sequential_position(e, "ticker", e_order, within, blocks=blocks).select(
+    e = sequential_position(e, "ticker", e_order, within, blocks=blocks, work_dir=work_dir).select(
         "position", F.col("ticker").alias("est_ticker"), F.col("fiscal_period").alias("est_fiscal_period"),
         "consensus_eps",
     )

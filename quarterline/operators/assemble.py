@@ -6,7 +6,7 @@ over one window (no join at all), the estimate features one window over
 the estimate table, and everything meets in a single left join on
 (ticker, fiscal_period) that reuses both sides' ticker partitioning: one
 ticker exchange per input side after its aggregate, however many features
-there are (four shuffles for the whole table from the raw facts).
+there are.
 """
 
 from __future__ import annotations
@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterline.functions.labels import beat_miss, final_label
-from quarterline.functions.numeric import pct_change, to_store
+from quarterline.functions.numeric import fits_store, pct_change, to_store
 from quarterline.functions.periods import quarter_text, year_text
-from quarterline.operators.align import eps_compare_position
+from quarterline.operators.align import _materialized, eps_compare_position
 from quarterline.operators.estimates import first_per_key
 from quarterline.operators.growth import with_growth
 from quarterline.operators.ratios import ratio_columns
@@ -49,27 +49,31 @@ def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str], set_c
     return target.select(*kept).join(src, keys, "left").select(*kept, *set_columns)
 
 
-def statement_features(statements: DataFrame) -> DataFrame:
+def statement_features(statements: DataFrame, overflow: str = "error") -> DataFrame:
     """Revenue growth, momentum and the eight ratios plus eps, one window."""
     ratio_cols = ratio_columns()
     # Ratios are rounded before the exchange so the shuffle carries 10,4 decimals.
-    base = statements.select(*KEYS, "eps", "revenue", *[to_store(v).alias(k) for k, v in ratio_cols.items()])
+    base = statements.select(*KEYS, "eps", "revenue", *[to_store(v, overflow).alias(k) for k, v in ratio_cols.items()])
     g = with_growth(base, "revenue", "rev")
     growth = ["qoq_rev", "yoy_rev", "momentum"]
-    return g.select(*KEYS, "eps", *[to_store(c).alias(c) for c in growth], *ratio_cols)
+    return g.select(*KEYS, "eps", *[to_store(c, overflow).alias(c) for c in growth], *ratio_cols)
 
 
-def estimate_features(estimates: DataFrame) -> DataFrame:
+def estimate_features(estimates: DataFrame, overflow: str = "error") -> DataFrame:
     """Consensus growth (computed before any join) and the consensus itself."""
     g = with_growth(estimates.select(*KEYS, "consensus_eps"), "consensus_eps", "eps", with_momentum=False)
-    return g.select(*KEYS, "consensus_eps", *[to_store(c).alias(c) for c in ("qoq_eps", "yoy_eps")])
+    return g.select(*KEYS, "consensus_eps", *[to_store(c, overflow).alias(c) for c in ("qoq_eps", "yoy_eps")])
 
 
 def features_all(statements: DataFrame, estimates: DataFrame, alignment: str = "key",
                  universe: DataFrame | None = None, blocks: int | None = None,
-                 materialize: bool = False) -> DataFrame:
+                 materialize: bool = False, overflow: str = "error") -> DataFrame:
     """The ``features`` table: keys, 13 features, eps_status, eps_surprise.
 
+    A feature or surprise that does not fit DECIMAL(10,4) raises; with
+    ``overflow="null"`` it is NULL, and a row whose surprise does not fit
+    has no status either, so that no text label stands in for its sign.
+
     ``alignment="key"`` (default) compares each quarter's actual EPS with
     the consensus of the same ticker and quarter.  ``"position"`` pairs by
     load position as the reference does (see ``align``); ``universe``
@@ -77,23 +81,27 @@ def features_all(statements: DataFrame, estimates: DataFrame, alignment: str = "
     comparison found no partner keep NULL status and surprise.
     ``materialize`` is passed to ``eps_compare_position``.
     """
-    sf = statement_features(statements)
+    if alignment == "position" and materialize:
+        # Written once: features and positions read the same two narrow tables.
+        statements, estimates, materialize = _materialized(statements), _materialized(estimates), False
+    sf = statement_features(statements, overflow)
     # One estimate row per key, as an UPDATE ... FROM applies one match per
     # target row (duplicate keys appear when a load is appended twice).
-    ef = first_per_key(estimate_features(estimates), KEYS, ["consensus_eps", "qoq_eps", "yoy_eps"])
+    ef = first_per_key(estimate_features(estimates, overflow), KEYS, ["consensus_eps", "qoq_eps", "yoy_eps"])
     ef = ef.withColumn("__matched", F.lit(True))
     joined = sf.join(ef, KEYS, "left")
     if alignment == "key":
         matched = F.coalesce(F.col("__matched"), F.lit(False))
-        status = beat_miss("eps", "consensus_eps", matched)
-        surprise = to_store(pct_change("eps", "consensus_eps"))
+        change = pct_change("eps", "consensus_eps")
+        status = F.when(fits_store(change), beat_miss("eps", "consensus_eps", matched))
+        surprise = to_store(change, overflow)
         return joined.select(*KEYS, *FEATURE_COLUMNS, status.alias("eps_status"), surprise.alias("eps_surprise"))
     if alignment != "position":
         raise ValueError(f"alignment must be 'key' or 'position', not {alignment!r}")
     pairs = eps_compare_position(statements, estimates, universe, blocks=blocks, materialize=materialize).select(
         *KEYS,
-        beat_miss("eps", "consensus_eps").alias("eps_status"),
-        to_store(pct_change("eps", "consensus_eps")).alias("eps_surprise"),
+        F.when(fits_store(pct_change("eps", "consensus_eps")), beat_miss("eps", "consensus_eps")).alias("eps_status"),
+        to_store(pct_change("eps", "consensus_eps"), overflow).alias("eps_surprise"),
     )
     # Duplicate statement keys would make the UPDATE pick one pair; do the same.
     pairs = first_per_key(pairs, KEYS, ["eps_status", "eps_surprise"])

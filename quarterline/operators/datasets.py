@@ -45,15 +45,15 @@ def split_by_year(matrix: DataFrame, splits: dict[str, Sequence[int]], period: s
 
 
 def row_dataset(matrix: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label: str = LABEL,
-                null_policy: str = "drop") -> DataFrame:
-    """Features as doubles plus a double label (M1).
+                null_policy: str = "drop", dtype: str = "double") -> DataFrame:
+    """Features as doubles (``dtype="float"``: 32 bits, X10) plus a double label (M1).
 
     ``null_policy="drop"`` keeps rows whose features and label are all
     present (the reference fed NaN to its network); ``"keep"`` keeps all.
     """
     out = matrix.select(
         *[c for c in matrix.columns if c not in features and c != label],
-        *[F.col(c).cast("double").alias(c) for c in features],
+        *[F.col(c).cast(dtype).alias(c) for c in features],
         F.col(label).cast("double").alias("label"),
     )
     if null_policy == "drop":
@@ -77,12 +77,15 @@ def sequence_windows(matrix: DataFrame, k: int = 7, features: Sequence[str] = FE
 
     Output: ticker, target_period, label, window (array of k structs of
     the features, oldest first).  A ticker with <= k rows yields none.
-    Rows are ordered by parsed (year, quarter); rows without a ticker or
-    a parsable period are left out.  Structs are collected (not bare
-    values) so NULL features keep their slot.
+    Rows are ordered by parsed (year, quarter); rows without a ticker are
+    left out, and a period that does not parse raises: a window over the
+    rows around it would not be of consecutive quarters.  Structs are
+    collected (not bare values) so NULL features keep their slot.
     """
     df = with_period_parts(matrix.where(F.col("ticker").isNotNull()))
-    df = df.where(F.col("year").isNotNull() & F.col("quarter").isNotNull())
+    message = F.concat(F.lit("period does not parse: "), F.coalesce(F.col("fiscal_period"), F.lit("NULL")))
+    parsed = F.col("year").isNotNull() & F.col("quarter").isNotNull()
+    df = df.where(F.when(parsed, True).otherwise(F.raise_error(message).cast("boolean")))
     w = Window.partitionBy("ticker").orderBy("year", "quarter", "fiscal_period").rowsBetween(-k, -1)
     packed = F.struct(*[F.col(c).cast("double").alias(c) for c in features])
     seq = df.select(

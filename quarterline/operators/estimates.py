@@ -65,7 +65,7 @@ def estimate_filter(feed: DataFrame, window: tuple[str, str] = REFERENCE_WINDOW,
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First row of each key group by ``order`` (ascending), deterministic (A2).
+    """First row of each key group by ``order`` (ascending, NULLs last), deterministic (A2).
 
     ``min(struct(order..., rest...))`` is an ordinary aggregate: partial
     aggregation runs before the shuffle, so a key holding a third of all
@@ -76,8 +76,11 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     """
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest]).alias("__first")
-    picked = df.groupBy(*keys).agg(F.min(packed).alias("__first"))
+    if not order + rest:
+        return df.distinct()
+    flags = [F.col(c).isNull().alias(f"__null_{i}") for i, c in enumerate(order)]
+    led = [x for flag, c in zip(flags, order, strict=True) for x in (flag, F.col(c))]
+    picked = df.groupBy(*keys).agg(F.min(F.struct(*led, *[F.col(c) for c in rest])).alias("__first"))
     return picked.select(*keys, *[F.col(f"__first.{c}").alias(c) for c in order + rest]).select(*df.columns)
 
 

@@ -10,7 +10,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quarterline.functions.numeric import fits_store
 from quarterline.operators.growth import quarter_window
 from quarterline.schemas import VARCHAR_LIMITS
 
@@ -24,9 +26,12 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def fk_orphans(df: DataFrame, parent: DataFrame, key: str = "ticker", parent_key: str = "ticker") -> DataFrame:
-    """Rows whose ``key`` has no parent row (C2), as a left-anti join."""
+    """Rows whose ``key`` has no parent row (C2), as a left-anti join.
+
+    A NULL key refers to nothing and is no orphan, as in a foreign key.
+    """
     p = parent.select(F.col(parent_key).alias("__pk")).distinct()
-    return df.join(p, F.col(key) == F.col("__pk"), "left_anti")
+    return df.where(F.col(key).isNotNull()).join(p, F.col(key) == F.col("__pk"), "left_anti")
 
 
 def domain_violations(df: DataFrame, keys: Sequence[str], varchar_limits: Mapping[str, int] | None = None,
@@ -52,6 +57,18 @@ def domain_violations(df: DataFrame, keys: Sequence[str], varchar_limits: Mappin
     return cells.select(*keys, "v.column", "v.rule", "v.value")
 
 
+def overflow_violations(df: DataFrame, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """(keys..., column, value): cells that ``conform`` to ``schema`` would refuse.
+
+    The opt-in way to load such a table: report these, then
+    ``conform(..., overflow="null")``.
+    """
+    checks = [F.when(~fits_store(f.name), F.struct(F.lit(f.name).alias("column"), F.col(f.name).cast("double").alias("value")))
+              for f in schema.fields if isinstance(f.dataType, T.DecimalType)]
+    cells = df.select(*keys, F.explode(F.filter(F.array(*checks), lambda x: x.isNotNull())).alias("v"))
+    return cells.select(*keys, "v.column", "v.value")
+
+
 def bad_periods(df: DataFrame, period: str = "fiscal_period") -> DataFrame:
     """Rows whose period text is not ``Q1``..``Q4`` + space + four digits (C4)."""
     return df.where(~F.coalesce(F.col(period).rlike(PERIOD_PATTERN), F.lit(False)))

@@ -4,8 +4,8 @@ A statement sheet is laid out metric x period: one row per (ticker,
 metric title), one column per fiscal period.  The reference transposes
 each company's sheet in pandas; here all companies are one DataFrame,
 unpivoted to (ticker, Metrics, fiscal_period, value) and pivoted back to
-one row per (ticker, fiscal_period) with a *fixed* column list, so the
-pivot is a single partial-aggregated shuffle and needs no distinct job.
+one row per (ticker, fiscal_period) with a *fixed* column list.  Rows are
+dealt by ticker once; windows and aggregates on the ticker reuse that.
 """
 
 from __future__ import annotations
@@ -13,11 +13,14 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarterline.functions.numeric import ColumnOrName, to_store
 from quarterline.functions.periods import period_type
 
+# Texts that a spreadsheet reader takes for an empty cell.
+NA_TEXTS = ["", "n/a", "na", "nan", "null", "none", "#n/a"]
 LONG = ["ticker", "Metrics", "fiscal_period", "value"]
 _UNNAMED = re.compile(r"^(Unnamed: 0|_c0|)$")
 
@@ -34,38 +37,57 @@ def name_metric_column(sheet: DataFrame, ticker: str = "ticker") -> DataFrame:
     return sheet.withColumnRenamed(candidates[0], "Metrics")
 
 
-def scan_wide(sheet: DataFrame, ticker: str = "ticker", value_type: str = "decimal(10,4)") -> DataFrame:
+def cell_value(cell: ColumnOrName, value_type: str = "decimal(28,4)") -> Column:
+    """A sheet cell as a wide decimal: NULL, blank and ``NA_TEXTS`` are NULL, other text that is no number raises.
+
+    The type is wider than the store's, so that a large figure is judged
+    where it is stored, not lost where it is read.
+    """
+    c = F.col(cell) if isinstance(cell, str) else cell
+    text = F.trim(c.cast("string"))
+    value = text.try_cast(value_type)
+    bad = F.raise_error(F.concat(F.lit("cell is no number: "), text)).cast(value_type)
+    return F.when(text.isNull() | F.lower(text).isin(NA_TEXTS), F.lit(None).cast(value_type)).when(value.isNotNull(), value).otherwise(bad)
+
+
+def scan_wide(sheet: DataFrame, ticker: str = "ticker", value_type: str = "decimal(28,4)") -> DataFrame:
     """Wide sheet -> (ticker, Metrics, fiscal_period, value) (S1-S3 + unpivot).
 
     Every column other than the ticker and the title is a period column.
-    Cells are cast to ``value_type`` (NULL when unparsable).  Cells that
-    are NULL stay as rows, so the null-dropping rule (P2) can see them.
+    Empty cells stay as rows, so the null-dropping rule (P2) can see them;
+    a cell that is no number raises.
     """
     sheet = name_metric_column(sheet, ticker)
     periods = [c for c in sheet.columns if c not in (ticker, "Metrics")]
-    casted = sheet.select(ticker, "Metrics", *[F.col(f"`{p}`").try_cast(value_type).alias(p) for p in periods])
+    casted = sheet.select(ticker, "Metrics", *[cell_value(F.col(f"`{p}`"), value_type).alias(p) for p in periods])
     return casted.unpivot([ticker, "Metrics"], periods, "fiscal_period", "value").select(
         F.col(ticker).alias("ticker"), "Metrics", "fiscal_period", "value"
     )
 
 
+def complete_metric(sheet: Sequence[str] = ()) -> Column:
+    """Whether a row's (ticker, metric) has a value in every period its sheet reports.
+
+    ``sheet``: columns that tell several sheets of one table apart.  Two
+    rows of one title raise: neither is the company's figure.
+    """
+    by_metric = Window.partitionBy("ticker", *sheet, "Metrics")
+    by_ticker = Window.partitionBy("ticker", *sheet)
+    reported = F.when(F.col("value").isNotNull(), F.col("fiscal_period"))
+    values, periods = F.count("value").over(by_metric), F.size(F.collect_set(reported).over(by_metric))
+    twice = F.raise_error(F.concat(F.lit("two rows titled "), F.col("Metrics"), F.lit(" for "), F.col("ticker").cast("string")))
+    return F.when(values > periods, twice.cast("boolean")).otherwise(values == F.size(F.collect_set(reported).over(by_ticker)))
+
+
 def dropna_any(long: DataFrame) -> DataFrame:
     """Drop every (ticker, metric) that has a NULL in any reported period.
 
     A ticker's periods are the columns of its own sheet, i.e. the periods
-    in which any of its metrics has a value.  Two windows over one hash
-    partitioning on ticker (a company's sheet is metrics x periods cells,
-    bounded whatever the table size): values per metric, and the distinct
-    reported periods per ticker.  One pass, no self-join.
+    in which any of its metrics has a value.  Rows are dealt by ticker once
+    and both windows reuse that (a company's sheet is metrics x periods
+    cells, bounded whatever the table size).
     """
-    by_metric = Window.partitionBy("ticker", "Metrics")
-    by_ticker = Window.partitionBy("ticker")
-    reported = F.when(F.col("value").isNotNull(), F.col("fiscal_period"))
-    counted = long.withColumns({
-        "__vals": F.count("value").over(by_metric),
-        "__periods": F.size(F.collect_set(reported).over(by_ticker)),
-    })
-    return counted.where(F.col("__vals") == F.col("__periods")).drop("__vals", "__periods")
+    return long.repartition("ticker").withColumn("__full", complete_metric()).where("__full").drop("__full")
 
 
 def reported_cells(long: DataFrame) -> DataFrame:
@@ -117,17 +139,44 @@ def metric_rename(long: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return long.withColumn("Metrics", F.coalesce(lookup[F.col("Metrics")], F.col("Metrics")))
 
 
+def metric_columns(columns: Sequence[str], by: Column | None = None) -> list[Column]:
+    """One aggregate per column over the cells of its metric; two different cells raise."""
+    out = []
+    for c in columns:
+        cell = F.when((by if by is not None else F.col("Metrics")) == c, F.col("value"))
+        several = F.raise_error(F.lit(f"several values of {c} for one period")).cast("decimal(28,4)")
+        out.append(F.when(F.min(cell) != F.max(cell), several).otherwise(F.max(cell)).alias(c))
+    return out
+
+
+def require_metrics(wide: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Raise for a company without a value of a required metric in any period.
+
+    A window on the ticker, which the rows are partitioned by already.
+    """
+    w = Window.partitionBy("ticker")
+    have = [F.coalesce(F.max(F.col(c).isNotNull()).over(w), F.lit(False)) for c in required]
+    lost = F.array_join(F.filter(F.array(*[F.when(~h, F.lit(c)) for h, c in zip(have, required, strict=True)]), lambda x: x.isNotNull()), ", ")
+    message = F.concat(F.lit("no metric "), F.col("__lost"), F.lit(" for "), F.coalesce(F.col("ticker").cast("string"), F.lit("NULL")))
+    return wide.withColumn("__lost", lost).where(F.when(F.col("__lost") != "", F.raise_error(message).cast("boolean")).otherwise(True)).drop("__lost")
+
+
 def transpose_statement(long: DataFrame, mapping: Mapping[str, str], columns: Sequence[str],
-                        constants: Mapping[str, object] | None = None, with_period_type: bool = False) -> DataFrame:
+                        constants: Mapping[str, object] | None = None, with_period_type: bool = False,
+                        missing: str = "error") -> DataFrame:
     """Tidy (ticker, Metrics, fiscal_period, value) -> one row per (ticker, period).
 
-    Titles are renamed with ``mapping`` (P6), pivoted on the fixed list
-    ``columns`` (a metric absent from the data gives a NULL column), and
-    projected in that order (P7); ``constants`` add literal columns (P8).
+    Titles are renamed with ``mapping`` (P6), turned into the fixed list
+    ``columns`` and projected in that order (P7); ``constants`` add literal
+    columns (P8).  A company without a metric raises, unless ``missing`` is
+    ``"null"``; values are stored as DECIMAL(10,4).
     """
     renamed = metric_rename(long, mapping)
-    pivot_cols = [c for c in columns if not constants or c not in constants]
-    wide = renamed.groupBy("ticker", "fiscal_period").pivot("Metrics", pivot_cols).agg(F.first("value"))
+    cells = [c for c in columns if not constants or c not in constants]
+    wide = renamed.repartition("ticker").groupBy("ticker", "fiscal_period").agg(*metric_columns(cells))
+    if missing == "error":
+        wide = require_metrics(wide, cells)
+    wide = wide.withColumns({c: to_store(c) for c in cells})
     for name, value in (constants or {}).items():
         wide = wide.withColumn(name, F.lit(value).cast("decimal(10,4)"))
     lead = ["ticker", "fiscal_period"]

@@ -9,6 +9,7 @@ never from the raw sheets.  No stage collects rows to the driver.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -19,12 +20,8 @@ from quarterline.operators import datasets, metrics, models
 from quarterline.operators.assemble import feature_matrix, features_all
 from quarterline.operators.estimates import REFERENCE_WINDOW, analyst_estimates
 from quarterline.operators.statements import (
-    balance_statement,
-    cash_statement,
     conform_statements,
-    financial_statements,
-    income_statement,
-    with_capex,
+    statements_from_sheets,
 )
 from quarterline.schemas import ANALYST_ESTIMATES, FEATURE_COLUMNS, conform
 from quarterline.session import shared_dir
@@ -50,28 +47,29 @@ class SheetPaths:
 
 
 def table_dir(spark: SparkSession, name: str = "tables") -> str:
+    """``name`` under ``spark.checkpoint.dir``: where that is set, the same folder in every session."""
     return shared_dir(spark, name)
 
 
+def bucketed_name(tables: str, name: str) -> str:
+    """The catalog name of a bucketed table of the folder ``tables``; folders do not share names."""
+    return f"{name}_{hashlib.md5(tables.rstrip('/').encode()).hexdigest()[:12]}"
+
+
 def load_stage(spark: SparkSession, sheets: SheetPaths, feed_path: str, out_dir: str, feed_fmt: str = "csv",
                window: tuple[str, str] = REFERENCE_WINDOW, universe: DataFrame | Sequence | None = None,
-               tie_breakers: Sequence[str] = (), buckets: int | None = None) -> dict[str, str]:
+               tie_breakers: Sequence[str] = (), buckets: int | None = None,
+               picks: dict[str, dict[str, str]] | None = None) -> dict[str, str]:
     """Wide sheets + snapshot feed -> ``financial_statements`` and ``analyst_estimates``.
 
     With ``buckets`` both tables are written bucketed and sorted by ticker
-    (tables ``financial_statements`` / ``analyst_estimates`` in the session
-    catalog), so the feature stage runs its windows and its join without
+    (catalog tables named after the folder, see ``bucketed_name``), so the feature stage runs its windows and its join without
     any exchange.
     """
     def scan(path):
         return read_wide_sheets(spark, path, sheets.fmt, sheets.ticker_from)
 
-    derived = scan(sheets.derived)
-    fs = financial_statements(
-        income_statement(scan(sheets.income), derived),
-        balance_statement(scan(sheets.balance), derived),
-        cash_statement(scan(sheets.cash), derived),
-    )
+    fs = statements_from_sheets(scan(sheets.income), scan(sheets.balance), scan(sheets.cash), scan(sheets.derived), picks)
     paths = {"financial_statements": f"{out_dir}/financial_statements",
              "analyst_estimates": f"{out_dir}/analyst_estimates"}
     feed = read_estimate_feed(spark, feed_path, feed_fmt)
@@ -79,7 +77,7 @@ def load_stage(spark: SparkSession, sheets: SheetPaths, feed_path: str, out_dir:
     fs = conform_statements(fs)
     for name, df in (("financial_statements", fs), ("analyst_estimates", est)):
         if buckets:
-            write_bucketed(df, name, paths[name], buckets)
+            write_bucketed(df, bucketed_name(out_dir, name), paths[name], buckets)
         else:
             write_table(df, paths[name])
     return paths
@@ -87,7 +85,7 @@ def load_stage(spark: SparkSession, sheets: SheetPaths, feed_path: str, out_dir:
 
 def _read_stage_table(spark: SparkSession, tables: str, name: str, bucketed: bool) -> DataFrame:
     """The bucketed catalog table written by ``load_stage(buckets=...)``, or the files."""
-    return spark.table(name) if bucketed else spark.read.parquet(f"{tables}/{name}")
+    return spark.table(bucketed_name(tables, name)) if bucketed else spark.read.parquet(f"{tables}/{name}")
 
 
 def feature_inputs(spark: SparkSession, tables: str, bucketed: bool = False) -> tuple[DataFrame, DataFrame]:

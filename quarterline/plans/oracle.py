@@ -244,6 +244,9 @@ _base_cols = ["rev", "qty", "tax", "dsc", "ext", "opn", "fa", "fn", "fr"]
 register("domain_violations", q("\nunion all ".join(
     f"select ticker, fiscal_period, '{c}' \"column\", 'decimal(10,4) range' rule, cast({c} as double) value "
     f"from base where abs({c}) >= 1000000" for c in _base_cols)))
+register("overflow_violations", q("\nunion all ".join(
+    f"select ticker, fiscal_period, '{c}' \"column\", cast({c} * 1000 as double) value from financial_statements "
+    f"where abs({c} * 1000) >= 1000000" for c in fx.STATEMENT_FORMULAS)))
 register("bad_periods", q(
     "select * from (select 'financial_statements' source, ticker, fiscal_period from financial_statements "
     "union all select 'analyst_estimates', ticker, fiscal_period from analyst_estimates) "
@@ -284,9 +287,7 @@ register("metric_rename", q(
     "when 'Gross Profit' then 'gross_profit' when 'Operating Expenses' then 'operating_expenses' "
     "when 'Operating Income (Loss)' then 'operating_income' when 'Net Income' then 'net_income' else Metrics end "
     "Metrics, fiscal_period, value from scan_income", scan_cte("income")))
-register("statement_projection", q(
-    "select ticker, fiscal_period, revenue, cost_of_revenue, gross_profit, operating_expenses, operating_income, "
-    "net_income from financial_statements"))
+register("statement_projection", q(f"select {INCOME_COLS} from financial_statements"))
 register("period_type", q("select ticker, fiscal_period, left(fiscal_period, 2) period_type from financial_statements"))
 register("period_parts", q(
     "select ticker, fiscal_period, right(fiscal_period, 4) year_text, left(fiscal_period, 2) quarter_text, "

@@ -14,8 +14,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarterline.functions.labels import predict_from_logit, sigmoid
+from quarterline.functions.numeric import to_store
 from quarterline.functions.periods import period_parts, period_type, quarter_text, year_text
 from quarterline.operators import assemble, datasets, metrics, models, quality, reshape, statements
 from quarterline.operators.align import eps_compare_key, eps_compare_position
@@ -88,7 +90,7 @@ def sheet_of(spark: SparkSession, d: str, sheet: str) -> DataFrame:
     The sheets are fixtures over immutable tables, so their (lazy) plans
     are built once per session and reused.
     """
-    return reshape.scan_wide(_wide_sheets(spark, d)[sheet])
+    return reshape.scan_wide(_wide_sheets(spark, d)[sheet]).withColumn("value", to_store("value"))
 
 
 _SHEET_CACHE: dict[tuple[int, str], dict[str, DataFrame]] = {}
@@ -221,6 +223,15 @@ def q_domain_violations(spark, d):
                                      decimal_columns=["rev", "qty", "tax", "dsc", "ext", "opn", "fa", "fn", "fr"])
 
 
+@query("overflow_violations")
+def q_overflow_violations(spark, d):
+    # The same statements in units instead of thousands: many figures do not fit the store.
+    s = statements_of(spark, d)
+    units = s.select("ticker", "fiscal_period", *[(F.col(c) * 1000).alias(c) for c in fx.STATEMENT_FORMULAS])
+    schema = T.StructType([f for f in FINANCIAL_STATEMENTS.fields if f.name in fx.STATEMENT_FORMULAS])
+    return quality.overflow_violations(units, schema, ["ticker", "fiscal_period"])
+
+
 @query("bad_periods")
 def q_bad_periods(spark, d):
     s = statements_of(spark, d).select(F.lit("financial_statements").alias("source"), "ticker", "fiscal_period")
@@ -267,12 +278,7 @@ def q_metric_rename(spark, d):
 
 @query("statement_projection")
 def q_statement_projection(spark, d):
-    # All surviving titles pivoted (data-driven columns), then the fixed projection.
-    long = reshape.metric_regex_filter(reshape.reported_cells(sheet_of(spark, d, "income")),
-                                       statements.INCOME_PATTERNS)
-    wide = reshape.metric_rename(long, statements.INCOME_RENAMES).groupBy("ticker", "fiscal_period").pivot(
-        "Metrics").agg(F.first("value"))
-    return wide.select("ticker", "fiscal_period", *statements.INCOME_COLUMNS[:-1])
+    return tidy_statements(spark, d)[0]
 
 
 @query("period_type")
@@ -325,7 +331,7 @@ def q_join_income_balance(spark, d):
 
 @query("financial_statements")
 def q_financial_statements(spark, d):
-    return statements.financial_statements(*tidy_statements(spark, d))
+    return statements.statements_from_sheets(*[sheet_of(spark, d, s) for s in ("income", "balance", "cash", "derived")])
 
 
 @query("eps_compare_key")

@@ -2,8 +2,8 @@
 
 VARCHAR(n) has no Spark equivalent that truncates; lengths are checked by
 ``operators.quality.domain_violations`` instead.  Decimal columns are
-stored as DECIMAL(10,4); ``conform`` rounds half-up and turns values that
-do not fit into NULL so a single bad cell never fails a large load.
+stored as DECIMAL(10,4); ``conform`` rounds half-up and raises on values that
+do not fit, as the store does.  ``quality.overflow_violations`` reports them.
 """
 
 from __future__ import annotations
@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarterline.functions.numeric import to_store
+
 D = T.DecimalType(10, 4)
 S = T.StringType()
 
-# The column lists of the four declared tables, in DDL order.
+# The column lists of the four declared tables, in DDL order
+# (companies, statement metrics, estimates, features).
 COMPANIES = T.StructType(
     [
         T.StructField("ticker", S),
@@ -103,17 +106,17 @@ TABLES = {
 }
 
 
-def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = False) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = False, overflow: str = "error") -> DataFrame:
     """Select the schema's columns in declared order, cast to declared types.
 
     A declared column missing from ``df`` is an error (AnalysisException),
-    as the reference's fixed column selection is.  Decimal casts use
-    ``try_cast`` (half-up rounding, NULL on overflow).
+    as the reference's fixed column selection is.  Decimals are rounded
+    half-up; ``overflow`` as in ``to_store``.
     """
     cols = []
     for field in schema.fields:
         c = F.col(field.name)
-        cast = c.try_cast(field.dataType) if isinstance(field.dataType, T.DecimalType) else c.cast(field.dataType)
+        cast = to_store(c, overflow) if field.dataType == D else c.cast(field.dataType)
         cols.append(cast.alias(field.name))
     if keep_extra:
         names = set(schema.fieldNames())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -56,8 +57,8 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partiti
     Shuffles start with about one partition per ``partition_bytes`` of
     input (AQE then coalesces small ones and splits skewed ones), scans
     read splits of the same size, and anything under 64 MB measured at
-    runtime is broadcast.  For 100 TB this gives ~400k -> capped at
-    ``max_partitions`` initial shuffle partitions of ~1 GB at most.
+    runtime is broadcast.  ``max_partitions`` bounds the number of shuffle
+    partitions, not the data: 100 TB is then dealt out in parts of ~1 GB.
     """
     initial = max(200, min(max_partitions, input_bytes // partition_bytes))
     return {
@@ -71,25 +72,19 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partiti
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """Folder every executor can see, taken from ``spark.checkpoint.dir``.
+    """Folder every executor can see: ``spark.checkpoint.dir``, the same in every session.
 
-    On a cluster the operator of the cluster sets ``spark.checkpoint.dir``
-    to shared storage; that value is always used.  Only when it is unset
-    (a local test session) is a private folder created and registered, so
-    that ``DataFrame.checkpoint()`` and the table sinks have somewhere to go.
+    On a cluster its operator sets that to shared storage.  Only in a plain
+    local session (tests) where it is unset is a private folder made and set.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext handle
-        sc = None
-    base = sc.getCheckpointDir() if sc is not None else None
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.conf.get("spark.checkpoint.dir", None)
+        sc = spark.sparkContext
+        base = sc.getCheckpointDir()
         if not base:
-            if sc is None or not sc.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
             base = tempfile.mkdtemp(prefix="quarterline-")
-        if sc is not None:
             sc.setCheckpointDir(base)
             base = sc.getCheckpointDir() or base
     return "/".join([base.rstrip("/"), *parts])

@@ -11,8 +11,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quarterline.operators.assemble import ordered_matrix
+from quarterline.operators.estimates import first_per_key
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
@@ -51,13 +53,15 @@ def write_splits(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("split").option("header", "true").csv(path)
 
 
-def seed_upsert_new(existing: DataFrame, seed: DataFrame, key: str = "ticker") -> DataFrame:
+def seed_upsert_new(existing: DataFrame, seed: DataFrame, key: str = "ticker", order: Sequence[str] = ()) -> DataFrame:
     """``INSERT ... ON CONFLICT (key) DO NOTHING``.
 
     Returns the table after the insert: existing rows untouched, seed rows
-    whose key is new (first seed row per key) added with missing columns
-    NULL.
+    whose key is new added with missing columns NULL.  Of several seed rows
+    of a key the first by ``order`` (default: by its other columns) counts;
+    a NULL key is refused, as a primary key refuses it.
     """
-    new = seed.join(existing.select(key), key, "left_anti").dropDuplicates([key])
+    new = seed.where(F.col(key).isNotNull()).join(existing.select(key), key, "left_anti")
+    new = first_per_key(new, [key], list(order) or [c for c in seed.columns if c != key])
     return existing.unionByName(new, allowMissingColumns=True)
 

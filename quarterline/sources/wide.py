@@ -4,8 +4,11 @@ Sheets: one file per company and statement (``<TICKER>_PL``, ``_BS``,
 ``_CF``, ``_DERIVED`` in the reference, as Excel).  Here they are Parquet
 (or CSV) files of the same layout: an unnamed title column and one column
 per period.  All companies of a statement kind are read by ONE scan; the
-ticker comes from a column or from the file name.  Parquet files may
-carry different period columns (``mergeSchema`` unions them by name).
+ticker comes from a column or from the file name.  Every CSV file is read
+by its own header.  Parquet files may carry different period columns
+(``mergeSchema`` unions them by name) if a period has one type; sheets that
+mix types land as long tables (ticker, Metrics, fiscal_period, value),
+read by ``read_long_sheets``.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarterline.operators.reshape import scan_wide
+from quarterline.operators.reshape import cell_value, scan_wide
 from quarterline.schemas import FEATURE_COLUMNS
 
 # The reference's snapshot feed columns.
@@ -48,13 +51,11 @@ def read_wide_sheets(spark: SparkSession, path: str, fmt: str = "parquet", ticke
     written dataset folder, the folder name) with ``ticker_pattern`` (first
     group), e.g. ``AAPL_PL.parquet`` -> AAPL.
     """
-    reader = spark.read
-    if fmt == "parquet":
-        sheets = reader.option("mergeSchema", "true").parquet(path)
-    elif fmt == "csv":
-        sheets = reader.option("header", "true").csv(path)
-    else:
+    if fmt == "csv":
+        return _csv_sheets(spark, path, ticker_from, ticker_pattern)
+    if fmt != "parquet":
         raise ValueError(f"unsupported sheet format {fmt!r}")
+    sheets = spark.read.option("mergeSchema", "true").parquet(path)
     if ticker_from == "path":
         sheets = sheets.withColumn("ticker", F.regexp_extract(F.col("_metadata.file_path"), ticker_pattern, 1))
     elif "ticker" not in sheets.columns:
@@ -62,6 +63,37 @@ def read_wide_sheets(spark: SparkSession, path: str, fmt: str = "parquet", ticke
     return scan_wide(sheets)
 
 
+# A comma outside quotes: an even number of quotes follows on the line.
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def _csv_sheets(spark: SparkSession, path: str, ticker_from: str, ticker_pattern: str) -> DataFrame:
+    """Cells of CSV sheets, each file (one company's, so small) by its own header line."""
+    files = spark.read.text(path, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
+
+    def fields(line):
+        return F.transform(F.split(line, _COMMA), lambda x: F.replace(F.regexp_replace(F.trim(x), '^"|"$', ""), F.lit('""'), F.lit('"')))
+
+    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
+    rows = files.select("path", lines.alias("lines")).select("path", fields(F.get("lines", 0)).alias("header"), F.explode(F.slice("lines", 2, 1 << 30)).alias("line"))
+    unnamed = F.array_position(F.transform("header", lambda h: h.rlike("^(Unnamed: 0|_c0|Metrics|)$")), True)
+    rows = rows.select("path", "header", fields(F.col("line")).alias("cells"), unnamed.cast("int").alias("title"), F.array_position("header", F.lit("ticker")).cast("int").alias("named"))
+    # without an unnamed column the titles are the first that is not the ticker
+    title = F.when(F.col("title") > 0, F.col("title")).when(F.col("named") == 1, F.lit(2)).otherwise(F.lit(1)) - 1
+    rows = rows.withColumn("title", title)
+    if ticker_from == "path":
+        ticker = F.regexp_extract("path", ticker_pattern, 1)
+    else:
+        ticker = F.when(F.col("named") > 0, F.get("cells", F.col("named") - 1)).otherwise(F.raise_error(F.lit("sheets have no ticker column; use ticker_from='path'")))
+    cells = rows.select(ticker.alias("ticker"), F.get("cells", F.col("title")).alias("Metrics"), "cells", "title", "named", F.posexplode("header").alias("pos", "fiscal_period"))
+    return cells.where("pos <> title and pos <> named - 1").select("ticker", "Metrics", "fiscal_period", cell_value(F.get("cells", F.col("pos"))).alias("value"))
+
+
+def read_long_sheets(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet tables (ticker, Metrics, fiscal_period, value): the landing format of sheets that mix types."""
+    return spark.read.parquet(path).select("ticker", "Metrics", "fiscal_period", cell_value("value").alias("value"))
+
+
 def read_estimate_feed(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """The snapshot feed with its declared schema, no inference.
 

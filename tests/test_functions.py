@@ -1,5 +1,7 @@
 from decimal import Decimal
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from quarterline.functions import (
@@ -38,10 +40,12 @@ def test_division_rules(spark):
         [(Decimal("110.0000"), Decimal("100.0000")), (Decimal("5.0000"), Decimal("0.0000")),
          (Decimal("999999.0000"), Decimal("0.0010")), (Decimal("1.0000"), Decimal("3.0000"))],
         "a decimal(10,4), b decimal(10,4)")
-    rows = df.select(to_store(pct_change("a", "b")).alias("g"), to_store(ratio("a", "b")).alias("r")).collect()
+    rows = df.select(to_store(pct_change("a", "b"), "null").alias("g"), to_store(ratio("a", "b"), "null").alias("r")).collect()
     assert rows[0].g == Decimal("10.0000") and rows[0].r == Decimal("1.1000")
     assert rows[1].g is None and rows[1].r is None          # zero denominator -> NULL
-    assert rows[2].g is None and rows[2].r is None          # does not fit DECIMAL(10,4) -> NULL
+    assert rows[2].g is None and rows[2].r is None          # does not fit DECIMAL(10,4): NULL if opted in
+    with pytest.raises(Exception, match="does not fit"):
+        df.select(to_store(ratio("a", "b")).alias("r")).collect()
     assert rows[3].r == Decimal("0.3333")                   # half-up rounding on store
 
 

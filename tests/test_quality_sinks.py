@@ -67,6 +67,6 @@ def test_seed_upsert(spark):
 
 
 def test_shared_dir_uses_session_checkpoint_dir(spark):
-    base = spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     path = shared_dir(spark, "x", "y")
-    assert base and path == base.rstrip("/") + "/x/y"
+    assert base and path == base.rstrip("/") + "/x/y" == shared_dir(spark, "x", "y")

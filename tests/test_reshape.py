@@ -2,6 +2,8 @@
 
 from decimal import Decimal
 
+import pytest
+
 from quarterline.operators import reshape, statements
 from quarterline.sources.wide import read_wide_sheets
 
@@ -39,7 +41,9 @@ def test_scan_names_metric_column_and_keeps_null_cells(spark):
 
 
 def test_income_reader(spark):
-    inc = statements.income_statement(reshape.scan_wide(income_sheet(spark)), reshape.scan_wide(derived_sheet(spark)))
+    with pytest.raises(Exception, match="no metric operating_income for AAA"):
+        statements.income_statement(reshape.scan_wide(income_sheet(spark)), reshape.scan_wide(derived_sheet(spark))).collect()
+    inc = statements.income_statement(reshape.scan_wide(income_sheet(spark)), reshape.scan_wide(derived_sheet(spark)), missing="null")
     rows = {r.fiscal_period: r for r in inc.collect()}
     assert inc.columns == ["ticker", "fiscal_period", "period_type", *statements.INCOME_COLUMNS]
     assert set(rows) == set(PERIODS)
@@ -87,7 +91,10 @@ def test_statements_round_trip(spark, sf_small):
     from quarterline.sources import fixtures as fx
     from quarterline.schemas import FINANCIAL_STATEMENTS
 
-    built = statements.financial_statements(*tidy_statements(spark, sf_small))
+    from quarterline.plans.queries import sheet_of
+    built = statements.statements_from_sheets(*[sheet_of(spark, sf_small, s) for s in ("income", "balance", "cash", "derived")])
+    joined = statements.financial_statements(*tidy_statements(spark, sf_small))
+    assert built.exceptAll(joined).count() == 0 and joined.exceptAll(built).count() == 0
     expected = statements.with_capex(fx.financial_statements(spark, sf_small)).select(*FINANCIAL_STATEMENTS.fieldNames())
     assert built.count() == expected.count() == 280
     assert built.exceptAll(expected).count() == 0 and expected.exceptAll(built).count() == 0
@@ -100,6 +107,34 @@ def test_read_wide_sheets_from_csv(spark, tmp_path):
     got = {(r.ticker, r.Metrics, r.fiscal_period): r.value for r in long.collect()}
     assert got[("AAA", "Revenue", "Q1 2020")] == Decimal("10.5000")
     assert got[("BBB", "Revenue", "Q2 2020")] == Decimal("8.2500")
-    assert got[("AAA", "Net Income", "Q2 2020")] is None          # unparsable cell -> NULL
+    assert got[("AAA", "Net Income", "Q2 2020")] is None          # an empty cell's text
     kept = {(r.ticker, r.Metrics) for r in reshape.dropna_any(long).collect()}
     assert ("AAA", "Net Income") not in kept and ("BBB", "Net Income") in kept
+
+
+def test_csv_sheets_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "AAA_PL.csv").write_text('"Unnamed: 0",Q1 2020,Q2 2020\nRevenue,10,11.5\n"Cost, all",1,\n')
+    (tmp_path / "BBB_PL.csv").write_text("Q3 2020,,Q2 2020\r\n9,Revenue,8\r\n")
+    got = {(r.ticker, r.Metrics, r.fiscal_period): r.value for r in read_wide_sheets(spark, str(tmp_path / "*_PL.csv"), "csv", "path").collect()}
+    assert got == {("AAA", "Revenue", "Q1 2020"): Decimal(10), ("AAA", "Revenue", "Q2 2020"): Decimal("11.5"), ("AAA", "Cost, all", "Q1 2020"): Decimal(1),
+                   ("AAA", "Cost, all", "Q2 2020"): None, ("BBB", "Revenue", "Q3 2020"): Decimal(9), ("BBB", "Revenue", "Q2 2020"): Decimal(8)}
+    (tmp_path / "all_x.csv").write_text("ticker,Metrics,Q1 2020\nAAA,Revenue,1\nBBB,Revenue,2\n")
+    rows = read_wide_sheets(spark, str(tmp_path / "all_x.csv"), "csv").collect()
+    assert sorted((r.ticker, r.Metrics, r.fiscal_period, r.value) for r in rows) == [("AAA", "Revenue", "Q1 2020", 1), ("BBB", "Revenue", "Q1 2020", 2)]
+
+
+def test_large_and_bad_cells_are_not_lost(spark):
+    sheet = wide(spark, [("AAA", "Total Assets", 900000.0, 1100000.0, 1200000.0)])
+    kept = reshape.dropna_any(reshape.scan_wide(sheet))
+    assert kept.count() == 3  # read in full
+    with pytest.raises(Exception, match="does not fit"):
+        reshape.transpose_statement(kept, {"Total Assets": "total_assets"}, ["total_assets"]).collect()
+    text = spark.createDataFrame([("AAA", "Revenue", "12", "abc")], "ticker string, Metrics string, `Q1 2020` string, `Q2 2020` string")
+    with pytest.raises(Exception, match="no number: abc"):
+        reshape.scan_wide(text).collect()
+
+
+def test_two_rows_of_one_title_raise(spark):
+    sheet = wide(spark, [("AAA", "Revenue", 1.0, 2.0, 3.0), ("AAA", "Revenue", 1.0, 2.0, 4.0)])
+    with pytest.raises(Exception, match="two rows titled Revenue"):
+        reshape.dropna_any(reshape.scan_wide(sheet)).collect()
