@@ -4,8 +4,8 @@ A text is a sequence of tokens: its words and one end. Frequent words are classe
 class of their longest frequent ending, and the end is a class. A token's probability is that of its class after the
 classes before it, which the tree gives, times that of the word within its class (counts plus one, as in the base).
 
-* A context of up to ``depth`` classes, back to the text's start, is a candidate if it precedes at least ``min_share``
-  of all training tokens (so at most 1 / min_share per depth, which bounds the tree at any size of the corpus). It is
+* A context of up to ``depth`` classes, back to the text's start, is a candidate if it and its suffixes make up at
+  least ``min_share`` of all training tokens (so at most 1 / min_share per depth, which bounds the tree at any size of the corpus). It is
   kept if its next-class distribution diverges from its suffix's by ``divergence`` nats and by more than its own
   parameters cost. Suffixes of kept contexts stay.
 * Distributions are smoothed towards the suffix's with as much weight as they have distinct next classes.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from quarterline.llm.common import record_batch, sliced, staged, utf8
 
 DEPTH = 3  # four classes of 16 bits fill a key
-MIN_SHARE = 1e-4
+MIN_SHARE = 3e-4
 DIVERGENCE = 0.005
 #: Words and endings (of up to ENDING bytes) of at least this share of the training tokens are classes: at most
 #: (1 + ENDING) / CLASS_SHARE in all.
@@ -36,7 +36,9 @@ ENDING = 3
 END, START, OTHER = 0, 1, 2
 BITS = 16
 #: Texts are indexed in chunks of about so many bytes and at most so many documents.
-CHUNK_BYTES, CHUNK_ROWS = 8 << 20, 1 << 16
+CHUNK_BYTES, CHUNK_ROWS = 16 << 20, 1 << 16
+#: Sums held per task before they are handed on, in documents.
+HELD_SUMS = 1 << 22
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,30 +203,36 @@ def _about(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
 def fit(index: DataFrame, n_tokens: int, n_classes: int, depth: int, min_share: float, divergence: float) -> SuffixTree:
-    """The tree of the training texts, one depth a job. A job counts only the contexts whose suffix was a candidate
-    before; the driver gets the candidates' counts, which are bounded by the share each must have."""
+    """The tree of the training texts, one depth a job, which counts what follows the candidates of that depth.
+
+    A candidate followed by a class often enough is a candidate of the next depth, if its suffix is one too. So the
+    counts of a depth are at most 1 / min_share contexts times the classes, on the way and at the driver.
+    """
     rows: list[pd.DataFrame] = []
     schema = "context long, symbol int, n long"
     sequences = index.where("classes is not null").select("places", "classes")
+    known, least = np.zeros(1, np.int64), max(2.0, min_share * n_tokens)
     for d in range(depth + 1):
-        known = rows[-1]["context"].unique() if rows else None
 
         def count(batches: Iterator[pa.RecordBatch], d=d, known=known) -> Iterator[pa.RecordBatch]:
-            suffixes = pd.Index(known) if known is not None else None
+            candidates = pd.Index(known)
             for b in batches:
                 for about, data in zip(b.column("places").to_pylist(), b.column("classes").to_pylist()):
                     _, _, held, tokens = _about(about)
                     packed, before = _packed(np.frombuffer(data, np.uint16), tokens)
-                    use = (before >= d) & np.repeat(held == 0, tokens)
-                    if d > 1:
-                        use &= suffixes.get_indexer(_context(packed, d - 1)) >= 0
-                    low = packed[use] & np.uint64((1 << BITS * (d + 1)) - 1)
-                    key, at = pd.factorize(low)[::-1]
+                    packed = packed[(before >= d) & np.repeat(held == 0, tokens)]
+                    if d:
+                        packed = packed[candidates.get_indexer(_context(packed, d)) >= 0]
+                    at, key = pd.factorize(packed & np.uint64((1 << BITS * (d + 1)) - 1))
                     yield record_batch(schema, (key >> np.uint64(BITS)).astype(np.int64), (key & np.uint64(0xFFFF)).astype(np.int32), np.bincount(at, minlength=len(key)))
 
-        counted = sequences.mapInArrow(count, schema).groupBy("context", "symbol").agg(F.sum("n").alias("n"))
-        counted = counted.withColumn("total", F.sum("n").over(Window.partitionBy("context"))).where(F.col("total") >= max(2.0, min_share * n_tokens))
-        rows.append(counted.select("context", "symbol", "n").toPandas())
+        rows.append(sequences.mapInArrow(count, schema).groupBy("context", "symbol").agg(F.sum("n").alias("n")).toPandas())
+        often = rows[-1][(rows[-1]["n"] >= least) & (rows[-1]["symbol"] != END)]
+        longer = (often["context"].to_numpy(np.int64) << BITS) + often["symbol"].to_numpy(np.int64)
+        if not d:  # every training text has one start
+            starts = rows[0].loc[rows[0]["symbol"] == END, "n"].sum()
+            longer = np.append(longer, START) if starts >= least else longer
+        known = np.unique(longer[np.isin(longer % (1 << BITS * d), known)])
     return SuffixTree.grown(rows, n_classes, divergence)
 
 
@@ -254,30 +262,58 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     sizes = np.ones(classes.n)
     for r in valued.groupBy("class").agg(F.sum("c").alias("c"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).collect():
         sizes[r["class"]] = r["c"] + r["v"] + 1
-    model = spark.sparkContext.broadcast((fit(index, n, classes.n, depth, min_share, divergence).levels, sizes))
+    end_count = next((r[0] for r in words.where("word = X''").select("c").collect()), 0)
+    share = spark.sparkContext.broadcast(sizes)
+    part = "chunk long, places binary, classes binary, known binary, base binary, log binary"
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums over the words of this task for the documents of each chunk; those without a word here are left out."""
+        held: dict[int, np.ndarray] = {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for chunk, x in held.items():
+                at = np.flatnonzero(x.any(axis=0))
+                yield record_batch(part, [chunk], [at.astype(np.uint16).tobytes()], [None], [x[0, at].astype(np.int32).tobytes()], [x[1, at].tobytes()], [x[2, at].tobytes()])
+            held.clear()
+
+        for b in batches:
+            chunks = b.column("chunk").to_numpy()
+            each = pc.binary_length(b.column("places")).to_numpy() // 2
+            place = np.frombuffer(b"".join(b.column("places").to_pylist()), np.uint16)
+            c = b.column("c").to_numpy()
+            per_word = c > 0, np.log10((c + 1) / (n + v + 1)), np.log10((c + 1) / share.value[b.column("class").to_numpy()])
+            owner = np.repeat(chunks, each)
+            for chunk in np.unique(chunks):
+                own = owner == chunk
+                at = place[own]
+                x = held.setdefault(int(chunk), np.zeros((3, 0)))
+                if len(at) and x.shape[1] <= at.max():
+                    x = held[int(chunk)] = np.pad(x, ((0, 0), (0, int(at.max()) + 1 - x.shape[1])))
+                for k, value in enumerate(per_word):
+                    x[k] += np.bincount(at, np.repeat(value, each)[own], x.shape[1])
+            if sum(x.shape[1] for x in held.values()) > HELD_SUMS:
+                yield from flush()
+        yield from flush()
+
+    joined = index.where("word is not null").select("chunk", "word", "places").join(valued, "word")
+    sums = joined.select("chunk", "places", "c", "class").mapInArrow(partial, part)
+    levels = spark.sparkContext.broadcast(fit(index, n, classes.n, depth, min_share, divergence).levels)
+    abouts = index.where("classes is not null").select("chunk", "places", "classes", *[F.lit(None).cast("binary").alias(k) for k in ("known", "base", "log")])
     n_classes = classes.n
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
-    def sums(t: pa.Table) -> pa.Table:
-        levels, size = model.value
-        t = t.combine_chunks()
-        is_word = t.column("word").is_valid().to_numpy()
-        about = t.filter(pa.array(~is_word))
+    def together(t: pa.Table) -> pa.Table:
+        about = t.filter(t.column("classes").is_valid())
         ids, null, held, tokens = _about(about.column("places")[0].as_py())
-        log = SuffixTree(levels, n_classes).log10(np.frombuffer(about.column("classes")[0].as_py(), np.uint16), tokens)
-        t = t.filter(pa.array(is_word))
-        each = pc.binary_length(t.column("places")).to_numpy() // 2
-        place = np.frombuffer(b"".join(t.column("places").to_pylist()), np.uint16)
-        c, kind = t.column("c").to_numpy(), t.column("class").to_numpy()
-
-        def total(x: np.ndarray) -> np.ndarray:
-            return np.bincount(place, np.repeat(x, each), len(ids))
-
-        ends = end_count.value
-        base = total(np.log10((c + 1) / (n + v + 1))) + np.log10((ends + 1) / (n + v + 1))
-        tree = np.bincount(np.repeat(np.arange(len(ids)), tokens), log, len(ids)) + total(np.log10((c + 1) / size[kind]))
-        known = np.rint(total(c > 0)).astype(np.int64) + int(ends > 0)
+        log = SuffixTree(levels.value, n_classes).log10(np.frombuffer(about.column("classes")[0].as_py(), np.uint16), tokens)
+        tree = np.bincount(np.repeat(np.arange(len(ids)), tokens), log, len(ids))
+        known, base = np.full(len(ids), int(end_count > 0), np.int64), np.full(len(ids), np.log10((end_count + 1) / (n + v + 1)))
+        rest = t.filter(t.column("classes").is_null())
+        for at, k, x, y in zip(*(rest.column(c).to_pylist() for c in ("places", "known", "base", "log"))):
+            at = np.frombuffer(at, np.uint16)
+            known[at] += np.frombuffer(k, np.int32)
+            base[at] += np.frombuffer(x)
+            tree[at] += np.frombuffer(y)
         return pa.Table.from_batches([record_batch(schema, pa.array(ids, mask=null.astype(bool)), held.astype(bool), tokens, known, np.full(len(ids), n), base, tree)])
 
-    end_count = spark.sparkContext.broadcast(next((r[0] for r in words.where("word = X''").select("c").collect()), 0))
-    return index.join(valued, "word", "left").select("chunk", "word", "places", "classes", "c", "class").groupBy("chunk").applyInArrow(sums, schema)
+    return sums.unionByName(abouts).groupBy("chunk").applyInArrow(together, schema)
