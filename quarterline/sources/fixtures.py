@@ -10,52 +10,15 @@ oracle SQL also uses, so both sides see identical inputs.
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterline.functions.periods import quarter_label
 
 
-_HANDLES: dict[tuple[int, str, str], DataFrame] = {}
-
-
-def _session_id(spark: SparkSession) -> int:
-    try:
-        return spark._jsparkSession.hashCode()
-    except AttributeError:  # sessions without a JVM handle: key on the Python object
-        return id(spark)
-
-
-def memoized(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Reuse one lazy DataFrame per (session, input folder) for ``fn``.
-
-    The driver tables are immutable, so their scans and the fixture plans
-    derived from them are built once per session (like catalog views):
-    no data is cached, only the plan handle.
-    """
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (_session_id(spark), fn.__name__, sf_dir.rstrip("/"))
-        if key not in _HANDLES:
-            _HANDLES[key] = fn(spark, sf_dir)
-        return _HANDLES[key]
-
-    return wrapper
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table as a lazy parquet scan (pruned/pushed by Catalyst).
-
-    One handle per session and path: files are listed and footers read once.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (_session_id(spark), "table", path)
-    if key not in _HANDLES:
-        _HANDLES[key] = spark.read.parquet(path)
-    return _HANDLES[key]
+    """One driver table as a lazy parquet scan (pruned/pushed by Catalyst)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +92,6 @@ STATEMENT_FORMULAS = {
 }
 
 
-@memoized
 def financial_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tidy statements: one row per (ticker, fiscal_period), DECIMAL(10,4).
 
@@ -144,7 +106,6 @@ def financial_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@memoized
 def estimate_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Analyst-estimate snapshot feed in the reference's column layout.
 
@@ -268,22 +229,32 @@ def sheet_long(spark: SparkSession, sf_dir: str, sheet: str) -> DataFrame:
     )
 
 
-_PERIODS: dict[tuple[int, str], list[str]] = {}
-
-
 def fiscal_periods(spark: SparkSession, sf_dir: str) -> list[str]:
     """Labels of the quarters present in the fact, oldest first.
 
     The wide layout needs its column names when the plan is built, so this
-    is one small job over a single date column (once per session); the
-    result is a few dozen labels (bounded by the calendar, not the data).
+    is one small job over a single date column; the result is a few dozen
+    labels (bounded by the calendar, not the data).
+    """
+    li = read_table(spark, sf_dir, "lineitem").where(F.col("l_shipdate").isNotNull())
+    quarters = li.select(F.year("l_shipdate").alias("y"), F.quarter("l_shipdate").alias("q")).distinct()
+    return [f"Q{r.q} {r.y}" for r in sorted(quarters.collect())]
+
+
+def sheet_files(spark: SparkSession, sf_dir: str, sheet: str, out: str) -> str:
+    """Write one sheet kind as the reference has it, a CSV per company, and return the readers' path.
+
+    Every company's file has its own header: the quarters it reports.  The
+    folder of a file is named after the company.
     """
-    key = (_session_id(spark), sf_dir.rstrip("/"))
-    if key not in _PERIODS:
-        li = read_table(spark, sf_dir, "lineitem").where(F.col("l_shipdate").isNotNull())
-        quarters = li.select(F.year("l_shipdate").alias("y"), F.quarter("l_shipdate").alias("q")).distinct()
-        _PERIODS[key] = [f"Q{r.q} {r.y}" for r in sorted(quarters.collect())]
-    return list(_PERIODS[key])
+    cells = sheet_long(spark, sf_dir, sheet)
+    listed = F.array_sort(F.collect_list(F.struct(F.right("fiscal_period", F.lit(4)).alias("y"), F.left("fiscal_period", F.lit(2)).alias("q"), "fiscal_period", "value")))
+    lines = cells.groupBy("ticker", "Metrics").agg(listed.alias("cells"))
+    row = F.concat_ws(",", F.concat(F.lit('"'), F.col("Metrics"), F.lit('"')), F.array_join(F.transform("cells", lambda c: F.coalesce(c["value"].cast("string"), F.lit(""))), ","))
+    header = F.concat(F.lit(","), F.array_join(F.transform(F.max("cells"), lambda c: c["fiscal_period"]), ","))
+    files = lines.withColumn("row", row).groupBy("ticker").agg(F.concat_ws("\n", header, F.sort_array(F.collect_list("row"))).alias("value"))
+    files.write.partitionBy("ticker").text(out)
+    return f"{out}/ticker=*"
 
 
 def wide_sheet(spark: SparkSession, sf_dir: str, sheet: str, periods: list[str] | None = None) -> DataFrame:

@@ -107,16 +107,6 @@ def read_estimate_feed(spark: SparkSession, path: str, fmt: str = "csv") -> Data
     raise ValueError(f"unsupported feed format {fmt!r}")
 
 
-def conform_feed(df: DataFrame) -> DataFrame:
-    """Cast a feed-shaped frame to the declared feed types, extra columns kept."""
-    cols = []
-    for f in FEED_SCHEMA.fields:
-        if f.name in df.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-    extra = [F.col(c) for c in df.columns if c not in FEED_SCHEMA.fieldNames()]
-    return df.select(*cols, *extra)
-
-
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     """A feature-matrix CSV export with its declared schema."""
     return spark.read.schema(MATRIX_SCHEMA).option("header", "true").csv(path)
