@@ -17,7 +17,7 @@ def plan(df) -> str:
 
 
 def shuffles(text: str) -> int:
-    return len(re.findall(r"Exchange (hash|range)partitioning", text))
+    return len(re.findall(r"Arguments: (?:hash|range)partitioning", text))
 
 
 def test_feature_plan_shape(spark, sf_small):
@@ -47,3 +47,27 @@ def test_feed_predicates_reach_parquet(spark):
 def test_dropna_is_one_pass(spark, sf_small):
     text = plan(dropna_any(sheet_of(spark, sf_small, "income")))
     assert "Join" not in text
+
+
+def test_statements_are_built_in_one_shuffle(spark, sf_small):
+    """With the sheets stored, all windows, the aggregate and the check share one exchange on the ticker."""
+    from quarterline.operators.reshape import scan_wide
+    from quarterline.operators.statements import statements_from_sheets
+    from quarterline.sources import fixtures as fx
+
+    periods, stored = fx.fiscal_periods(spark, sf_small), []
+    for sheet in ("income", "balance", "cash", "derived"):
+        path = shared_dir(spark, "plan-sheets", sheet)
+        fx.wide_sheet(spark, sf_small, sheet, periods).write.mode("overwrite").parquet(path)
+        stored.append(scan_wide(spark.read.parquet(path)))
+    text = plan(statements_from_sheets(*stored))
+    assert shuffles(text) == 1 and "SinglePartition" not in text
+    assert len(re.findall(r"Scan parquet", text.split("\n\n")[0])) <= 5
+
+
+def test_feature_plan_without_broadcasts(spark, sf_small):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert shuffles(plan(features_of(spark, sf_small))) <= 6
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
