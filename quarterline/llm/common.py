@@ -23,11 +23,22 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BROADCAST_IDS = 1_000_000
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def staged(df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``arrow_rows``: rows handed to Python at a time while it is written, for rows that are large.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, "llm", f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    usual = spark.conf.get(ARROW_ROWS)
+    try:
+        spark.conf.set(ARROW_ROWS, str(arrow_rows or usual))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, usual)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -59,7 +70,7 @@ def record_batch(schema: str, *columns) -> pa.RecordBatch:
         [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, f.type) for c, f in zip(columns, s)], schema=s)
 
 
-def sliced(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def sliced(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``max_bytes`` of text (one row at least)."""
     for b in batches:
         sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False))

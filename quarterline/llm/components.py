@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarterline.llm.common import staged
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _counted(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, written, with their number and a sum of their hashes."""
+    seen = Observation()
+    out = staged(edges.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), "star-edges")
+    return out, (seen.get["n"], seen.get["sum"])
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step on edges (u > v). The minima are written first, so that the join has a plain shuffle on both
-    sides and a hub's edges can be split among tasks; the minima themselves are combined before their shuffle."""
+    """One star step on edges (u > v). The minima are combined before their shuffle, then dealt by the minimum, so that
+    the join shuffles both its sides itself and a hub's edges can be split among tasks."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    least = staged(both.groupBy("u").agg(F.min("v").alias("m")), "star-minima")
+    least = both.groupBy("u").agg(F.min("v").alias("m")).repartition("m")
     pairs = both.join(least, "u")
     if large:
         out = pairs.where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
     else:
-        out = pairs.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return staged(out.where("u <> v").distinct(), "star-edges")
+        out = pairs.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
+    return out.where("u <> v").distinct()
 
 
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
@@ -31,11 +34,9 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     Loops, repeated and reversed edges and edges with a null end are allowed; loops and nulls say nothing and are left
     out. The rounds grow with the logarithm of the nodes.
     """
-    now = staged(edges.where(F.col(u) != F.col(v)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct(), "star-edges")
-    before = _state(now)
+    now, before = _counted(edges.where(F.col(u) != F.col(v)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct())
     while before[0]:
-        now = _star(_star(now, large=True), large=False)
-        after = _state(now)
+        now, after = _counted(_star(staged(_star(now, large=True), "star-large"), large=False))
         if after == before:
             break
         before = after

@@ -91,26 +91,28 @@ def _long_enough(a: str, b: str) -> F.Column:
     return F.expr(f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """Of the distinct pairs (x, y) those linked: first the signatures, then the full shingle sets are compared."""
-    sides = [classes.select(F.col("rep").alias(k), F.col("signature").alias(f"s{k}")) for k in ("x", "y")]
-
-    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 4096):
-                b = batch.slice(lo, 4096)
-                left, right = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(b.num_rows, -1) for c in ("sx", "sy"))
-                yield b.select(["x", "y"]).filter(pa.array((left == right).mean(axis=1) >= LEAST_AGREEING))
-
-    near = staged(pairs.join(sides[0], "x").join(sides[1], "y").select("x", "y", "sx", "sy").mapInArrow(agreeing, "x long, y long"), "minhash-pairs")
-    ids = near.select(F.col("x").alias("doc_id")).union(near.select("y")).distinct()
+def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """doc_id, shingles (sorted, 64 bits each) of the documents with these ids."""
     texts = with_ids(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), ids, "doc_id").dropDuplicates(["doc_id"])
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, "text"):
             yield record_batch("doc_id long, shingles binary", b.column("doc_id"), [s.tobytes() for s in shingle_sets(utf8(b.column("text")), size)])
 
-    sets = staged(texts.mapInArrow(full, "doc_id long, shingles binary"), "minhash-sets")
+    return staged(texts.mapInArrow(full, "doc_id long, shingles binary"), "minhash-sets", arrow_rows=1000)
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """Of the distinct pairs (x, y) those linked: first the signatures, then the full shingle sets are compared."""
+    sides = [classes.select(F.col("rep").alias(k), F.col("signature").alias(f"s{k}")) for k in ("x", "y")]
+
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            left, right = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(b.num_rows, -1) for c in ("sx", "sy"))
+            yield b.select(["x", "y"]).filter(pa.array((left == right).mean(axis=1) >= LEAST_AGREEING))
+
+    near = staged(pairs.join(sides[0], "x").join(sides[1], "y").select("x", "y", "sx", "sy").mapInArrow(agreeing, "x long, y long"), "minhash-pairs", arrow_rows=4096)
+    sets = _sets(docs, near.select(F.col("x").alias("doc_id")).union(near.select("y")).distinct(), id_col, text_col, size)
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -123,17 +125,82 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
 
     both = near.join(sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("sx")), "x").join(
         sets.select(F.col("doc_id").alias("y"), F.col("shingles").alias("sy")), "y")
-    return staged(both.select("x", "y", "sx", "sy").mapInArrow(linked, "x long, y long"), "minhash-links")
+    return staged(both.select("x", "y", "sx", "sy").mapInArrow(linked, "x long, y long"), "minhash-links", arrow_rows=500)
+
+
+def shared_counts(sets: DataFrame) -> DataFrame:
+    """rep, shared: how many of a document's shingles at least one other of these documents has too.
+
+    No two of the documents can have more shingles in common than the smaller of these numbers.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for doc, data in zip(b.column("doc_id").to_pylist(), b.column("shingles").to_pylist()):
+                own = np.frombuffer(data, np.int64)
+                yield record_batch("rep long, shingle long", np.full(len(own), doc), own)
+
+    each = staged(sets.mapInArrow(run, "rep long, shingle long"), "minhash-shingles", arrow_rows=500)
+    common = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle", F.pmod("n", F.lit(64)).alias("deal"))
+    # dealt anew, so that the join shuffles both sides itself and can split a shingle that most documents have
+    return each.join(common.repartition("deal").drop("deal"), "shingle").groupBy("rep").agg(F.count("*").alias("shared"))
+
+
+def _open_pairs(open_: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """Distinct (x, y) of different components that may be linked, among the members of each pivot's buckets.
+
+    ``open_``: pivot, rep, n_shingles, component. Linked sets have at least T = 75 / 175 of their sizes' sum in common.
+    Of that at most min(|x & p|, |y & p|) lies within the pivot p; so either that alone reaches T, or x and y share a
+    shingle outside p. To share as many as x lacks, they must meet in one of x's rarest.
+    """
+    home = groups.select(F.col("node").alias("pivot"), F.col("component").alias("home"))
+    member = open_.select("pivot", "rep", "n_shingles", "component").distinct().join(home, "pivot", "left")
+    own, other = (sets.select(F.col("doc_id").alias(k), F.col("shingles").alias(f"s_{k}")) for k in ("rep", "pivot"))
+    kept = ["pivot", "rep", "n_shingles", "component"]
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            outside = [np.setdiff1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(p.as_buffer(), np.uint64), assume_unique=True)
+                       for x, p in zip(b.column("s_rep"), b.column("s_pivot"))]
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c) for c in kept), b.column("away"), pa.array([x.view(np.int64) for x in outside], pa.list_(pa.int64()))], names=[*kept, "away", "outside"])
+
+    away = F.coalesce(F.col("component") != F.coalesce("home", "pivot"), F.lit(True)).alias("away")
+    table = member.join(own, "rep").join(other, "pivot").select(*kept, away, "s_rep", "s_pivot")
+    table = staged(table.mapInArrow(split, "pivot long, rep long, n_shingles long, component long, away boolean, outside array<long>").withColumn(
+        "inside", F.col("n_shingles") - F.size("outside")), "minhash-outside", arrow_rows=500)
+
+    def side(k: str) -> DataFrame:
+        return table.select("pivot", F.col("rep").alias(k), F.col("n_shingles").alias(f"n{k}"), F.col("component").alias(f"c{k}"), F.col("inside").alias(f"i{k}"), F.col("away").alias(f"a{k}"))
+
+    apart = (F.col("x") != F.col("y")) & (F.col("cx") != F.col("cy")) & _long_enough("nx", "ny")
+    near = side("x").where("ax").join(side("y"), "pivot").where(apart).where(f"{100 + PERCENT} * least(ix, iy) >= {PERCENT} * (nx + ny)").select("x", "y")
+    # how many of the members have a shingle outside the pivot
+    each = table.select("pivot", "rep", "n_shingles", "component", "inside", "away", F.explode("outside").alias("shingle"))
+    common = staged(each.groupBy("pivot", "shingle").agg(F.count("*").alias("df")).where("df > 1"), "minhash-common")
+    shared = staged(each.join(common, ["pivot", "shingle"]), "minhash-common-of")
+    smallest = open_.groupBy("pivot").agg(F.min("n_shingles").alias("least"))
+    lists = shared.where("away").groupBy("pivot", "rep", "n_shingles", "component", "inside").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("f"))
+    # x needs to share so many outside the pivot even with the smallest partner
+    lacks = F.ceil((F.col("n_shingles") + F.greatest("least", F.ceil(F.col("n_shingles") * (PERCENT / 100)))) * (PERCENT / (100 + PERCENT)) - F.col("inside") - 1e-6)
+    lacks = F.greatest(lacks, F.lit(1)).cast("int")
+    first = lists.join(smallest, "pivot").withColumn("lacks", lacks).where("size(f) >= lacks")
+    first = first.select("pivot", F.col("rep").alias("x"), F.col("n_shingles").alias("nx"), F.col("component").alias("cx"), F.col("inside").alias("ix"),
+                         F.explode(F.slice("f", 1, F.size("f") - F.col("lacks") + 1)).alias("e")).withColumn("shingle", F.col("e.shingle")).drop("e")
+    meet = shared.select("pivot", "shingle", F.col("rep").alias("y"), F.col("n_shingles").alias("ny"), F.col("component").alias("cy"))
+    met = staged(first, "minhash-rarest").join(meet, ["pivot", "shingle"]).where(apart).select("x", "y")
+    return near.unionByName(met).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links of 75 % and more), kept.
 
     Equal sets form a class, represented by its smallest id. Candidates are classes that share a band. Each is first
-    checked against the smallest of its bucket; the links found are joined into components. Where a bucket then still
-    holds several components, the pairs between different components are checked too, so no candidate pair stays
-    unchecked unless it is connected already: a large group of near copies costs one check a member and band, not one
-    a pair, and no link between components is lost.
+    checked against the pivot of its bucket, the member that shares the most buckets with others; the links found are
+    joined into components. Where a bucket then still holds several components, pairs between different components
+    are checked too, unless their sizes, the numbers of their shingles that others have at all, or what they share
+    with the pivot rule a link out (``_open_pairs``). So no candidate pair stays undecided unless it is connected
+    already: a large group of near copies costs one check a member and band, not one a pair, and no link between
+    components is lost.
 
     A null or wordless text has an empty set and is its own component. A row with a null id keeps a null component
     and is kept. Repeated rows come back as often as they came; equal ids share a component. Other columns are not
@@ -144,24 +211,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # one row per class; partial minima before the shuffle, so copies cost nothing
     reps = staged(known.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles")), "minhash-reps")
     classes = staged(
-        known.select(F.col("doc_id").alias("rep"), "signature").join(reps, "rep").dropDuplicates(["rep", "set_hash"]).select("rep", "set_hash", "n_shingles", "signature"),
+        known.select(F.col("doc_id").alias("rep"), "set_hash", "signature").join(reps, ["rep", "set_hash"]).dropDuplicates(["rep", "set_hash"]).select("rep", "n_shingles", "signature"),
         "minhash-classes")
     keys = staged(band_keys(classes, bands, rows), "minhash-bands")
-    buckets = staged(keys.groupBy("key").agg(F.min("rep").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "minhash-buckets")
+    buckets = staged(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "minhash-buckets")
     members = staged(keys.join(buckets, "key"), "minhash-members")
+    weight = staged(members.groupBy("rep").agg(F.sum("n").alias("weight")), "minhash-weights")
+    pivots = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("weight", -F.col("rep"))).alias("p")).select("key", (-F.col("p.col2")).alias("pivot"), F.pmod("p.col2", F.lit(64)).alias("deal"))
+    # dealt anew, so that the join shuffles both sides itself and can split a large bucket
+    members = staged(members.select("key", "rep", "n_shingles").join(pivots.repartition("deal").drop("deal"), "key"), "minhash-members")
     sizes = classes.select(F.col("rep").alias("y"), F.col("n_shingles").alias("ny"))
-    stars = members.where("rep <> first").select(F.col("rep").alias("x"), F.col("first").alias("y"), "n_shingles").distinct()
-    stars = stars.join(sizes, "y").where(_long_enough("n_shingles", "ny")).select("x", "y")
+    stars = members.where("rep <> pivot").select(F.col("rep").alias("x"), F.col("pivot").alias("y"), "n_shingles").distinct()
+    stars = stars.join(sizes, "y").where(_long_enough("n_shingles", "ny")).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     links = verified(stars, classes, docs, id_col, text_col, size)
     groups = staged(components(links, "x", "y"), "minhash-groups")
     # what is left: buckets of several components
-    placed = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "first", "n_shingles", F.coalesce("component", "rep").alias("component"))
-    mixed = staged(placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key"), "minhash-mixed")
-    open_ = staged(placed.where("rep <> first").join(mixed, "key"), "minhash-open")
-    a, b = (open_.select("key", F.col("rep").alias(k), F.col("n_shingles").alias(f"n{k}"), F.col("component").alias(f"c{k}")) for k in ("x", "y"))
-    more = a.join(b, "key").where("x < y and cx <> cy").where(_long_enough("nx", "ny")).select("x", "y").distinct()
-    found = verified(staged(more, "minhash-more"), classes, docs, id_col, text_col, size)
+    placed = staged(members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "key", "rep", "pivot", "n_shingles", F.coalesce("component", "rep").alias("component")), "minhash-placed")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key", F.pmod("lo", F.lit(64)).alias("deal"))
+    open_ = staged(placed.join(mixed.repartition("deal").drop("deal"), "key").select("pivot", "rep", "n_shingles", "component").distinct(), "minhash-open")
+    sets = _sets(docs, open_.select(F.col("rep").alias("doc_id")).distinct(), id_col, text_col, size)
+    # x and y need 75 / 175 of their sizes' sum in common, and neither is under 75 % of the other
+    open_ = staged(open_.where("rep <> pivot").join(staged(shared_counts(sets), "minhash-shared"), "rep").where(f"100 * shared >= {PERCENT} * n_shingles"), "minhash-open")
+    found = verified(staged(_open_pairs(open_, sets, groups), "minhash-more"), classes, docs, id_col, text_col, size)
     if not found.isEmpty():
         groups = staged(components(links.unionByName(found), "x", "y"), "minhash-groups")
     rep_of = sketch.join(reps.select("set_hash", "rep"), "set_hash", "left")
