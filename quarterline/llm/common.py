@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,31 +27,55 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BROADCAST_IDS = 1_000_000
 
 
+_STAGED: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _remove_staged() -> None:
+    """What this process has staged goes when it ends; on a cluster that is the application's end."""
+    for spark, path in _STAGED:
+        with contextlib.suppress(Exception):
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def staged(df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame:
+def staged(df: DataFrame, name: str, arrow_rows: int = 1000) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors.
 
-    ``arrow_rows``: rows handed to Python at a time while it is written, for rows that are large.
+    ``arrow_rows``: rows handed to Python at a time while it is written; texts may be long, and the buffers stay.
     """
     spark = df.sparkSession
     path = shared_dir(spark, "llm", f"{name}-{uuid.uuid4().hex}")
+    _STAGED.append((spark, path))
     usual = spark.conf.get(ARROW_ROWS)
     try:
-        spark.conf.set(ARROW_ROWS, str(arrow_rows or usual))
+        spark.conf.set(ARROW_ROWS, str(min(arrow_rows, int(usual))))
         df.write.parquet(path)
     finally:
         spark.conf.set(ARROW_ROWS, usual)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, *key: str) -> DataFrame:
+    """An aggregate dealt by another hash of its key, so that a join on the key shuffles both its sides itself and
+    Spark may split a key that the other side has very often."""
+    return df.repartition(F.xxhash64(*key))
+
+
 def with_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` is in the distinct ``ids``; broadcasts them only if they are counted to be few."""
     few = ids.count() <= BROADCAST_IDS
     return df.join(F.broadcast(ids) if few else ids, key, "left_semi")
 
 
+def fraction(share: float, *columns: str) -> Column:
+    """Whether a row is among about ``share`` of all, by a hash of these columns."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) < int(min(share, 1.0) * (1 << 40))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -82,6 +110,15 @@ def sliced(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 2 << 2
             at = to
 
 
+def handed_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; then the memory freed goes back to the system, as Python workers are kept for later tasks."""
+    yield from batches
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library can do it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts as UTF-8; null: empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

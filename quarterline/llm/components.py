@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import staged
+from quarterline.llm.common import dealt, staged
 
 
-def _counted(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """The edges, written, with their number and a sum of their hashes."""
-    seen = Observation()
-    out = staged(edges.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), "star-edges")
-    return out, (seen.get["n"], seen.get["sum"])
+def _stars_only(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge and is no smaller end: then the smaller ends are the components."""
+    ends = edges.select("u", F.lit(1).alias("larger"), F.lit(0).alias("smaller")).unionByName(
+        edges.select(F.col("v").alias("u"), F.lit(0).alias("larger"), F.lit(1).alias("smaller")))
+    both = ends.groupBy("u").agg(F.sum("larger").alias("larger"), F.max("smaller").alias("smaller"))
+    return both.where("larger > 1 or (larger = 1 and smaller = 1)").isEmpty()
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step on edges (u > v). The minima are combined before their shuffle, then dealt by the minimum, so that
-    the join shuffles both its sides itself and a hub's edges can be split among tasks."""
+    """One star step on edges (u > v). The minima are combined before their shuffle; a hub's edges can be split."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    least = both.groupBy("u").agg(F.min("v").alias("m")).repartition("m")
-    pairs = both.join(least, "u")
+    pairs = both.join(dealt(both.groupBy("u").agg(F.min("v").alias("m")), "u"), "u")
     if large:
         out = pairs.where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
     else:
@@ -34,11 +33,8 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     Loops, repeated and reversed edges and edges with a null end are allowed; loops and nulls say nothing and are left
     out. The rounds grow with the logarithm of the nodes.
     """
-    now, before = _counted(edges.where(F.col(u) != F.col(v)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct())
-    while before[0]:
-        now, after = _counted(_star(staged(_star(now, large=True), "star-large"), large=False))
-        if after == before:
-            break
-        before = after
+    now = staged(edges.where(F.col(u) != F.col(v)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct(), "star-edges")
+    while not _stars_only(now):
+        now = staged(_star(staged(_star(now, large=True), "star-large"), large=False), "star-small")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

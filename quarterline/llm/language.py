@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import _LOWER, record_batch, sliced, staged, utf8
+from quarterline.llm.common import _LOWER, fraction, handed_back, record_batch, sliced, staged, utf8
 
 BUCKETS = 1 << 14
 #: At most about so many labelled rows (chosen by a hash of the id) fit the trigram model.
@@ -53,8 +53,7 @@ def fit(evidence: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[list[str], np.nd
     """
     labelled = evidence.where("declared is not null")
     total = labelled.count()
-    share = min(1.0, fit_rows / max(total, 1))
-    sample = labelled.where(F.pmod(F.xxhash64("doc_id", "declared"), F.lit(1_000_000)) < round(share * 1_000_000))
+    sample = labelled.where(fraction(fit_rows / max(total, 1), "doc_id", "declared"))
     schema = "lang string, bucket int, n long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,8 +110,9 @@ def identify(docs: DataFrame, pages: DataFrame | None = None, declared: str = "l
     A page's markup language goes before the declared one. Returns doc_id, language, confidence, text_language,
     declared, and kept: the posterior of the best language is ``least_confidence`` or more and there is a text.
     Missing evidence says nothing. Null and empty texts, those of one or two bytes and those without any known trigram
-    have no text evidence and are rejected; ties go to the alphabetically first language. Without any declared language nothing can be told:
-    language null, nothing kept. Repeated rows are judged alike; a null doc_id has no page.
+    have no text evidence and are rejected; ties go to the alphabetically first language. Without any declared
+    language nothing can be told: language null, nothing kept. Repeated rows are judged alike; a null doc_id has no
+    page.
     """
     evidence = docs.select("doc_id", "text", primary(F.col(declared)).alias("declared"), F.col(site).alias("site"))
     langs, logs = fit(evidence, fit_rows)
@@ -135,7 +135,7 @@ def identify(docs: DataFrame, pages: DataFrame | None = None, declared: str = "l
 
     kinds = dict(evidence.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in fields) + ", text_log array<double>, text_at int"
-    table = evidence.select(*fields, "text").mapInArrow(score, schema)
+    table = evidence.select(*fields, "text").mapInArrow(lambda b: handed_back(score(b)), schema)
     if pages is None:
         table = table.withColumns({c: F.lit(None).cast("string") for c in ("markup", "suffix", "host")})
     else:  # the texts stay behind: only their likelihoods are joined

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import record_batch, shingles, sliced, staged, utf8, with_ids, words
+from quarterline.llm.common import dealt, handed_back, record_batch, shingles, sliced, staged, utf8, with_ids, words
 from quarterline.llm.components import components
 
 #: 32 bands of 4 minima: at similarity 0.75 a pair misses every band with probability (1 - 0.75**4)**32 = 5e-6.
@@ -66,7 +66,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int,
                 [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                 [next(signatures).tobytes() if len(s) else None for s in sets])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lambda b: handed_back(run(b)), schema)
 
 
 def band_keys(classes: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -99,7 +99,7 @@ def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, size: int
         for b in sliced(batches, "text"):
             yield record_batch("doc_id long, shingles binary", b.column("doc_id"), [s.tobytes() for s in shingle_sets(utf8(b.column("text")), size)])
 
-    return staged(texts.mapInArrow(full, "doc_id long, shingles binary"), "minhash-sets", arrow_rows=1000)
+    return staged(texts.mapInArrow(lambda b: handed_back(full(b)), "doc_id long, shingles binary"), "minhash-sets")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -111,7 +111,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
             left, right = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(b.num_rows, -1) for c in ("sx", "sy"))
             yield b.select(["x", "y"]).filter(pa.array((left == right).mean(axis=1) >= LEAST_AGREEING))
 
-    near = staged(pairs.join(sides[0], "x").join(sides[1], "y").select("x", "y", "sx", "sy").mapInArrow(agreeing, "x long, y long"), "minhash-pairs", arrow_rows=4096)
+    near = staged(pairs.join(sides[0], "x").join(sides[1], "y").select("x", "y", "sx", "sy").mapInArrow(agreeing, "x long, y long"), "minhash-pairs")
     sets = _sets(docs, near.select(F.col("x").alias("doc_id")).union(near.select("y")).distinct(), id_col, text_col, size)
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +125,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
 
     both = near.join(sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("sx")), "x").join(
         sets.select(F.col("doc_id").alias("y"), F.col("shingles").alias("sy")), "y")
-    return staged(both.select("x", "y", "sx", "sy").mapInArrow(linked, "x long, y long"), "minhash-links", arrow_rows=500)
+    return staged(both.select("x", "y", "sx", "sy").mapInArrow(lambda b: handed_back(linked(b)), "x long, y long"), "minhash-links", arrow_rows=200)
 
 
 def shared_counts(sets: DataFrame) -> DataFrame:
@@ -139,10 +139,9 @@ def shared_counts(sets: DataFrame) -> DataFrame:
                 own = np.frombuffer(data, np.int64)
                 yield record_batch("rep long, shingle long", np.full(len(own), doc), own)
 
-    each = staged(sets.mapInArrow(run, "rep long, shingle long"), "minhash-shingles", arrow_rows=500)
-    common = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle", F.pmod("n", F.lit(64)).alias("deal"))
-    # dealt anew, so that the join shuffles both sides itself and can split a shingle that most documents have
-    return each.join(common.repartition("deal").drop("deal"), "shingle").groupBy("rep").agg(F.count("*").alias("shared"))
+    each = staged(sets.mapInArrow(run, "rep long, shingle long"), "minhash-shingles", arrow_rows=200)
+    common = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
+    return each.join(dealt(common, "shingle"), "shingle").groupBy("rep").agg(F.count("*").alias("shared"))
 
 
 def _open_pairs(open_: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
@@ -167,7 +166,7 @@ def _open_pairs(open_: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFra
     away = F.coalesce(F.col("component") != F.coalesce("home", "pivot"), F.lit(True)).alias("away")
     table = member.join(own, "rep").join(other, "pivot").select(*kept, away, "s_rep", "s_pivot")
     table = staged(table.mapInArrow(split, "pivot long, rep long, n_shingles long, component long, away boolean, outside array<long>").withColumn(
-        "inside", F.col("n_shingles") - F.size("outside")), "minhash-outside", arrow_rows=500)
+        "inside", F.col("n_shingles") - F.size("outside")), "minhash-outside", arrow_rows=200)
 
     def side(k: str) -> DataFrame:
         return table.select("pivot", F.col("rep").alias(k), F.col("n_shingles").alias(f"n{k}"), F.col("component").alias(f"c{k}"), F.col("inside").alias(f"i{k}"), F.col("away").alias(f"a{k}"))
@@ -176,8 +175,8 @@ def _open_pairs(open_: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFra
     near = side("x").where("ax").join(side("y"), "pivot").where(apart).where(f"{100 + PERCENT} * least(ix, iy) >= {PERCENT} * (nx + ny)").select("x", "y")
     # how many of the members have a shingle outside the pivot
     each = table.select("pivot", "rep", "n_shingles", "component", "inside", "away", F.explode("outside").alias("shingle"))
-    common = staged(each.groupBy("pivot", "shingle").agg(F.count("*").alias("df")).where("df > 1"), "minhash-common")
-    shared = staged(each.join(common, ["pivot", "shingle"]), "minhash-common-of")
+    common = each.groupBy("pivot", "shingle").agg(F.count("*").alias("df")).where("df > 1")
+    shared = staged(each.join(dealt(common, "pivot", "shingle"), ["pivot", "shingle"]), "minhash-common")
     smallest = open_.groupBy("pivot").agg(F.min("n_shingles").alias("least"))
     lists = shared.where("away").groupBy("pivot", "rep", "n_shingles", "component", "inside").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("f"))
     # x needs to share so many outside the pivot even with the smallest partner
@@ -187,7 +186,7 @@ def _open_pairs(open_: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFra
     first = first.select("pivot", F.col("rep").alias("x"), F.col("n_shingles").alias("nx"), F.col("component").alias("cx"), F.col("inside").alias("ix"),
                          F.explode(F.slice("f", 1, F.size("f") - F.col("lacks") + 1)).alias("e")).withColumn("shingle", F.col("e.shingle")).drop("e")
     meet = shared.select("pivot", "shingle", F.col("rep").alias("y"), F.col("n_shingles").alias("ny"), F.col("component").alias("cy"))
-    met = staged(first, "minhash-rarest").join(meet, ["pivot", "shingle"]).where(apart).select("x", "y")
+    met = dealt(first, "shingle").join(meet, ["pivot", "shingle"]).where(apart).select("x", "y")
     return near.unionByName(met).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
@@ -208,35 +207,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     sketch = staged(sketches(docs, id_col, text_col, bands, rows, size), "minhash-sketches")
     known = sketch.where("doc_id is not null and set_hash is not null")
-    # one row per class; partial minima before the shuffle, so copies cost nothing
-    reps = staged(known.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles")), "minhash-reps")
-    classes = staged(
-        known.select(F.col("doc_id").alias("rep"), "set_hash", "signature").join(reps, ["rep", "set_hash"]).dropDuplicates(["rep", "set_hash"]).select("rep", "n_shingles", "signature"),
-        "minhash-classes")
+    # one row per class, its smallest document; combined before the shuffle, so copies cost nothing
+    classes = staged(known.groupBy("set_hash").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("c")).select(
+        "set_hash", F.col("c.doc_id").alias("rep"), "c.n_shingles", "c.signature"), "minhash-classes")
     keys = staged(band_keys(classes, bands, rows), "minhash-bands")
-    buckets = staged(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "minhash-buckets")
-    members = staged(keys.join(buckets, "key"), "minhash-members")
-    weight = staged(members.groupBy("rep").agg(F.sum("n").alias("weight")), "minhash-weights")
-    pivots = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("weight", -F.col("rep"))).alias("p")).select("key", (-F.col("p.col2")).alias("pivot"), F.pmod("p.col2", F.lit(64)).alias("deal"))
-    # dealt anew, so that the join shuffles both sides itself and can split a large bucket
-    members = staged(members.select("key", "rep", "n_shingles").join(pivots.repartition("deal").drop("deal"), "key"), "minhash-members")
+    buckets = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = staged(keys.join(dealt(buckets, "key"), "key"), "minhash-members")
+    weight = members.groupBy("rep").agg(F.sum("n").alias("weight"))
+    pivots = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("weight", -F.col("rep"))).alias("p")).select("key", (-F.col("p.col2")).alias("pivot"))
+    members = staged(members.select("key", "rep", "n_shingles").join(dealt(pivots, "key"), "key"), "minhash-pivots")
     sizes = classes.select(F.col("rep").alias("y"), F.col("n_shingles").alias("ny"))
     stars = members.where("rep <> pivot").select(F.col("rep").alias("x"), F.col("pivot").alias("y"), "n_shingles").distinct()
     stars = stars.join(sizes, "y").where(_long_enough("n_shingles", "ny")).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     links = verified(stars, classes, docs, id_col, text_col, size)
-    groups = staged(components(links, "x", "y"), "minhash-groups")
+    groups = components(links, "x", "y")
     # what is left: buckets of several components
     placed = staged(members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "rep", "pivot", "n_shingles", F.coalesce("component", "rep").alias("component")), "minhash-placed")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key", F.pmod("lo", F.lit(64)).alias("deal"))
-    open_ = staged(placed.join(mixed.repartition("deal").drop("deal"), "key").select("pivot", "rep", "n_shingles", "component").distinct(), "minhash-open")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    open_ = staged(placed.join(dealt(mixed, "key"), "key").select("pivot", "rep", "n_shingles", "component").distinct(), "minhash-open")
     sets = _sets(docs, open_.select(F.col("rep").alias("doc_id")).distinct(), id_col, text_col, size)
     # x and y need 75 / 175 of their sizes' sum in common, and neither is under 75 % of the other
-    open_ = staged(open_.where("rep <> pivot").join(staged(shared_counts(sets), "minhash-shared"), "rep").where(f"100 * shared >= {PERCENT} * n_shingles"), "minhash-open")
-    found = verified(staged(_open_pairs(open_, sets, groups), "minhash-more"), classes, docs, id_col, text_col, size)
+    open_ = staged(open_.where("rep <> pivot").join(shared_counts(sets), "rep").where(f"100 * shared >= {PERCENT} * n_shingles"), "minhash-open")
+    found = verified(_open_pairs(open_, sets, groups), classes, docs, id_col, text_col, size)
     if not found.isEmpty():
-        groups = staged(components(links.unionByName(found), "x", "y"), "minhash-groups")
-    rep_of = sketch.join(reps.select("set_hash", "rep"), "set_hash", "left")
+        groups = components(links.unionByName(found), "x", "y")
+    rep_of = sketch.join(classes.select("set_hash", "rep"), "set_hash", "left")
     out = rep_of.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id"),

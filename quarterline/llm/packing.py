@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import record_batch, sliced, staged
+from quarterline.llm.common import handed_back, record_batch, sliced, staged
 
 class Encoder:
     """Token ids of whole texts as little-endian bytes, as the tokenizer of ``path`` gives them.
@@ -68,7 +68,7 @@ def encoded(docs: DataFrame, tokenizer: str, id_col: str, text_col: str) -> Data
             yield record_batch(schema, b.column("doc_id"), np.full(len(n), task), at + np.cumsum(n) - n, n, pa.array(ids, pa.binary()))
             at += int(n.sum())
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lambda b: handed_back(run(b)), schema)
 
 
 def pack(docs: DataFrame, tokenizer: str, length: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

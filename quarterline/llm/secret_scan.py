@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import staged
+from quarterline.llm.common import fraction, staged
 
 #: kind, pattern, group whose length counts, least length. Matches are leftmost and do not overlap within a kind.
 #: A run that is too short for access or hex can't hold a longer one, so their patterns state the length.
@@ -123,8 +123,7 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", fit_do
     passed on, unless they are named forms, spans or candidates.
     """
     scanned = with_forms(docs, text_col)
-    share = min(1.0, fit_documents / max(docs.count(), 1))
-    chosen = docs.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(1_000_000)) < round(share * 1_000_000)).select(F.col(text_col).alias("text"))
+    chosen = docs.where(fraction(fit_documents / max(docs.count(), 1), id_col, text_col)).select(F.col(text_col).alias("text"))
     sample = staged(with_forms(chosen), "secrets-sample")
     models = [train(labelled_samples(sample.where(_fold("text") != k))) for k in (0, 1)]
     text = F.coalesce(F.col(text_col), F.lit(""))

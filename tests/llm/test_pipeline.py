@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
@@ -14,8 +16,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 @pytest.fixture(scope="module")
 def stages(spark, sf_small):
     docs = corpus_pipeline.documents(spark, sf_small)
-    text = docs.where("doc_id = 1").first()["text"]
-    own = [(90_000 + i, f"{text[i * 40:]} token = 'abc{i}defghi' {text[: 20 * i]}", "en", "src1", 1) for i in range(3)]
+    words = docs.where("doc_id = 1").first()["text"].split()
+    own = []
+    for i in range(3):
+        random.Random(i).shuffle(words)
+        own.append((90_000 + i, f"{' '.join(words)} token = 'abc{i}defghi' end", "en", "src1", 1))
     out, docs = {}, docs.unionByName(spark.createDataFrame(own, docs.schema))
     out["documents"] = docs
     for name, stage in corpus_pipeline.STAGES:
