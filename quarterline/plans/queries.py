@@ -94,8 +94,12 @@ def _scanned(sheet: DataFrame) -> DataFrame:
 
 
 def sheets_of(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    periods = fx.fiscal_periods(spark, d)
-    return {s: _scanned(fx.wide_sheet(spark, d, s, periods)) for s in fx.SHEETS}
+    """All sheet kinds, of statements that are derived from the line items and stored once."""
+    path = _scratch(spark, "sheet-statements")
+    sinks.write_table(statements_of(spark, d), path)
+    stored = spark.read.parquet(path)
+    periods = sorted((r[0] for r in stored.select("fiscal_period").distinct().collect()), key=lambda p: (p[-4:], p[:2]))
+    return {s: _scanned(fx.wide_sheet(spark, d, s, periods, stored)) for s in fx.SHEETS}
 
 
 def file_scan(spark: SparkSession, d: str, sheet: str) -> DataFrame:

@@ -213,9 +213,12 @@ SHEETS = {
 }
 
 
-def sheet_long(spark: SparkSession, sf_dir: str, sheet: str) -> DataFrame:
-    """One sheet in long form: (ticker, Metrics, fiscal_period, value)."""
-    fs = financial_statements(spark, sf_dir)
+def sheet_long(spark: SparkSession, sf_dir: str, sheet: str, statements: DataFrame | None = None) -> DataFrame:
+    """One sheet in long form: (ticker, Metrics, fiscal_period, value).
+
+    ``statements``: the fixture statements, where they are stored already.
+    """
+    fs = statements if statements is not None else financial_statements(spark, sf_dir)
     rows = SHEETS[sheet]
     exprs = [
         F.struct(
@@ -257,7 +260,8 @@ def sheet_files(spark: SparkSession, sf_dir: str, sheet: str, out: str) -> str:
     return f"{out}/ticker=*"
 
 
-def wide_sheet(spark: SparkSession, sf_dir: str, sheet: str, periods: list[str] | None = None) -> DataFrame:
+def wide_sheet(spark: SparkSession, sf_dir: str, sheet: str, periods: list[str] | None = None,
+               statements: DataFrame | None = None) -> DataFrame:
     """One sheet in the wide layout: (ticker, Metrics, '<Qn yyyy>'...).
 
     One row per (ticker, metric title) and one column per fiscal period,
@@ -265,5 +269,5 @@ def wide_sheet(spark: SparkSession, sf_dir: str, sheet: str, periods: list[str]
     ``fiscal_periods``) to share one column list across sheets.
     """
     periods = periods if periods is not None else fiscal_periods(spark, sf_dir)
-    long = sheet_long(spark, sf_dir, sheet)
+    long = sheet_long(spark, sf_dir, sheet, statements)
     return long.groupBy("ticker", "Metrics").pivot("fiscal_period", periods).agg(F.first("value"))
