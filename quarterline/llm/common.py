@@ -98,7 +98,7 @@ def record_batch(schema: str, *columns) -> pa.RecordBatch:
         [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, f.type) for c, f in zip(columns, s)], schema=s)
 
 
-def sliced(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def sliced(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``max_bytes`` of text (one row at least)."""
     for b in batches:
         sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from quarterline.llm.common import mix, sliced
 
 BLANK = "▁"
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 
 
 class Pieces:
