@@ -4,16 +4,19 @@ A text is a sequence of tokens: its words and one end. Frequent words are classe
 class of their longest frequent ending, and the end is a class. A token's probability is that of its class after the
 classes before it, which the tree gives, times that of the word within its class (counts plus one, as in the base).
 
-* A context of up to ``depth`` classes, back to the text's start, is a candidate if it and its suffixes make up at
-  least ``min_share`` of all training tokens (so at most 1 / min_share per depth, which bounds the tree at any size of the corpus). It is
-  kept if its next-class distribution diverges from its suffix's by ``divergence`` nats and by more than its own
-  parameters cost. Suffixes of kept contexts stay.
+* A context, back to the text's start, is a candidate if at least ``min_count`` training tokens follow it (fewer on a
+  small corpus: ``min_share`` of them). So contexts, classes and depth grow with the corpus. A candidate is kept if its
+  next-class distribution diverges from its suffix's by ``divergence`` nats and by more than its own parameters cost.
+  Suffixes of kept contexts stay.
+* Contexts go by 64-bit hashes. Their counts and the tree are tables; a chunk of texts asks the tree for the contexts
+  it has by a join. Bit sets of fixed size only save asking for what is surely not there.
 * Distributions are smoothed towards the suffix's with as much weight as they have distinct next classes.
 * A token is scored in the longest kept suffix of what precedes it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,20 +24,21 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import record_batch, sliced, staged, utf8
+from quarterline.llm.common import mix, record_batch, sliced, staged, utf8
 
-DEPTH = 3  # four classes of 16 bits fill a key
-MIN_SHARE = 3e-4
+#: Tokens that must follow a context, or on a corpus where that is less, this share of all.
+MIN_COUNT, MIN_SHARE = 1000, 1e-4
 DIVERGENCE = 0.005
-#: Words and endings (of up to ENDING bytes) of at least this share of the training tokens are classes: at most
-#: (1 + ENDING) / CLASS_SHARE in all.
-CLASS_SHARE = 1e-3
+#: Words and endings (of up to ENDING bytes) with this count, or share of a small corpus, are classes.
+CLASS_COUNT, CLASS_SHARE = 10_000, 1e-3
 ENDING = 3
 END, START, OTHER = 0, 1, 2
 BITS = 16
+#: Contexts' bit sets have 2^SET_BITS bits at any size of the corpus; two contexts of a bit are told apart by the tables.
+SET_BITS = 24
 #: Texts are indexed in chunks of about so many bytes and at most so many documents.
 CHUNK_BYTES, CHUNK_ROWS = 16 << 20, 1 << 16
 #: Sums held per task before they are handed on, in documents.
@@ -88,9 +92,18 @@ class Classes:
         return OTHER if k is None else k
 
 
-def frequent(words: DataFrame, total: int, share: float) -> tuple[list[bytes], list[bytes]]:
-    """The words and the endings that are classes; few, by the share each must have."""
-    least = max(share * total, 2)
+def support(total: int, count: int, share: float) -> float:
+    """How often something must occur: ``count`` times, or ``share`` of a total where that is less."""
+    return max(2.0, min(float(count), share * total))
+
+
+def longest(total: int, least: float) -> int:
+    """Classes in a context at most: one for each factor of ten from the least support to the corpus, and three anyway."""
+    return max(3, math.ceil(math.log10(max(total / least, 1))))
+
+
+def frequent(words: DataFrame, least: float) -> tuple[list[bytes], list[bytes]]:
+    """The words and the endings that are classes, by the count each must have."""
     known = words.where("c > 0 and word <> X''")
     own = [bytes(r[0]) for r in known.where(F.col("c") >= least).select("word").collect()]
     ending = F.expr(f"explode(transform(sequence(1, {ENDING}), k -> substring(word, -k, k)))")
@@ -98,33 +111,76 @@ def frequent(words: DataFrame, total: int, share: float) -> tuple[list[bytes], l
     return sorted(own), sorted(bytes(r[0]) for r in ends.select("e").collect())
 
 
-def _packed(classes: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each token's class and the three classes before it in one number, and how many precede it (the start is one)."""
-    first = np.cumsum(tokens) - tokens
-    before = np.arange(len(classes)) - np.repeat(first, tokens) + 1
-    out = classes.astype(np.uint64)
-    for d in range(1, DEPTH + 1):
-        previous = np.full(len(classes), START, np.uint64)
-        previous[d:] = classes[:-d]
-        previous[before == d] = START
-        out |= np.where(before >= d, previous, np.uint64(0)) << np.uint64(BITS * d)
-    return out, before
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _hash(classes: np.ndarray) -> np.ndarray:
+    return mix((classes.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _before(tokens: np.ndarray) -> np.ndarray:
+    """How many classes precede each token in its text (the start is one)."""
+    return np.arange(tokens.sum()) - np.repeat(np.cumsum(tokens) - tokens, tokens) + 1
+
+
+def _longer(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Keys of the contexts that end in ``symbol`` after ``context``. A key is the sum of the hashes of the classes, the
+    last one's as it is, the one's before it times _STEP and so on."""
+    return _hash(symbol) + context.astype(np.uint64) * _STEP
+
+
+def _contexts(classes: np.ndarray, before: np.ndarray, depth: int) -> Iterator[np.ndarray]:
+    """Per depth from 0 the key of each token's context; those of texts that don't reach so far back say nothing."""
+    hashes, start = _hash(classes), _hash(np.array([START]))[0]
+    key, power = np.zeros(len(classes), np.uint64), np.uint64(1)
+    yield key
+    for d in range(1, depth + 1):
+        previous = np.full(len(classes), start, np.uint64)
+        previous[d:] = hashes[:-d]
+        previous[before == d] = start
+        key = key + previous * power
+        power = np.uint64(int(power) * int(_STEP) & (1 << 64) - 1)
+        yield key
+
+
+def _bit(key: np.ndarray) -> np.ndarray:
+    return (mix(key) >> np.uint64(64 - SET_BITS)).astype(np.int64)
+
 
+def _bits(contexts: DataFrame, *more: int) -> np.ndarray | None:
+    """The bit set of the keys in the column context, and of ``more``; None if there are none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield record_batch("bit int", np.unique(_bit(b.column("context").to_numpy().view(np.uint64))).astype(np.int32))
+
+    at = contexts.select("context").mapInArrow(run, "bit int").distinct().toPandas()["bit"].to_numpy(np.int64)
+    out = np.zeros(1 << SET_BITS, bool)
+    out[at] = True
+    out[_bit(np.array(more, np.uint64))] = True
+    return np.packbits(out) if len(at) or more else None
 
-def _context(packed: np.ndarray, d: int) -> np.ndarray:
-    return ((packed >> np.uint64(BITS)) & np.uint64((1 << BITS * d) - 1)).astype(np.int64)
+
+def _distinct(key: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where one of each pair is, and how often it occurs."""
+    at, _ = pd.factorize(_longer(key, symbol))
+    n = np.bincount(at)
+    where = np.empty(len(n), np.int64)
+    where[at] = np.arange(len(at))
+    return where, n
 
 
 class SuffixTree:
-    """Per depth: the kept contexts (sorted), their totals, how many classes follow each, and the counts of those
-    by context's index and class. Plain tuples, so that they can be broadcast."""
+    """Per depth: the kept contexts (their keys), their totals, how many classes follow each, and the counts of those
+    by context's index and class. It may hold just the contexts of some texts, to score these."""
 
     def __init__(self, levels: list[tuple], n_classes: int):
         self.levels, self.n_classes = levels, n_classes
 
     @classmethod
     def grown(cls, rows: list[pd.DataFrame], n_classes: int, divergence: float) -> SuffixTree:
-        """``rows``: per depth the columns context, symbol, n of the candidates; depth 0 is the root."""
+        """The tree of few candidates in memory. ``rows``: per depth the columns context (its classes of BITS bits in
+        one number), symbol, n; depth 0 is the root."""
         kept: list[np.ndarray] = [np.zeros(1, np.int64)]
         for d, r in enumerate(rows[1:], 1):
             total = r.groupby("context")["n"].transform("sum")
@@ -139,28 +195,35 @@ class SuffixTree:
         levels = []
         for d, r in enumerate(rows):
             r = r[r["context"].isin(kept[d])].sort_values(["context", "symbol"])
-            contexts = pd.Index(np.sort(kept[d]))
-            at = contexts.get_indexer(r["context"])
-            levels.append((
-                contexts, np.bincount(at, r["n"], len(contexts)), np.bincount(at, minlength=len(contexts)),
-                pd.Index((at << BITS) + r["symbol"].to_numpy(np.int64)), r["n"].to_numpy(np.float64)))
+            contexts = np.sort(kept[d])
+            at = pd.Index(contexts).get_indexer(r["context"])
+            key = np.zeros(len(contexts), np.uint64)
+            for j in reversed(range(d)):
+                key = _longer(key, contexts >> (BITS * j) & ((1 << BITS) - 1))
+            levels.append(cls.level(key, np.bincount(at, r["n"], len(contexts)), np.bincount(at, minlength=len(contexts)), at, r["symbol"].to_numpy(), r["n"].to_numpy()))
         return cls(levels, n_classes)
 
+    @staticmethod
+    def level(key: np.ndarray, total: np.ndarray, kinds: np.ndarray, at: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple:
+        return pd.Index(key), total, kinds, pd.Index((at.astype(np.int64) << 32) + symbol), n.astype(np.float64)
+
     @staticmethod
     def _count(entries: pd.Index, counts: np.ndarray, at: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        i = entries.get_indexer((at << BITS) + symbol)
+        i = entries.get_indexer((at << 32) + symbol)
         return np.where(i >= 0, counts[i], 0.0) if len(counts) else np.zeros(len(at))
 
     def log10(self, classes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """log10 probability of each token's class after what precedes it in its text."""
-        packed, before = _packed(classes, tokens)
+        before = _before(tokens)
         symbol = classes.astype(np.int64)
         _, total, _, entries, counts = self.levels[0]
         p = (self._count(entries, counts, np.zeros(len(symbol), np.int64), symbol) + 1) / (total.sum() + self.n_classes)
         live = np.arange(len(symbol))
+        keys = _contexts(classes, before, len(self.levels) - 1)
+        next(keys)
         for d, (contexts, total, kinds, entries, counts) in enumerate(self.levels[1:], 1):
             live = live[before[live] >= d]
-            at = contexts.get_indexer(_context(packed[live], d))
+            at = contexts.get_indexer(next(keys)[live])
             live, at = live[at >= 0], at[at >= 0]
             if not len(live):
                 break
@@ -173,6 +236,7 @@ def _index(rows: DataFrame, classes: Classes) -> DataFrame:
     (uint16). A row without word tells the chunk's documents: ids, nulls, held out, token counts; and all classes."""
     schema = "chunk long, word binary, places binary, classes binary"
     words, endings = list(classes.words), list(classes.endings)
+    width = np.uint16 if classes.n <= 1 << 16 else np.uint32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = Classes(words, endings)
@@ -185,8 +249,8 @@ def _index(rows: DataFrame, classes: Classes) -> DataFrame:
             offsets = pa.py_buffer(np.concatenate(([0], np.cumsum(size * 2))).astype(np.int32))
             places = pa.BinaryArray.from_buffers(pa.binary(), len(found), [None, offsets, pa.py_buffer(place[order])])
             yield record_batch(schema, np.full(len(found), number), pa.array(found, pa.binary()), places, pa.nulls(len(found), pa.binary()))
-            kind = np.array([kinds.of(w) for w in found], np.uint16)
-            sequence = np.full(len(codes) + len(length), END, np.uint16)  # each text's end stays
+            kind = np.array([kinds.of(w) for w in found], width)
+            sequence = np.full(len(codes) + len(length), END, width)  # each text's end stays
             sequence[np.arange(len(codes)) + place] = kind[codes] if len(codes) else 0
             ids = b.column("doc_id")
             about = [pc.fill_null(ids, 0).to_numpy().astype(np.int64).tobytes(), ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(),
@@ -202,53 +266,151 @@ def _about(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     return tuple(np.frombuffer(data, kind, n, at * n) for kind, at in ((np.int64, 0), (np.uint8, 8), (np.uint8, 9), (np.int64, 10)))
 
 
-def fit(index: DataFrame, n_tokens: int, n_classes: int, depth: int, min_share: float, divergence: float) -> SuffixTree:
-    """The tree of the training texts, one depth a job, which counts what follows the candidates of that depth.
+def _sequence(about: bytes, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes of a chunk's tokens, the lengths of its texts and which are held out."""
+    _, _, held, tokens = _about(about)
+    return np.frombuffer(data, np.uint32 if len(data) > 2 * tokens.sum() else np.uint16), tokens, held
+
 
-    A candidate followed by a class often enough is a candidate of the next depth, if its suffix is one too. So the
-    counts of a depth are at most 1 / min_share contexts times the classes, on the way and at the driver.
+def _counted(sequences: DataFrame, d: int, bits: np.ndarray | None) -> DataFrame:
+    """context, symbol, n, suffix: what follows the contexts of depth d in the training texts, of those with a bit."""
+    schema = "context long, suffix long, symbol int, n long"
+    shared = sequences.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None if shared.value is None else np.unpackbits(shared.value).astype(bool)
+        for b in batches:
+            for about, data in zip(b.column("places").to_pylist(), b.column("classes").to_pylist()):
+                classes, tokens, held = _sequence(about, data)
+                before = _before(tokens)
+                suffix = key = np.zeros(0, np.uint64)
+                for x in _contexts(classes, before, d):
+                    suffix, key = key, x
+                use = np.flatnonzero((before >= d) & np.repeat(held == 0, tokens))
+                if d:
+                    use = use[known[_bit(key[use])]]
+                where, n = _distinct(key[use], classes[use])
+                use = use[where]
+                yield record_batch(schema, key[use].view(np.int64), suffix[use].view(np.int64) if d else np.zeros(len(use), np.int64), classes[use].astype(np.int32), n)
+
+    counted = sequences.mapInArrow(run, schema).groupBy("context", "symbol").agg(F.sum("n").alias("n"), F.first("suffix").alias("suffix"))
+    return staged(counted, f"lm-counts-{d}")
+
+
+def fit(index: DataFrame, depth: int, least: float, divergence: float) -> tuple[DataFrame, DataFrame, list[np.ndarray]]:
+    """The root's counts; depth, context, total, kinds, symbols, counts of the kept contexts; and their bit sets by depth.
+
+    One depth a job: a candidate followed by a class often enough is a candidate of the next depth. Contexts are told
+    from others of their bit by their own totals, so the bits change nothing but the work.
     """
-    rows: list[pd.DataFrame] = []
-    schema = "context long, symbol int, n long"
     sequences = index.where("classes is not null").select("places", "classes")
-    known, least = np.zeros(1, np.int64), max(2.0, min_share * n_tokens)
-    for d in range(depth + 1):
-
-        def count(batches: Iterator[pa.RecordBatch], d=d, known=known) -> Iterator[pa.RecordBatch]:
-            candidates = pd.Index(known)
-            for b in batches:
-                for about, data in zip(b.column("places").to_pylist(), b.column("classes").to_pylist()):
-                    _, _, held, tokens = _about(about)
-                    packed, before = _packed(np.frombuffer(data, np.uint16), tokens)
-                    packed = packed[(before >= d) & np.repeat(held == 0, tokens)]
-                    if d:
-                        packed = packed[candidates.get_indexer(_context(packed, d)) >= 0]
-                    at, key = pd.factorize(packed & np.uint64((1 << BITS * (d + 1)) - 1))
-                    yield record_batch(schema, (key >> np.uint64(BITS)).astype(np.int64), (key & np.uint64(0xFFFF)).astype(np.int32), np.bincount(at, minlength=len(key)))
-
-        rows.append(sequences.mapInArrow(count, schema).groupBy("context", "symbol").agg(F.sum("n").alias("n")).toPandas())
-        often = rows[-1][(rows[-1]["n"] >= least) & (rows[-1]["symbol"] != END)]
-        longer = (often["context"].to_numpy(np.int64) << BITS) + often["symbol"].to_numpy(np.int64)
-        if not d:  # every training text has one start
-            starts = rows[0].loc[rows[0]["symbol"] == END, "n"].sum()
-            longer = np.append(longer, START) if starts >= least else longer
-        known = np.unique(longer[np.isin(longer % (1 << BITS * d), known)])
-    return SuffixTree.grown(rows, n_classes, divergence)
-
-
-def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
-          min_share: float = MIN_SHARE, divergence: float = DIVERGENCE, class_share: float = CLASS_SHARE) -> DataFrame:
+    counts = [_counted(sequences, 0, None)]
+    totals = counts[0].groupBy("context").agg(F.sum("n").alias("total"))
+    judged: list[DataFrame] = []
+
+    def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield record_batch("context long", _longer(b.column("context").to_numpy().view(np.uint64), b.column("symbol").to_numpy()).view(np.int64))
+
+    for d in range(1, depth + 1):
+        more = []
+        if d == 1 and not counts[0].where((F.col("symbol") == END) & (F.col("n") >= least)).isEmpty():  # every text has one start
+            more = _hash(np.array([START])).tolist()
+        bits = _bits(counts[-1].where((F.col("n") >= least) & (F.col("symbol") != END)).select("context", "symbol").mapInArrow(longer, "context long"), *more)
+        if bits is None:
+            break
+        above = counts[-1].select(F.col("context").alias("suffix"), "symbol", F.col("n").alias("m"))
+        counts.append(_counted(sequences, d, bits))
+        parts = counts[-1].join(above, ["suffix", "symbol"]).groupBy("context").agg(
+            F.first("suffix").alias("suffix"), F.sum("n").alias("total"), F.count("n").alias("kinds"), F.sum(F.col("n") * F.log(F.col("n") / F.col("m"))).alias("part"))
+        both = parts.where(F.col("total") >= least).join(totals.select(F.col("context").alias("suffix"), F.col("total").alias("t")), "suffix")
+        gain = F.col("part") - F.col("total") * F.log(F.col("total") / F.col("t"))
+        cost = 0.5 * F.col("kinds") * F.log(F.greatest(F.col("total"), F.lit(2)))
+        judged.append(staged(both.select("context", "suffix", "total", "kinds", ((gain >= divergence * F.col("total")) & (gain >= cost)).alias("kept")), f"lm-contexts-{d}"))
+        totals = judged[-1]
+    levels, bits, need = [], [], None
+    for d in range(len(judged), 0, -1):
+        keep = judged[d - 1].where("kept").select("context")
+        if need is not None:
+            keep = keep.union(need).distinct()
+        kept = staged(judged[d - 1].join(keep, "context", "left_semi"), f"lm-kept-{d}")
+        need = kept.select(F.col("suffix").alias("context"))
+        of = _bits(kept)
+        if of is None and not bits:
+            continue
+        bits.insert(0, of)
+        after = F.sort_array(F.collect_list(F.struct("symbol", "n")))
+        levels.append(counts[d].join(kept.select("context", "total", "kinds"), "context").groupBy("context").agg(
+            F.first("total").alias("total"), F.first("kinds").alias("kinds"), after.alias("after")).select(
+            F.lit(d).alias("depth"), "context", "total", "kinds", F.col("after.symbol").alias("after"), F.col("after.n").alias("n")))
+    tree = sequences.sparkSession.createDataFrame([], "depth int, context long, total long, kinds long, after array<int>, n array<long>")
+    for level in levels:
+        tree = tree.union(level)
+    return counts[0].select("symbol", "n"), staged(tree, "lm-tree"), bits
+
+
+def _strings(data: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The values, ``size`` of them in each row, as binary."""
+    offsets = np.concatenate(([0], np.cumsum(size))) * data.itemsize
+    return pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def found(index: DataFrame, tree: DataFrame, bits: list[np.ndarray]) -> DataFrame:
+    """chunk, depth, context, total, kinds, and symbols with their counts: the kept contexts of each chunk, and of the
+    classes that follow them in the chunk those that do so in the training texts."""
+    shared = tree.sparkSession.sparkContext.broadcast(bits)
+    asked = "chunk long, depth int, context long, symbols binary"
+    told = "chunk long, depth int, context long, total long, kinds long, symbols binary, counts binary"
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [np.unpackbits(x).astype(bool) for x in shared.value]
+        for b in batches:
+            for chunk, about, data in zip(b.column("chunk").to_pylist(), b.column("places").to_pylist(), b.column("classes").to_pylist()):
+                classes, tokens, _ = _sequence(about, data)
+                before, live = _before(tokens), np.arange(len(classes))
+                for d, key in enumerate(_contexts(classes, before, len(known))):
+                    if not d:
+                        continue
+                    live = live[before[live] >= d]
+                    live = live[known[d - 1][_bit(key[live])]]
+                    one = live[_distinct(key[live], classes[live])[0]]
+                    one = one[np.argsort(key[one])]
+                    context, size = np.unique(key[one], return_counts=True)
+                    yield record_batch(asked, np.full(len(context), chunk), np.full(len(context), d), context.view(np.int64), _strings(classes[one].astype(np.uint32), size))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            each = pc.binary_length(b.column("symbols")).to_numpy() // 4
+            symbol = np.frombuffer(b"".join(b.column("symbols").to_pylist()), np.uint32).astype(np.int64)
+            wanted = (np.repeat(np.arange(b.num_rows), each) << 32) + symbol
+            there = (np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column("after")).to_numpy()) << 32) + b.column("after").flatten().to_numpy()
+            at = np.minimum(np.searchsorted(there, wanted), len(there) - 1)
+            hit = there[at] == wanted
+            size = np.bincount(wanted[hit] >> 32, minlength=b.num_rows)
+            yield record_batch(told, *[b.column(c) for c in ("chunk", "depth", "context", "total", "kinds")],
+                               _strings(symbol[hit].astype(np.uint32), size), _strings(b.column("n").flatten().to_numpy()[at[hit]], size))
+
+    asks = index.where("classes is not null").select("chunk", "places", "classes").mapInArrow(ask, asked)
+    joined = asks.join(tree, ["depth", "context"]).select("chunk", "depth", "context", "total", "kinds", "symbols", "after", "n")
+    return staged(joined.mapInArrow(answer, told), "lm-found")
+
+
+def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int | None = None, min_count: int = MIN_COUNT,
+          min_share: float = MIN_SHARE, divergence: float = DIVERGENCE, class_count: int = CLASS_COUNT, class_share: float = CLASS_SHARE) -> DataFrame:
     """A row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
     The tree and the unigram base learn from the rows that are not ``held_out`` (null: not held out). A null text is
     empty: one token, the end. Null ids stay null, repeated rows are learned and scored as often as they come, and
-    an empty table gives an empty result; with nothing to learn from, all classes are equally likely.
+    an empty table gives an empty result; with nothing to learn from, all classes are equally likely. Contexts have at
+    most ``depth`` classes (None: as many as the corpus supports, see longest()).
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     words = vocabulary(rows)
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    own, endings = frequent(words, n, class_share)
+    own, endings = frequent(words, support(n, class_count, class_share))
     classes = Classes(own, endings)
     index = _index(rows, classes)
 
@@ -264,7 +426,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         sizes[r["class"]] = r["c"] + r["v"] + 1
     end_count = next((r[0] for r in words.where("word = X''").select("c").collect()), 0)
     share = spark.sparkContext.broadcast(sizes)
-    part = "chunk long, places binary, classes binary, known binary, base binary, log binary"
+    part = "chunk long, places binary, known binary, base binary, log binary"
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums over the words of this task for the documents of each chunk; those without a word here are left out."""
@@ -273,7 +435,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         def flush() -> Iterator[pa.RecordBatch]:
             for chunk, x in held.items():
                 at = np.flatnonzero(x.any(axis=0))
-                yield record_batch(part, [chunk], [at.astype(np.uint16).tobytes()], [None], [x[0, at].astype(np.int32).tobytes()], [x[1, at].tobytes()], [x[2, at].tobytes()])
+                yield record_batch(part, [chunk], [at.astype(np.uint16).tobytes()], [x[0, at].astype(np.int32).tobytes()], [x[1, at].tobytes()], [x[2, at].tobytes()])
             held.clear()
 
         for b in batches:
@@ -297,18 +459,30 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
 
     joined = index.where("word is not null").select("chunk", "word", "places").join(valued, "word")
     sums = joined.select("chunk", "places", "c", "class").mapInArrow(partial, part)
-    levels = spark.sparkContext.broadcast(fit(index, n, classes.n, depth, min_share, divergence).levels)
-    abouts = index.where("classes is not null").select("chunk", "places", "classes", *[F.lit(None).cast("binary").alias(k) for k in ("known", "base", "log")])
+    least = support(n, min_count, min_share)
+    root, tree, bits = fit(index, longest(n, least) if depth is None else depth, least, divergence)
+    first = root.toPandas()
+    top = spark.sparkContext.broadcast(SuffixTree.level(np.zeros(1, np.uint64), np.array([first["n"].sum()]), np.array([len(first)]), np.zeros(len(first), np.int64), first["symbol"].to_numpy(np.int64), first["n"].to_numpy()))
+    deep = len(bits)
+    abouts = index.where("classes is not null").select("chunk", "places", "classes")
+    parts = abouts.unionByName(sums, allowMissingColumns=True).unionByName(found(index, tree, bits), allowMissingColumns=True)
     n_classes = classes.n
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def together(t: pa.Table) -> pa.Table:
         about = t.filter(t.column("classes").is_valid())
         ids, null, held, tokens = _about(about.column("places")[0].as_py())
-        log = SuffixTree(levels.value, n_classes).log10(np.frombuffer(about.column("classes")[0].as_py(), np.uint16), tokens)
+        levels, replies = [top.value], t.filter(t.column("depth").is_valid())
+        for d in range(1, deep + 1):
+            r = replies.filter(pc.equal(replies.column("depth"), d)).combine_chunks()
+            each = pc.binary_length(r.column("symbols")).to_numpy() // 4
+            levels.append(SuffixTree.level(
+                r.column("context").to_numpy().view(np.uint64), r.column("total").to_numpy(), r.column("kinds").to_numpy(), np.repeat(np.arange(len(each)), each),
+                np.frombuffer(b"".join(r.column("symbols").to_pylist()), np.uint32), np.frombuffer(b"".join(r.column("counts").to_pylist()), np.int64)))
+        log = SuffixTree(levels, n_classes).log10(_sequence(about.column("places")[0].as_py(), about.column("classes")[0].as_py())[0], tokens)
         tree = np.bincount(np.repeat(np.arange(len(ids)), tokens), log, len(ids))
         known, base = np.full(len(ids), int(end_count > 0), np.int64), np.full(len(ids), np.log10((end_count + 1) / (n + v + 1)))
-        rest = t.filter(t.column("classes").is_null())
+        rest = t.filter(t.column("known").is_valid())
         for at, k, x, y in zip(*(rest.column(c).to_pylist() for c in ("places", "known", "base", "log"))):
             at = np.frombuffer(at, np.uint16)
             known[at] += np.frombuffer(k, np.int32)
@@ -316,4 +490,4 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             tree[at] += np.frombuffer(y)
         return pa.Table.from_batches([record_batch(schema, pa.array(ids, mask=null.astype(bool)), held.astype(bool), tokens, known, np.full(len(ids), n), base, tree)])
 
-    return sums.unionByName(abouts).groupBy("chunk").applyInArrow(together, schema)
+    return parts.groupBy("chunk").applyInArrow(together, schema)

@@ -123,3 +123,35 @@ def test_tree_against_brute_force():
     assert sum(len(x[0]) for x in tree.levels) == len(kept)
     flat = np.array([x for s in sequences for x in s], np.uint16)
     assert np.allclose(tree.log10(flat, np.array([len(s) for s in sequences])), [x for s in sequences for x in score(s)])
+
+
+def test_table_tree_against_brute_force(spark, monkeypatch):
+    """The tree kept in tables, over several chunks and with all contexts on few bits, keeps and scores the same."""
+    monkeypatch.setattr(st, "CHUNK_ROWS", 40)
+    monkeypatch.setattr(st, "SET_BITS", 6)
+    r = np.random.default_rng(5)
+    docs = []
+    for i in range(300):
+        s = ["a"]
+        for _ in range(int(r.integers(5, 40))):
+            s.append("abcd"[(len(s) * 7 + ord(s[-5])) % 4] if len(s) > 5 and s[-3] == "b" else "abcd"[int(r.integers(4))])
+        docs.append((i, " ".join(s)))
+    df = st.score(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), F.col("doc_id") % 7 == 2, depth=5, min_count=20, min_share=0.5, divergence=0.01, class_count=20)
+    number = {w: k for k, w in enumerate("abcd", st.OTHER + 1)}
+    sequences = {i: [*[number[w] for w in t.split()], st.END] for i, t in docs}
+    train = [s for i, s in sequences.items() if i % 7 != 2]
+    n_classes = st.OTHER + 1 + 4
+    score, kept = brute_tree(train, 5, 20 / sum(map(len, train)), 0.01, n_classes)
+    assert max(map(len, kept)) > 3
+    within = Counter(x for s in train for x in s)
+    for row in df.collect():
+        s = sequences[row["doc_id"]]
+        own = sum(math.log10((within[x] + 1) / (within[x] + 2)) for x in s if x != st.END)
+        assert abs(row["score"] - sum(score(s)) - own) < 1e-6, row
+
+
+def test_contexts_and_classes_grow_with_the_corpus():
+    """A context or word of fixed count stays as the corpus grows; a small corpus needs no more than its share."""
+    assert st.support(5_000_000_000, st.MIN_COUNT, st.MIN_SHARE) == st.MIN_COUNT and st.support(10**9, st.CLASS_COUNT, st.CLASS_SHARE) == st.CLASS_COUNT
+    assert st.support(400_000, st.MIN_COUNT, st.MIN_SHARE) == 40 and st.support(0, st.MIN_COUNT, st.MIN_SHARE) == 2
+    assert st.longest(10**4, 2) == 4 and st.longest(10**10, 1000) == 7 and st.longest(0, 2) == 3
