@@ -155,3 +155,8 @@ def test_contexts_and_classes_grow_with_the_corpus():
     assert st.support(5_000_000_000, st.MIN_COUNT, st.MIN_SHARE) == st.MIN_COUNT and st.support(10**9, st.CLASS_COUNT, st.CLASS_SHARE) == st.CLASS_COUNT
     assert st.support(400_000, st.MIN_COUNT, st.MIN_SHARE) == 40 and st.support(0, st.MIN_COUNT, st.MIN_SHARE) == 2
     assert st.longest(10**4, 2) == 4 and st.longest(10**10, 1000) == 7 and st.longest(0, 2) == 3
+
+
+def test_no_context_of_a_ten_thousandth_is_lost():
+    for n in (10**4, 10**6, 10**8, 10**10):
+        assert st.support(n, st.MIN_COUNT, st.MIN_SHARE) <= max(2, 1e-4 * n)
