@@ -1,7 +1,8 @@
 """Secret scan: fixed forms, and strings that read as random rather than as identifiers.
 
 Two character Markov models, one of random strings and one of ordinary identifiers, are counted from labelled
-samples; a string is a secret if its log-likelihood ratio is over a threshold. DataFrame functions only.
+samples; a string, or a stretch of it between separators, is a secret if its log-likelihood ratio is over a threshold.
+DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -21,8 +22,11 @@ FORMS = [
     ("hex", r"[0-9a-f]{24,}", 0, 24),
 ]
 RANDOM = "random"
-#: Strings of this alphabet and length are judged by the models.
-CANDIDATE = r"[A-Za-z0-9+/=_-]{16,}"
+#: Strings of this alphabet and length are judged by the models, and so are their stretches of that length.
+SHORTEST = 16
+CANDIDATE = rf"[A-Za-z0-9+/=_-]{{{SHORTEST},}}"
+#: What other characters may be joined to a secret by: a stretch starts after one and ends before one.
+SEPARATORS = "+/=_-"
 #: Identifiers that the model of ordinary strings is counted from.
 ORDINARY = r"[A-Za-z0-9+/=_-]{8,}"
 #: At most about so many documents (chosen by a hash) give the labelled samples.
@@ -34,6 +38,7 @@ SMOOTHING = 10.0
 #: ASCII; 0 stands for the start and the end.
 ALPHABET = 128
 
+SEPARATED = [ord(c) for c in SEPARATORS]
 _SPANS = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 
 
@@ -101,14 +106,92 @@ def train(samples: DataFrame) -> list[float] | None:
     return out
 
 
+def _table(model: list[float]) -> Column:
+    return F.split(F.lit(",".join(f"{x:.6g}" for x in model)), ",").cast("array<double>")
+
+
+def _bound(value: Column, f) -> Column:
+    """``f`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def ratio(value: Column, model: list[float]) -> Column:
     """Log-likelihood ratio of a string, random against ordinary."""
-    table = F.split(F.lit(",".join(f"{x:.6g}" for x in model)), ",").cast("array<double>")
+    table = _table(model)
     return F.aggregate(
         F.concat(_codes(value), F.array(F.lit(0))), F.struct(F.lit(0).alias("a"), F.lit(0.0).alias("sum")),
         lambda acc, b: F.struct(b.alias("a"), (acc["sum"] + F.get(table, acc["a"] * ALPHABET + b)).alias("sum")), lambda acc: acc["sum"])
 
 
+def stretches(value: Column, model: list[float], threshold: float = THRESHOLD) -> Column:
+    """Stretches (start, end) of a string, of SHORTEST or more between separators or its ends, whose ratio() is over the
+    threshold: the best of those that overlap or are joined by less than the threshold takes away, so that every such
+    stretch overlaps one found. In one pass over the ends, with the best start so far; ``next`` is the best start after
+    the stretch found last, and none begins before ``floor``, the end of the one before that."""
+    none = F.lit(float("-inf"))
+    kind = "array<struct<start:int,end:int>>"
+
+    def run(given: Column) -> Column:
+        codes, table = given["codes"], given["table"]
+
+        def step(x: Column, j: Column) -> Column:
+            i = j - (SHORTEST - 1)
+            moved = F.when(j == 0, F.lit(0.0)).otherwise(x["sum"] + F.get(table, F.get(codes, j - 1) * ALPHABET + F.get(codes, j)))
+            lagged = F.when(i <= 0, F.lit(0.0)).otherwise(x["lag"] + F.get(table, F.get(codes, i - 1) * ALPHABET + F.get(codes, i)))
+            begins = (i == 0) | ((i > 0) & F.get(codes, i - 1).isin(*SEPARATED))
+            ends = (j == F.size(codes) - 1) | F.get(codes, j + 1).isin(*SEPARATED)
+
+            def entered(y: Column) -> Column:
+                value = F.when(begins, F.get(table, F.get(codes, i)) - y["lag"]).otherwise(none)
+                better, later = (value > x["best"]) & (i >= x["floor"]), (value > x["next"]) & (i >= x["end"])
+                return F.struct(
+                    y["sum"].alias("sum"), y["lag"].alias("lag"), F.when(better, value).otherwise(x["best"]).alias("best"), F.when(better, i).otherwise(x["at"]).alias("at"),
+                    F.when(later, value).otherwise(x["next"]).alias("next"), F.when(later, i).otherwise(x["next_at"]).alias("next_at"))
+
+            def judged(y: Column) -> Column:
+                last = F.when(ends, y["sum"] + F.get(table, F.get(codes, j) * ALPHABET)).otherwise(none)
+                score, other = y["best"] + last, y["next"] + last
+                found = (score > threshold) & (score > x["score"])
+                second = (x["end"] > 0) & (other > threshold)
+                closed = (x["end"] > 0) & (y["best"] + y["sum"] <= x["score"] - threshold)
+                span = F.struct(x["start"].alias("start"), x["end"].alias("end"))
+                return (F.when(found, F.struct(
+                    y["sum"].alias("sum"), y["lag"].alias("lag"), y["best"].alias("best"), y["at"].alias("at"), none.alias("next"), F.lit(0).alias("next_at"),
+                    y["at"].alias("start"), (j + 1).alias("end"), score.alias("score"), x["floor"].alias("floor"), x["out"].alias("out")))
+                    .when(second, F.struct(
+                        y["sum"].alias("sum"), y["lag"].alias("lag"), y["next"].alias("best"), y["next_at"].alias("at"), none.alias("next"), F.lit(0).alias("next_at"),
+                        y["next_at"].alias("start"), (j + 1).alias("end"), other.alias("score"), x["end"].alias("floor"), F.concat(x["out"], F.array(span).cast(kind)).alias("out")))
+                    .when(closed, F.struct(
+                        y["sum"].alias("sum"), y["lag"].alias("lag"), y["next"].alias("best"), y["next_at"].alias("at"), none.alias("next"), F.lit(0).alias("next_at"),
+                        F.lit(0).alias("start"), F.lit(0).alias("end"), none.alias("score"), x["end"].alias("floor"), F.concat(x["out"], F.array(span).cast(kind)).alias("out")))
+                    .otherwise(F.struct(
+                        y["sum"].alias("sum"), y["lag"].alias("lag"), y["best"].alias("best"), y["at"].alias("at"), y["next"].alias("next"), y["next_at"].alias("next_at"),
+                        x["start"].alias("start"), x["end"].alias("end"), x["score"].alias("score"), x["floor"].alias("floor"), x["out"].alias("out"))))
+
+            return _bound(_bound(F.struct(moved.alias("sum"), lagged.alias("lag")), entered), judged)
+
+        zero = F.struct(
+            F.lit(0.0).alias("sum"), F.lit(0.0).alias("lag"), none.alias("best"), F.lit(0).alias("at"), none.alias("next"), F.lit(0).alias("next_at"),
+            F.lit(0).alias("start"), F.lit(0).alias("end"), none.alias("score"), F.lit(0).alias("floor"), F.array().cast(kind).alias("out"))
+        last = F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), zero, step)
+        return _bound(last, lambda x: F.when(x["end"] > 0, F.concat(x["out"], F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"))).cast(kind))).otherwise(x["out"]))
+
+    return F.when(F.length(value) < SHORTEST, F.array().cast(kind)).otherwise(_bound(F.struct(_codes(value).alias("codes"), _table(model).alias("table")), run))
+
+
+def _outside(run: Column, forms: Column) -> Column:
+    """The pieces of a run that no form covers, if long enough: start (in the text), value."""
+    def step(acc: Column, f: Column) -> Column:
+        return F.struct(F.greatest(acc["at"], f["end"]).alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start"), f["start"].alias("end")))).alias("out"))
+
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+    over = F.filter(forms, lambda f: (f["start"] < run["end"]) & (run["start"] < f["end"]))
+    pieces = F.aggregate(over, F.struct(run["start"].alias("at"), empty.alias("out")), step,
+                         lambda acc: F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start"), run["end"].alias("end")))))
+    return F.transform(F.filter(pieces, lambda p: p["end"] - p["start"] >= SHORTEST), lambda p: F.struct(
+        p["start"].alias("start"), F.substring(run["value"], p["start"] - run["start"] + 1, p["end"] - p["start"]).alias("value")))
+
+
 def _fold(text_col: str) -> Column:
     return F.pmod(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.lit(2))
 
@@ -116,8 +199,8 @@ def _fold(text_col: str) -> Column:
 def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", fit_documents: int = FIT_DOCUMENTS, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``forms`` and ``spans`` (start, rank, end, kind, value; code points, end exclusive).
 
-    ``spans`` are the forms and, of kind random, the candidates that overlap none of them and whose ratio is over the
-    threshold. A null or empty text has none. The models come from this table's own labelled samples, in two halves by
+    ``spans`` are the forms and, of kind random, the stretches over the threshold of what the forms leave of the
+    candidates. A null or empty text has none. The models come from this table's own labelled samples, in two halves by
     a hash of the text: each half is judged by the other's models, so that no string testifies for itself. Where a
     half lacks samples of a kind, the other keeps its forms alone. Equal texts get equal spans; other columns are
     passed on, unless they are named forms, spans or candidates.
@@ -127,13 +210,17 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", fit_do
     sample = staged(with_forms(chosen), "secrets-sample")
     models = [train(labelled_samples(sample.where(_fold("text") != k))) for k in (0, 1)]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = _matches(text, RANDOM, len(FORMS), CANDIDATE, 0, 16)
+    found = _matches(text, RANDOM, len(FORMS), CANDIDATE, 0, SHORTEST)
 
-    def likely(value: Column) -> Column:
-        over = [F.lit(False) if m is None else ratio(value, m) > threshold for m in models]
-        return F.when(_fold(text_col) == 0, over[0]).otherwise(over[1])
+    def judged(model: list[float] | None) -> Column:
+        if model is None:
+            return F.array().cast(_SPANS)
+        pieces = F.flatten(F.transform("candidates", lambda c: _outside(c, F.col("forms"))))
+        return F.flatten(F.transform(pieces, lambda p: F.transform(stretches(p["value"], model, threshold), lambda s: F.struct(
+            (p["start"] + s["start"]).alias("start"), F.lit(len(FORMS)).alias("rank"), (p["start"] + s["end"]).alias("end"), F.lit(RANDOM).alias("kind"),
+            F.substring(p["value"], s["start"] + 1, s["end"] - s["start"]).alias("value")))))
 
-    extra = F.filter("candidates", lambda c: ~F.exists("forms", lambda f: (f["start"] < c["end"]) & (c["start"] < f["end"])) & likely(c["value"]))
+    extra = F.when(F.size("candidates") == 0, F.array().cast(_SPANS)).when(_fold(text_col) == 0, judged(models[0])).otherwise(judged(models[1]))
     return scanned.withColumn("candidates", found).withColumn("spans", F.array_sort(F.concat("forms", extra))).drop("candidates")
 
 

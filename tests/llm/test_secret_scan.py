@@ -91,3 +91,45 @@ def test_tricky_rows(spark):
     got = ss.scan(tricky(spark).select("doc_id", "text")).select(F.sha2(ss.listed(F.col("forms")), 256).alias("h")).collect()
     assert all(r["h"] == hashlib.sha256(b"").hexdigest() for r in got) and len(got) == len(texts())
     assert ss.scan(empty(spark)).count() == 0
+
+
+def best_stretches(v, model, threshold):
+    """Whether any stretch between separators is over the threshold, and the best one's score."""
+    def score(a, b):
+        codes = [0, *map(ord, v[a:b]), 0]
+        return sum(model[x * ss.ALPHABET + y] for x, y in zip(codes, codes[1:]))
+
+    starts = [i for i in range(len(v)) if i == 0 or v[i - 1] in "+/=_-"]
+    ends = [j for j in range(1, len(v) + 1) if j == len(v) or v[j] in "+/=_-"]
+    return {(a, b): score(a, b) for a in starts for b in ends if b - a >= 16 and score(a, b) > threshold}
+
+
+def test_stretches_against_brute_force(spark):
+    rows, r = labelled(spark)
+    model = [round(x, 4) for x in ss.train(ss.labelled_samples(ss.with_forms(spark.createDataFrame(rows, "doc_id long, text string"))))]
+    words = prose(77, 400).split()
+    values = []
+    for _ in range(300):
+        parts = [r.choice(words) if r.random() < 0.6 else random_key(r)[: r.randrange(4, 33)] for _ in range(r.randrange(1, 9))]
+        values.append("".join(p + r.choice("+/=_-") * r.randrange(1, 3) for p in parts)[: r.randrange(10, 200)])
+    got = spark.createDataFrame([(v,) for v in values], "v string").select("v", ss.stretches(F.col("v"), model).alias("s")).collect()
+    hits = 0
+    for row in got:
+        want, found = best_stretches(row["v"], model, ss.THRESHOLD), [(s["start"], s["end"]) for s in row["s"]]
+        assert bool(want) == bool(found) and set(found) <= set(want), row
+        assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+        hits += bool(found)
+        assert all(any(a < f and e < b for e, f in found) for a, b in want), row  # nothing is lost
+    assert 30 < hits < 300
+
+
+def test_secrets_joined_to_ordinary_characters_are_found(spark):
+    rows, r = labelled(spark)
+    joined = ["session_lomikebanu=", "lomikebanu/tarisolomi/kebanutaso/", "lomi-kebanu_"]
+    rows += [(500 + i, f"so {p}{random_key(r)} ta") for i, p in enumerate(joined)] + [(510, f"so {random_key(r)}/lomikebanutariso/lomikebanutarisolomike ta")]
+    rows += [(511, f"so {'0123456789abcdef' * 2}/{random_key(r)} ta"), (512, "so lomikebanu/tarisolomi/kebanutaso ta")]
+    got = {x["doc_id"]: x["s"] for x in ss.scan(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", ss.listed(F.col("spans")).alias("s")).collect()}
+    for i, p in enumerate(joined):
+        assert got[500 + i] == f"random:{3 + len(p)}:{35 + len(p)}"
+    assert got[510] == "random:3:35" and got[512] == ""
+    assert got[511] in ("hex:3:35,random:35:68", "hex:3:35,random:36:68")  # what a form leaves of a run is judged
