@@ -4,11 +4,16 @@ Templates are grouped by their number of shingles, rounded up to a power of two
 shingles and every two neighbouring blocks are a window, so a stretch as long as a template lies within one window.
 A window and a template with ``least`` of its shingles have a similarity of least * (n / 2) / (2 n + n / 2) or more;
 with bands of one minimum, BANDS bands miss such a pair with probability (1 - 0.15)**64 = 3e-5 at least 0.75.
+
+Of templates found in the same stretch, one stays beside another that matches more shingles only if the stretch has
+shingles of it that the other lacks, such as those with the version: siblings share most of their words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from importlib.resources import files
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +27,8 @@ from quarterline.llm.spotsigs import _APART
 SHINGLE = 5
 LEAST = 0.75
 BANDS = 64
+#: Share of a template's shingles in a stretch that a better template must lack for it to stay beside that one.
+OWN = 0.02
 
 # Notices by which works are put under a license, and the usual paragraphs.
 TEMPLATES = {
@@ -58,12 +65,72 @@ TEMPLATES = {
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
 }
 
+_GNU = "can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation"
+_SHORT = "This work is licensed under the GNU {}, version {}."
+_MIT = """
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_ISC = """
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
+THIS SOFTWARE."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_NAMES = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission."""
+
+
+@cache
+def whole_texts() -> dict[str, list[str]]:
+    """Whole licenses, and the notices of their siblings. That of AGPL-3.0 is GPL-3.0's terms under its name."""
+    folder = files("quarterline.llm") / "license_texts"
+
+    def terms(name: str, start: str = "") -> str:
+        text = (folder / f"{name}.txt").read_text(encoding="utf-8").partition("END OF TERMS AND CONDITIONS")[0]
+        return text[text.index(start):]
+
+    general, lesser, affero = (f"{k}General Public License" for k in ("", "Lesser ", "Affero "))
+    gpl3 = terms("GPL-3", "TERMS AND CONDITIONS")
+    either = ", either version {} of the License, or (at your option) any later version."
+    return {
+        "MIT": [TEMPLATES["MIT"][1] + ", subject to the following conditions: The above copyright notice and this permission "
+                "notice shall be included in all copies or substantial portions of the Software." + _MIT],
+        "ISC": [TEMPLATES["ISC"][0] + _ISC],
+        "BSD-2-Clause": [_BSD.format("")],
+        "BSD-3-Clause": [_BSD.format(_NAMES)],
+        "Apache-2.0": [terms("Apache-2.0")],
+        "MPL-2.0": [terms("MPL-2.0")],
+        "CC0-1.0": [terms("CC0-1.0")],
+        "GPL-2.0": [terms("GPL-2", "TERMS AND CONDITIONS FOR COPYING"), _SHORT.format(general, 2), "This program is free software; you " + _GNU.format(general) + either.format(2)],
+        "GPL-3.0": [gpl3],
+        "LGPL-2.1": [terms("LGPL-2.1"), _SHORT.format(lesser, "2.1"), "This library is free software; you " + _GNU.format(lesser) + either.format("2.1")],
+        "LGPL-3.0": [terms("LGPL-3"), "This program is free software: you " + _GNU.format(lesser) + either.format(3)],
+        "AGPL-3.0": [gpl3.replace("GNU General Public License", "GNU Affero General Public License"), _SHORT.format(affero, 3),
+                     "This program is free software: you " + _GNU.format(affero) + either.format(3)],
+    }
+
 
 class Index:
     """Templates by class of size, with their minima."""
 
-    def __init__(self, templates: dict[str, list[str]], bands: int = BANDS):
-        flat = [(name, t) for name, ts in templates.items() for t in ts]
+    def __init__(self, *templates: dict[str, list[str]], bands: int = BANDS):
+        flat = [(name, t) for table in templates for name, ts in table.items() for t in ts]
         h, first = shingles(words([t.encode() for _, t in flat], _APART), SHINGLE)
         self.names = [name for name, _ in flat]
         self.sets = [np.unique(h[a:b]) for a, b in zip(first, first[1:])]
@@ -76,17 +143,20 @@ class Index:
     def candidates(self, h: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(first shingle, end, template) of the windows that share a band with a template. ``first``: where each
         text's shingles begin."""
-        blocks = {}
-        for n in self.classes:
+        blocks, within = {}, {}
+        sizes = sorted(self.classes)
+        for n in sizes:
             starts = np.concatenate([np.arange(a, b, n) for a, b in zip(first, first[1:])] or [np.zeros(0, np.int64)])
             last = np.isin(starts, first, assume_unique=False)  # the first block of a text ends the window before it
             blocks[n] = (starts, np.append(last[1:], True))
+        for smaller, n in zip(sizes, sizes[1:]):  # a block consists of those of the size before
+            within[n] = np.searchsorted(blocks[smaller][0], blocks[n][0])
         hits: dict[int, np.ndarray] = {t: np.zeros(len(blocks[n][0]), bool) for n, ts in self.classes.items() for t in ts}
         for k, (a, b) in enumerate(zip(self.a, self.b)):
-            x = h * a + b
-            for n, ts in self.classes.items():
-                starts, ends_text = blocks[n]
-                low = np.minimum.reduceat(x, starts)
+            low = h * a + b
+            for n in sizes:
+                ts, (starts, ends_text) = self.classes[n], blocks[n]
+                low = np.minimum.reduceat(low, within.get(n, starts))
                 window = np.where(ends_text, low, np.minimum(low, np.append(low[1:], low[-1:])))
                 for t in ts:
                     hits[t] |= window == self.minima[t][k]
@@ -98,26 +168,29 @@ class Index:
                     yield int(starts[i]), int(edge[i + 1] if ends_text[i] else edge[i + 2]), t
 
     def matches(self, texts: list[bytes], least: float) -> list[list[tuple[str, int, int, float]]]:
-        """Per text (license, first word, end word, containment), of overlapping finds of a license the best."""
+        """Per text (license, first word, end word, containment), of overlapping finds the best: see above."""
         w = words(texts, _APART)
         h, first = shingles(w, SHINGLE)
         out: list[list[tuple[str, int, int, float]]] = [[] for _ in texts]
         if not len(h):
             return out
+        finds: dict[int, dict[tuple, np.ndarray]] = {}
         filled = first[np.flatnonzero(np.append(np.diff(first) > 0, True))]
         for lo, hi, t in self.candidates(h, filled):
             inside = np.isin(h[lo:hi], self.sets[t])
-            share = len(np.unique(h[lo:hi][inside])) / len(self.sets[t])
+            matched = np.unique(h[lo:hi][inside])
+            share = len(matched) / len(self.sets[t])
             if share >= least:
                 d = int(np.searchsorted(first, lo, "right")) - 1
                 at = np.flatnonzero(inside)
-                out[d].append((self.names[t], lo + int(at[0]) - int(first[d]), lo + int(at[-1]) - int(first[d]) + SHINGLE, share))
-        for d, found in enumerate(out):
-            kept: list[tuple[str, int, int, float]] = []
-            for m in sorted(set(found), key=lambda m: (-m[3], m[1], m[0], -m[2])):
-                if not any(k[0] == m[0] and k[1] < m[2] and m[1] < k[2] for k in kept):
+                finds.setdefault(d, {})[lo + int(at[0]) - int(first[d]), lo + int(at[-1]) - int(first[d]) + SHINGLE, share, t] = matched
+        for d, found in finds.items():
+            kept: list[tuple[int, int, float, int]] = []
+            for m in sorted(found, key=lambda m: (-len(found[m]), -m[2], m[0], m[3])):
+                over = [k for k in kept if k[0] < m[1] and m[0] < k[1]]
+                if not any(self.names[k[3]] == self.names[m[3]] or (~np.isin(found[m], self.sets[k[3]])).sum() <= OWN * len(found[m]) for k in over):
                     kept.append(m)
-            out[d] = sorted(kept, key=lambda m: (m[1], m[0]))
+            out[d] = sorted(((self.names[t], a, b, share) for a, b, share, t in kept), key=lambda m: (m[1], m[0]))
         return out
 
 
@@ -128,14 +201,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     exclusive. Templates of fewer than five words would match anything and are an error. Null, empty and short texts
     find nothing; repeated rows come back each; an empty table gives an empty result.
     """
-    chosen = templates if templates is not None else TEMPLATES
-    for ts in chosen.values():
+    chosen = (TEMPLATES, whole_texts()) if templates is None else (templates,)
+    for ts in (ts for table in chosen for ts in table.values()):
         if any(len(words([t.encode()], _APART).hashes) < SHINGLE for t in ts):
             raise ValueError(f"a template needs {SHINGLE} words or more")
     kind = pa.list_(pa.struct([("license", pa.string()), ("first_word", pa.int64()), ("end_word", pa.int64()), ("containment", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(chosen)
+        index = Index(*chosen)
         for b in sliced(batches, "text", 1 << 20):
             found = [[dict(zip(("license", "first_word", "end_word", "containment"), m)) for m in ms] for ms in index.matches(utf8(b.column("text")), least)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, kind)], names=["doc_id", "found"])

@@ -67,3 +67,16 @@ def test_blocks_do_not_cross_texts():
     found = index.matches([b"", notice[:16].encode(), notice[16:].encode(), notice.encode(), b"a b c"], 0.75)
     assert [[m[0] for m in x] for x in found] == [[], [], [], ["MIT"], []]
     assert np.isclose(found[3][0][3], 1.0)
+
+
+def test_whole_texts_and_siblings(spark):
+    whole = licenses.whole_texts()
+    rows = [(name, f"{prose(i, 150)}\n{t}\n{prose(90 + i, 150)}") for i, (name, ts) in enumerate(whole.items()) for t in ts]
+    rows += [("GPL-3.0", licenses.TEMPLATES["GPL-3.0"][0]), ("GPL-3.0", licenses.TEMPLATES["GPL-3.0"][1]), ("LGPL-3.0", licenses.TEMPLATES["LGPL-3.0"][0])]
+    rows += [("GPL-2.0,GPL-3.0", whole["GPL-2.0"][2] + " " + prose(7, 40) + " " + licenses.TEMPLATES["GPL-3.0"][1])]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["found"] for r in licenses.scan(df).collect()}
+    for i, (name, t) in enumerate(rows):
+        assert ",".join(sorted({m["license"] for m in got[i]})) == name, (i, name, [m["license"] for m in got[i]])
+    sizes = {name: max(m["end_word"] - m["first_word"] for m in got[i]) for i, (name, _) in reversed(list(enumerate(rows)))}
+    assert sizes["Apache-2.0"] > 1000 and sizes["GPL-2.0"] > 2000
