@@ -42,10 +42,11 @@ def _remove_staged() -> None:
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def staged(df: DataFrame, name: str, arrow_rows: int = 1000) -> DataFrame:
+def staged(df: DataFrame, name: str, arrow_rows: int = 1000, group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors.
 
     ``arrow_rows``: rows handed to Python at a time while it is written; texts may be long, and the buffers stay.
+    ``group_bytes``: size of the file's row groups, where single rows are large; readers hold a batch of these.
     """
     spark = df.sparkSession
     path = shared_dir(spark, "llm", f"{name}-{uuid.uuid4().hex}")
@@ -53,7 +54,7 @@ def staged(df: DataFrame, name: str, arrow_rows: int = 1000) -> DataFrame:
     usual = spark.conf.get(ARROW_ROWS)
     try:
         spark.conf.set(ARROW_ROWS, str(min(arrow_rows, int(usual))))
-        df.write.parquet(path)
+        (df.write.option("parquet.block.size", group_bytes) if group_bytes else df.write).parquet(path)
     finally:
         spark.conf.set(ARROW_ROWS, usual)
     return spark.read.schema(df.schema).parquet(path)

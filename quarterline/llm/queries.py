@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import language, licenses, minhash, packing, pieces, quality, secret_scan, spotsigs, suffix_tree, warc
+from quarterline.llm import (
+    alignment,
+    hard_negatives,
+    language,
+    licenses,
+    minhash,
+    packing,
+    pieces,
+    quality,
+    secret_scan,
+    spotsigs,
+    suffix_tree,
+    vector_dedup,
+    warc,
+)
 from quarterline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +101,22 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+@query("op11_vectors")
+def op11_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.linked(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_negatives")
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0, label=moved)
+
+
 ORACLES["op3_revisits"] = r"""
 WITH shaped AS (
   SELECT page_id p, html, url,
