@@ -17,7 +17,9 @@ classes before it, which the tree gives, times that of the word within its class
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pandas as pd
@@ -27,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import mix, record_batch, sliced, staged, utf8
+from quarterline.llm.common import handed_back, mix, record_batch, sliced, staged, utf8
 
 #: Tokens that must follow a context, or on a corpus where that is less, this share of all.
 MIN_COUNT, MIN_SHARE = 1000, 1e-4
@@ -41,6 +43,8 @@ BITS = 16
 SET_BITS = 24
 #: Texts are indexed in chunks of about so many bytes and at most so many documents.
 CHUNK_BYTES, CHUNK_ROWS = 16 << 20, 1 << 16
+#: Tokens of a chunk whose contexts are held side by side.
+PART_TOKENS = 1 << 19
 #: Sums held per task before they are handed on, in documents.
 HELD_SUMS = 1 << 22
 
@@ -53,10 +57,13 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _tokens(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
     """Words of each text (how many), the code of each word, the distinct words, and which texts are held out."""
-    split = [t.lower().split() for t in utf8(b.column("text"))]
-    length = np.array([len(w) for w in split], np.int64)
-    codes, found = pd.factorize(np.array([w for ws in split for w in ws], object)) if length.sum() else (np.zeros(0, np.int64), [])
-    return length, codes, list(found), b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+    code = defaultdict(count().__next__)
+    length, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for part in sliced(iter([b]), "text"):  # so that only the distinct words are held
+        split = [t.lower().split() for t in utf8(part.column("text"))]
+        length.append(np.array([len(w) for w in split], np.int64))
+        codes.append(np.fromiter(map(code.__getitem__, chain.from_iterable(split)), np.int64, int(length[-1].sum())))
+    return np.concatenate(length), np.concatenate(codes), list(code), b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
 
 
 def vocabulary(rows: DataFrame) -> DataFrame:
@@ -70,7 +77,7 @@ def vocabulary(rows: DataFrame) -> DataFrame:
             yield record_batch(schema, pa.array(found, pa.binary()), train)
             yield record_batch(schema, [b""], [int((~held).sum())])
 
-    return staged(rows.mapInArrow(run, schema).groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
+    return staged(rows.mapInArrow(lambda b: handed_back(run(b)), schema).groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
 
 
 class Classes:
@@ -161,6 +168,23 @@ def _bits(contexts: DataFrame, *more: int) -> np.ndarray | None:
     return np.packbits(out) if len(at) or more else None
 
 
+def _among(key: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether the bit of each key is set."""
+    at = _bit(key)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _parts(tokens: np.ndarray) -> Iterator[tuple[slice, slice]]:
+    """Runs of texts of about PART_TOKENS tokens (one text at least): their texts and their tokens."""
+    until = np.cumsum(tokens)
+    lo = 0
+    while lo < len(tokens):
+        done = until[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(until, done + PART_TOKENS, "right")))
+        yield slice(lo, hi), slice(int(done), int(until[hi - 1]))
+        lo = hi
+
+
 def _distinct(key: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where one of each pair is, and how often it occurs."""
     at, _ = pd.factorize(_longer(key, symbol))
@@ -258,7 +282,7 @@ def _index(rows: DataFrame, classes: Classes) -> DataFrame:
             yield record_batch(schema, [number], [None], [b"".join(about)], [sequence.tobytes()])
             number += 1
 
-    return staged(rows.mapInArrow(run, schema), "lm-index")
+    return staged(rows.mapInArrow(lambda b: handed_back(run(b)), schema), "lm-index")
 
 
 def _about(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -278,22 +302,29 @@ def _counted(sequences: DataFrame, d: int, bits: np.ndarray | None) -> DataFrame
     shared = sequences.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = None if shared.value is None else np.unpackbits(shared.value).astype(bool)
         for b in batches:
             for about, data in zip(b.column("places").to_pylist(), b.column("classes").to_pylist()):
-                classes, tokens, held = _sequence(about, data)
-                before = _before(tokens)
-                suffix = key = np.zeros(0, np.uint64)
-                for x in _contexts(classes, before, d):
-                    suffix, key = key, x
-                use = np.flatnonzero((before >= d) & np.repeat(held == 0, tokens))
-                if d:
-                    use = use[known[_bit(key[use])]]
-                where, n = _distinct(key[use], classes[use])
-                use = use[where]
-                yield record_batch(schema, key[use].view(np.int64), suffix[use].view(np.int64) if d else np.zeros(len(use), np.int64), classes[use].astype(np.int32), n)
-
-    counted = sequences.mapInArrow(run, schema).groupBy("context", "symbol").agg(F.sum("n").alias("n"), F.first("suffix").alias("suffix"))
+                every, lengths, held = _sequence(about, data)
+                found = [[np.zeros(0, t) for t in (np.uint64, np.uint64, np.int32, np.int64)]]
+                for texts, own in _parts(lengths):
+                    classes, tokens = every[own], lengths[texts]
+                    before = _before(tokens)
+                    suffix = key = np.zeros(0, np.uint64)
+                    for x in _contexts(classes, before, d):
+                        suffix, key = key, x
+                    use = np.flatnonzero((before >= d) & np.repeat(held[texts] == 0, tokens))
+                    if d:
+                        use = use[_among(key[use], shared.value)]
+                    where, n = _distinct(key[use], classes[use])
+                    use = use[where]
+                    found.append([key[use], suffix[use] if d else np.zeros(len(use), np.uint64), classes[use].astype(np.int32), n])
+                key, suffix, symbol, n = (np.concatenate(x) for x in zip(*found))
+                at, _ = pd.factorize(_longer(key, symbol))  # once a chunk
+                one = np.empty(at.max(initial=-1) + 1, np.int64)
+                one[at] = np.arange(len(at))
+                yield record_batch(schema, key[one].view(np.int64), suffix[one].view(np.int64), symbol[one], np.bincount(at, n, len(one)).astype(np.int64))
+
+    counted = sequences.mapInArrow(lambda b: handed_back(run(b)), schema).groupBy("context", "symbol").agg(F.sum("n").alias("n"), F.first("suffix").alias("suffix"))
     return staged(counted, f"lm-counts-{d}")
 
 
@@ -363,20 +394,26 @@ def found(index: DataFrame, tree: DataFrame, bits: list[np.ndarray]) -> DataFram
     told = "chunk long, depth int, context long, total long, kinds long, symbols binary, counts binary"
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = [np.unpackbits(x).astype(bool) for x in shared.value]
         for b in batches:
             for chunk, about, data in zip(b.column("chunk").to_pylist(), b.column("places").to_pylist(), b.column("classes").to_pylist()):
-                classes, tokens, _ = _sequence(about, data)
-                before, live = _before(tokens), np.arange(len(classes))
-                for d, key in enumerate(_contexts(classes, before, len(known))):
-                    if not d:
-                        continue
-                    live = live[before[live] >= d]
-                    live = live[known[d - 1][_bit(key[live])]]
-                    one = live[_distinct(key[live], classes[live])[0]]
+                every, lengths, _ = _sequence(about, data)
+                found: list[list] = [[] for _ in shared.value]
+                for texts, own in _parts(lengths):
+                    classes, before = every[own], _before(lengths[texts])
+                    live = np.arange(len(classes))
+                    for d, key in enumerate(_contexts(classes, before, len(found))):
+                        if not d:
+                            continue
+                        live = live[before[live] >= d]
+                        live = live[_among(key[live], shared.value[d - 1])]
+                        one = live[_distinct(key[live], classes[live])[0]]
+                        found[d - 1].append((key[one], classes[one].astype(np.uint32)))
+                for d, parts in enumerate(found, 1):
+                    key, symbol = (np.concatenate(x) for x in zip(*parts))
+                    one = _distinct(key, symbol)[0]
                     one = one[np.argsort(key[one])]
                     context, size = np.unique(key[one], return_counts=True)
-                    yield record_batch(asked, np.full(len(context), chunk), np.full(len(context), d), context.view(np.int64), _strings(classes[one].astype(np.uint32), size))
+                    yield record_batch(asked, np.full(len(context), chunk), np.full(len(context), d), context.view(np.int64), _strings(symbol[one], size))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -392,9 +429,9 @@ def found(index: DataFrame, tree: DataFrame, bits: list[np.ndarray]) -> DataFram
             yield record_batch(told, *[b.column(c) for c in ("chunk", "depth", "context", "total", "kinds")],
                                _strings(symbol[hit].astype(np.uint32), size), _strings(b.column("n").flatten().to_numpy()[at[hit]], size))
 
-    asks = index.where("classes is not null").select("chunk", "places", "classes").mapInArrow(ask, asked)
+    asks = index.where("classes is not null").select("chunk", "places", "classes").mapInArrow(lambda b: handed_back(ask(b)), asked)
     joined = asks.join(tree, ["depth", "context"]).select("chunk", "depth", "context", "total", "kinds", "symbols", "after", "n")
-    return staged(joined.mapInArrow(answer, told), "lm-found")
+    return staged(joined.mapInArrow(lambda b: handed_back(answer(b)), told), "lm-found")
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int | None = None, min_count: int = MIN_COUNT,
@@ -458,7 +495,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         yield from flush()
 
     joined = index.where("word is not null").select("chunk", "word", "places").join(valued, "word")
-    sums = joined.select("chunk", "places", "c", "class").mapInArrow(partial, part)
+    sums = joined.select("chunk", "places", "c", "class").mapInArrow(lambda b: handed_back(partial(b)), part)
     least = support(n, min_count, min_share)
     root, tree, bits = fit(index, longest(n, least) if depth is None else depth, least, divergence)
     first = root.toPandas()
@@ -479,8 +516,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             levels.append(SuffixTree.level(
                 r.column("context").to_numpy().view(np.uint64), r.column("total").to_numpy(), r.column("kinds").to_numpy(), np.repeat(np.arange(len(each)), each),
                 np.frombuffer(b"".join(r.column("symbols").to_pylist()), np.uint32), np.frombuffer(b"".join(r.column("counts").to_pylist()), np.int64)))
-        log = SuffixTree(levels, n_classes).log10(_sequence(about.column("places")[0].as_py(), about.column("classes")[0].as_py())[0], tokens)
-        tree = np.bincount(np.repeat(np.arange(len(ids)), tokens), log, len(ids))
+        tree, model = np.zeros(len(ids)), SuffixTree(levels, n_classes)
+        every = _sequence(about.column("places")[0].as_py(), about.column("classes")[0].as_py())[0]
+        for texts, own in _parts(tokens):
+            log = model.log10(every[own], tokens[texts])
+            tree[texts] = np.bincount(np.repeat(np.arange(len(tokens[texts])), tokens[texts]), log, len(tokens[texts]))
         known, base = np.full(len(ids), int(end_count > 0), np.int64), np.full(len(ids), np.log10((end_count + 1) / (n + v + 1)))
         rest = t.filter(t.column("known").is_valid())
         for at, k, x, y in zip(*(rest.column(c).to_pylist() for c in ("places", "known", "base", "log"))):
