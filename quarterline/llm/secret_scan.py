@@ -42,25 +42,77 @@ SEPARATED = [ord(c) for c in SEPARATORS]
 _SPANS = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 
 
+#: Elements that an array grows by one at a time; longer ones are put together from parts of this size.
+PART = 128
+#: Code points of a block of a text; what lies far back in a text is found from its block, not from its start.
+BLOCK = 1024
+
+
+def _bound(value: Column, f) -> Column:
+    """``f`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def running(values: Column, op, kind: str = "int") -> Column:
+    """Running sums, or what else the associative ``op`` gives, of an array: part by part, then over the parts' last."""
+    empty = F.array().cast(f"array<{kind}>")
+
+    def within(part: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            return F.concat(acc, F.array(F.when(F.size(acc) == 0, x).otherwise(op(F.element_at(acc, -1), x))))
+
+        return F.aggregate(part, empty, step)
+
+    def joined(parts: Column) -> Column:
+        last = within(F.transform(parts, lambda p: F.element_at(p, -1)))
+        return _bound(last, lambda t: F.flatten(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(F.transform(p, lambda x: op(F.get(t, i - 1), x))))))
+
+    def cut(x: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / PART).cast("int")), lambda i: within(F.slice(x, (i * PART + 1).cast("int"), PART)))
+        return F.when(F.size(x) == 0, empty).otherwise(_bound(parts, joined))
+
+    return _bound(values, cut)
+
+
+def blocks(text: Column) -> Column:
+    """The text in blocks of BLOCK code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def piece(of: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` to before ``end`` of a text given by its blocks, without a walk from its start."""
+    first = F.floor(start / BLOCK).cast("int")
+    last = F.floor((end - 1) / BLOCK).cast("int")
+    inside = F.array_join(F.slice(of, first + 1, last - first + 1), "")
+    return F.when(end <= start, F.lit("")).otherwise(F.substring(inside, start - first * BLOCK + 1, end - start))
+
+
+def uncovered(spans: Column, length: Column) -> Column:
+    """What spans (sorted by start) leave of a text: from, to; one entry before each stretch that they cover without a
+    break, maybe empty, and one after the last."""
+    def cut(x: Column) -> Column:
+        return _bound(running(F.transform(x, lambda s: s["end"]), F.greatest), lambda reach: F.concat(
+            F.filter(F.transform(x, lambda s, i: F.struct(F.when(i == 0, F.lit(0)).otherwise(F.get(reach, i - 1)).alias("from"), s["start"].alias("to"))), lambda g: g["from"] <= g["to"]),
+            F.array(F.struct(F.when(F.size(x) == 0, F.lit(0)).otherwise(F.element_at(reach, -1)).alias("from"), length.alias("to")))))
+
+    return _bound(spans, cut)
+
+
 def _matches(text: Column, kind: str, rank: int, pattern: str, group: int, least: int) -> Column:
-    """Spans of one kind in code points, from the texts between the matches and the matches themselves."""
-    parts = F.struct(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("whole"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"),
-        F.split(text, pattern, -1).alias("gaps"))
-    empty = F.array().cast(_SPANS)
+    """Spans of one kind in code points, from the lengths of the texts between the matches and of the matches."""
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    parts = F.struct(whole.alias("whole"), F.split(text, pattern, -1).alias("gaps"), *([F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value")] if group else []))
 
     def located(p: Column) -> Column:
-        def step(acc: Column, i: Column) -> Column:
-            start = acc["at"] + F.length(F.get(p["gaps"], i))
-            end = start + F.length(F.get(p["whole"], i))
-            span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), F.get(p["value"], i).alias("value"))
-            return F.struct(end.alias("at"), F.when(F.length(F.get(p["value"], i)) >= least, F.concat(acc["out"], F.array(span).cast(_SPANS))).otherwise(acc["out"]).alias("out"))
+        lengths = F.zip_with(F.slice(p["gaps"], 1, F.size(p["whole"])), p["whole"], lambda g, w: F.length(g) + F.length(w))
 
-        return F.when(F.size(p["whole"]) == 0, empty).otherwise(F.aggregate(
-            F.sequence(F.lit(0), F.size(p["whole"]) - 1), F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"]))
+        def span(end: Column, i: Column) -> Column:
+            return F.struct((end - F.length(F.get(p["whole"], i))).alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"),
+                            F.get(p["value" if group else "whole"], i).alias("value"))
 
-    return F.when(text.rlike(pattern), F.get(F.transform(F.array(parts), located), 0)).otherwise(empty)
+        return F.filter(F.transform(running(lengths, lambda x, y: x + y), span), lambda s: F.length(s["value"]) >= least).cast(_SPANS)
+
+    return F.when(text.rlike(pattern), _bound(parts, located)).otherwise(F.array().cast(_SPANS))
 
 
 def with_forms(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -110,11 +162,6 @@ def _table(model: list[float]) -> Column:
     return F.split(F.lit(",".join(f"{x:.6g}" for x in model)), ",").cast("array<double>")
 
 
-def _bound(value: Column, f) -> Column:
-    """``f`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), f), 0)
-
-
 def ratio(value: Column, model: list[float]) -> Column:
     """Log-likelihood ratio of a string, random against ordinary."""
     table = _table(model)
@@ -131,6 +178,12 @@ def stretches(value: Column, model: list[float], threshold: float = THRESHOLD) -
     none = F.lit(float("-inf"))
     kind = "array<struct<start:int,end:int>>"
 
+    def kept(x: Column, span: Column) -> tuple[Column, Column]:
+        """What is found, with one more: full parts, and the part that grows."""
+        full = F.size(x["out"]) >= PART
+        return (F.when(full, F.concat(x["parts"], F.array(x["out"]))).otherwise(x["parts"]).alias("parts"),
+                F.when(full, F.array(span)).otherwise(F.concat(x["out"], F.array(span))).cast(kind).alias("out"))
+
     def run(given: Column) -> Column:
         codes, table = given["codes"], given["table"]
 
@@ -157,39 +210,36 @@ def stretches(value: Column, model: list[float], threshold: float = THRESHOLD) -
                 span = F.struct(x["start"].alias("start"), x["end"].alias("end"))
                 return (F.when(found, F.struct(
                     y["sum"].alias("sum"), y["lag"].alias("lag"), y["best"].alias("best"), y["at"].alias("at"), none.alias("next"), F.lit(0).alias("next_at"),
-                    y["at"].alias("start"), (j + 1).alias("end"), score.alias("score"), x["floor"].alias("floor"), x["out"].alias("out")))
+                    y["at"].alias("start"), (j + 1).alias("end"), score.alias("score"), x["floor"].alias("floor"), x["parts"].alias("parts"), x["out"].alias("out")))
                     .when(second, F.struct(
                         y["sum"].alias("sum"), y["lag"].alias("lag"), y["next"].alias("best"), y["next_at"].alias("at"), none.alias("next"), F.lit(0).alias("next_at"),
-                        y["next_at"].alias("start"), (j + 1).alias("end"), other.alias("score"), x["end"].alias("floor"), F.concat(x["out"], F.array(span).cast(kind)).alias("out")))
+                        y["next_at"].alias("start"), (j + 1).alias("end"), other.alias("score"), x["end"].alias("floor"), *kept(x, span)))
                     .when(closed, F.struct(
                         y["sum"].alias("sum"), y["lag"].alias("lag"), y["next"].alias("best"), y["next_at"].alias("at"), none.alias("next"), F.lit(0).alias("next_at"),
-                        F.lit(0).alias("start"), F.lit(0).alias("end"), none.alias("score"), x["end"].alias("floor"), F.concat(x["out"], F.array(span).cast(kind)).alias("out")))
+                        F.lit(0).alias("start"), F.lit(0).alias("end"), none.alias("score"), x["end"].alias("floor"), *kept(x, span)))
                     .otherwise(F.struct(
                         y["sum"].alias("sum"), y["lag"].alias("lag"), y["best"].alias("best"), y["at"].alias("at"), y["next"].alias("next"), y["next_at"].alias("next_at"),
-                        x["start"].alias("start"), x["end"].alias("end"), x["score"].alias("score"), x["floor"].alias("floor"), x["out"].alias("out"))))
+                        x["start"].alias("start"), x["end"].alias("end"), x["score"].alias("score"), x["floor"].alias("floor"), x["parts"].alias("parts"), x["out"].alias("out"))))
 
             return _bound(_bound(F.struct(moved.alias("sum"), lagged.alias("lag")), entered), judged)
 
         zero = F.struct(
             F.lit(0.0).alias("sum"), F.lit(0.0).alias("lag"), none.alias("best"), F.lit(0).alias("at"), none.alias("next"), F.lit(0).alias("next_at"),
-            F.lit(0).alias("start"), F.lit(0).alias("end"), none.alias("score"), F.lit(0).alias("floor"), F.array().cast(kind).alias("out"))
+            F.lit(0).alias("start"), F.lit(0).alias("end"), none.alias("score"), F.lit(0).alias("floor"), F.array().cast(f"array<{kind}>").alias("parts"), F.array().cast(kind).alias("out"))
         last = F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), zero, step)
-        return _bound(last, lambda x: F.when(x["end"] > 0, F.concat(x["out"], F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"))).cast(kind))).otherwise(x["out"]))
+        over = lambda x: F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"))).cast(kind)
+        return _bound(last, lambda x: F.concat(F.flatten(x["parts"]), x["out"], F.when(x["end"] > 0, over(x)).otherwise(F.array().cast(kind))))
 
     return F.when(F.length(value) < SHORTEST, F.array().cast(kind)).otherwise(_bound(F.struct(_codes(value).alias("codes"), _table(model).alias("table")), run))
 
 
-def _outside(run: Column, forms: Column) -> Column:
-    """The pieces of a run that no form covers, if long enough: start (in the text), value."""
-    def step(acc: Column, f: Column) -> Column:
-        return F.struct(F.greatest(acc["at"], f["end"]).alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start"), f["start"].alias("end")))).alias("out"))
+def _masked(text: Column, forms: Column) -> Column:
+    """The text with blanks for what forms cover: as long, and its candidates are what the forms leave of them."""
+    def blanked(x: Column) -> Column:
+        after = lambda i: F.coalesce(F.get(x["left"], i + 1)["from"], F.get(x["left"], i)["to"])
+        return F.array_join(F.transform(x["left"], lambda g, i: F.concat(piece(x["blocks"], g["from"], g["to"]), F.repeat(F.lit(" "), after(i) - g["to"]))), "")
 
-    empty = F.array().cast("array<struct<start:int,end:int>>")
-    over = F.filter(forms, lambda f: (f["start"] < run["end"]) & (run["start"] < f["end"]))
-    pieces = F.aggregate(over, F.struct(run["start"].alias("at"), empty.alias("out")), step,
-                         lambda acc: F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start"), run["end"].alias("end")))))
-    return F.transform(F.filter(pieces, lambda p: p["end"] - p["start"] >= SHORTEST), lambda p: F.struct(
-        p["start"].alias("start"), F.substring(run["value"], p["start"] - run["start"] + 1, p["end"] - p["start"]).alias("value")))
+    return F.when(F.size(forms) == 0, text).otherwise(_bound(F.struct(blocks(text).alias("blocks"), uncovered(forms, F.length(text)).alias("left")), blanked))
 
 
 def _fold(text_col: str) -> Column:
@@ -210,15 +260,14 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", fit_do
     sample = staged(with_forms(chosen), "secrets-sample")
     models = [train(labelled_samples(sample.where(_fold("text") != k))) for k in (0, 1)]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = _matches(text, RANDOM, len(FORMS), CANDIDATE, 0, SHORTEST)
+    found = _matches(_masked(text, F.col("forms")), RANDOM, len(FORMS), CANDIDATE, 0, SHORTEST)
 
     def judged(model: list[float] | None) -> Column:
         if model is None:
             return F.array().cast(_SPANS)
-        pieces = F.flatten(F.transform("candidates", lambda c: _outside(c, F.col("forms"))))
-        return F.flatten(F.transform(pieces, lambda p: F.transform(stretches(p["value"], model, threshold), lambda s: F.struct(
-            (p["start"] + s["start"]).alias("start"), F.lit(len(FORMS)).alias("rank"), (p["start"] + s["end"]).alias("end"), F.lit(RANDOM).alias("kind"),
-            F.substring(p["value"], s["start"] + 1, s["end"] - s["start"]).alias("value")))))
+        return F.flatten(F.transform("candidates", lambda c: _bound(blocks(c["value"]), lambda of: F.transform(stretches(c["value"], model, threshold), lambda s: F.struct(
+            (c["start"] + s["start"]).alias("start"), F.lit(len(FORMS)).alias("rank"), (c["start"] + s["end"]).alias("end"), F.lit(RANDOM).alias("kind"),
+            piece(of, s["start"], s["end"]).alias("value"))))))
 
     extra = F.when(F.size("candidates") == 0, F.array().cast(_SPANS)).when(_fold(text_col) == 0, judged(models[0])).otherwise(judged(models[1]))
     return scanned.withColumn("candidates", found).withColumn("spans", F.array_sort(F.concat("forms", extra))).drop("candidates")
@@ -226,13 +275,10 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", fit_do
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """The text with each stretch covered by spans (sorted by start) replaced by ``mark``."""
-    def step(acc: Column, s: Column) -> Column:
-        before = F.when(s["start"] >= acc["at"], F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(F.concat(acc["out"], before).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
+    def done(x: Column) -> Column:
+        return F.array_join(F.transform(x["left"], lambda g: piece(x["blocks"], g["from"], g["to"])), mark)
 
-    done = F.aggregate(spans, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step,
-                       lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) == 0, text).otherwise(done)
+    return F.when(F.size(spans) == 0, text).otherwise(_bound(F.struct(blocks(text).alias("blocks"), uncovered(spans, F.length(text)).alias("left")), done))
 
 
 def listed(spans: Column) -> Column:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 from tests.llm.cases import empty, prose, texts, tricky
@@ -133,3 +134,44 @@ def test_secrets_joined_to_ordinary_characters_are_found(spark):
         assert got[500 + i] == f"random:{3 + len(p)}:{35 + len(p)}"
     assert got[510] == "random:3:35" and got[512] == ""
     assert got[511] in ("hex:3:35,random:35:68", "hex:3:35,random:36:68")  # what a form leaves of a run is judged
+
+
+def test_texts_with_many_matches_take_linear_time(spark):
+    """200,000 matches in one text, and twice as many in another: no more than in proportion, with all spans right."""
+    def text(n):
+        return " ".join(f"x{i} token=abc{i:06d}" for i in range(n))
+
+    took = {}
+    for n in (20_000, 200_000, 400_000):
+        df = spark.createDataFrame([(1, text(n))], "doc_id long, text string")
+        start = time.monotonic()
+        forms = ss.with_forms(df).select("text", "forms")
+        row = forms.select(F.sha2(ss.listed(F.col("forms")), 256).alias("h"), F.md5(ss.redacted(F.col("text"), F.col("forms"))).alias("m"), F.size("forms").alias("n")).first()
+        took[n] = time.monotonic() - start
+        assert row["n"] == n and row["h"] == hashlib.sha256(brute(text(n)).encode()).hexdigest()
+        assert row["m"] == hashlib.md5(" ".join(f"x{i} [SECRET]" for i in range(n)).encode()).hexdigest()
+    assert took[400_000] < 3 * took[200_000] + 5 and took[200_000] < 60
+
+
+def test_running_sums_and_pieces(spark):
+    r = random.Random(4)
+    for n in (0, 1, ss.PART - 1, ss.PART, ss.PART + 1, 5 * ss.PART + 3):
+        values = [r.randrange(100) for _ in range(n)]
+        df = spark.createDataFrame([(values,)], "v array<int>")
+        got = df.select(ss.running(F.col("v"), lambda x, y: x + y).alias("s"), ss.running(F.col("v"), F.greatest).alias("m")).first()
+        assert got["s"] == [sum(values[: i + 1]) for i in range(n)] and got["m"] == [max(values[: i + 1]) for i in range(n)]
+    text = "".join(r.choice("aé日\U0001F600\n ") for _ in range(3 * ss.BLOCK + 7))
+    cuts = [(0, 0), (0, len(text)), (5, 5), (ss.BLOCK - 1, ss.BLOCK + 1), (ss.BLOCK, 2 * ss.BLOCK), (len(text) - 1, len(text)), *[tuple(sorted((r.randrange(len(text)), r.randrange(len(text))))) for _ in range(30)]]
+    rows = spark.createDataFrame([(text, a, b) for a, b in cuts], "t string, a int, b int")
+    got = rows.select("a", "b", ss.piece(ss.blocks(F.col("t")), F.col("a"), F.col("b")).alias("p")).collect()
+    assert all(x["p"] == text[x["a"] : x["b"]] for x in got)
+
+
+def test_one_long_run_of_many_stretches(spark):
+    rows, r = labelled(spark)
+    model = [round(x, 4) for x in ss.train(ss.labelled_samples(ss.with_forms(spark.createDataFrame(rows, "doc_id long, text string"))))]
+    keys = [random_key(r) for _ in range(300)]
+    value = "lomikebanutaso" + "".join(f"/lomikebanutarisolomikebanutariso/{k}" for k in keys)
+    found = spark.createDataFrame([(value,)], "v string").select(ss.stretches(F.col("v"), model).alias("s")).first()["s"]
+    assert len(found) > 290 and all(a["end"] <= b["start"] for a, b in zip(found, found[1:]))
+    assert {value[s["start"] : s["end"]] for s in found} <= set(keys) | {value[s["start"] : s["end"]] for s in found if any(k in value[s["start"] : s["end"]] for k in keys)}
