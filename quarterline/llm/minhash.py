@@ -91,15 +91,20 @@ def _long_enough(a: str, b: str) -> F.Column:
     return F.expr(f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """doc_id, shingles (sorted, 64 bits each) of the documents with these ids."""
-    texts = with_ids(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), ids, "doc_id").dropDuplicates(["doc_id"])
+def _sets(docs: DataFrame, classes: DataFrame, reps: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """rep, shingles (sorted, 64 bits each) of these classes, from a document that has each: of one id with several
+    texts the text whose set it is."""
+    wanted = staged(classes.join(reps, "rep", "left_semi").select("rep", "set_hash", F.col("first").alias("doc_id")), "minhash-wanted")
+    texts = with_ids(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), wanted.select("doc_id").distinct(), "doc_id")
+    texts = texts.withColumn("digest", F.md5("text")).dropDuplicates(["doc_id", "digest"]).select("doc_id", "text")
+    schema = "doc_id long, set_hash binary, shingles binary"
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, "text"):
-            yield record_batch("doc_id long, shingles binary", b.column("doc_id"), [s.tobytes() for s in shingle_sets(utf8(b.column("text")), size)])
+            sets = [s.tobytes() for s in shingle_sets(utf8(b.column("text")), size)]
+            yield record_batch(schema, b.column("doc_id"), [xxhash.xxh3_128_digest(s) for s in sets], sets)
 
-    return staged(texts.mapInArrow(lambda b: handed_back(full(b)), "doc_id long, shingles binary"), "minhash-sets")
+    return staged(texts.mapInArrow(lambda b: handed_back(full(b)), schema).join(wanted, ["doc_id", "set_hash"]).select("rep", "shingles"), "minhash-sets")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -112,7 +117,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
             yield b.select(["x", "y"]).filter(pa.array((left == right).mean(axis=1) >= LEAST_AGREEING))
 
     near = staged(pairs.join(sides[0], "x").join(sides[1], "y").select("x", "y", "sx", "sy").mapInArrow(agreeing, "x long, y long"), "minhash-pairs")
-    sets = _sets(docs, near.select(F.col("x").alias("doc_id")).union(near.select("y")).distinct(), id_col, text_col, size)
+    sets = _sets(docs, classes, near.select(F.col("x").alias("rep")).union(near.select("y")).distinct(), id_col, text_col, size)
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -123,19 +128,19 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
                 keep.append(100 * common >= PERCENT * (len(p) + len(q) - common))
             yield b.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
-    both = near.join(sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("sx")), "x").join(
-        sets.select(F.col("doc_id").alias("y"), F.col("shingles").alias("sy")), "y")
+    both = near.join(sets.select(F.col("rep").alias("x"), F.col("shingles").alias("sx")), "x").join(
+        sets.select(F.col("rep").alias("y"), F.col("shingles").alias("sy")), "y")
     return staged(both.select("x", "y", "sx", "sy").mapInArrow(lambda b: handed_back(linked(b)), "x long, y long"), "minhash-links", arrow_rows=200)
 
 
 def shared_counts(sets: DataFrame) -> DataFrame:
-    """rep, shared: how many of a document's shingles at least one other of these documents has too.
+    """rep, shared: how many of a set's shingles at least one other of these sets has too.
 
-    No two of the documents can have more shingles in common than the smaller of these numbers.
+    No two of the sets can have more shingles in common than the smaller of these numbers.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for doc, data in zip(b.column("doc_id").to_pylist(), b.column("shingles").to_pylist()):
+            for doc, data in zip(b.column("rep").to_pylist(), b.column("shingles").to_pylist()):
                 own = np.frombuffer(data, np.int64)
                 yield record_batch("rep long, shingle long", np.full(len(own), doc), own)
 
@@ -153,7 +158,7 @@ def _open_pairs(open_: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFra
     """
     home = groups.select(F.col("node").alias("pivot"), F.col("component").alias("home"))
     member = open_.select("pivot", "rep", "n_shingles", "component").distinct().join(home, "pivot", "left")
-    own, other = (sets.select(F.col("doc_id").alias(k), F.col("shingles").alias(f"s_{k}")) for k in ("rep", "pivot"))
+    own, other = (sets.select(F.col("rep").alias(k), F.col("shingles").alias(f"s_{k}")) for k in ("rep", "pivot"))
     kept = ["pivot", "rep", "n_shingles", "component"]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +198,8 @@ def _open_pairs(open_: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFra
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links of 75 % and more), kept.
 
-    Equal sets form a class, represented by its smallest id. Candidates are classes that share a band. Each is first
+    Equal sets form a class; links are between classes, and ids are looked at only in the end: an id that comes with
+    several texts joins their classes. Candidates are classes that share a band. Each is first
     checked against the pivot of its bucket, the member that shares the most buckets with others; the links found are
     joined into components. Where a bucket then still holds several components, pairs between different components
     are checked too, unless their sizes, the numbers of their shingles that others have at all, or what they share
@@ -209,7 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = sketch.where("doc_id is not null and set_hash is not null")
     # one row per class, its smallest document; combined before the shuffle, so copies cost nothing
     classes = staged(known.groupBy("set_hash").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("c")).select(
-        "set_hash", F.col("c.doc_id").alias("rep"), "c.n_shingles", "c.signature"), "minhash-classes")
+        "set_hash", F.monotonically_increasing_id().alias("rep"), F.col("c.doc_id").alias("first"), "c.n_shingles", "c.signature"), "minhash-classes")
     keys = staged(band_keys(classes, bands, rows), "minhash-bands")
     buckets = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = staged(keys.join(dealt(buckets, "key"), "key"), "minhash-members")
@@ -226,14 +232,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "key", "rep", "pivot", "n_shingles", F.coalesce("component", "rep").alias("component")), "minhash-placed")
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
     open_ = staged(placed.join(dealt(mixed, "key"), "key").select("pivot", "rep", "n_shingles", "component").distinct(), "minhash-open")
-    sets = _sets(docs, open_.select(F.col("rep").alias("doc_id")).distinct(), id_col, text_col, size)
+    sets = _sets(docs, classes, open_.select("rep").distinct(), id_col, text_col, size)
     # x and y need 75 / 175 of their sizes' sum in common, and neither is under 75 % of the other
     open_ = staged(open_.where("rep <> pivot").join(shared_counts(sets), "rep").where(f"100 * shared >= {PERCENT} * n_shingles"), "minhash-open")
     found = verified(_open_pairs(open_, sets, groups), classes, docs, id_col, text_col, size)
-    if not found.isEmpty():
-        groups = components(links.unionByName(found), "x", "y")
-    rep_of = sketch.join(classes.select("set_hash", "rep"), "set_hash", "left")
-    out = rep_of.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    return out.select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # classes that an id has in common
+    several = known.groupBy("doc_id").agg(F.min(F.xxhash64("set_hash")).alias("lo"), F.max(F.xxhash64("set_hash")).alias("hi")).where("lo <> hi").select("doc_id")
+    shared = known.join(several, "doc_id").join(classes.select("set_hash", "rep"), "set_hash").select("doc_id", "rep")
+    same = staged(shared.join(shared.groupBy("doc_id").agg(F.min("rep").alias("y")), "doc_id").select(F.col("rep").alias("x"), "y"), "minhash-same")
+    if not found.unionByName(same).isEmpty():
+        groups = components(links.unionByName(found).unionByName(same), "x", "y")
+    placed = classes.select("set_hash", "rep", "first").join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
+    of_set = placed.join(dealt(smallest, "component"), "component").select("set_hash", "component_id")
+    # copies of one set may be a large share of all rows: that side of the join can be split
+    out = known.select("doc_id", "n_shingles", "set_hash").join(dealt(of_set, "set_hash"), "set_hash").select("doc_id", "n_shingles", "component_id")
+    out = staged(out, "minhash-components")
+    rest = sketch.where("doc_id is null or set_hash is null").select("doc_id", "n_shingles")
+    # an id may come with an empty text and another one
+    also = with_ids(out, rest.where("doc_id is not null").select("doc_id").distinct(), "doc_id").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    rest = rest.join(also, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.unionByName(rest).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

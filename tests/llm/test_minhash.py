@@ -45,6 +45,16 @@ def test_tricky_rows(spark):
     check(spark, [r[:2] for r in texts()], tricky(spark))
 
 
+def test_one_id_with_several_texts(spark):
+    """Ids 1 (two texts), 2 (near the first) and 3 (near the second) are one component; so are ids that share an id."""
+    a, b, c = (prose(90 + i, 120) for i in range(3))
+    near = [" ".join([*t.split()[:-1], "tail"]) for t in (a, b, c)]
+    rows = [(1, a), (1, b), (2, near[0]), (3, near[1]), (4, c), (5, near[2]), (5, prose(95, 90)), (6, prose(95, 90)), (7, ""), (7, near[2]), (8, prose(96, 90)), (3, near[1]), (1, a.upper())]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4, 7: 4, 8: 8}
+    check(spark, rows, spark.createDataFrame(rows, "doc_id long, text string"))
+
+
 def test_chains_and_families(spark):
     """Copies of copies: the ends are not alike, and no member of a bucket stands for all."""
     r, rows, n = random.Random(5), [], 100
