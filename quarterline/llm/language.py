@@ -104,7 +104,7 @@ def addresses(pages: DataFrame) -> DataFrame:
 
 
 def identify(docs: DataFrame, pages: DataFrame | None = None, declared: str = "lang", site: str = "source",
-             fit_rows: int = FIT_ROWS, least_confidence: float = LEAST_CONFIDENCE) -> DataFrame:
+             fit_rows: int = FIT_ROWS, least_confidence: float = LEAST_CONFIDENCE, carried: tuple[str, ...] = ()) -> DataFrame:
     """A row per row of ``docs`` (doc_id, text, the declared language, the site), with what ``pages`` say of it.
 
     A page's markup language goes before the declared one. Returns doc_id, language, confidence, text_language,
@@ -112,16 +112,16 @@ def identify(docs: DataFrame, pages: DataFrame | None = None, declared: str = "l
     Missing evidence says nothing. Null and empty texts, those of one or two bytes and those without any known trigram
     have no text evidence and are rejected; ties go to the alphabetically first language. Without any declared
     language nothing can be told: language null, nothing kept. Repeated rows are judged alike; a null doc_id has no
-    page.
+    page. Columns named in ``carried`` come back beside each row's verdict.
     """
-    evidence = docs.select("doc_id", "text", primary(F.col(declared)).alias("declared"), F.col(site).alias("site"))
+    evidence = docs.select("doc_id", "text", primary(F.col(declared)).alias("declared"), F.col(site).alias("site"), *carried)
     langs, logs = fit(evidence, fit_rows)
     n = len(langs)
     if not n:
         return evidence.select("doc_id", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"),
-                               F.lit(None).cast("string").alias("text_language"), "declared", F.lit(False).alias("kept"))
+                               F.lit(None).cast("string").alias("text_language"), "declared", F.lit(False).alias("kept"), *carried)
     shared = evidence.sparkSession.sparkContext.broadcast(logs)  # (languages, BUCKETS + 1) floats
-    fields = ["doc_id", "declared", "site"]
+    fields = ["doc_id", "declared", "site", *carried]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, "text", 1 << 20):
@@ -182,7 +182,7 @@ def identify(docs: DataFrame, pages: DataFrame | None = None, declared: str = "l
     names = F.array(*[F.lit(x) for x in langs])
     return fused.withColumn("confidence", share).select(
         "doc_id", F.get(names, (F.array_position("log_posterior", top) - 1).cast("int")).alias("language"), "confidence",
-        F.when(F.col("text_at") >= 0, F.get(names, F.col("text_at"))).alias("text_language"), "declared",
+        F.when(F.col("text_at") >= 0, F.get(names, F.col("text_at"))).alias("text_language"), "declared", *carried,
     ).withColumn("kept", (F.col("confidence") >= least_confidence) & F.col("text_language").isNotNull())
 
 

@@ -55,16 +55,16 @@ def repeated_words() -> Column:
     return F.expr(f"CAST(CASE WHEN size(w) < 4 THEN 0 WHEN size(w) > {1 << POSITION_BITS} THEN {exact} ELSE {with_keys} END AS BIGINT)")
 
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum: Column | None = None) -> DataFrame:
+def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum: Column | None = None, carried: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, stratum and the counts the rules use, of whole texts. A null text has no words; a null stratum is ''."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(
-        F.col(id_col).alias("doc_id"), F.coalesce(stratum if stratum is not None else F.lit(""), F.lit("")).alias("stratum"), text.alias("text"))
+        F.col(id_col).alias("doc_id"), F.coalesce(stratum if stratum is not None else F.lit(""), F.lit("")).alias("stratum"), text.alias("text"), *carried)
     with_word = F.filter(F.split("text", "\n"), lambda x: F.trim(F.translate(x, "\t\x0b\x0c\r", "    ")) != "")
     base = base.withColumns({"w": F.array_remove(F.split("text", SPACE), ""), "ln": with_word})
     t = F.col("text")
     return base.select(
-        "doc_id", "stratum", F.size("w").cast("long").alias("n_words"),
+        "doc_id", "stratum", *carried, F.md5("text").alias("digest"), F.size("w").cast("long").alias("n_words"),
         _without(t, " \t\n\x0b\x0c\r").cast("long").alias("word_chars"),
         (F.length(t) - _without(t, SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("ln") - F.size(F.array_distinct("ln"))).cast("long").alias("n_dup_lines"),
@@ -96,9 +96,10 @@ def cutoffs(scored: DataFrame, labels: DataFrame, risk: float = 0.05, level: flo
     chance that any stated bound is wrong is at most ``level``: it is divided by strata times rules, and along a
     rule's cutoffs the tests stop at the first that fails, which needs no further correction. Strata with too few
     labelled rows get no cutoff. A document labelled more than once counts as good only if all its labels say so.
+    Copies of a text are no independent trials: a text counts once in its stratum.
     """
     label = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    good = scored.join(label.where("quality = 1"), "doc_id")
+    good = scored.join(label.where("quality = 1"), "doc_id").dropDuplicates(["stratum", "digest"])
     counts = staged(good.groupBy("stratum").agg(
         F.count("*").alias("n"),
         *[F.sum((_score(r) > c).cast("long")).alias(f"{r}_{i}") for r, (_, grid) in RULES.items() for i, c in enumerate(grid)]), "quality-counts")
@@ -113,14 +114,14 @@ def cutoffs(scored: DataFrame, labels: DataFrame, risk: float = 0.05, level: flo
 
 
 def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum: Column | None = None,
-           min_words: int = 50, max_repeat_percent: int = 50, risk: float = 0.05, level: float = 0.05) -> DataFrame:
+           min_words: int = 50, max_repeat_percent: int = 50, risk: float = 0.05, level: float = 0.05, carried: tuple[str, ...] = ()) -> DataFrame:
     """A row per row of ``docs``: the measures, base_failed, failed_rules (the names, comma-joined) and kept.
 
     base_failed: fewer than ``min_words`` words, or over ``max_repeat_percent`` per cent of them in repeated windows.
     kept: not base_failed, and within every cutoff of the document's stratum. Null texts have no words; null ids and
     repeated rows are judged like others; without labels no cutoff holds and the base rules alone decide.
     """
-    table = staged(measures(docs, id_col, text_col, stratum), "quality-measures")
+    table = staged(measures(docs, id_col, text_col, stratum, carried), "quality-measures")
     limits = cutoffs(table, labels, risk, level).groupBy("stratum").agg(
         *[F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"most_{r}") for r in RULES])
     limits = staged(limits, "quality-cutoffs")
@@ -129,4 +130,4 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     failed = F.concat_ws(",", *[F.when(_score(r) > F.col(f"most_{r}"), F.lit(r)) for r in RULES])
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     return joined.withColumn("base_failed", base).withColumn("failed_rules", failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("failed_rules") == "")).drop(*[f"most_{r}" for r in RULES])
+        "kept", ~F.col("base_failed") & (F.col("failed_rules") == "")).drop("digest", *[f"most_{r}" for r in RULES])

@@ -92,3 +92,18 @@ def test_empty_table_passes_all_stages(spark, sf_small):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_small)
         assert docs.count() == 0
+
+
+def test_decisions_hold_for_rows(spark, sf_small):
+    """Repeated rows leave one, rows without an id are judged one by one, and columns with the stages' own names stay."""
+    clean = [r["text"] for r in corpus_pipeline.documents(spark, sf_small).where("lang = 'en'").collect() if len(set(r["text"].split())) > 60][:6]
+    rows = [(1, clean[0]), (1, clean[0]), (1, clean[1]), (None, clean[2]), (None, clean[2]), (None, clean[3]), (None, ""), (None, "x " * 400), (5, clean[4]), (4, clean[4]), (None, clean[5]), (9, clean[5])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), "k", 3) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, kept string, place long")
+    stage = dict(corpus_pipeline.STAGES)
+    known = corpus_pipeline.staged(docs.repartition(3), "test-rows")
+    after = corpus_pipeline.staged(stage["quality_rules"](spark, corpus_pipeline.staged(stage["language_id"](spark, known, sf_small), "test-rows"), sf_small), "test-rows")
+    assert after.columns == docs.columns and {(r["doc_id"], r["text"]) for r in after.collect()} == {x for x in rows if len(set(x[1].split())) > 1}
+    assert after.count() == len(rows) - 2
+    left = stage["near_dedup"](spark, after, sf_small).collect()
+    assert sorted((r["doc_id"] or 0, clean.index(r["text"])) for r in left) == [(0, 2), (0, 3), (1, 0), (1, 1), (4, 4), (9, 5)]
+    assert all(r["kept"] == "k" and r["place"] == 3 for r in left)
