@@ -7,23 +7,51 @@ and hands the next stage what it reads from there. All stages but the last retur
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarterline.llm import language, minhash, packing, quality, secret_scan
 from quarterline.llm.common import documents, staged, with_ids
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is kept; rows without an id are kept if a row without one is."""
-    ids = staged(kept.select("doc_id").distinct(), "pipeline-kept")
-    some = with_ids(docs, ids.where("doc_id is not null"), "doc_id").select(docs.columns)
-    return some.unionByName(docs.where("doc_id is null")) if not ids.where("doc_id is null").isEmpty() else some
+#: The number of a row, beside the columns of documents; decisions are taken by it.
+ROW = "pipeline row"
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of its own for each row: the number of its file and its place in it.
+
+    Both come from the files, so every job sees the same numbers, also after executors were lost. Rows that do not come
+    straight from files are written first.
+    """
+    def placed(df: DataFrame) -> DataFrame:
+        about = df.metadataColumn("_metadata")
+        return df.withColumns({"pipeline file": about["file_path"], "pipeline place": about["row_index"]})
+
+    try:
+        rows = placed(docs)
+    except AnalysisException:
+        rows = placed(staged(docs, "pipeline-rows"))
+    files = rows.select("pipeline file").distinct().withColumn("n", F.row_number().over(Window.orderBy("pipeline file")))  # a row per file
+    files = staged(files, "pipeline-files")
+    numbered = rows.join(F.broadcast(files) if files.count() <= BROADCAST_FILES else files, "pipeline file")
+    return numbered.select(*(F.col(f"`{c}`") for c in docs.columns), (F.col("n").cast("long") * (1 << 40) + F.col("pipeline place")).alias(ROW))
+
+
+#: A row of the table of files is a path and a number, under a kilobyte.
+BROADCAST_FILES = 100_000
+
+
+def _only(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``rows`` whose numbers are kept, without these."""
+    return with_ids(rows, staged(kept.select(ROW), "pipeline-kept"), ROW).drop(ROW)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the evidence does not tell go."""
-    return _only(docs, language.identify(docs, spark.read.parquet(f"{sf_dir}/pages.parquet")).where("kept"))
+    rows = keyed(docs)
+    return _only(rows, language.identify(rows, spark.read.parquet(f"{sf_dir}/pages.parquet"), carried=(ROW,)).where("kept"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,13 +59,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Shortness alone is no fault here: short documents are among the good labelled ones.
     """
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _only(docs, quality.judged(docs, labels, stratum=F.col("lang"), min_words=1).where("kept"))
+    rows, labels = keyed(docs), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _only(rows, quality.judged(rows, labels, stratum=F.col("lang"), min_words=1, carried=(ROW,)).where("kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id."""
-    return _only(docs, minhash.near_duplicates(docs).where("kept"))
+    """One row of each group of near copies stays: of those with the smallest id the first. Repeated rows and rows
+    without an id are rows like others."""
+    rows = keyed(docs)
+    groups = minhash.near_duplicates(rows.select(ROW, "doc_id", "text"), id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    ids = rows.select(ROW, "doc_id")
+    first = groups.join(ids, ROW).groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias("first"))
+    return _only(rows, first.select(F.col(f"first.`{ROW}`").alias(ROW)))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
