@@ -11,11 +11,11 @@ one row per quarter, so a partition never grows with the fact table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from quarterline.functions.numeric import pct_change, to_store
-from quarterline.functions.periods import period_order, quarter_text, year_text
+from quarterline.functions.periods import period_order, period_parts, quarter_text, year_text
 
 _Y, _Q = "__year_text", "__quarter_text"
 
@@ -69,3 +69,33 @@ def consensus_growth(estimates: DataFrame, ticker: str = "ticker", period: str =
     """
     g = with_growth(estimates.select(ticker, period, "consensus_eps"), "consensus_eps", "eps", False, ticker, period)
     return g.select(ticker, period, *[to_store(c).alias(c) for c in ("qoq_eps", "yoy_eps")])
+
+
+def quarter_index(period: str = "fiscal_period") -> Column:
+    """Quarters since year 0: consecutive quarters differ by one.  NULL for a period that is no ``Q1``..``Q4``."""
+    year, quarter = period_parts(period)
+    return F.when(quarter.between(1, 4), year * 4 + quarter - 1)
+
+
+def calendar_growth(df: DataFrame, value: str, prefix: str, ticker: str = "ticker", period: str = "fiscal_period") -> DataFrame:
+    """(ticker, fiscal_period, qoq, yoy, momentum) against the quarters exactly 1, 4 and 8 quarters back.
+
+    The strict form of ``with_growth``: where that quarter is missing the result is NULL, instead of a comparison with
+    whichever row lies so many rows back.  The lags are RANGE frames of one quarter over an integer index, so all
+    three share one exchange, one sort and one window node; momentum is taken from the values 0, 4, 4 and 8 quarters
+    back instead of a second window over YoY.  A quarter reported twice gives no single value: it raises.  A row whose
+    period is no quarter has NULLs.
+    """
+    w = Window.partitionBy(ticker).orderBy("__quarter")
+
+    def back(k: int) -> Column:
+        frame = w.rangeBetween(-k, -k)
+        twice = F.raise_error(F.concat(F.lit("a quarter comes twice for "), F.col(ticker).cast("string")))
+        kind, known = df.schema[value].dataType, F.col("__quarter").isNotNull()
+        return F.when(known & (F.count(F.lit(1)).over(frame) > 1), twice.cast(kind)).when(known, F.first(value).over(frame))
+
+    rows = df.select(ticker, period, value, quarter_index(period).alias("__quarter"))
+    rows = rows.withColumns({f"__back{k}": back(k) for k in (1, 4, 8)})
+    yoy, before = pct_change(value, "__back4"), pct_change("__back4", "__back8")
+    return rows.select(ticker, period, to_store(pct_change(value, "__back1")).alias(f"qoq_{prefix}"), to_store(yoy).alias(f"yoy_{prefix}"),
+                       to_store(yoy - before).alias("momentum"))

@@ -16,7 +16,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterline.schemas import FEATURE_COLUMNS
@@ -78,3 +78,21 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], sequence: bo
         vector_to_array("probability")[1].alias("probability"),
         F.col("prediction").cast("double").alias("prediction"),
     )
+
+
+def store_model(model: PipelineModel, rows: DataFrame, path: str) -> None:
+    """Save a fitted model (its stages hold layers, seed and weights) beside the rows it was fitted and is judged on,
+    with their splits, so that another session evaluates the same thing (M2, M4)."""
+    model.write().overwrite().save(f"{path}/model")
+    rows.write.mode("overwrite").parquet(f"{path}/rows")
+
+
+def stored_scores(spark: SparkSession, path: str, keep: Sequence[str], sequence: bool = False) -> DataFrame:
+    """Scores of a stored model on the rows stored with it."""
+    return score(PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/rows"), keep, sequence)
+
+
+def probability_logit(probability: str = "probability") -> Column:
+    """The logit of a probability, kept off the ends that a float can't tell from 0 and 1."""
+    p = F.least(F.greatest(F.col(probability), F.lit(1e-15)), F.lit(1 - 1e-15))
+    return F.log(p / (F.lit(1.0) - p))

@@ -22,6 +22,7 @@ from quarterline.operators.estimates import REFERENCE_WINDOW, analyst_estimates
 from quarterline.operators.statements import (
     conform_statements,
     statements_from_sheets,
+    with_capex,
 )
 from quarterline.schemas import ANALYST_ESTIMATES, FEATURE_COLUMNS, conform
 from quarterline.session import shared_dir

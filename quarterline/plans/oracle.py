@@ -220,6 +220,29 @@ register("derived_metric_pick", q(
 register("scan_estimates", q(
     'select snap_date "date", cast(act_symbol as varchar) act_symbol, period, period_end_date, consensus, '
     'cast(num as integer) "count", high, low from eps_estimate'))
+SEEDED = """
+raw as (
+  select l_orderkey % 97 k, l_orderkey % 2 part, cast(snap_date as varchar) "date", cast(act_symbol as varchar) act_symbol,
+    case when l_orderkey % 97 = 7 then concat(period, ', late') else period end period,
+    case when l_orderkey % 97 in (4, 5) then strftime(period_end_date, '%m/%d/%Y') else cast(period_end_date as varchar) end period_end_date,
+    case l_orderkey % 97 when 3 then 'oops' when 4 then '1234567.5' else cast(consensus as varchar) end consensus,
+    concat(cast(num as varchar), case l_orderkey % 97 when 1 then '.0' when 2 then '.5' else '' end) "count",
+    case when l_orderkey % 97 = 6 then 'n/a' else cast(high as varchar) end high, cast(low as varchar) low,
+    snap_date, period_end_date ped, consensus c, num, high h, low l
+  from eps_estimate)
+"""
+register("feed_accepted", q(
+    """select snap_date "date", act_symbol, period, ped period_end_date, c consensus, cast(num as integer) "count",
+      case when k <> 6 then h end high, l low from raw where k not in (2, 3, 4, 5, 7)""", SEEDED))
+register("feed_violations", q(
+    """select concat_ws('|', "date", act_symbol, period, period_end_date, consensus, '', "count", high, low, '') record,
+      unnest(case k when 2 then ['count'] when 3 then ['consensus'] when 4 then ['consensus', 'period_end_date'] when 5 then ['period_end_date'] else [] end) "column",
+      unnest(case k when 2 then ['whole number'] when 3 then ['number'] when 4 then ['decimal(10,4)', 'date'] when 5 then ['date'] else [] end) rule,
+      unnest(case k when 2 then ["count"] when 3 then ['oops'] when 4 then ['1234567.5', period_end_date] when 5 then [period_end_date] else [] end) "value"
+    from raw where k in (2, 3, 4, 5)
+    union all
+    select null, null, 'cells', case part when 0 then concat("date", ',', act_symbol, ',', period, ',', period_end_date, ',', consensus, ',,', "count", ',', high, ',', low, ',')
+      else concat(',', low, ',', high, ',', "count", ',,', consensus, ',', period_end_date, ',', period, ',', act_symbol, ',', "date") end from raw where k = 7""", SEEDED))
 register("sink_statements", q(f"select cast(ticker as varchar) ticker, * exclude (ticker) from "
                               f"(select {STATEMENT_COLS} from financial_statements)"))
 register("sink_estimates", q("select * from analyst_estimates"))
@@ -228,6 +251,67 @@ register("export_matrix", q(
     + ", ".join(f"cast({c} as double) {c}" for c in FEATURES)
     + ", eps_status, cast(eps_surprise as double) eps_surprise from matrix", FEAT))
 register("idempotent_reload", ORACLES["sink_statements"])
+register("matrix_violations", q(
+    """select cast(ticker as varchar) ticker, fiscal_period, unnest(['roe', 'cash_ratio']) "column", 'number' rule, unnest(['#DIV/0!', '1.2.3']) "value"
+    from matrix where left(fiscal_period, 2) = 'Q2'""", FEAT))
+register("snapshot_reload", ORACLES["sink_statements"])
+COMPANIES_CTE = """
+companies as (
+  select s_suppkey ticker, s_name company_name, n_name sector, cast(null as varchar) industry, cast(round(s_acctbal*1000) as bigint) market_cap
+  from supplier left join nation on s_nationkey = n_nationkey where s_acctbal >= 0)
+"""
+register("seed_stored", q(
+    """select * from companies union all
+    select s_suppkey, case when s_suppkey % 2 = 1 or s_suppkey not in (select ticker from financial_statements) then s_name end, null, null, null
+    from supplier where s_suppkey not in (select ticker from companies)""", COMPANIES_CTE))
+register("update_stored", q(
+    f"""select f.ticker, f.fiscal_period, {', '.join('f.' + c for c in FEATURES)},
+      case when e.ticker is not null then 'restated' else f.eps_status end eps_status,
+      case when e.ticker is not null then e.consensus_eps else f.eps_surprise end eps_surprise, cast(right(f.fiscal_period, 4) as integer) "year"
+    from features f left join analyst_estimates e on e.ticker = f.ticker and e.fiscal_period = f.fiscal_period
+      and right(e.fiscal_period, 4) in ('1998', '1999') and left(e.fiscal_period, 2) = 'Q2'""", GROWTH_CTES))
+LOAD_CTE = COMPANIES_CTE.strip() + """,
+seeded0 as (
+  select ticker, case when right(fiscal_period, 4) = '1997' then concat('FY ', fiscal_period) when fiscal_period = 'Q3 1998' then concat(fiscal_period, ' (a)') else fiscal_period end fiscal_period,
+    case when fiscal_period = 'Q2 1999' then 0 else revenue end revenue, total_assets, total_liabilities, current_liabilities,
+    case when fiscal_period = 'Q4 1999' then 1000000 else total_debt end total_debt
+  from financial_statements),
+seeded as (select * from seeded0 union all select * from seeded0 where fiscal_period = 'Q1 1996'),
+looked as (
+  select *, count(*) over (partition by ticker, fiscal_period) copies,
+    lag(revenue, 1) over (partition by ticker order by right(fiscal_period, 4), left(fiscal_period, 2), fiscal_period) r1,
+    lag(revenue, 4) over (partition by ticker order by right(fiscal_period, 4), left(fiscal_period, 2), fiscal_period) r4
+  from seeded),
+judged as (
+  select ticker, fiscal_period, copies > 1 r_dup, ticker not in (select ticker from companies) r_fk, length(fiscal_period) > 10 r_len, total_debt >= 1000000 r_dec,
+    not regexp_full_match(fiscal_period, 'Q[1-4] [0-9]{4}') r_per,
+    coalesce(revenue = 0, false) or coalesce(total_assets = 0, false) or coalesce(total_assets - total_liabilities = 0, false) or coalesce(current_liabilities = 0, false)
+      or coalesce(r1 = 0, false) or coalesce(r4 = 0, false) r_zero
+  from looked)
+"""
+register("load_report", q(
+    """select 'rows' rule, count(*) n_rows from judged union all
+    select 'loaded', count(*) filter (not (r_dup or r_fk or r_len or r_dec or r_per or r_zero)) from judged union all
+    select 'duplicate key', count(*) filter (r_dup) from judged union all select 'unknown ticker', count(*) filter (r_fk) from judged union all
+    select 'varchar length', count(*) filter (r_len) from judged union all select 'decimal range', count(*) filter (r_dec) from judged union all
+    select 'bad period', count(*) filter (r_per) from judged union all select 'zero denominator', count(*) filter (r_zero) from judged""", LOAD_CTE))
+register("load_quarantine", q(
+    """select ticker, fiscal_period, concat_ws(',', case when r_dup then 'duplicate key' end, case when r_fk then 'unknown ticker' end, case when r_len then 'varchar length' end,
+      case when r_dec then 'decimal range' end, case when r_per then 'bad period' end, case when r_zero then 'zero denominator' end) rules
+    from judged where r_dup or r_fk or r_len or r_dec or r_per or r_zero""", LOAD_CTE))
+CALENDAR_CTE = """
+gapped as (
+  select ticker, fiscal_period, revenue, cast(right(fiscal_period, 4) as integer) * 4 + cast(substr(fiscal_period, 2, 1) as integer) - 1 n
+  from financial_statements),
+kept as (select * from gapped where (ticker * 7 + n) % 11 <> 0),
+back as (
+  select k.ticker, k.fiscal_period, k.revenue, a.revenue r1, b.revenue r4, c.revenue r8
+  from kept k left join kept a on a.ticker = k.ticker and a.n = k.n - 1 left join kept b on b.ticker = k.ticker and b.n = k.n - 4
+    left join kept c on c.ticker = k.ticker and c.n = k.n - 8)
+"""
+register("growth_calendar", q(
+    f"select ticker, fiscal_period, {dec(pct('revenue', 'r1'))} qoq_rev, {dec(pct('revenue', 'r4'))} yoy_rev, "
+    f"{dec(pct('revenue', 'r4') + ' - ' + pct('r4', 'r8'))} momentum from back", CALENDAR_CTE))
 register("split_by_year", q(
     "select cast(ticker as varchar) ticker, fiscal_period, " + ", ".join(f"cast({c} as double) {c}" for c in FEATURES)
     + f", eps_status, cast(eps_surprise as double) eps_surprise, split from (select *, {SPLIT_CASE} split from matrix) "
@@ -423,12 +507,21 @@ register("mlp_predictions", q("select ticker, fiscal_period, split, label, true
 register("null_feature_rows", q(
     "select ticker, fiscal_period, " + " + ".join(f"cast({c} is null as integer)" for c in FEATURES)
     + " n_null_features from matrix where " + " or ".join(f"{c} is null" for c in FEATURES), FEAT))
-register("sequence_predictions", q(f"""
-select ticker, fiscal_period target_period, split, label, true in_range, true consistent from (
+SEQ_ROWS_CTE = SEQ_CTE.rstrip() + f""",
+seq_rows as (
   select t.ticker, t.fiscal_period, cast(t.eps_status as double) label,
     case when t.year < 1999 or (t.year = 1999 and t.quarter < 3) then 'train'
          when t.year < 2000 or (t.year = 2000 and t.quarter < 1) then 'val' else 'test' end split,
     count(*) filter (where {' and '.join(f's.{c} is not null' for c in FEATURES)}) full_rows
   from sq t join sq s on s.ticker = t.ticker and s.rn between t.rn - 4 and t.rn - 1
   where t.rn > 4 group by t.ticker, t.fiscal_period, t.eps_status, t.year, t.quarter)
-where full_rows = 4 and label is not null and split <> 'train'""", SEQ_CTE))
+"""
+register("sequence_predictions", q(
+    "select ticker, fiscal_period target_period, split, label, true in_range, true consistent from seq_rows "
+    "where full_rows = 4 and label is not null and split <> 'train'", SEQ_ROWS_CTE))
+register("model_splits", q(
+    """select 'row' model, split, count(*) n, cast(sum(label) as bigint) n_beat, count(*) n_scored from rows_ds group by split union all
+    select 'sequence', split, count(*), cast(sum(label) as bigint), count(*) from seq_rows where full_rows = 4 and label is not null group by split""",
+    ROWS_CTE.rstrip() + SEQ_ROWS_CTE[len(FEAT):]))
+# 13-16-8-2 and 52-15-2 with biases
+register("parameter_count", "select 'row' model, 378 parameters union all select 'sequence', 827")

@@ -28,13 +28,21 @@ from quarterline.operators.estimates import (
     quarter_number,
     universe_semi,
 )
-from quarterline.operators.growth import consensus_growth, lagged, revenue_growth
+from quarterline.operators.growth import calendar_growth, consensus_growth, lagged, quarter_index, revenue_growth
 from quarterline.operators.ratios import ratios
 from quarterline.schemas import FEATURE_COLUMNS, FINANCIAL_STATEMENTS, conform
 from quarterline.session import shared_dir
 from quarterline.sources import fixtures as fx
-from quarterline.sources import sinks
-from quarterline.sources.wide import FEED_SCHEMA, MATRIX_SCHEMA, read_estimate_feed, read_matrix, read_wide_sheets
+from quarterline.sources import checked_load, sinks, store
+from quarterline.sources.wide import (
+    FEED_SCHEMA,
+    MATRIX_SCHEMA,
+    feed_violations,
+    matrix_violations,
+    read_estimate_feed,
+    read_matrix,
+    read_wide_sheets,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -162,6 +170,59 @@ def q_scan_estimates(spark, d):
     return read_estimate_feed(spark, path).drop("recent", "year_ago")
 
 
+def _written_raw(rows: DataFrame, orders: dict[int, list[str]], path: str) -> list[str]:
+    """Rows of text cells as folders of CSV files, one per column order; cells are written as they are, so one may hold
+    a comma. Each file begins with its header."""
+    parts, files = [], 8
+    for part, columns in orders.items():
+        line = F.array_join(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in columns]), ",")
+        body = rows.where(F.col("part") == part).select(F.pmod(F.xxhash64(line), F.lit(files)).alias("file"), F.lit(1).alias("at"), line.alias("line"))
+        header = rows.sparkSession.range(files).select(F.col("id").alias("file"), F.lit(0).alias("at"), F.lit(",".join(columns)).alias("line"))
+        body.unionByName(header).repartition(files, "file").sortWithinPartitions("at").select("line").write.text(f"{path}/{part}")
+        parts.append(f"{path}/{part}")
+    return parts
+
+
+def seeded_feed(spark: SparkSession, d: str) -> list[str]:
+    """The feed as CSV files with two column orders and bad cells, chosen by the order's number mod 97."""
+    feed, k = feed_of(spark, d), F.col("l_orderkey") % 97
+    text = feed.select(
+        *[F.col(c).cast("string").alias(c) if c in feed.columns else F.lit(None).cast("string").alias(c) for c in FEED_SCHEMA.fieldNames()],
+        "l_orderkey", (F.col("l_orderkey") % 2).alias("part"))
+    text = text.withColumns({
+        "count": F.when(k == 1, F.concat("count", F.lit(".0"))).when(k == 2, F.concat("count", F.lit(".5"))).otherwise(F.col("count")),
+        "consensus": F.when(k == 3, F.lit("oops")).when(k == 4, F.lit("1234567.5")).otherwise(F.col("consensus")),
+        "period_end_date": F.when(k.isin(4, 5), F.date_format(F.to_date("period_end_date"), "MM/dd/yyyy")).otherwise(F.col("period_end_date")),
+        "high": F.when(k == 6, F.lit("n/a")).otherwise(F.col("high")),
+        "period": F.when(k == 7, F.concat("period", F.lit(", late"))).otherwise(F.col("period")),
+    })
+    names = FEED_SCHEMA.fieldNames()
+    return _written_raw(text, {0: names, 1: [*reversed(names)]}, _scratch(spark, "seeded-feed"))
+
+
+@query("feed_accepted")
+def q_feed_accepted(spark, d):
+    return read_estimate_feed(spark, seeded_feed(spark, d), on_bad="drop").drop("recent", "year_ago")
+
+
+@query("feed_violations")
+def q_feed_violations(spark, d):
+    return feed_violations(spark, seeded_feed(spark, d))
+
+
+@query("matrix_violations")
+def q_matrix_violations(spark, d):
+    # Ratios lost to a spreadsheet error in one quarter, and an empty and a missing value, which are none.
+    m = matrix_of(spark, d)
+    quarter = F.left("fiscal_period", F.lit(2))
+    text = m.select(*[F.col(c).cast("string").alias(c) for c in MATRIX_SCHEMA.fieldNames()], F.lit(0).alias("part")).withColumns({
+        "roe": F.when(quarter == "Q2", F.lit("#DIV/0!")).when(quarter == "Q3", F.lit("NaN")).otherwise(F.col("roe").cast("string")),
+        "cash_ratio": F.when(quarter == "Q2", F.lit("1.2.3")).when(quarter == "Q4", F.lit(None)).otherwise(F.col("cash_ratio").cast("string"))})
+    names = MATRIX_SCHEMA.fieldNames()
+    path = _written_raw(text, {0: [*names[2:], "ticker", "fiscal_period"]}, _scratch(spark, "seeded-matrix"))
+    return matrix_violations(spark, path).select(F.split_part("record", F.lit("|"), F.lit(1)).alias("ticker"), F.split_part("record", F.lit("|"), F.lit(2)).alias("fiscal_period"), "column", "rule", "value")
+
+
 def _in_two_loads(table: DataFrame, path: str) -> DataFrame:
     """Write some companies, append the others (S10, S11), read all."""
     some = F.pmod(F.xxhash64("ticker"), F.lit(2)) == 0
@@ -197,6 +258,65 @@ def q_idempotent_reload(spark, d):
     return spark.read.parquet(path)
 
 
+@query("snapshot_reload")
+def q_snapshot_reload(spark, d):
+    # Some companies, the others appended, then all reloaded from what the table itself holds.
+    root = _scratch(spark, "snapshots")
+    table = conform(statements.with_capex(statements_of(spark, d)), FINANCIAL_STATEMENTS)
+    some = F.pmod(F.xxhash64("ticker"), F.lit(2)) == 0
+    store.publish(table.where(some), root)
+    store.append_snapshot(table.where(~some), root)
+    store.publish(store.current(spark, root), root)
+    return store.current(spark, root)
+
+
+@query("seed_stored")
+def q_seed_stored(spark, d):
+    # Two seeds that overlap with the stored companies and with each other: bare tickers, then named suppliers.
+    path = _scratch(spark, "companies")
+    store.create_keyed(fx.companies(spark, d), path, buckets=8)
+    store.insert_new(spark, path, statements_of(spark, d).where("ticker % 2 = 0").select("ticker").distinct(), buckets=8)
+    named = fx.read_table(spark, d, "supplier").select(F.col("s_suppkey").alias("ticker"), F.col("s_name").alias("company_name"))
+    store.insert_new(spark, path, named, buckets=8)
+    return store.keyed(spark, path)
+
+
+@query("update_stored")
+def q_update_stored(spark, d):
+    # Restated second quarters of two years, in a features table stored by year.
+    path = _scratch(spark, "features-by-year")
+    by_year = year_text("fiscal_period").cast("int")
+    sinks.write_table(features_of(spark, d).withColumn("year", by_year), path, partition_by=["year"])
+    restated = estimates_of(spark, d).withColumn("year", by_year).where(F.col("year").isin(1998, 1999) & (quarter_text("fiscal_period") == "Q2"))
+    restated = restated.select("year", "ticker", "fiscal_period", F.lit("restated").alias("eps_status"), F.col("consensus_eps").alias("eps_surprise"))
+    store.update_stored(path, restated, ["ticker", "fiscal_period"], ["eps_status", "eps_surprise"], "year")
+    return spark.read.parquet(path)
+
+
+def _seeded_statements(spark: SparkSession, d: str) -> DataFrame:
+    """Statements in wide decimals with repeated rows, odd and long periods, figures beyond the store, zero revenues."""
+    s, p = statements_of(spark, d), F.col("fiscal_period")
+    wide = s.select("ticker", "fiscal_period", "period_type", *[F.col(c).cast("decimal(28,4)").alias(c) for c in fx.STATEMENT_FORMULAS])
+    wide = wide.withColumns({
+        "revenue": F.when(p == "Q2 1999", F.lit(0).cast("decimal(28,4)")).otherwise(F.col("revenue")),
+        "total_debt": F.when(p == "Q4 1999", F.lit(10**6).cast("decimal(28,4)")).otherwise(F.col("total_debt")),
+        "fiscal_period": F.when(p.endswith(" 1997"), F.concat(F.lit("FY "), p)).when(p == "Q3 1998", F.concat(p, F.lit(" (a)"))).otherwise(p)})
+    return wide.unionByName(wide.where("fiscal_period = 'Q1 1996'"))
+
+
+@query("load_report")
+def q_load_report(spark, d):
+    found = checked_load.checked_load(_seeded_statements(spark, d), fx.companies(spark, d), _scratch(spark, "checked"))
+    return spark.createDataFrame(list(found.items()), "rule string, n_rows long")
+
+
+@query("load_quarantine")
+def q_load_quarantine(spark, d):
+    path = _scratch(spark, "checked")
+    checked_load.checked_load(_seeded_statements(spark, d), fx.companies(spark, d), path)
+    return checked_load.quarantined(spark, path).select("ticker", "fiscal_period", F.array_join("rules", ",").alias("rules"))
+
+
 @query("split_by_year")
 def q_split_by_year(spark, d):
     path = _scratch(spark, "splits")
@@ -454,6 +574,13 @@ def q_momentum(spark, d):
     return revenue_growth(statements_of(spark, d)).select("ticker", "fiscal_period", "momentum")
 
 
+@query("growth_calendar")
+def q_growth_calendar(spark, d):
+    # Every eleventh quarter of each company, in a pattern that differs by company, was never reported.
+    s = statements_of(spark, d).where((F.col("ticker") * 7 + quarter_index()) % 11 != 0)
+    return calendar_growth(s, "revenue", "rev")
+
+
 @query("quarter_number")
 def q_quarter_number(spark, d):
     firsts = first_snapshot(estimate_filter(feed_of(spark, d), fx.FIXTURE_WINDOW), fx.FIXTURE_TIE_BREAKERS)
@@ -584,3 +711,45 @@ def q_sequence_predictions(spark, d):
                                            max_iter=100)
     keys = ["ticker", "target_period", "split", "label"]
     return _checked(models.score(model, seqs.where(F.col("split") != "train"), keys, sequence=True), keys)
+
+
+def _stored_models(spark: SparkSession, d: str, max_iter: int = 50) -> dict[str, str]:
+    """Both classifiers, fitted on their train split and stored with all their rows."""
+    matrix = _stored(matrix_of(spark, d), "matrix")
+    rows = datasets.row_dataset(datasets.split_by_year(matrix, YEAR_SPLITS))
+    seqs = datasets.split_by_target(datasets.sequence_windows(matrix, k=SEQ_LEN), VAL_START, TEST_START)
+    seqs = datasets.flatten_windows(seqs).where(F.col("label").isNotNull())
+    seqs = seqs.where(F.forall("seq_features", lambda x: x.isNotNull()))
+    paths = {m: _scratch(spark, f"model-{m}") for m in ("row", "sequence")}
+    rows, seqs = _stored(rows, "rows"), _stored(seqs, "sequences")
+    train = F.col("split") == "train"
+    models.store_model(models.fit_row_classifier(rows.where(train), max_iter=max_iter), rows, paths["row"])
+    models.store_model(models.fit_sequence_classifier(seqs.where(train), SEQ_LEN * len(FEATURE_COLUMNS), max_iter=max_iter), seqs, paths["sequence"])
+    return paths
+
+
+def _stored_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of both stored models, scored by what was read back."""
+    out = [models.stored_scores(spark, path, ["split", "label"], m == "sequence").withColumn("model", F.lit(m)) for m, path in _stored_models(spark, d).items()]
+    return out[0].unionByName(out[1])
+
+
+@query("model_splits")
+def q_model_splits(spark, d):
+    return _stored_scores(spark, d).groupBy("model", "split").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").cast("long").alias("n_beat"), F.count(F.when(F.col("probability").between(0.0, 1.0), 1)).alias("n_scored"))
+
+
+@query("model_metrics")
+def q_model_metrics(spark, d):
+    scored, by = _stored(_stored_scores(spark, d), "scores").withColumn("logit", models.probability_logit()), ["model", "split"]
+    floor = scored.groupBy(*by).agg((100 * F.greatest(F.avg("label"), 1 - F.avg("label"))).alias("majority"))
+    return metrics.accuracy_by_split(scored, by).join(metrics.bce_by_split(scored, by).drop("n"), by).join(floor, by)
+
+
+@query("parameter_count")
+def q_parameter_count(spark, d):
+    from pyspark.ml import PipelineModel
+
+    counts = [(m, models.parameter_count(PipelineModel.load(f"{p}/model"))) for m, p in _stored_models(spark, d, 1).items()]
+    return spark.createDataFrame(counts, "model string, parameters int")

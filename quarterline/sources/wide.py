@@ -13,12 +13,15 @@ read by ``read_long_sheets``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarterline.operators.reshape import cell_value, scan_wide
 from quarterline.schemas import FEATURE_COLUMNS
+from quarterline.sources.strict_csv import read_csv, violations
 
 # The reference's snapshot feed columns.
 FEED_SCHEMA = T.StructType(
@@ -94,19 +97,30 @@ def read_long_sheets(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("ticker", "Metrics", "fiscal_period", cell_value("value").alias("value"))
 
 
-def read_estimate_feed(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_estimate_feed(spark: SparkSession, path: str | Sequence[str], fmt: str = "csv", on_bad: str = "raise", one_header: bool = False) -> DataFrame:
     """The snapshot feed with its declared schema, no inference.
 
-    The never-used ``recent`` and ``year_ago`` columns are pruned by
-    Catalyst as soon as a query does not select them.
+    CSV columns go by the header of each file and every cell is judged (``strict_csv.read_csv``): a bad cell raises,
+    or with ``on_bad="drop"`` its record is left to ``feed_violations``.  The never-used ``recent`` and ``year_ago``
+    columns are pruned by Catalyst as soon as a query does not select them.
     """
     if fmt == "csv":
-        return spark.read.schema(FEED_SCHEMA).option("header", "true").csv(path)
+        return read_csv(spark, path, FEED_SCHEMA, on_bad, one_header)
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        return spark.read.parquet(*([path] if isinstance(path, str) else path))
     raise ValueError(f"unsupported feed format {fmt!r}")
 
 
-def read_matrix(spark: SparkSession, path: str) -> DataFrame:
-    """A feature-matrix CSV export with its declared schema."""
-    return spark.read.schema(MATRIX_SCHEMA).option("header", "true").csv(path)
+def feed_violations(spark: SparkSession, path: str | Sequence[str], one_header: bool = False) -> DataFrame:
+    """(record, column, rule, value) of the feed's cells and lines that ``read_estimate_feed`` refuses."""
+    return violations(spark, path, FEED_SCHEMA, one_header)
+
+
+def read_matrix(spark: SparkSession, path: str | Sequence[str], on_bad: str = "raise", one_header: bool = False) -> DataFrame:
+    """A feature-matrix CSV export with its declared schema, judged like the feed."""
+    return read_csv(spark, path, MATRIX_SCHEMA, on_bad, one_header)
+
+
+def matrix_violations(spark: SparkSession, path: str | Sequence[str], one_header: bool = False) -> DataFrame:
+    """(record, column, rule, value) of the export's cells and lines that ``read_matrix`` refuses."""
+    return violations(spark, path, MATRIX_SCHEMA, one_header)

@@ -2,10 +2,11 @@
 
 from decimal import Decimal
 
+import pytest
 from helpers import estimate_row, estimates, periods, statement_row, statements
 
 from quarterline.operators.assemble import feature_matrix, features_all
-from quarterline.operators.growth import revenue_growth
+from quarterline.operators.growth import calendar_growth, revenue_growth
 
 
 def _by_period(df):
@@ -77,3 +78,31 @@ def test_duplicate_estimate_load_does_not_multiply_rows(spark):
     feats = features_all(fs, est).collect()
     assert len(feats) == 2
     assert {r.fiscal_period: r.eps_status for r in feats} == {"Q1 2020": "beat", "Q2 2020": "miss"}
+
+
+def test_calendar_growth_looks_at_the_quarter_itself(spark):
+    ps = [p for p in periods(2017, 16) if p not in ("Q3 2019", "Q2 2018")]
+    rows = [statement_row("AAA", p, revenue=10 + i) for i, p in enumerate(ps)] + [statement_row("AAA", "FY 2020", revenue=5), statement_row("BBB", "Q4 2020", revenue=7)]
+    df = calendar_growth(statements(spark, rows), "revenue", "rev")
+    g, value = _by_period(df.where("ticker = 'AAA'")), {r[1]: r[2] for r in rows if r[0] == "AAA"}
+
+    def change(now, before):
+        return None if before not in value else (value[now] - value[before]) / value[before] * 100
+
+    def back(p, k):
+        n = int(p[3:]) * 4 + int(p[1]) - 1 - k
+        return f"Q{n % 4 + 1} {n // 4}"
+
+    for p in ps:
+        yoy, before = change(p, back(p, 4)), change(back(p, 4), back(p, 8)) if back(p, 4) in value else None
+        for got, exact in ((g[p].qoq_rev, change(p, back(p, 1))), (g[p].yoy_rev, yoy), (g[p].momentum, None if yoy is None or before is None else yoy - before)):
+            assert (got is None) == (exact is None) and (got is None or abs(got - exact) <= Decimal("0.00005")), p
+    assert g["Q4 2019"].qoq_rev is None and g["Q3 2020"].yoy_rev is None and g["FY 2020"][2:] == (None, None, None)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_calendar_growth_refuses_a_quarter_that_comes_twice(spark):
+    rows = [statement_row("AAA", p) for p in ("Q1 2020", "Q1 2020", "Q2 2020")]
+    with pytest.raises(Exception, match="comes twice"):
+        calendar_growth(statements(spark, rows), "revenue", "rev").collect()

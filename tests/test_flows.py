@@ -38,7 +38,9 @@ def test_load_and_feature_flow(spark, sf_small, inputs, buckets):
     assert got.exceptAll(exp.select(*got.columns)).count() == 0
     assert spark.read.option("header", "true").csv(f"{tables}/findata_csv").count() == 280
     if not buckets:
-        from quarterline.plans.flows import model_stage
+        from quarterline.plans.flows import model_stage, statements_with_capex
+
+        assert statements_with_capex(spark, tables).where("capex <=> operating_cash_flow - free_cash_flow").count() == 280
         from quarterline.plans.queries import TEST_START, VAL_START, YEAR_SPLITS
 
         acc = model_stage(spark, tables, YEAR_SPLITS, VAL_START, TEST_START, max_iter=10).collect()

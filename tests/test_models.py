@@ -50,3 +50,37 @@ def test_bce_matches_definition(spark):
               for z, y in [(2.0, 1.0), (-3.0, 0.0), (0.0, 1.0)]) / 3
     assert abs(got - exp) < 1e-12
     assert df.select(F.lit(1)).count() == 3
+
+
+def test_stored_models_are_judged_by_their_own_scores(spark, tmp_path):
+    """A learnable set: the stored model, read back, beats the majority on rows it has not seen, and says the same."""
+    from pyspark.ml import PipelineModel
+
+    from quarterline.operators import models
+    from quarterline.schemas import FEATURE_COLUMNS
+
+    noise = [F.rand(10 + i).alias(c) for i, c in enumerate(FEATURE_COLUMNS)]
+    rows = spark.range(0, 900, numPartitions=1).select("id", *noise)
+    rows = rows.withColumn("label", (F.col(FEATURE_COLUMNS[0]) + F.col(FEATURE_COLUMNS[3]) > 0.8).cast("double"))
+    rows = rows.withColumn("split", F.when(F.col("id") % 3 == 0, "test").otherwise("train"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    model = models.fit_row_classifier(rows.where("split = 'train'"), max_iter=60)
+    models.store_model(model, rows, str(tmp_path / "m"))
+    keep = ["id", "split", "label"]
+    fresh = models.stored_scores(spark.newSession(), str(tmp_path / "m"), keep)
+    assert sorted(map(tuple, fresh.collect())) == sorted(map(tuple, models.score(model, rows, keep).collect()))
+    scored = fresh.withColumn("logit", models.probability_logit())
+    accuracy = {r.split: r.accuracy for r in metrics.accuracy_by_split(scored).collect()}
+    bce = {r.split: r.bce for r in metrics.bce_by_split(scored).collect()}
+    share = rows.where("split = 'test'").agg(F.avg("label")).first()[0]
+    floor = 100 * max(share, 1 - share)
+    assert accuracy["test"] > floor + 10 and bce["test"] < 0.4
+    assert models.parameter_count(PipelineModel.load(str(tmp_path / "m" / "model"))) == 378
+
+
+def test_model_metrics_per_split(spark, sf_small):
+    rows = entry.queries()["model_metrics"](spark, sf_small).collect()
+    assert {r.model for r in rows} == {"row", "sequence"} and {r.split for r in rows} <= {"train", "val", "test"}
+    assert all(0 <= r.accuracy <= 100 and r.bce >= 0 and 50 <= r.majority <= 100 for r in rows)
+    assert all(r.accuracy >= r.majority for r in rows if r.split == "train")

@@ -39,7 +39,8 @@ def test_query_matches_oracle(spark, sf_small, duck, key):
 
 def test_every_query_has_an_oracle():
     own = {k for k in entry.queries() if k not in entry.LLM_QUERIES}
-    assert own <= set(entry.oracle_sql())
+    # what a fitted model says is no SQL: its figures are held against the labels in test_models
+    assert own - {"model_metrics"} <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
