@@ -255,7 +255,7 @@ register("matrix_violations", q(
     """select cast(ticker as varchar) ticker, fiscal_period, unnest(['roe', 'cash_ratio']) "column", 'number' rule, unnest(['#DIV/0!', '1.2.3']) "value"
     from matrix where left(fiscal_period, 2) = 'Q2'""", FEAT))
 register("snapshot_reload", ORACLES["sink_statements"])
-COMPANIES_CTE = """
+PROFILES_CTE = """
 companies as (
   select s_suppkey ticker, s_name company_name, n_name sector, cast(null as varchar) industry, cast(round(s_acctbal*1000) as bigint) market_cap
   from supplier left join nation on s_nationkey = n_nationkey where s_acctbal >= 0)
@@ -263,14 +263,14 @@ companies as (
 register("seed_stored", q(
     """select * from companies union all
     select s_suppkey, case when s_suppkey % 2 = 1 or s_suppkey not in (select ticker from financial_statements) then s_name end, null, null, null
-    from supplier where s_suppkey not in (select ticker from companies)""", COMPANIES_CTE))
+    from supplier where s_suppkey not in (select ticker from companies)""", PROFILES_CTE))
 register("update_stored", q(
     f"""select f.ticker, f.fiscal_period, {', '.join('f.' + c for c in FEATURES)},
       case when e.ticker is not null then 'restated' else f.eps_status end eps_status,
       case when e.ticker is not null then e.consensus_eps else f.eps_surprise end eps_surprise, cast(right(f.fiscal_period, 4) as integer) "year"
     from features f left join analyst_estimates e on e.ticker = f.ticker and e.fiscal_period = f.fiscal_period
       and right(e.fiscal_period, 4) in ('1998', '1999') and left(e.fiscal_period, 2) = 'Q2'""", GROWTH_CTES))
-LOAD_CTE = COMPANIES_CTE.strip() + """,
+LOAD_CTE = PROFILES_CTE.strip() + """,
 seeded0 as (
   select ticker, case when right(fiscal_period, 4) = '1997' then concat('FY ', fiscal_period) when fiscal_period = 'Q3 1998' then concat(fiscal_period, ' (a)') else fiscal_period end fiscal_period,
     case when fiscal_period = 'Q2 1999' then 0 else revenue end revenue, total_assets, total_liabilities, current_liabilities,
@@ -390,6 +390,9 @@ register("metric_regex_filter", q(f"select * from scan_income where regexp_match
 register("estimate_filter", q(
     f"select {FEED_COLS} from eps_estimate where period = 'Current Quarter' "
     "and period_end_date > date '1994-12-31' and period_end_date < date '2001-10-31'"))
+register("estimate_filter_clustered", q(
+    f"select {FEED_COLS} from eps_estimate where period = 'Current Quarter' and act_symbol in (1, 2, 3) "
+    "and period_end_date > date '1996-12-31' and period_end_date < date '1999-01-01'"))
 register("universe_semi", q("select ticker, fiscal_period from financial_statements "
                             "where ticker in (select ticker from co)", COMPANIES_CTE))
 register("split_by_target", q("""
@@ -423,6 +426,8 @@ p as (select *, row_number() over (partition by ticker, fiscal_period
         order by snap_date, l_orderkey, l_linenumber, consensus, num) rn from f)
 """))
 register("features_all", q("select * from features", GROWTH_CTES))
+register("features_sql", ORACLES["features_all"])
+register("matrix_sql", q("select * from matrix where cast(right(fiscal_period, 4) as integer) between 1997 and 1999", FEAT))
 register("features_position_aligned", q(f"""
 select f.ticker, f.fiscal_period, {', '.join('f.' + c for c in FEATURES)}, pf.eps_status, pf.eps_surprise
 from features f left join pf on f.ticker = pf.ticker and f.fiscal_period = pf.fiscal_period""",

@@ -30,6 +30,7 @@ from quarterline.operators.estimates import (
 )
 from quarterline.operators.growth import calendar_growth, consensus_growth, lagged, quarter_index, revenue_growth
 from quarterline.operators.ratios import ratios
+from quarterline.plans import sql
 from quarterline.schemas import FEATURE_COLUMNS, FINANCIAL_STATEMENTS, conform
 from quarterline.session import shared_dir
 from quarterline.sources import fixtures as fx
@@ -452,6 +453,14 @@ def q_estimate_filter(spark, d):
     return estimate_filter(feed_of(spark, d), fx.FIXTURE_WINDOW)
 
 
+@query("estimate_filter_clustered")
+def q_estimate_filter_clustered(spark, d):
+    # A narrow universe and window over the stored feed, clustered by symbol and period end.
+    path = _scratch(spark, "clustered-feed")
+    sinks.write_clustered_feed(feed_of(spark, d), path)
+    return estimate_filter(spark.read.parquet(path), ("1996-12-31", "1999-01-01"), [1, 2, 3])
+
+
 @query("universe_semi")
 def q_universe_semi(spark, d):
     return universe_semi(statements_of(spark, d), fx.companies(spark, d)).select("ticker", "fiscal_period")
@@ -517,6 +526,21 @@ def q_features_all(spark, d):
     return features_of(spark, d)
 
 
+@query("features_sql")
+def q_features_sql(spark, d):
+    sql.register_tables(spark, {"financial_statements": statements_of(spark, d), "analyst_estimates": estimates_of(spark, d)})
+    return sql.features_sql(spark)
+
+
+@query("matrix_sql")
+def q_matrix_sql(spark, d):
+    # Over a stored features table, the years as parameters of the statement.
+    path = _scratch(spark, "features")
+    sinks.write_table(features_of(spark, d), path)
+    sql.register_tables(spark, {"features": path})
+    return sql.matrix_sql(spark, 1997, 1999)
+
+
 @query("features_position_aligned")
 def q_features_position_aligned(spark, d):
     return features_of(spark, d, alignment="position", universe=fx.universe(spark, d), materialize=True)

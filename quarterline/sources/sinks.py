@@ -39,6 +39,18 @@ def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, by: str =
      .option("path", path).saveAsTable(name))
 
 
+def write_clustered_feed(feed: DataFrame, path: str, group_bytes: int = 64 << 20) -> None:
+    """Store the snapshot feed so that a narrow universe and window read little of it.
+
+    Files are ranges of (symbol, period end), sorted inside, with small row groups: their minima and maxima and a Bloom
+    filter on the symbol let the scan skip the groups that hold none of the wanted symbols, and those of other period
+    ends.  A symbol with a large share of all rows spreads over several files, as ranges go on by period end and date.
+    """
+    keys = ["act_symbol", "period_end_date", "date"]
+    (feed.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").option("parquet.block.size", group_bytes)
+     .option("parquet.bloom.filter.enabled#act_symbol", "true").parquet(path))
+
+
 def export_matrix(matrix: DataFrame, path: str) -> None:
     """CSV with header, ordered by ticker, year, quarter, NULL keys last.
 

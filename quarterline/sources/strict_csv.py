@@ -85,30 +85,28 @@ def raw_rows(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
         empty = T.StructType([*(T.StructField(c, T.StringType()) for c in schema.fieldNames()), T.StructField(VIOLATIONS, T.StringType())])
         return spark.createDataFrame([], empty)
     row = F.coalesce(*[F.when(F.col("header") == h, _parsed(_names(h, schema), schema)) for h in headers])
-    return records.select(row.alias("row")).select("row.*")
+    # a generator, so that a line is parsed once however often its cells are used
+    return records.select(F.explode(F.array(row)).alias("row")).select("row.*")
+
+
+def _empty(text: Column) -> Column:
+    return text.isNull() | F.lower(F.trim(text)).isin(NA_TEXTS)
 
 
 def _judged(text: Column, kind: T.DataType) -> tuple[Column, Column]:
-    """(value or NULL, the rule it breaks or NULL) of a cell's text."""
-    cell = F.trim(text)
-    none = text.isNull() | F.lower(cell).isin(NA_TEXTS)
+    """(value or NULL, the rule broken where there is no value though the cell is not empty) of a cell's text."""
     if isinstance(kind, T.StringType):
         return F.nullif(text, F.lit("")), F.lit(None).cast("string")
     if isinstance(kind, T.DateType):
-        value = F.when(cell.rlike(_DATE), F.substring_index(F.substring_index(cell, " ", 1), "T", 1).try_cast("date"))
-        return F.when(~none, value), F.when(~none & value.isNull(), F.lit("date"))
-    if isinstance(kind, T.DecimalType):
-        wide = cell.try_cast(T.DecimalType(38, kind.scale))  # rounded half up
-        value = wide.try_cast(kind)
-        rule = F.when(wide.isNull(), F.lit("number")).when(value.isNull(), F.lit(kind.simpleString()))
-    elif isinstance(kind, (T.IntegerType, T.LongType)):
-        wide = cell.try_cast("decimal(38,10)")
-        value = F.when(wide == F.floor(wide), F.floor(wide).try_cast(kind))
-        rule = F.when(wide.isNull(), F.lit("number")).when(wide != F.floor(wide), F.lit("whole number")).when(value.isNull(), F.lit(kind.simpleString()))
-    else:
-        value = cell.try_cast(kind)
-        rule = F.when(value.isNull(), F.lit("number"))
-    return F.when(~none, value), F.when(~none, rule)
+        day = F.substring_index(F.substring_index(F.trim(text), " ", 1), "T", 1)
+        return F.coalesce(F.when(text.like("____-__-__"), text.try_cast(kind)), F.when(F.trim(text).rlike(_DATE), day.try_cast(kind))), F.lit("date")
+    if isinstance(kind, T.DecimalType):  # rounded half up
+        return text.try_cast(kind), F.when(text.try_cast(T.DecimalType(38, kind.scale)).isNull(), F.lit("number")).otherwise(F.lit(kind.simpleString()))
+    if isinstance(kind, (T.IntegerType, T.LongType)):
+        wide = text.try_cast("decimal(38,10)")
+        rule = F.when(wide.isNull(), F.lit("number")).when(wide != F.floor(wide), F.lit("whole number")).otherwise(F.lit(kind.simpleString()))
+        return F.coalesce(text.try_cast(kind), F.when(wide == F.floor(wide), F.floor(wide).try_cast(kind))), rule
+    return F.nanvl(text.try_cast(kind), F.lit(None).cast(kind)), F.lit("number")
 
 
 def judged_rows(raw: DataFrame, schema: T.StructType, *more: Column) -> DataFrame:
@@ -116,8 +114,8 @@ def judged_rows(raw: DataFrame, schema: T.StructType, *more: Column) -> DataFram
     without a column for a line of too many or too few cells."""
     judged = {f.name: _judged(F.col(f"`{f.name}`"), f.dataType) for f in schema.fields}
     cells = F.filter(F.array(*[
-        F.when(rule.isNotNull(), F.struct(F.lit(c).alias("column"), rule.alias("rule"), F.col(f"`{c}`").alias("value"))) for c, (_, rule) in judged.items()
-    ]).cast(VIOLATION_KIND), lambda v: v.isNotNull())
+        F.when(value.isNull() & ~_empty(F.col(f"`{c}`")) & rule.isNotNull(), F.struct(F.lit(c).alias("column"), rule.alias("rule"), F.col(f"`{c}`").alias("value")))
+        for c, (value, rule) in judged.items()]).cast(VIOLATION_KIND), lambda v: v.isNotNull())
     line = F.array(F.struct(F.lit(None).cast("string").alias("column"), F.lit("cells").alias("rule"), F.col(VIOLATIONS).alias("value"))).cast(VIOLATION_KIND)
     return raw.select(*more, *[value.alias(c) for c, (value, _) in judged.items()], F.when(F.col(VIOLATIONS).isNotNull(), line).otherwise(cells).alias(VIOLATIONS))
 
@@ -134,7 +132,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
         def value(f: T.StructField) -> Column:
             good, rule = _judged(F.col(f"`{f.name}`"), f.dataType)
             said = F.concat(F.lit(f"column {f.name}: not a {f.dataType.simpleString()}: "), F.col(f"`{f.name}`"))
-            return F.when(rule.isNull(), good).otherwise(F.raise_error(said).cast(f.dataType)).alias(f.name)
+            return F.coalesce(good, F.when(_empty(F.col(f"`{f.name}`")) | rule.isNull(), F.lit(None)).otherwise(F.raise_error(said)).cast(f.dataType)).alias(f.name)
 
         whole = F.when(F.col(VIOLATIONS).isNull(), True).otherwise(F.raise_error(F.concat(F.lit("line with too many or too few cells: "), VIOLATIONS)).cast("boolean"))
         return raw.where(whole).select(*[value(f) for f in schema.fields])

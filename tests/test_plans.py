@@ -4,6 +4,8 @@ import datetime as dt
 import re
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from quarterline.operators.estimates import analyst_estimates, estimate_filter
 from quarterline.plans.queries import features_of, sheet_of
 from quarterline.operators.reshape import dropna_any
@@ -71,3 +73,29 @@ def test_feature_plan_without_broadcasts(spark, sf_small):
         assert shuffles(plan(features_of(spark, sf_small))) <= 6
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sql_surface_plans_no_more_shuffles(spark, sf_small):
+    from quarterline.plans import sql
+    from quarterline.plans.queries import estimates_of, statements_of
+
+    sql.register_tables(spark, {"financial_statements": statements_of(spark, sf_small), "analyst_estimates": estimates_of(spark, sf_small)})
+    text = plan(sql.features_sql(spark))
+    assert shuffles(text) <= shuffles(plan(features_of(spark, sf_small))) and "SinglePartition" not in text
+    assert sql.features_sql(spark).exceptAll(features_of(spark, sf_small)).isEmpty()
+
+
+def test_clustered_feed_skips_what_a_narrow_universe_does_not_need(spark, sf_small, tmp_path):
+    from quarterline.plans.queries import feed_of
+    from quarterline.sources.sinks import write_clustered_feed
+
+    path, window = str(tmp_path / "feed"), ("1996-12-31", "1998-01-01")
+    feed = feed_of(spark, sf_small).crossJoin(spark.range(200).select((F.col("id") * 1000).alias("shift")))  # many symbols: the pruning shows
+    feed = feed.withColumn("act_symbol", F.col("act_symbol") + F.col("shift")).drop("shift")
+    write_clustered_feed(feed, path, group_bytes=1 << 16)
+    narrow = estimate_filter(spark.read.parquet(path), window, [3, 7001, 123005])
+    rows = narrow.collect()
+    scan = narrow._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    read = scan.metrics().apply("numOutputRows").value()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, estimate_filter(feed, window, [3, 7001, 123005]).select(*narrow.columns).collect()))
+    assert 0 < len(rows) and read < feed.count() / 20
