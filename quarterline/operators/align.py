@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from quarterline.functions.periods import period_order
 from quarterline.operators.estimates import first_per_key
-from quarterline.session import shared_dir
+from quarterline.session import scratch_dir
 
 
 #: Tickers per block of the prefix sum.
@@ -36,10 +36,10 @@ def _materialized(df: DataFrame, work_dir: str | None = None) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Cuts the lineage like a reliable checkpoint, but computes the plan once.
-    ``work_dir``: a folder of the caller's, who removes it when done.
+    ``work_dir``: a folder of the caller's, who removes it when done; else the table goes with this process.
     """
     spark = df.sparkSession
-    path = f"{work_dir or shared_dir(spark, 'quarterline-materialized')}/{uuid.uuid4().hex}"
+    path = f"{work_dir}/{uuid.uuid4().hex}" if work_dir else scratch_dir(spark, "quarterline-materialized", "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

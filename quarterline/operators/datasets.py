@@ -72,7 +72,7 @@ def null_feature_rows(matrix: DataFrame, features: Sequence[str] = FEATURE_COLUM
 
 
 def sequence_windows(matrix: DataFrame, k: int = 7, features: Sequence[str] = FEATURE_COLUMNS,
-                     label: str = LABEL) -> DataFrame:
+                     label: str = LABEL, carried: Sequence[str] = ()) -> DataFrame:
     """k consecutive quarters of features -> the next quarter's label.
 
     Output: ticker, target_period, label, window (array of k structs of
@@ -81,6 +81,7 @@ def sequence_windows(matrix: DataFrame, k: int = 7, features: Sequence[str] = FE
     left out, and a period that does not parse raises: a window over the
     rows around it would not be of consecutive quarters.  Structs are
     collected (not bare values) so NULL features keep their slot.
+    ``carried``: columns of the target row to keep beside.
     """
     df = with_period_parts(matrix.where(F.col("ticker").isNotNull()))
     message = F.concat(F.lit("period does not parse: "), F.coalesce(F.col("fiscal_period"), F.lit("NULL")))
@@ -95,10 +96,38 @@ def sequence_windows(matrix: DataFrame, k: int = 7, features: Sequence[str] = FE
         "quarter",
         F.col(label).cast("double").alias("label"),
         F.collect_list(packed).over(w).alias("window"),
+        *carried,
     )
     return seq.where(F.size("window") == k)
 
 
+def sequence_tail(matrix: DataFrame, k: int = 7) -> DataFrame:
+    """The last k rows of each ticker: all that later windows can look back on."""
+    df = with_period_parts(matrix.where(F.col("ticker").isNotNull()))
+    latest = Window.partitionBy("ticker").orderBy(F.desc("year"), F.desc("quarter"), F.desc("fiscal_period"))
+    return df.withColumn("__n", F.row_number().over(latest)).where(F.col("__n") <= k).select(*matrix.columns)
+
+
+def sequence_increment(tail: DataFrame, new: DataFrame, k: int = 7, features: Sequence[str] = FEATURE_COLUMNS,
+                       label: str = LABEL) -> tuple[DataFrame, DataFrame]:
+    """(windows whose target is one of the ``new`` rows, the tail after them): what a new quarter adds to a stored
+    sequence data set, from the stored tail and the new rows alone.
+
+    ``tail`` is ``sequence_tail`` of the rows before; together with the windows stored so far the result equals
+    ``sequence_windows`` of all rows.  A new row that is not later than its ticker's tail would change windows that
+    are stored already: it raises.
+    """
+    marked = tail.withColumn("__new", F.lit(False)).unionByName(new.withColumn("__new", F.lit(True)))
+    parts = with_period_parts(marked.where(F.col("ticker").isNotNull()))
+    w = Window.partitionBy("ticker").orderBy("year", "quarter", "fiscal_period")
+    late = ~F.col("__new") & F.coalesce(F.lag("__new").over(w), F.lit(False)) | F.col("__new") & ~F.coalesce(F.lag("__new").over(w), F.lit(True)) & (
+        F.col("fiscal_period").eqNullSafe(F.lag("fiscal_period").over(w)))
+    message = F.concat(F.lit("a row of a quarter that is stored already for "), F.col("ticker").cast("string"))
+    checked = parts.withColumn("__late", late).where(F.when(F.col("__late"), F.raise_error(message).cast("boolean")).otherwise(True)).drop("__late", "year", "quarter")
+    windows = sequence_windows(checked, k, features, label, ["__new"]).where("__new").drop("__new")
+    return windows, sequence_tail(checked.drop("__new"), k)
+
+
 def explode_windows(seqs: DataFrame, features: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
     """One row per (sequence, step): step 1 is the oldest quarter of the window."""
     cols = [c for c in seqs.columns if c != "window"]

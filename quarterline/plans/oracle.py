@@ -512,6 +512,7 @@ register("mlp_predictions", q("select ticker, fiscal_period, split, label, true
 register("null_feature_rows", q(
     "select ticker, fiscal_period, " + " + ".join(f"cast({c} is null as integer)" for c in FEATURES)
     + " n_null_features from matrix where " + " or ".join(f"{c} is null" for c in FEATURES), FEAT))
+register("sequence_increment", f"select * replace (cast(ticker as bigint) as ticker) from ({ORACLES['sequence_dataset']})")
 SEQ_ROWS_CTE = SEQ_CTE.rstrip() + f""",
 seq_rows as (
   select t.ticker, t.fiscal_period, cast(t.eps_status as double) label,

@@ -9,7 +9,6 @@ test 2000; sequence boundaries Q3 1999 and Q1 2000).
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +31,7 @@ from quarterline.operators.growth import calendar_growth, consensus_growth, lagg
 from quarterline.operators.ratios import ratios
 from quarterline.plans import sql
 from quarterline.schemas import FEATURE_COLUMNS, FINANCIAL_STATEMENTS, conform
-from quarterline.session import shared_dir
+from quarterline.session import scratch_dir
 from quarterline.sources import fixtures as fx
 from quarterline.sources import checked_load, sinks, store
 from quarterline.sources.wide import (
@@ -86,7 +85,7 @@ def matrix_file(spark: SparkSession, d: str) -> DataFrame:
     """The matrix as the data sets read it: from its CSV export."""
     path = _scratch(spark, "findata")
     sinks.export_matrix(matrix_of(spark, d), path)
-    return read_matrix(spark, path)
+    return read_matrix(spark, path, one_header=True)
 
 
 def matrix_of(spark: SparkSession, d: str) -> DataFrame:
@@ -137,7 +136,7 @@ def sequences_of(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return shared_dir(spark, "quarterline-sinks", f"{name}-{uuid.uuid4().hex}")
+    return scratch_dir(spark, "quarterline-sinks", name)
 
 
 # ---------------------------------------------------------------- 2.1 sources / sinks
@@ -624,6 +623,18 @@ def q_sequence_dataset(spark, d):
     return datasets.explode_windows(datasets.sequence_windows(matrix_file(spark, d), k=SEQ_LEN))
 
 
+@query("sequence_increment")
+def q_sequence_increment(spark, d):
+    # Windows up to 1999 are stored with a tail; the year 2000 and then the rest arrive later.
+    matrix, year = _stored(matrix_of(spark, d), "matrix"), year_text("fiscal_period")
+    old = matrix.where(year < "2000")
+    tail, windows = _stored(datasets.sequence_tail(old, SEQ_LEN), "tail"), [_stored(datasets.sequence_windows(old, k=SEQ_LEN), "windows")]
+    for new in (matrix.where(year == "2000"), matrix.where(year > "2000")):
+        more, tail = datasets.sequence_increment(tail, new, SEQ_LEN)
+        windows, tail = [*windows, _stored(more, "windows")], _stored(tail, "tail")
+    return datasets.explode_windows(reshape.union_all_by_name(*windows))
+
+
 # ---------------------------------------------------------------- 2.8 sorts
 @query("ordered_statements")
 def q_ordered_statements(spark, d):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -88,3 +91,21 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
             sc.setCheckpointDir(base)
             base = sc.getCheckpointDir() or base
     return "/".join([base.rstrip("/"), *parts])
+
+
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def scratch_dir(spark: SparkSession, *parts: str) -> str:
+    """A new folder's path in the shared folder; what is written there goes when this process ends."""
+    path = shared_dir(spark, *parts[:-1], f"{parts[-1]}-{uuid.uuid4().hex}")
+    _SCRATCH.append((spark, path))
+    return path
+
+
+@atexit.register
+def _remove_scratch() -> None:
+    for spark, path in _SCRATCH:
+        with contextlib.suppress(Exception):  # the session may have ended
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)

@@ -61,3 +61,42 @@ def test_row_dataset_null_policy(spark):
     assert dict(datasets.row_dataset(m).dtypes)["label"] == "double"
     assert datasets.distinct_tickers(m).count() == 1
     assert m.select(F.lit(1)).count() == 3
+
+
+def test_sequence_increment_reads_the_tail_and_the_new_quarter(spark, tmp_path):
+    from quarterline.operators.datasets import sequence_increment, sequence_tail, sequence_windows
+    from quarterline.schemas import FEATURE_COLUMNS
+
+    rows = [(t, f"Q{i % 4 + 1} {2018 + i // 4}", *[float(i * 10 + j) for j in range(len(FEATURE_COLUMNS))], float(i % 2), 0.0)
+            for t, n in (("A", 12), ("B", 5), ("C", 3)) for i in range(n)] + [(None, "Q1 2019", *[0.0] * len(FEATURE_COLUMNS), 1.0, 0.0)]
+    schema = "ticker string, fiscal_period string, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS) + ", eps_status double, eps_surprise double"
+    whole = spark.createDataFrame(rows, schema)
+    old, new = whole.where("right(fiscal_period, 4) < '2019'"), whole.where("right(fiscal_period, 4) = '2019'")
+    last = whole.where("right(fiscal_period, 4) > '2019'")
+    tail, got = sequence_tail(old, 3), [sequence_windows(old, 3)]
+    assert tail.groupBy("ticker").count().where("count > 3").isEmpty()
+    for part in (new, last):
+        tail.write.parquet(str(tmp_path / f"tail{len(got)}"))
+        part.write.parquet(str(tmp_path / f"new{len(got)}"))
+        more, tail = sequence_increment(spark.read.parquet(str(tmp_path / f"tail{len(got)}")), spark.read.parquet(str(tmp_path / f"new{len(got)}")), 3)
+        plan = more._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 2 and "tail" in plan and "Join" not in plan
+        got.append(more)
+    key = lambda r: (r.ticker, r.target_period)
+    assert sorted((r for g in got for r in g.collect()), key=key) == sorted(sequence_windows(whole, 3).collect(), key=key)
+    assert sorted(map(tuple, tail.collect())) == sorted(map(tuple, sequence_tail(whole, 3).collect()))
+
+
+def test_sequence_increment_refuses_quarters_that_are_stored(spark):
+    import pytest
+
+    from quarterline.operators.datasets import sequence_increment
+    from quarterline.schemas import FEATURE_COLUMNS
+
+    schema = "ticker string, fiscal_period string, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS) + ", eps_status double, eps_surprise double"
+    row = lambda t, p: (t, p, *[0.0] * (len(FEATURE_COLUMNS) + 2))
+    tail = spark.createDataFrame([row("A", "Q1 2020"), row("A", "Q2 2020"), row("B", "Q3 2020")], schema)
+    for late in ("Q2 2020", "Q4 2019"):
+        with pytest.raises(Exception, match="stored already for A"):
+            sequence_increment(tail, spark.createDataFrame([row("A", late)], schema), 1)[0].collect()
+    assert sequence_increment(tail, spark.createDataFrame([row("A", "Q3 2020"), row("C", "Q1 2019")], schema), 1)[0].count() == 1
