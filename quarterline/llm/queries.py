@@ -119,21 +119,26 @@ def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op3_revisits"] = r"""
 WITH shaped AS (
-  SELECT page_id p, html, url,
+  SELECT page_id p, html, url, '<!-- 2 -->' || substr(html, 1, 64) AS html2,
     regexp_replace(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^.*@', ''), '^www\.|:(80|443)$', '', 'g') AS host,
     regexp_replace(regexp_extract(url, '^[^:]*://[^/?#]*([^?#]*)', 1), '/+$', '') AS path,
     list_sort(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'),
       lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|gclid|fbclid|ref)(=|$)'))) AS query,
-    '"' || substr(md5(html), 1, 16) || '"' AS tag, 'day ' || CAST(page_id // 1440 AS VARCHAR) AS modified
+    60 * page_id AS start, 'day ' || CAST(60 * page_id // 86400 AS VARCHAR) AS day1, 'day ' || CAST((60 * page_id + 864000) // 86400 AS VARCHAR) AS day2
   FROM pages),
 addressed AS (
-  SELECT *, CASE WHEN host <> '' THEN host || path || '?' || array_to_string(query, '&') END AS address FROM shaped),
+  SELECT *, CASE WHEN host <> '' THEN host || path || '?' || array_to_string(query, '&') END AS address,
+    '"' || substr(md5(html), 1, 16) || '"' AS tag1, '"' || substr(md5(html2), 1, 16) || '"' AS tag2 FROM shaped),
 responses AS (
-  SELECT 2 * p AS response_id, address, 60 * p AS at, tag, modified, html FROM addressed WHERE html IS NOT NULL),
+  SELECT 8 * p AS response_id, address, start AS at, tag1 AS tag, day1 AS modified, html FROM addressed WHERE html IS NOT NULL
+  UNION ALL SELECT 8 * p + 1, address, start + 864000, tag2, day2, html2 FROM addressed WHERE html IS NOT NULL AND p % 2 = 0),
 revisits AS (
-  SELECT 2 * p + 1 AS record_id, address, 60 * p + 86400 * (1 + p % 30) AS captured, modified,
-    CASE WHEN p % 11 = 0 THEN '"other"' WHEN p % 7 = 0 THEN NULL WHEN p % 3 = 0 THEN 'W/' || tag ELSE tag END AS sent
-  FROM addressed),
+  SELECT 8 * p + 3 AS record_id, address, start - 1 AS captured, tag1 AS sent, day1 AS modified FROM addressed WHERE p % 5 = 0
+  UNION ALL SELECT 8 * p + 4, address, start + 86400 * (1 + p % 9),
+    CASE WHEN p % 11 = 0 THEN '"other"' WHEN p % 7 = 0 THEN NULL WHEN p % 3 = 0 THEN 'W/' || tag1 ELSE tag1 END, day1 FROM addressed
+  UNION ALL SELECT 8 * p + 5, address, start + 864000, tag1, day1 FROM addressed WHERE p % 2 = 0
+  UNION ALL SELECT 8 * p + 6, address, start + 25 * 86400, CASE WHEN p % 5 = 0 THEN NULL WHEN p % 2 = 0 AND p % 7 <> 0 THEN tag2 ELSE tag1 END,
+    CASE WHEN p % 5 <> 0 THEN day1 END FROM addressed WHERE p % 3 = 0),
 ranked AS (
   SELECT v.*, r.response_id, r.tag, r.modified AS r_modified, r.html, r.at,
     row_number() OVER (PARTITION BY v.record_id ORDER BY r.at DESC, r.response_id DESC) AS n
@@ -141,7 +146,7 @@ ranked AS (
 judged AS (
   SELECT *, CASE WHEN response_id IS NULL THEN 'unmatched'
     WHEN sent IS NOT NULL AND tag IS NOT NULL THEN CASE WHEN regexp_replace(sent, '^W/', '') = tag THEN 'resolved' ELSE 'changed' END
-    WHEN modified = r_modified THEN 'resolved' ELSE 'changed' END AS verdict
+    WHEN modified IS NULL OR r_modified IS NULL THEN 'unproven' WHEN modified = r_modified THEN 'resolved' ELSE 'changed' END AS verdict
   FROM ranked WHERE n = 1)
 SELECT record_id, address, captured, response_id, verdict,
   CASE WHEN verdict = 'resolved' THEN 'content-type=text/html;date=' || captured || ';etag=' || coalesce(sent, tag) || ';last-modified=' || r_modified END AS headers,

@@ -98,25 +98,43 @@ def with_bodies(resolved: DataFrame, records: DataFrame) -> DataFrame:
     return out.withColumn("body", F.when(F.col("verdict") == "resolved", F.col("body")))
 
 
-def captures(pages: DataFrame) -> DataFrame:
-    """A crawl log of ``pages`` (page_id, url, html): a response record of each page and a later not-modified revisit.
+DAY = 86_400
+
 
-    Page p is fetched at second 60 p and asked for again 1 to 30 days later under another spelling of its address. The
-    revisit repeats the entity tag (weakly, one in three), but one in eleven has another, and one in seven none.
+def captures(pages: DataFrame) -> DataFrame:
+    """A crawl log of ``pages`` (page_id, url, html): two or more records of each page's address, in no order.
+
+    Page p is fetched at second 60 p (404 where there is no html). Every second page is fetched again ten days later
+    with a changed body, tag and date; every fourth fails ten days after that. Not-modified revisits, under another
+    spelling of the address: of every fifth page a second before its first response; of every page 1 to 9 days after
+    it, with the tag (weak, one in three), another (one in eleven) or none (one in seven); of every second page at the
+    second of its second response, which is not earlier; and of every third after 25 days, with the tag of its latest
+    response, but one in seven with the first's and one in five without any validator.
     """
-    p = F.col("page_id")
-    tag = F.concat(F.lit('"'), F.substring(F.md5("html"), 1, 16), F.lit('"'))
-    date = F.concat(F.lit("day "), F.floor(p / 1440).cast("string"))
-    response = F.struct(
-        (2 * p).alias("record_id"), F.col("url"), (60 * p).alias("captured"), F.lit("response").alias("kind"),
-        F.when(F.col("html").isNull(), 404).otherwise(200).alias("status"),
-        F.create_map(F.lit("ETag"), tag, F.lit("Last-Modified"), date, F.lit("Date"), (60 * p).cast("string"), F.lit("Content-Type"), F.lit("text/html")).alias("headers"),
-        F.col("html").alias("body"))
-    later = 60 * p + 86400 * (1 + p % 30)
-    other = F.when(p % 11 == 0, F.lit('"other"')).when(p % 7 == 0, F.lit(None).cast("string")).when(p % 3 == 0, F.concat(F.lit("W/"), tag)).otherwise(tag)
-    revisit = F.struct(
-        (2 * p + 1).alias("record_id"), F.concat(F.regexp_replace("url", "#.*$", ""), F.lit("#again")).alias("url"), later.alias("captured"), F.lit("revisit").alias("kind"),
-        F.lit(304).alias("status"),
-        F.create_map(F.lit("etag"), other, F.lit("last-modified"), date, F.lit("date"), later.cast("string"), F.lit("x-cache"), F.lit("hit")).alias("headers"),
-        F.lit(None).cast("string").alias("body"))
-    return pages.select(F.explode(F.array(response, revisit)).alias("r")).select("r.*")
+    p, html = F.col("page_id"), F.col("html")
+    start = 60 * p
+    bodies = [html, F.concat(F.lit("<!-- 2 -->"), F.substring("html", 1, 64))]
+    tags = [F.concat(F.lit('"'), F.substring(F.md5(b), 1, 16), F.lit('"')) for b in bodies]
+    days = [F.concat(F.lit("day "), F.floor((start + k * 10 * DAY) / DAY).cast("string")) for k in (0, 1)]
+    again = F.concat(F.regexp_replace("url", "#.*$", ""), F.lit("#again"))
+    none = F.lit(None).cast("string")
+
+    def response(n: int, at: Column, status: Column | int, k: int) -> Column:
+        headers = F.create_map(F.lit("ETag"), tags[k], F.lit("Last-Modified"), days[k], F.lit("Date"), at.cast("string"), F.lit("Content-Type"), F.lit("text/html"))
+        return F.struct((8 * p + n).alias("record_id"), F.col("url"), at.alias("captured"), F.lit("response").alias("kind"),
+                        (F.lit(status) if isinstance(status, int) else status).alias("status"), headers.alias("headers"), bodies[k].alias("body"))
+
+    def revisit(n: int, at: Column, tag: Column, date: Column) -> Column:
+        headers = F.create_map(F.lit("etag"), tag, F.lit("last-modified"), date, F.lit("date"), at.cast("string"), F.lit("x-cache"), F.lit("hit"))
+        return F.struct((8 * p + n).alias("record_id"), again.alias("url"), at.alias("captured"), F.lit("revisit").alias("kind"), F.lit(304).alias("status"),
+                        headers.alias("headers"), none.alias("body"))
+
+    second, late = p % 2 == 0, start + 25 * DAY
+    found = F.when(html.isNull(), 404).otherwise(200)
+    usual = F.when(p % 11 == 0, F.lit('"other"')).when(p % 7 == 0, none).when(p % 3 == 0, F.concat(F.lit("W/"), tags[0])).otherwise(tags[0])
+    last = F.when(p % 5 == 0, none).when(second & (p % 7 != 0), tags[1]).otherwise(tags[0])
+    records = [
+        response(0, start, found, 0), F.when(second, response(1, start + 10 * DAY, found, 1)), F.when(p % 4 == 0, response(2, start + 20 * DAY, 500, 1)),
+        F.when(p % 5 == 0, revisit(3, start - 1, tags[0], days[0])), revisit(4, start + DAY * (1 + p % 9), usual, days[0]),
+        F.when(second, revisit(5, start + 10 * DAY, tags[0], days[0])), F.when(p % 3 == 0, revisit(6, late, last, F.when(p % 5 != 0, days[0])))]
+    return pages.select(F.explode(F.filter(F.array(*records), lambda r: r.isNotNull())).alias("r")).select("r.*")

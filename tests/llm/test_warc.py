@@ -80,3 +80,15 @@ def test_query_against_its_sql(spark, sf_small):
     df = QUERIES["op3_revisits"](spark, sf_small)
     want = con.execute(f"select {', '.join(df.columns)} from ({ORACLES['op3_revisits']})").fetchall()
     assert sorted(map(tuple, df.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_log_has_several_responses_of_an_address(spark, sf_small):
+    pages = spark.read.parquet(f"{sf_small}/pages.parquet")
+    got = warc.resolve(warc.captures(pages)).collect()
+    assert {r["verdict"] for r in got} == {"resolved", "changed", "unproven", "unmatched"}
+    resolved = [r for r in got if r["verdict"] == "resolved"]
+    assert {r["response_id"] % 8 for r in resolved} == {0, 1}  # first and second responses
+    assert all(r["captured"] > r["response_captured"] for r in resolved) and not any(r["response_id"] % 8 == 2 for r in got if r["response_id"] is not None)
+    latest = {r["record_id"]: r["response_id"] for r in got}
+    assert all(latest[i] % 8 == 0 for i in latest if i % 8 == 5 and latest[i] is not None)  # a response at the same second is not earlier
+    assert warc.captures(pages.limit(0)).count() == 0
