@@ -70,3 +70,34 @@ def test_tricky_rows(spark):
     want = Counter((i, brute(t)[0] < 50 or 100 * brute(t)[4] > 50 * brute(t)[0]) for i, t, *_ in texts())
     assert Counter((r["doc_id"], r["base_failed"]) for r in got) == want and all(r["kept"] == (not r["base_failed"]) for r in got)
     assert quality.judged(empty(spark), labels).count() == 0
+
+
+def test_cutoffs_are_the_strictest_that_the_tests_reach(spark):
+    """Every (stratum, rule): tighten while the exact tail at the good documents holds, copies of a text counted once."""
+    rows, labels = [], []
+    for k, (lang, n) in enumerate((("en", 900), ("de", 520), ("fr", 60))):
+        for j in range(n):
+            i = 10_000 * k + j
+            words = prose(i, 40).split()
+            marked = min(j % 53, 40) if j % 9 == 0 else 0
+            rows.append((i, " ".join(w + "#" * (x < marked) for x, w in enumerate(words)).replace("ba", "BA" if j % 31 == 0 else "ba"), lang))
+            labels.append((i, 1, 0))
+    rows += [(99_000 + j, rows[0][1], "en") for j in range(200)]  # copies
+    labels += [(99_000 + j, 1, 0) for j in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    table = quality.measures(df, stratum=F.col("lang"))
+    got = {(r["stratum"], r["rule"]): r["cutoff"] for r in quality.cutoffs(quality.staged(table, "test-measures"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    want, texts_of = {}, {lang: sorted({t for _, t, x in rows if x == lang}) for lang in ("en", "de", "fr")}
+    for lang, own in texts_of.items():
+        for rule, (_, grid) in quality.RULES.items():
+            scores = []
+            for t in own:
+                n, chars, symbols, dup, repeat = brute(t)
+                lines = len([x for x in t.split("\n") if WORD.search(x)])
+                scores.append({"symbols": symbols / max(n, 1), "repeats": repeat / max(n, 1), "dup_lines": dup / max(lines, 1), "capitals": sum("A" <= c <= "Z" for c in t) / max(chars, 1)}[rule])
+            for cutoff in grid:
+                k = sum(x > cutoff for x in scores)
+                if k >= 0.0125 * len(own) or tail(len(own), k, 0.0125) > 0.05 / 4 / 3:
+                    break
+                want[lang, rule] = cutoff
+    assert got == want and {x for x, _ in want} == {"en", "de"} and len(set(want.values())) > 2
