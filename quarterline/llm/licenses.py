@@ -138,7 +138,16 @@ class Index:
         self.classes: dict[int, list[int]] = {}
         for i, s in enumerate(self.sets):
             self.classes.setdefault(1 << int(np.ceil(np.log2(len(s)))), []).append(i)
-        self.minima = [np.array([(s * a + b).min() for a, b in zip(self.a, self.b)], np.uint64) for s in self.sets]
+        minima = np.array([[(s * a + b).min() for s in self.sets] for a, b in zip(self.a, self.b)], np.uint64)
+        # by class and band the templates in the order of their minima: a band is looked up, whatever their number; and
+        # which low bits these have, as nearly no window has them
+        self.bands, self.low = {}, {}
+        for n, ts in self.classes.items():
+            orders = [np.argsort(m, kind="stable") for m in minima[:, ts]]
+            self.bands[n] = [(m[o], np.array(ts)[o]) for m, o in zip(minima[:, ts], orders)]
+            self.low[n] = np.zeros((bands, 1 << max(12, len(ts).bit_length() + 8)), bool)
+            for k, m in enumerate(minima[:, ts]):
+                self.low[n][k, (m & np.uint64(self.low[n].shape[1] - 1)).astype(np.int64)] = True
 
     def candidates(self, h: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(first shingle, end, template) of the windows that share a band with a template. ``first``: where each
@@ -151,21 +160,29 @@ class Index:
             blocks[n] = (starts, np.append(last[1:], True))
         for smaller, n in zip(sizes, sizes[1:]):  # a block consists of those of the size before
             within[n] = np.searchsorted(blocks[smaller][0], blocks[n][0])
-        hits: dict[int, np.ndarray] = {t: np.zeros(len(blocks[n][0]), bool) for n, ts in self.classes.items() for t in ts}
+        hits: dict[int, list[np.ndarray]] = {n: [] for n in sizes}
         for k, (a, b) in enumerate(zip(self.a, self.b)):
             low = h * a + b
             for n in sizes:
-                ts, (starts, ends_text) = self.classes[n], blocks[n]
+                (minima, templates), (starts, ends_text) = self.bands[n][k], blocks[n]
                 low = np.minimum.reduceat(low, within.get(n, starts))
                 window = np.where(ends_text, low, np.minimum(low, np.append(low[1:], low[-1:])))
-                for t in ts:
-                    hits[t] |= window == self.minima[t][k]
-        for n, ts in self.classes.items():
+                may = self.low[n][k]
+                met = np.flatnonzero(may[(window & np.uint64(len(may) - 1)).astype(np.int64)])
+                at = np.searchsorted(minima, window[met])
+                while True:  # templates may have one minimum in common
+                    there = at < len(minima)
+                    there[there] = minima[at[there]] == window[met[there]]
+                    met, at = met[there], at[there]
+                    if not len(met):
+                        break
+                    hits[n].append(met * len(self.sets) + templates[at])
+                    at = at + 1
+        for n in sizes:
             starts, ends_text = blocks[n]
             edge = np.append(starts, len(h))
-            for t in ts:
-                for i in np.flatnonzero(hits[t]):
-                    yield int(starts[i]), int(edge[i + 1] if ends_text[i] else edge[i + 2]), t
+            for i, t in zip(*np.divmod(np.unique(np.concatenate(hits[n])), len(self.sets))) if hits[n] else ():
+                yield int(starts[i]), int(edge[i + 1] if ends_text[i] else edge[i + 2]), int(t)
 
     def matches(self, texts: list[bytes], least: float) -> list[list[tuple[str, int, int, float]]]:
         """Per text (license, first word, end word, containment), of overlapping finds the best: see above."""

@@ -80,3 +80,41 @@ def test_whole_texts_and_siblings(spark):
         assert ",".join(sorted({m["license"] for m in got[i]})) == name, (i, name, [m["license"] for m in got[i]])
     sizes = {name: max(m["end_word"] - m["first_word"] for m in got[i]) for i, (name, _) in reversed(list(enumerate(rows)))}
     assert sizes["Apache-2.0"] > 1000 and sizes["GPL-2.0"] > 2000
+
+
+def test_whole_texts_against_brute_force(spark):
+    """Edited whole licenses: of the templates contained in a stretch of the text the one with most shingles there is found."""
+    r, whole, rows = random.Random(8), licenses.whole_texts(), []
+    flat = [(n, t) for n, ts in whole.items() for t in ts]
+    for i, (_, t) in enumerate(flat):
+        words = t.split()
+        for _ in range(len(words) // 60):
+            words[r.randrange(len(words))] = f"edit{r.randrange(1000)}"
+        rows.append((i, f"{prose(i, 80)} {' '.join(words)} {prose(70 + i, 90)}"))
+    rows += [(100 + i, " ".join(t.split()[: len(t.split()) // 2])) for i, (_, t) in enumerate(flat) if len(t.split()) > 200]  # half a text is none
+
+    def shingles(t):
+        w = re.findall(rb"[a-z0-9\x80-\xff]+", t.encode().lower())
+        return [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+
+    want_of = [(n, shingles(t)) for n, t in flat]
+    got = {x["doc_id"]: {m["license"] for m in x["found"]} for x in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), templates=whole).collect()}
+    for i, t in rows:
+        own, best = shingles(t), {}
+        for n, s in want_of:
+            need = set(s)
+            at = [k for k, x in enumerate(own) if x in need]
+            common = len({own[k] for k in at if at and k < at[0] + 2 * len(s)})
+            if common >= 0.75 * len(need):
+                best[n] = max(best.get(n, 0), common)
+        assert (max(best, key=best.get) in got[i] if best else got[i] == set()) and got[i] <= set(best), (i, best, got[i])
+
+
+def test_templates_with_one_minimum_in_common():
+    """Equal and nested templates, and more than a class's table is made for, are all looked up."""
+    base = [f"w{i}" for i in range(40)]
+    table = {f"same{i}": [" ".join(base)] for i in range(3)} | {f"other{i}": [" ".join(f"v{i}x{j}" for j in range(6 + i % 30))] for i in range(400)}
+    index = licenses.Index(table)
+    h, first = licenses.shingles(licenses.words([" ".join(base).encode(), table["other77"][0].encode()], licenses._APART), licenses.SHINGLE)
+    met = {index.names[t] for _, _, t in index.candidates(h, first[:-1])}
+    assert met == {"same0", "same1", "same2", "other77"}
