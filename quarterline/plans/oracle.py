@@ -376,6 +376,9 @@ register("metric_rename", q(
     "when 'Operating Income (Loss)' then 'operating_income' when 'Net Income' then 'net_income' else Metrics end "
     "Metrics, fiscal_period, value from scan_income", scan_cte("income")))
 register("statement_projection", q(f"select {INCOME_COLS} from financial_statements"))
+register("statement_projection_missing", q(
+    "select ticker, fiscal_period, net_income, operating_income, case when ticker % 3 <> 0 then operating_expenses end operating_expenses, "
+    "gross_profit, cost_of_revenue, revenue from financial_statements"))
 register("period_type", q("select ticker, fiscal_period, left(fiscal_period, 2) period_type from financial_statements"))
 register("period_parts", q(
     "select ticker, fiscal_period, right(fiscal_period, 4) year_text, left(fiscal_period, 2) quarter_text, "
@@ -507,6 +510,8 @@ for _f in RATIOS:
 # 2.12 datasets
 register("row_dataset", q("select cast(ticker as varchar) ticker, cast(eps_surprise as double) eps_surprise, "
                           "* exclude (ticker, eps_surprise) from rows_ds", ROWS_CTE))
+register("row_dataset_float32", q(
+    "select ticker, fiscal_period, split, cast(label as double) as label, " + ", ".join(f"cast({c} as float) {c}" for c in FEATURES) + " from rows_ds", ROWS_CTE))
 register("mlp_predictions", q("select ticker, fiscal_period, split, label, true in_range, true consistent from rows_ds "
                               "where split <> 'train'", ROWS_CTE))
 register("null_feature_rows", q(
