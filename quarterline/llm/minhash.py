@@ -52,9 +52,9 @@ def minima(sets: list[np.ndarray], n: int) -> np.ndarray:
     return out
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, size: int) -> DataFrame:
-    """doc_id, n_shingles, set_hash (128 bits of the sorted set), signature (uint32 minima); the last two null for empty sets."""
-    schema = "doc_id long, n_shingles long, set_hash binary, signature binary"
+def sketches(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, size: int, order_col: str | None = None) -> DataFrame:
+    """doc_id, age (the order column, or the id), n_shingles, set_hash (128 bits of the sorted set), signature (uint32 minima); the last two null for empty sets."""
+    schema = "doc_id long, age long, n_shingles long, set_hash binary, signature binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, "text"):
@@ -62,11 +62,12 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int,
             full = [s for s in sets if len(s)]
             signatures = iter(minima(full, bands * rows)) if full else iter(())
             yield record_batch(
-                schema, b.column("doc_id"), [len(s) for s in sets],
+                schema, b.column("doc_id"), b.column("age"), [len(s) for s in sets],
                 [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                 [next(signatures).tobytes() if len(s) else None for s in sets])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lambda b: handed_back(run(b)), schema)
+    taken = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(order_col or id_col).cast("long").alias("age"), F.col(text_col).alias("text"))
+    return taken.mapInArrow(lambda b: handed_back(run(b)), schema)
 
 
 def band_keys(classes: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -183,26 +184,31 @@ def _open_pairs(open_: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFra
     common = each.groupBy("pivot", "shingle").agg(F.count("*").alias("df")).where("df > 1")
     shared = staged(each.join(dealt(common, "pivot", "shingle"), ["pivot", "shingle"]), "minhash-common")
     smallest = open_.groupBy("pivot").agg(F.min("n_shingles").alias("least"))
-    lists = shared.where("away").groupBy("pivot", "rep", "n_shingles", "component", "inside").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("f"))
+    lists = shared.groupBy("pivot", "rep", "n_shingles", "component", "inside", "away").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("f"))
     # x needs to share so many outside the pivot even with the smallest partner
     lacks = F.ceil((F.col("n_shingles") + F.greatest("least", F.ceil(F.col("n_shingles") * (PERCENT / 100)))) * (PERCENT / (100 + PERCENT)) - F.col("inside") - 1e-6)
     lacks = F.greatest(lacks, F.lit(1)).cast("int")
+    # one order for all lists, so that of what two have in common the rarest comes first in both
     first = lists.join(smallest, "pivot").withColumn("lacks", lacks).where("size(f) >= lacks")
-    first = first.select("pivot", F.col("rep").alias("x"), F.col("n_shingles").alias("nx"), F.col("component").alias("cx"), F.col("inside").alias("ix"),
-                         F.explode(F.slice("f", 1, F.size("f") - F.col("lacks") + 1)).alias("e")).withColumn("shingle", F.col("e.shingle")).drop("e")
-    meet = shared.select("pivot", "shingle", F.col("rep").alias("y"), F.col("n_shingles").alias("ny"), F.col("component").alias("cy"))
-    met = dealt(first, "shingle").join(meet, ["pivot", "shingle"]).where(apart).select("x", "y")
+    first = staged(first.select("pivot", "rep", "n_shingles", "component", "away", F.explode(F.slice("f", 1, F.size("f") - F.col("lacks") + 1)).alias("e")).select(
+        "pivot", "rep", "n_shingles", "component", "away", F.col("e.shingle").alias("shingle")), "minhash-rarest")
+
+    def entered(k: str) -> DataFrame:
+        return first.select("pivot", "shingle", F.col("rep").alias(k), F.col("n_shingles").alias(f"n{k}"), F.col("component").alias(f"c{k}"), F.col("away").alias(f"a{k}"))
+
+    met = dealt(entered("x").where("ax"), "shingle").join(entered("y"), ["pivot", "shingle"]).where(apart & _long_enough("nx", "ny")).select("x", "y")
     return near.unionByName(met).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE,
+                    order_col: str | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links of 75 % and more), kept.
 
     Equal sets form a class; links are between classes, and ids are looked at only in the end: an id that comes with
     several texts joins their classes. Candidates are classes that share a band. Each is first
-    checked against the pivot of its bucket, the member that shares the most buckets with others; the links found are
-    joined into components. Where a bucket then still holds several components, pairs between different components
-    are checked too, unless their sizes, the numbers of their shingles that others have at all, or what they share
+    checked against the pivot of its bucket, the member that shares the most buckets with others, of several the one
+    that is first by ``order_col`` (the id), often the text that the others were made from; the links found are joined
+    into components. Where a bucket then still holds several components, pairs between different components are checked too, unless their sizes, the numbers of their shingles that others have at all, or what they share
     with the pivot rule a link out (``_open_pairs``). So no candidate pair stays undecided unless it is connected
     already: a large group of near copies costs one check a member and band, not one a pair, and no link between
     components is lost.
@@ -211,16 +217,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and is kept. Repeated rows come back as often as they came; equal ids share a component. Other columns are not
     looked at. An empty table gives an empty result.
     """
-    sketch = staged(sketches(docs, id_col, text_col, bands, rows, size), "minhash-sketches")
+    sketch = staged(sketches(docs, id_col, text_col, bands, rows, size, order_col), "minhash-sketches")
     known = sketch.where("doc_id is not null and set_hash is not null")
     # one row per class, its smallest document; combined before the shuffle, so copies cost nothing
-    classes = staged(known.groupBy("set_hash").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("c")).select(
-        "set_hash", F.monotonically_increasing_id().alias("rep"), F.col("c.doc_id").alias("first"), "c.n_shingles", "c.signature"), "minhash-classes")
+    classes = staged(known.groupBy("set_hash").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("c"), F.min("age").alias("age")).select(
+        "set_hash", F.monotonically_increasing_id().alias("rep"), F.col("c.doc_id").alias("first"), "age", "c.n_shingles", "c.signature"), "minhash-classes")
     keys = staged(band_keys(classes, bands, rows), "minhash-bands")
     buckets = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = staged(keys.join(dealt(buckets, "key"), "key"), "minhash-members")
-    weight = members.groupBy("rep").agg(F.sum("n").alias("weight"))
-    pivots = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("weight", -F.col("rep"))).alias("p")).select("key", (-F.col("p.col2")).alias("pivot"))
+    weight = members.groupBy("rep").agg(F.sum("n").alias("weight")).join(classes.select("rep", (-F.col("age")).alias("young")), "rep")
+    pivots = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("weight", "young", "rep")).alias("p")).select("key", F.col("p.rep").alias("pivot"))
     members = staged(members.select("key", "rep", "n_shingles").join(dealt(pivots, "key"), "key"), "minhash-pivots")
     sizes = classes.select(F.col("rep").alias("y"), F.col("n_shingles").alias("ny"))
     stars = members.where("rep <> pivot").select(F.col("rep").alias("x"), F.col("pivot").alias("y"), "n_shingles").distinct()
