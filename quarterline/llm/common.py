@@ -57,7 +57,20 @@ def staged(df: DataFrame, name: str, arrow_rows: int = 1000, group_bytes: int |
         (df.write.option("parquet.block.size", group_bytes) if group_bytes else df.write).parquet(path)
     finally:
         spark.conf.set(ARROW_ROWS, usual)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more, and let the driver find the shuffles of jobs that are over:
+    Spark removes a shuffle's files once the driver has collected its last reference as garbage."""
+    for t in tables:
+        where = spark._jvm.org.apache.hadoop.fs.Path(t._staged_path)
+        where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+        _STAGED.remove((spark, t._staged_path))
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def dealt(df: DataFrame, *key: str) -> DataFrame:

@@ -17,9 +17,7 @@ classes before it, which the tree gives, times that of the word within its class
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, count
 
 import numpy as np
 import pandas as pd
@@ -29,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import handed_back, mix, record_batch, sliced, staged, utf8
+from quarterline.llm.common import discard, handed_back, mix, record_batch, sliced, staged
 
 #: Tokens that must follow a context, or on a corpus where that is less, this share of all.
 MIN_COUNT, MIN_SHARE = 1000, 1e-4
@@ -57,13 +55,13 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _tokens(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
     """Words of each text (how many), the code of each word, the distinct words, and which texts are held out."""
-    code = defaultdict(count().__next__)
-    length, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for part in sliced(iter([b]), "text"):  # so that only the distinct words are held
-        split = [t.lower().split() for t in utf8(part.column("text"))]
-        length.append(np.array([len(w) for w in split], np.int64))
-        codes.append(np.fromiter(map(code.__getitem__, chain.from_iterable(split)), np.int64, int(length[-1].sum())))
-    return np.concatenate(length), np.concatenate(codes), list(code), b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(b.column("text"), "")))
+    words = split.flatten()
+    owner = np.repeat(np.arange(len(split)), pc.list_value_length(split).to_numpy())
+    full = pc.binary_length(words).to_numpy() > 0  # nothing before a first blank or after a last one
+    coded = words.filter(pa.array(full)).dictionary_encode()
+    codes, found = coded.indices.to_numpy().astype(np.int64), coded.dictionary.cast(pa.binary()).to_pylist()
+    return np.bincount(owner[full], minlength=len(split)), codes, found, b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
 
 
 def vocabulary(rows: DataFrame) -> DataFrame:
@@ -359,12 +357,14 @@ def fit(index: DataFrame, depth: int, least: float, divergence: float) -> tuple[
         cost = 0.5 * F.col("kinds") * F.log(F.greatest(F.col("total"), F.lit(2)))
         judged.append(staged(both.select("context", "suffix", "total", "kinds", ((gain >= divergence * F.col("total")) & (gain >= cost)).alias("kept")), f"lm-contexts-{d}"))
         totals = judged[-1]
-    levels, bits, need = [], [], None
+        discard(sequences.sparkSession)
+    levels, bits, need, passed = [], [], None, []
     for d in range(len(judged), 0, -1):
         keep = judged[d - 1].where("kept").select("context")
         if need is not None:
             keep = keep.union(need).distinct()
         kept = staged(judged[d - 1].join(keep, "context", "left_semi"), f"lm-kept-{d}")
+        passed.append(kept)
         need = kept.select(F.col("suffix").alias("context"))
         of = _bits(kept)
         if of is None and not bits:
@@ -377,7 +377,9 @@ def fit(index: DataFrame, depth: int, least: float, divergence: float) -> tuple[
     tree = sequences.sparkSession.createDataFrame([], "depth int, context long, total long, kinds long, after array<int>, n array<long>")
     for level in levels:
         tree = tree.union(level)
-    return counts[0].select("symbol", "n"), staged(tree, "lm-tree"), bits
+    tree = staged(tree, "lm-tree")
+    discard(sequences.sparkSession, *counts[1:], *judged, *passed)
+    return counts[0].select("symbol", "n"), tree, bits
 
 
 def _strings(data: np.ndarray, size: np.ndarray) -> pa.Array:
@@ -494,6 +496,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                 yield from flush()
         yield from flush()
 
+    discard(spark, words)
     joined = index.where("word is not null").select("chunk", "word", "places").join(valued, "word")
     sums = joined.select("chunk", "places", "c", "class").mapInArrow(lambda b: handed_back(partial(b)), part)
     least = support(n, min_count, min_share)
@@ -502,7 +505,9 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     top = spark.sparkContext.broadcast(SuffixTree.level(np.zeros(1, np.uint64), np.array([first["n"].sum()]), np.array([len(first)]), np.zeros(len(first), np.int64), first["symbol"].to_numpy(np.int64), first["n"].to_numpy()))
     deep = len(bits)
     abouts = index.where("classes is not null").select("chunk", "places", "classes")
-    parts = abouts.unionByName(sums, allowMissingColumns=True).unionByName(found(index, tree, bits), allowMissingColumns=True)
+    replies = found(index, tree, bits)
+    discard(spark, tree)
+    parts = abouts.unionByName(sums, allowMissingColumns=True).unionByName(replies, allowMissingColumns=True)
     n_classes = classes.n
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
