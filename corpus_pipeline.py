@@ -67,7 +67,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies stays: of those with the smallest id the first. Repeated rows and rows
     without an id are rows like others."""
     rows = keyed(docs)
-    groups = minhash.near_duplicates(rows.select(ROW, "doc_id", "text"), id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    groups = minhash.near_duplicates(rows.select(ROW, "doc_id", "text"), id_col=ROW, order_col="doc_id").select(F.col("doc_id").alias(ROW), "component_id")
     ids = rows.select(ROW, "doc_id")
     first = groups.join(ids, ROW).groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias("first"))
     return _only(rows, first.select(F.col(f"first.`{ROW}`").alias(ROW)))
