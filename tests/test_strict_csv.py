@@ -103,3 +103,16 @@ def test_matrix_cells(spark, tmp_path):
         read_matrix(spark, str(tmp_path)).collect()
     assert read_matrix(spark, str(tmp_path)).select("ticker", names[2]).first()[1] == 1.5
     assert [(r["column"], r["value"]) for r in matrix_violations(spark, str(tmp_path)).collect()] == [(names[-1], "#DIV/0!")]
+
+
+def test_seeded_files_grow_in_number(spark, tmp_path):
+    """Each task that has rows writes a file of its own, the header first and once; cells come out as they are."""
+    from quarterline.plans.queries import _written_raw
+
+    rows = spark.range(0, 240, 1, 24).selectExpr("cast(id as string) as a", "concat(' \"x\", ', id, ' ') as b", "if(id % 3 = 0, null, '#') as c", "id % 2 as part")
+    found = _written_raw(rows, {0: ["a", "b", "c"], 1: ["c", "b", "a"]}, str(tmp_path / "raw"))
+    for folder, header, line in zip(found, ("a,b,c", "c,b,a"), ("concat_ws(',', a, b, coalesce(c, ''))", "concat_ws(',', coalesce(c, ''), b, a)"), strict=True):
+        texts = [r["value"].rstrip("\n").split("\n") for r in spark.read.text(folder, wholetext=True).collect()]
+        assert len(texts) == 24 and all(t[0] == header for t in texts)
+        want = [r[0] for r in rows.where(f"part = {found.index(folder)}").selectExpr(line).collect()]
+        assert sorted(x for t in texts for x in t[1:]) == sorted(want)
