@@ -18,6 +18,7 @@ from quarterline.functions.periods import period_order, period_type
 from quarterline.operators.align import sequential_position
 from quarterline.operators.reshape import (
     append_by_name,
+    by_ticker,
     complete_metric,
     dropna_any,
     metric_columns,
@@ -118,7 +119,7 @@ def statements_from_sheets(income_long: DataFrame, balance_long: DataFrame, cash
     chosen = F.array(*[F.struct(F.lit(s).alias("sheet"), F.lit(t).alias("title"), F.lit(n).alias("label")) for s, p in picks.items() for t, n in p.items()])
     rows = derived_long.withColumn("p", F.explode(F.filter(chosen, lambda p: p["title"] == F.col("Metrics"))))
     tagged.append(rows.select("ticker", F.col("p.sheet").alias("sheet"), F.col("p.label").alias("Metrics"), "fiscal_period", "value", F.lit(True).alias("derived")))
-    long = append_by_name(*tagged).repartition("ticker")
+    long = by_ticker(append_by_name(*tagged))
     kept = long.withColumn("full", complete_metric(["sheet", "derived"])).where("derived or full")
     titled = F.lit(False)
     label = F.lit(None).cast("string")

@@ -51,6 +51,26 @@ def test_dropna_is_one_pass(spark, sf_small):
     assert "Join" not in text
 
 
+def test_cells_stay_dealt_over_all_shuffle_partitions(spark, sf_small):
+    """Cells are tiny as compressed: put together to a size in bytes they would be millions to a task."""
+    from quarterline.operators.statements import INCOME_COLUMNS, INCOME_RENAMES
+    from quarterline.operators.reshape import transpose_statement
+
+    sheet = sheet_of(spark, sf_small, "income")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    columns = [c for c in INCOME_COLUMNS if c != "eps"]
+    for df in (sheet, dropna_any(sheet), transpose_statement(sheet, INCOME_RENAMES, columns)):
+        assert parts > 1 and df.rdd.getNumPartitions() == parts
+
+
+def test_pivot_shuffles_statements_not_cells(spark, sf_small):
+    from quarterline.sources import fixtures as fx
+
+    stored = shared_dir(spark, "plan-statements")
+    fx.financial_statements(spark, sf_small).write.mode("overwrite").parquet(stored)
+    assert shuffles(plan(fx.wide_sheet(spark, sf_small, "income", ["Q1 1996", "Q2 1996"], spark.read.parquet(stored)))) == 1
+
+
 def test_statements_are_built_in_one_shuffle(spark, sf_small):
     """With the sheets stored, all windows, the aggregate and the check share one exchange on the ticker."""
     from quarterline.operators.reshape import scan_wide
