@@ -113,7 +113,7 @@ def sheets_of(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 def file_scan(spark: SparkSession, d: str, sheet: str) -> DataFrame:
     """One sheet kind through the reader: a CSV file per company, each with its own header."""
     path = fx.sheet_files(spark, d, sheet, _scratch(spark, f"sheets-{sheet}"))
-    return read_wide_sheets(spark, path, "csv", "path", r"ticker=([^/]+)/").withColumn("value", to_store("value"))
+    return read_wide_sheets(spark, path, "csv").withColumn("value", to_store("value"))
 
 
 def tidy_statements(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:

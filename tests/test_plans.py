@@ -71,6 +71,18 @@ def test_pivot_shuffles_statements_not_cells(spark, sf_small):
     assert shuffles(plan(fx.wide_sheet(spark, sf_small, "income", ["Q1 1996", "Q2 1996"], spark.read.parquet(stored)))) == 1
 
 
+def test_sheet_files_lie_in_one_folder(spark, sf_small, tmp_path):
+    """A CSV per company with its own header, without a folder for each."""
+    from quarterline.sources import fixtures as fx
+
+    out = tmp_path / "sheets"
+    fx.sheet_files(spark, sf_small, "cash", str(out))
+    texts = [p.read_text().strip().split("\n") for p in out.iterdir() if p.name.startswith("part-")]
+    periods = {str(r[0]): sorted(r[1], key=lambda p: (p[-4:], p)) for r in fx.financial_statements(spark, sf_small).groupBy("ticker").agg(F.collect_list("fiscal_period")).collect()}
+    assert not [p for p in out.iterdir() if p.is_dir()] and len(texts) == len(periods)
+    assert {t[1].split(",")[0]: t[0].split(",") for t in texts} == {k: ["ticker", "", *v] for k, v in periods.items()}
+
+
 def test_statements_are_built_in_one_shuffle(spark, sf_small):
     """With the sheets stored, all windows, the aggregate and the check share one exchange on the ticker."""
     from quarterline.operators.reshape import scan_wide
