@@ -285,8 +285,13 @@ def q_update_stored(spark, d):
     # Restated second quarters of two years, in a features table stored by year.
     path = _scratch(spark, "features-by-year")
     by_year = year_text("fiscal_period").cast("int")
-    sinks.write_table(features_of(spark, d).withColumn("year", by_year), path, partition_by=["year"])
-    restated = estimates_of(spark, d).withColumn("year", by_year).where(F.col("year").isin(1998, 1999) & (quarter_text("fiscal_period") == "Q2"))
+    # features and restatements both read the estimates, which are derived from the line items and stored once
+    stored = _scratch(spark, "estimates")
+    sinks.write_table(estimates_of(spark, d), stored)
+    estimates = spark.read.parquet(stored)
+    features = assemble.features_all(statements_of(spark, d), estimates)
+    sinks.write_table(features.withColumn("year", by_year), path, partition_by=["year"])
+    restated = estimates.withColumn("year", by_year).where(F.col("year").isin(1998, 1999) & (quarter_text("fiscal_period") == "Q2"))
     restated = restated.select("year", "ticker", "fiscal_period", F.lit("restated").alias("eps_status"), F.col("consensus_eps").alias("eps_surprise"))
     store.update_stored(path, restated, ["ticker", "fiscal_period"], ["eps_status", "eps_surprise"], "year")
     return spark.read.parquet(path)

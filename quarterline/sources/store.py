@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,24 +96,28 @@ def update_stored(path: str, changes: DataFrame, keys: Sequence[str], set_column
     files of the others stay.  Returns how many partitions were written.
     """
     spark, keys, set_columns = changes.sparkSession, list(keys), list(set_columns)
-    touched = _touched(changes.where(F.col(partition).isNotNull()), partition)
-    if not touched:
-        return 0
-    stored = spark.read.parquet(path)
-    columns = stored.columns
-    picked = changes.select(*dict.fromkeys([partition, *keys, *set_columns, *(pick_order or [])]))
+    picked = changes.where(F.col(partition).isNotNull()).select(*dict.fromkeys([partition, *keys, *set_columns, *(pick_order or [])]))
+    # three jobs read the changes: they are worked out once, and kept on the executors' disks meanwhile
     picked = first_per_key(picked, [partition, *keys], list(pick_order or set_columns)).select(
-        partition, *keys, *[F.col(c).alias(f"__new_{c}") for c in set_columns], F.lit(True).alias("__changed"))
-    # partitions that hold none of the changed keys have nothing to write
-    rows = stored.where(F.col(partition).isin(touched))
-    hit = _touched(rows.join(picked, [partition, *keys], "left_semi"), partition)
-    if not hit:
-        return 0
-    kinds = {f.name: f.dataType for f in stored.schema.fields}
-    value = {c: F.when(F.col("__changed"), F.col(f"__new_{c}").cast(kinds[c])).otherwise(F.col(c)).alias(c) for c in set_columns}
-    new = stored.where(F.col(partition).isin(hit)).join(picked, [partition, *keys], "left").select(*[value.get(c, F.col(c)) for c in columns])
-    new.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    return len(hit)
+        partition, *keys, *[F.col(c).alias(f"__new_{c}") for c in set_columns], F.lit(True).alias("__changed")).persist(StorageLevel.DISK_ONLY)
+    try:
+        touched = _touched(picked, partition)
+        if not touched:
+            return 0
+        stored = spark.read.parquet(path)
+        columns = stored.columns
+        # partitions that hold none of the changed keys have nothing to write
+        rows = stored.where(F.col(partition).isin(touched))
+        hit = _touched(rows.join(picked, [partition, *keys], "left_semi"), partition)
+        if not hit:
+            return 0
+        kinds = {f.name: f.dataType for f in stored.schema.fields}
+        value = {c: F.when(F.col("__changed"), F.col(f"__new_{c}").cast(kinds[c])).otherwise(F.col(c)).alias(c) for c in set_columns}
+        new = stored.where(F.col(partition).isin(hit)).join(picked, [partition, *keys], "left").select(*[value.get(c, F.col(c)) for c in columns])
+        new.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        return len(hit)
+    finally:
+        picked.unpersist()
 
 
 def clear_partitions(spark: SparkSession, path: str, partition: str, values: Sequence) -> None:

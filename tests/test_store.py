@@ -68,6 +68,20 @@ def test_update_touches_only_partitions_with_changed_keys(spark, by_year):
     assert rows(spark.read.parquet(by_year)) == sorted(want, key=str)
 
 
+def test_update_works_its_changes_out_once(spark, by_year):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def value(v):
+        seen.add(1)
+        return v
+
+    changes = spark.createDataFrame([(2001, "A", "Q1 2001", 5.0), (2002, "B", "Q2 2002", 6.0)], "year int, ticker string, fiscal_period string, v double")
+    assert store.update_stored(by_year, changes.withColumn("v", value.asNondeterministic()("v")), ["ticker", "fiscal_period"], ["v"], "year") == 2
+    assert seen.value == 2
+    assert sorted(r.v for r in spark.read.parquet(by_year).where("v in (5, 6)").collect()) == [5.0, 6.0]
+
+
 def test_update_without_changes_and_clearing(spark, by_year):
     before = files(by_year)
     none = spark.createDataFrame([], "year int, ticker string, fiscal_period string, v double")
