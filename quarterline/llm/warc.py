@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import staged
+from quarterline.llm.common import discard, staged
 
 # Headers of a 304 response that replace the stored ones, and parameters that only track visitors.
 PERMITTED = ["cache-control", "content-location", "date", "etag", "expires", "vary"]
@@ -63,6 +63,7 @@ def resolve(records: DataFrame) -> DataFrame:
     near = ranged.select("part", "address", "captured", "record_id", "etag", "modified", "headers", "full",
                          F.last(F.when(F.col("full"), F.struct("captured", "record_id")), ignorenulls=True).over(within).alias("near"))
     revisits = staged(near.where("not full").join(carried, ["part", "address"]).withColumn("at", F.coalesce("near", "carried")).drop("near", "carried", "part", "full"), "warc-matched")
+    discard(records.sparkSession, carried)
     lost = rows.where("kind = 'revisit' and (address is null or captured is null)").select(
         "address", "captured", "record_id", "etag", "modified", "headers", F.lit(None).cast("struct<captured:bigint,record_id:bigint>").alias("at"))
     responses = staged(ranged.where("full").select(
@@ -71,7 +72,9 @@ def resolve(records: DataFrame) -> DataFrame:
     ).dropDuplicates(["response_id", "response_captured", "response_address"]), "warc-responses")
     named = revisits.unionByName(lost).withColumns({"response_id": F.col("at.record_id"), "response_captured": F.col("at.captured"), "response_address": F.when(F.col("at").isNotNull(), F.col("address"))})
     # many revisits may name one response: both sides are read from files, so the join can split it
-    joined = staged(named.drop("at"), "warc-named").join(responses, ["response_id", "response_captured", "response_address"], "left")
+    named = staged(named.drop("at"), "warc-named")
+    discard(records.sparkSession, ranged, revisits)
+    joined = named.join(responses, ["response_id", "response_captured", "response_address"], "left")
     verdict = (F.when(F.col("response_id").isNull(), "unmatched")
                .when(F.col("etag").isNotNull() & F.col("r_etag").isNotNull(), F.when(F.col("etag") == F.col("r_etag"), "resolved").otherwise("changed"))
                .when(F.col("modified").isNotNull() & F.col("r_modified").isNotNull(), F.when(F.col("modified") == F.col("r_modified"), "resolved").otherwise("changed"))
@@ -91,10 +94,15 @@ def resolve(records: DataFrame) -> DataFrame:
 
 def with_bodies(resolved: DataFrame, records: DataFrame) -> DataFrame:
     """``resolved`` with the response's ``body`` (null unless resolved)."""
+    keys = ["response_id", "response_captured", "address"]
     bodies = records.where("kind = 'response' and status = 200 and record_id is not null").select(
         F.col("record_id").alias("response_id"), F.col("captured").alias("response_captured"), canonical(F.col("url")).alias("address"), "body",
-    ).dropDuplicates(["response_id", "response_captured", "address"])
-    out = staged(resolved, "warc-resolved").join(staged(bodies, "warc-bodies"), ["response_id", "response_captured", "address"], "left")
+        F.monotonically_increasing_id().alias("row"))
+    resolved, bodies = staged(resolved, "warc-resolved"), staged(bodies, "warc-bodies")
+    discard(records.sparkSession)
+    # repeated records are told apart by their rows' numbers, so bodies are shuffled once
+    once = staged(bodies.groupBy(*keys).agg(F.min("row").alias("row")), "warc-bodies-once")
+    out = resolved.join(once, keys, "left").join(bodies.select("row", "body"), "row", "left").drop("row")
     return out.withColumn("body", F.when(F.col("verdict") == "resolved", F.col("body")))
 
 

@@ -92,3 +92,13 @@ def test_log_has_several_responses_of_an_address(spark, sf_small):
     latest = {r["record_id"]: r["response_id"] for r in got}
     assert all(latest[i] % 8 == 0 for i in latest if i % 8 == 5 and latest[i] is not None)  # a response at the same second is not earlier
     assert warc.captures(pages.limit(0)).count() == 0
+
+
+def test_tables_that_are_over_are_removed(spark, sf_small):
+    from quarterline.llm import common
+
+    before = len(common._STAGED)
+    resolved = warc.resolve(warc.captures(spark.read.parquet(f"{sf_small}/pages.parquet")))
+    kept = [path for _, path in common._STAGED[before:]]
+    assert kept and not [p for p in kept for name in ("warc-ranges", "warc-carried", "warc-matched") if name in p]
+    assert resolved.count() > 0
