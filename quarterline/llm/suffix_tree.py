@@ -12,6 +12,8 @@ classes before it, which the tree gives, times that of the word within its class
   it has by a join. Bit sets of fixed size only save asking for what is surely not there.
 * Distributions are smoothed towards the suffix's with as much weight as they have distinct next classes.
 * A token is scored in the longest kept suffix of what precedes it.
+* Every task knows the counts of the commonest words, as many at any size of the corpus. A chunk of texts asks for those
+  of its other words by a join.
 """
 
 from __future__ import annotations
@@ -40,27 +42,40 @@ BITS = 16
 #: Contexts' bit sets have 2^SET_BITS bits at any size of the corpus; two contexts of a bit are told apart by the tables.
 SET_BITS = 24
 #: Texts are indexed in chunks of about so many bytes and at most so many documents.
-CHUNK_BYTES, CHUNK_ROWS = 16 << 20, 1 << 16
+CHUNK_BYTES, CHUNK_ROWS = 8 << 20, 1 << 16
 #: Tokens of a chunk whose contexts are held side by side.
 PART_TOKENS = 1 << 19
-#: Sums held per task before they are handed on, in documents.
-HELD_SUMS = 1 << 22
+#: Words, of up to COMMON_BYTES, whose counts every task has.
+COMMON, COMMON_BYTES = 1 << 18, 64
+#: Counts of chunks' words held per task before they are handed on.
+HELD_COUNTS = 1 << 20
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in chunks: batches cut where they are larger, and put together where they are smaller."""
+    held: list[pa.RecordBatch] = []
+    rows = size = 0
     for big in sliced(batches, "text", CHUNK_BYTES):
         for lo in range(0, big.num_rows, CHUNK_ROWS):
-            yield big.slice(lo, CHUNK_ROWS)
-
-
-def _tokens(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+            b = big.slice(lo, CHUNK_ROWS)
+            more = pc.sum(pc.binary_length(b.column("text"))).as_py() or 0
+            if held and (rows + b.num_rows > CHUNK_ROWS or size + more > CHUNK_BYTES):
+                yield pa.concat_batches(held)
+                held, rows, size = [], 0, 0
+            held.append(b)
+            rows, size = rows + b.num_rows, size + more
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _tokens(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
     """Words of each text (how many), the code of each word, the distinct words, and which texts are held out."""
     split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(b.column("text"), "")))
     words = split.flatten()
     owner = np.repeat(np.arange(len(split)), pc.list_value_length(split).to_numpy())
     full = pc.binary_length(words).to_numpy() > 0  # nothing before a first blank or after a last one
     coded = words.filter(pa.array(full)).dictionary_encode()
-    codes, found = coded.indices.to_numpy().astype(np.int64), coded.dictionary.cast(pa.binary()).to_pylist()
+    codes, found = coded.indices.to_numpy().astype(np.int64), coded.dictionary.cast(pa.binary())
     return np.bincount(owner[full], minlength=len(split)), codes, found, b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
 
 
@@ -72,29 +87,30 @@ def vocabulary(rows: DataFrame) -> DataFrame:
         for b in _chunks(batches):
             length, codes, found, held = _tokens(b)
             train = np.bincount(codes, np.repeat(~held, length), len(found)).astype(np.int64)
-            yield record_batch(schema, pa.array(found, pa.binary()), train)
+            yield record_batch(schema, found, train)
             yield record_batch(schema, [b""], [int((~held).sum())])
 
     return staged(rows.mapInArrow(lambda b: handed_back(run(b)), schema).groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
 
 
+def _at(words: pa.Array, among: pa.Array) -> np.ndarray:
+    """Where each word is among the others, -1 if it is not."""
+    return pc.fill_null(pc.index_in(words, value_set=among), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 class Classes:
     """Class numbers of words: frequent words, then frequent endings, the longest first."""
 
     def __init__(self, words: list[bytes], endings: list[bytes]):
-        self.words = {w: i for i, w in enumerate(words, OTHER + 1)}
-        self.endings = {w: i for i, w in enumerate(endings, OTHER + 1 + len(words))}
+        self.words, self.endings = pa.array(words, pa.binary()), pa.array(endings, pa.binary())
         self.n = OTHER + 1 + len(words) + len(endings)
 
-    def of(self, word: bytes) -> int:
-        if not word:
-            return END
-        k = self.words.get(word)
+    def of(self, words: pa.Array) -> np.ndarray:
+        k = _at(words, self.words)
         for size in range(ENDING, 0, -1):
-            if k is not None:
-                break
-            k = self.endings.get(word[-size:])
-        return OTHER if k is None else k
+            e = _at(pc.binary_slice(words, -size), self.endings)
+            k = np.where((k < 0) & (e >= 0), e + len(self.words), k)
+        return np.where(pc.binary_length(words).to_numpy(zero_copy_only=False) == 0, END, np.where(k < 0, OTHER, k + OTHER + 1))
 
 
 def support(total: int, count: int, share: float) -> float:
@@ -116,6 +132,21 @@ def frequent(words: DataFrame, least: float) -> tuple[list[bytes], list[bytes]]:
     return sorted(own), sorted(bytes(r[0]) for r in ends.select("e").collect())
 
 
+def common(words: DataFrame) -> tuple[Column, DataFrame]:
+    """Which rows of ``words`` are common, and these: about the COMMON words of the highest counts, no more, by a
+    histogram of the counts to a ninth."""
+    scale = F.floor(F.log2("c") * 8)
+    short = (F.col("c") > 0) & (F.col("word") != F.lit(b"")) & (F.length("word") <= COMMON_BYTES)
+    least, so_far = math.inf, 0
+    for r in words.where(short).groupBy(scale.alias("scale")).count().orderBy(F.desc("scale")).collect():
+        so_far += r["count"]
+        if so_far > COMMON:
+            break
+        least = r["scale"]
+    few = short & (scale >= F.lit(float(least)))
+    return few, words.where(few)
+
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -153,13 +184,18 @@ def _bit(key: np.ndarray) -> np.ndarray:
 
 
 def _bits(contexts: DataFrame, *more: int) -> np.ndarray | None:
-    """The bit set of the keys in the column context, and of ``more``; None if there are none."""
+    """The bit set of the keys in the column context, or where there is a column symbol of the contexts that end in it
+    after these, and of ``more``; None if there are none."""
+    columns = [c for c in contexts.columns if c in ("context", "symbol")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield record_batch("bit int", np.unique(_bit(b.column("context").to_numpy().view(np.uint64))).astype(np.int32))
+            key = b.column("context").to_numpy().view(np.uint64)
+            if "symbol" in columns:
+                key = _longer(key, b.column("symbol").to_numpy())
+            yield record_batch("bit int", np.unique(_bit(key)).astype(np.int32))
 
-    at = contexts.select("context").mapInArrow(run, "bit int").distinct().toPandas()["bit"].to_numpy(np.int64)
+    at = contexts.select(*columns).mapInArrow(lambda b: handed_back(run(b)), "bit int").distinct().toPandas()["bit"].to_numpy(np.int64)
     out = np.zeros(1 << SET_BITS, bool)
     out[at] = True
     out[_bit(np.array(more, np.uint64))] = True
@@ -253,31 +289,36 @@ class SuffixTree:
         return np.log10(p)
 
 
-def _index(rows: DataFrame, classes: Classes) -> DataFrame:
-    """A row per chunk and distinct word: the word, and the place in the chunk of the document of each occurrence
-    (uint16). A row without word tells the chunk's documents: ids, nulls, held out, token counts; and all classes."""
-    schema = "chunk long, word binary, places binary, classes binary"
-    words, endings = list(classes.words), list(classes.endings)
+def _index(rows: DataFrame, classes: Classes, known: pa.Array, values: list[np.ndarray]) -> DataFrame:
+    """A row per chunk and distinct word that is not among the ``known`` ones: the word and its number in the chunk. A
+    row without word tells the chunk's documents: ids, nulls, held out, token counts; all classes; of the numbered words
+    their class, how often and in which document (its place, uint16) they occur; and the sums of the known words by
+    document: how many, and of each of the ``values``."""
+    schema = "chunk long, word binary, number int, about binary, classes binary, kinds binary, places binary, sums binary"
     width = np.uint16 if classes.n <= 1 << 16 else np.uint32
+    shared = rows.sparkSession.sparkContext.broadcast((classes, known, [np.append(x, 0.0) for x in values]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = Classes(words, endings)
+        classes, known, values = shared.value
         number = TaskContext.get().partitionId() << 32
         for b in _chunks(batches):
             length, codes, found, held = _tokens(b)
-            place = np.repeat(np.arange(len(length)), length).astype(np.uint16)
-            order = np.argsort(codes, kind="stable")
-            size = np.bincount(codes, minlength=len(found))
-            offsets = pa.py_buffer(np.concatenate(([0], np.cumsum(size * 2))).astype(np.int32))
-            places = pa.BinaryArray.from_buffers(pa.binary(), len(found), [None, offsets, pa.py_buffer(place[order])])
-            yield record_batch(schema, np.full(len(found), number), pa.array(found, pa.binary()), places, pa.nulls(len(found), pa.binary()))
-            kind = np.array([kinds.of(w) for w in found], width)
+            place = np.repeat(np.arange(len(length)), length)
+            at, kind = _at(found, known), classes.of(found)
+            sums = np.concatenate([np.bincount(place, x[codes], len(length)) for x in (at >= 0, *(v[at] for v in values))])
+            asked = np.flatnonzero(at < 0)
+            use = np.flatnonzero((at < 0)[codes])
+            own = (np.cumsum(at < 0) - 1)[codes[use]]
+            size = np.bincount(own, minlength=len(asked))
+            n = len(asked)
+            yield record_batch(schema, np.full(n, number), found.take(pa.array(asked)), np.arange(n), *[pa.nulls(n, pa.binary())] * 5)
             sequence = np.full(len(codes) + len(length), END, width)  # each text's end stays
             sequence[np.arange(len(codes)) + place] = kind[codes] if len(codes) else 0
             ids = b.column("doc_id")
             about = [pc.fill_null(ids, 0).to_numpy().astype(np.int64).tobytes(), ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(),
                      held.astype(np.uint8).tobytes(), (length + 1).tobytes()]
-            yield record_batch(schema, [number], [None], [b"".join(about)], [sequence.tobytes()])
+            yield record_batch(schema, [number], [None], [None], [b"".join(about)], [sequence.tobytes()],
+                               [np.concatenate((kind[asked], size)).astype(np.uint32).tobytes()], [place[use][np.argsort(own, kind="stable")].astype(np.uint16).tobytes()], [sums.tobytes()])
             number += 1
 
     return staged(rows.mapInArrow(lambda b: handed_back(run(b)), schema), "lm-index")
@@ -301,7 +342,7 @@ def _counted(sequences: DataFrame, d: int, bits: np.ndarray | None) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for about, data in zip(b.column("places").to_pylist(), b.column("classes").to_pylist()):
+            for about, data in zip(b.column("about").to_pylist(), b.column("classes").to_pylist()):
                 every, lengths, held = _sequence(about, data)
                 found = [[np.zeros(0, t) for t in (np.uint64, np.uint64, np.int32, np.int64)]]
                 for texts, own in _parts(lengths):
@@ -332,20 +373,16 @@ def fit(index: DataFrame, depth: int, least: float, divergence: float) -> tuple[
     One depth a job: a candidate followed by a class often enough is a candidate of the next depth. Contexts are told
     from others of their bit by their own totals, so the bits change nothing but the work.
     """
-    sequences = index.where("classes is not null").select("places", "classes")
+    sequences = index.where("classes is not null").select("about", "classes")
     counts = [_counted(sequences, 0, None)]
     totals = counts[0].groupBy("context").agg(F.sum("n").alias("total"))
     judged: list[DataFrame] = []
 
-    def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield record_batch("context long", _longer(b.column("context").to_numpy().view(np.uint64), b.column("symbol").to_numpy()).view(np.int64))
-
     for d in range(1, depth + 1):
         more = []
         if d == 1 and not counts[0].where((F.col("symbol") == END) & (F.col("n") >= least)).isEmpty():  # every text has one start
             more = _hash(np.array([START])).tolist()
-        bits = _bits(counts[-1].where((F.col("n") >= least) & (F.col("symbol") != END)).select("context", "symbol").mapInArrow(longer, "context long"), *more)
+        bits = _bits(counts[-1].where((F.col("n") >= least) & (F.col("symbol") != END)).select("context", "symbol"), *more)
         if bits is None:
             break
         above = counts[-1].select(F.col("context").alias("suffix"), "symbol", F.col("n").alias("m"))
@@ -374,7 +411,7 @@ def fit(index: DataFrame, depth: int, least: float, divergence: float) -> tuple[
         levels.append(counts[d].join(kept.select("context", "total", "kinds"), "context").groupBy("context").agg(
             F.first("total").alias("total"), F.first("kinds").alias("kinds"), after.alias("after")).select(
             F.lit(d).alias("depth"), "context", "total", "kinds", F.col("after.symbol").alias("after"), F.col("after.n").alias("n")))
-    tree = sequences.sparkSession.createDataFrame([], "depth int, context long, total long, kinds long, after array<int>, n array<long>")
+    tree = counts[0].where("false").selectExpr("0 depth", "context", "n total", "n kinds", "array(symbol) after", "array(n) n")
     for level in levels:
         tree = tree.union(level)
     tree = staged(tree, "lm-tree")
@@ -397,7 +434,7 @@ def found(index: DataFrame, tree: DataFrame, bits: list[np.ndarray]) -> DataFram
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for chunk, about, data in zip(b.column("chunk").to_pylist(), b.column("places").to_pylist(), b.column("classes").to_pylist()):
+            for chunk, about, data in zip(b.column("chunk").to_pylist(), b.column("about").to_pylist(), b.column("classes").to_pylist()):
                 every, lengths, _ = _sequence(about, data)
                 found: list[list] = [[] for _ in shared.value]
                 for texts, own in _parts(lengths):
@@ -431,7 +468,7 @@ def found(index: DataFrame, tree: DataFrame, bits: list[np.ndarray]) -> DataFram
             yield record_batch(told, *[b.column(c) for c in ("chunk", "depth", "context", "total", "kinds")],
                                _strings(symbol[hit].astype(np.uint32), size), _strings(b.column("n").flatten().to_numpy()[at[hit]], size))
 
-    asks = index.where("classes is not null").select("chunk", "places", "classes").mapInArrow(lambda b: handed_back(ask(b)), asked)
+    asks = index.where("classes is not null").select("chunk", "about", "classes").mapInArrow(lambda b: handed_back(ask(b)), asked)
     joined = asks.join(tree, ["depth", "context"]).select("chunk", "depth", "context", "total", "kinds", "symbols", "after", "n")
     return staged(joined.mapInArrow(lambda b: handed_back(answer(b)), told), "lm-found")
 
@@ -451,88 +488,86 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     own, endings = frequent(words, support(n, class_count, class_share))
     classes = Classes(own, endings)
-    index = _index(rows, classes)
 
     def with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = Classes(own, endings)
-        for b in sliced(batches, "word", 1 << 20):
-            yield record_batch("word binary, c long, class int", b.column("word"), b.column("c"), [kinds.of(w) for w in b.column("word").to_pylist()])
+        for b in batches:
+            yield record_batch("class int, c long", classes.of(b.column("word")), b.column("c"))
 
-    # both sides of the join are read from files, so it can split a word that every chunk has
-    valued = staged(words.mapInArrow(with_class, "word binary, c long, class int"), "lm-values")
     sizes = np.ones(classes.n)
-    for r in valued.groupBy("class").agg(F.sum("c").alias("c"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).collect():
+    for r in words.mapInArrow(with_class, "class int, c long").groupBy("class").agg(F.sum("c").alias("c"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).collect():
         sizes[r["class"]] = r["c"] + r["v"] + 1
     end_count = next((r[0] for r in words.where("word = X''").select("c").collect()), 0)
-    share = spark.sparkContext.broadcast(sizes)
-    part = "chunk long, places binary, known binary, base binary, log binary"
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sums over the words of this task for the documents of each chunk; those without a word here are left out."""
-        held: dict[int, np.ndarray] = {}
+    def valued(c: np.ndarray, kind: np.ndarray) -> list[np.ndarray]:
+        """The words' log10 probabilities: in the base, and within their classes."""
+        return [np.log10((c + 1) / (n + v + 1)), np.log10((c + 1) / sizes[kind])]
+
+    is_common, few = common(words)
+    table = few.select("word", "c").toArrow().combine_chunks()
+    known = pa.concat_arrays(table.column("word").chunks or [pa.nulls(0, pa.binary())]).cast(pa.binary())
+    index = _index(rows, classes, known, valued(table.column("c").to_numpy(), classes.of(known)))
+    discard(spark)
+    told = "chunk long, numbers binary, known binary"
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The counts of this task, put together by chunk."""
+        held: list[pa.RecordBatch] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for chunk, x in held.items():
-                at = np.flatnonzero(x.any(axis=0))
-                yield record_batch(part, [chunk], [at.astype(np.uint16).tobytes()], [x[0, at].astype(np.int32).tobytes()], [x[1, at].tobytes()], [x[2, at].tobytes()])
+            chunk, number, c = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in ("chunk", "number", "c"))
             held.clear()
+            order = np.argsort(chunk, kind="stable")
+            chunks, size = np.unique(chunk, return_counts=True)
+            yield record_batch(told, chunks, _strings(number[order].astype(np.int32), size), _strings(c[order].astype(np.int64), size))
 
         for b in batches:
-            chunks = b.column("chunk").to_numpy()
-            each = pc.binary_length(b.column("places")).to_numpy() // 2
-            place = np.frombuffer(b"".join(b.column("places").to_pylist()), np.uint16)
-            c = b.column("c").to_numpy()
-            per_word = c > 0, np.log10((c + 1) / (n + v + 1)), np.log10((c + 1) / share.value[b.column("class").to_numpy()])
-            owner = np.repeat(chunks, each)
-            for chunk in np.unique(chunks):
-                own = owner == chunk
-                at = place[own]
-                x = held.setdefault(int(chunk), np.zeros((3, 0)))
-                if len(at) and x.shape[1] <= at.max():
-                    x = held[int(chunk)] = np.pad(x, ((0, 0), (0, int(at.max()) + 1 - x.shape[1])))
-                for k, value in enumerate(per_word):
-                    x[k] += np.bincount(at, np.repeat(value, each)[own], x.shape[1])
-            if sum(x.shape[1] for x in held.values()) > HELD_SUMS:
+            held.append(b)
+            if sum(x.num_rows for x in held) >= HELD_COUNTS:
                 yield from flush()
-        yield from flush()
+        if held:
+            yield from flush()
 
-    discard(spark, words)
-    joined = index.where("word is not null").select("chunk", "word", "places").join(valued, "word")
-    sums = joined.select("chunk", "places", "c", "class").mapInArrow(lambda b: handed_back(partial(b)), part)
+    # both sides of the join are read from files, so it can split a word that every chunk has; words without a count need no answer
+    others = words.where(~is_common & (F.col("c") > 0))
+    joined = index.where("word is not null").select("chunk", "word", "number").join(others, "word")
+    counts = joined.select("chunk", "number", "c").mapInArrow(lambda b: handed_back(packed(b)), told)
     least = support(n, min_count, min_share)
     root, tree, bits = fit(index, longest(n, least) if depth is None else depth, least, divergence)
     first = root.toPandas()
     top = spark.sparkContext.broadcast(SuffixTree.level(np.zeros(1, np.uint64), np.array([first["n"].sum()]), np.array([len(first)]), np.zeros(len(first), np.int64), first["symbol"].to_numpy(np.int64), first["n"].to_numpy()))
     deep = len(bits)
-    abouts = index.where("classes is not null").select("chunk", "places", "classes")
+    abouts = index.where("classes is not null").drop("word", "number")
     replies = found(index, tree, bits)
     discard(spark, tree)
-    parts = abouts.unionByName(sums, allowMissingColumns=True).unionByName(replies, allowMissingColumns=True)
+    parts = abouts.unionByName(counts, allowMissingColumns=True).unionByName(replies.withColumnRenamed("kinds", "follow"), allowMissingColumns=True)
     n_classes = classes.n
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def together(t: pa.Table) -> pa.Table:
         about = t.filter(t.column("classes").is_valid())
-        ids, null, held, tokens = _about(about.column("places")[0].as_py())
+        row = {k: about.column(k)[0].as_py() for k in ("about", "classes", "kinds", "places", "sums")}
+        ids, null, held, tokens = _about(row["about"])
         levels, replies = [top.value], t.filter(t.column("depth").is_valid())
         for d in range(1, deep + 1):
             r = replies.filter(pc.equal(replies.column("depth"), d)).combine_chunks()
             each = pc.binary_length(r.column("symbols")).to_numpy() // 4
             levels.append(SuffixTree.level(
-                r.column("context").to_numpy().view(np.uint64), r.column("total").to_numpy(), r.column("kinds").to_numpy(), np.repeat(np.arange(len(each)), each),
+                r.column("context").to_numpy().view(np.uint64), r.column("total").to_numpy(), r.column("follow").to_numpy(), np.repeat(np.arange(len(each)), each),
                 np.frombuffer(b"".join(r.column("symbols").to_pylist()), np.uint32), np.frombuffer(b"".join(r.column("counts").to_pylist()), np.int64)))
         tree, model = np.zeros(len(ids)), SuffixTree(levels, n_classes)
-        every = _sequence(about.column("places")[0].as_py(), about.column("classes")[0].as_py())[0]
+        every = _sequence(row["about"], row["classes"])[0]
         for texts, own in _parts(tokens):
             log = model.log10(every[own], tokens[texts])
             tree[texts] = np.bincount(np.repeat(np.arange(len(tokens[texts])), tokens[texts]), log, len(tokens[texts]))
-        known, base = np.full(len(ids), int(end_count > 0), np.int64), np.full(len(ids), np.log10((end_count + 1) / (n + v + 1)))
+        kind, size = np.frombuffer(row["kinds"], np.uint32).reshape(2, -1)
+        c = np.zeros(len(kind), np.int64)
         rest = t.filter(t.column("known").is_valid())
-        for at, k, x, y in zip(*(rest.column(c).to_pylist() for c in ("places", "known", "base", "log"))):
-            at = np.frombuffer(at, np.uint16)
-            known[at] += np.frombuffer(k, np.int32)
-            base[at] += np.frombuffer(x)
-            tree[at] += np.frombuffer(y)
+        for number, count in zip(rest.column("numbers").to_pylist(), rest.column("known").to_pylist()):
+            c[np.frombuffer(number, np.int32)] = np.frombuffer(count, np.int64)
+        place = np.frombuffer(row["places"], np.uint16)
+        asked = [np.bincount(place, np.repeat(x, size), len(ids)) for x in (c > 0, *valued(c, kind))]
+        known, base, within = np.frombuffer(row["sums"]).reshape(3, -1) + asked
+        known, base, tree = known.astype(np.int64) + int(end_count > 0), base + np.log10((end_count + 1) / (n + v + 1)), tree + within
         return pa.Table.from_batches([record_batch(schema, pa.array(ids, mask=null.astype(bool)), held.astype(bool), tokens, known, np.full(len(ids), n), base, tree)])
 
     return parts.groupBy("chunk").applyInArrow(together, schema)

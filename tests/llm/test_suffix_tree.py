@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tests.llm.cases import WORD, empty, lower, prose, texts, tricky
 
@@ -49,6 +50,40 @@ def test_many_chunks_give_the_same(spark, monkeypatch):
         assert abs(r["score"] - many[i]["score"]) < 1e-6 * abs(r["score"]) and abs(r["base_score"] - many[i]["base_score"]) < 1e-9 * abs(r["base_score"])
 
 
+def test_small_batches_share_a_chunk():
+    rows = [(i, prose(i, 30), i % 7 == 2) for i in range(50)]
+    batches = pa.Table.from_pylist([dict(zip(("doc_id", "text", "held_out"), r)) for r in rows]).to_batches(max_chunksize=3)
+    chunks = list(st._chunks(iter(batches)))
+    assert len(batches) > 1 and len(chunks) == 1 and chunks[0].column("doc_id").to_pylist() == list(range(50))
+
+
+def test_words_asked_for_count_like_those_every_task_knows(spark, monkeypatch):
+    """Every task knows the commonest words, so that chunks ask for few; the sums are the same however many it knows."""
+    docs = spark.createDataFrame([(i, f"{prose(i % 40, 30 + i)} once{i} {'x' * 70}") for i in range(120)] + [(None, None)], "doc_id long, text string")
+    rows = docs.select("doc_id", "text", held_out().alias("held_out"))
+    words = st.vocabulary(rows)
+    few = st.common(words)[1]
+    assert few.where(F.length("word") > st.COMMON_BYTES).isEmpty() and few.where("c = 0 or word = X''").isEmpty()
+    known = pa.array([bytes(r["word"]) for r in few.collect()], pa.binary())
+    asked = {bytes(r["word"]) for r in st._index(rows, st.Classes([], []), known, []).where("word is not null").select("word").collect()}
+    every = {bytes(r["word"]) for r in words.where("word <> X''").collect()}
+    assert b"x" * 70 in asked and asked == every - set(known.to_pylist()) and len(known) > len(asked)
+    one = {r["doc_id"]: r for r in st.score(docs, held_out()).collect()}
+    for n in (0, 8):
+        monkeypatch.setattr(st, "COMMON", n)
+        assert st.common(words)[1].count() <= n
+        for r in st.score(docs, held_out()).collect():
+            o = one[r["doc_id"]]
+            assert r["n_known"] == o["n_known"] and abs(r["base_score"] - o["base_score"]) < 1e-9 * abs(o["base_score"]) and abs(r["score"] - o["score"]) < 1e-9 * abs(o["score"])
+
+
+def test_classes_are_the_word_or_its_longest_ending():
+    classes = st.Classes([b"the", b"of"], [b"e", b"ing", b"n", b"ng"])
+    found = classes.of(pa.array([b"", b"the", b"he", b"ng", b"sing", b"n", b"x", b"of", b"then"], pa.binary()))
+    first = st.OTHER + 1
+    assert found.tolist() == [st.END, first, first + 2, first + 5, first + 3, first + 4, st.OTHER, first + 1, first + 4]
+
+
 def test_learns_order_that_the_base_can_not_see(spark):
     """Words that follow each other in a fixed order: held-out texts are far likelier than under the base."""
     docs = [(i, " ".join(f"w{(i + k) % 9}" for k in range(60))) for i in range(300)]
