@@ -8,8 +8,9 @@ classes before it, which the tree gives, times that of the word within its class
   small corpus: ``min_share`` of them). So contexts, classes and depth grow with the corpus. A candidate is kept if its
   next-class distribution diverges from its suffix's by ``divergence`` nats and by more than its own parameters cost.
   Suffixes of kept contexts stay.
-* Contexts go by 64-bit hashes. Their counts and the tree are tables; a chunk of texts asks the tree for the contexts
-  it has by a join. Bit sets of fixed size only save asking for what is surely not there.
+* Contexts go by 64-bit hashes. Their counts and the tree are tables with a row per context. Every task knows the
+  commonest contexts of the tree, of as many counts at any size of the corpus; a chunk of texts asks for the others it
+  has by a join. Bit sets of fixed size only save asking for what is surely not there.
 * Distributions are smoothed towards the suffix's with as much weight as they have distinct next classes.
 * A token is scored in the longest kept suffix of what precedes it.
 * Every task knows the counts of the commonest words, as many at any size of the corpus. A chunk of texts asks for those
@@ -29,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import discard, handed_back, mix, record_batch, sliced, staged
+from quarterline.llm.common import discard, handed_back, mix, record_batch, sliced, staged, with_ids
 
 #: Tokens that must follow a context, or on a corpus where that is less, this share of all.
 MIN_COUNT, MIN_SHARE = 1000, 1e-4
@@ -47,8 +48,10 @@ CHUNK_BYTES, CHUNK_ROWS = 8 << 20, 1 << 16
 PART_TOKENS = 1 << 19
 #: Words, of up to COMMON_BYTES, whose counts every task has.
 COMMON, COMMON_BYTES = 1 << 18, 64
-#: Counts of chunks' words held per task before they are handed on.
+#: Counts held per task before they are handed on: of chunks' words, and of contexts' classes.
 HELD_COUNTS = 1 << 20
+#: Counts in the contexts that every task has.
+KNOWN_COUNTS = 1 << 21
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,18 +135,23 @@ def frequent(words: DataFrame, least: float) -> tuple[list[bytes], list[bytes]]:
     return sorted(own), sorted(bytes(r[0]) for r in ends.select("e").collect())
 
 
-def common(words: DataFrame) -> tuple[Column, DataFrame]:
-    """Which rows of ``words`` are common, and these: about the COMMON words of the highest counts, no more, by a
-    histogram of the counts to a ninth."""
-    scale = F.floor(F.log2("c") * 8)
-    short = (F.col("c") > 0) & (F.col("word") != F.lit(b"")) & (F.length("word") <= COMMON_BYTES)
+def highest(rows: DataFrame, by: str, weight: Column, most: int) -> Column:
+    """Which rows have the highest of the positive numbers ``by`` and weigh ``most`` together or somewhat less: by a
+    histogram of the numbers to a ninth."""
+    scale = F.floor(F.log2(by) * 8)
     least, so_far = math.inf, 0
-    for r in words.where(short).groupBy(scale.alias("scale")).count().orderBy(F.desc("scale")).collect():
-        so_far += r["count"]
-        if so_far > COMMON:
+    for r in rows.groupBy(scale.alias("scale")).agg(F.sum(weight).alias("weight")).orderBy(F.desc("scale")).collect():
+        so_far += r["weight"]
+        if so_far > most:
             break
         least = r["scale"]
-    few = short & (scale >= F.lit(float(least)))
+    return scale >= F.lit(float(least))
+
+
+def common(words: DataFrame) -> tuple[Column, DataFrame]:
+    """Which rows of ``words`` are common, and these: about the COMMON words of the highest counts, no more."""
+    short = (F.col("c") > 0) & (F.col("word") != F.lit(b"")) & (F.length("word") <= COMMON_BYTES)
+    few = short & highest(words.where(short), "c", F.lit(1), COMMON)
     return few, words.where(few)
 
 
@@ -230,10 +238,11 @@ def _distinct(key: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 class SuffixTree:
     """Per depth: the kept contexts (their keys), their totals, how many classes follow each, and the counts of those
-    by context's index and class. It may hold just the contexts of some texts, to score these."""
+    by context's index and class. It may hold just the contexts of some texts, to score these; ``known`` are the levels
+    from depth 1 of other contexts."""
 
-    def __init__(self, levels: list[tuple], n_classes: int):
-        self.levels, self.n_classes = levels, n_classes
+    def __init__(self, levels: list[tuple], n_classes: int, known: list[tuple] = ()):
+        self.levels, self.n_classes, self.known = levels, n_classes, known
 
     @classmethod
     def grown(cls, rows: list[pd.DataFrame], n_classes: int, divergence: float) -> SuffixTree:
@@ -263,12 +272,16 @@ class SuffixTree:
 
     @staticmethod
     def level(key: np.ndarray, total: np.ndarray, kinds: np.ndarray, at: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple:
-        return pd.Index(key), total, kinds, pd.Index((at.astype(np.int64) << 32) + symbol), n.astype(np.float64)
+        """The counts come by context's index and class."""
+        return pd.Index(key), total, kinds, (at.astype(np.int64) << 32) + symbol, n.astype(np.float64)
 
     @staticmethod
-    def _count(entries: pd.Index, counts: np.ndarray, at: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        i = entries.get_indexer((at << 32) + symbol)
-        return np.where(i >= 0, counts[i], 0.0) if len(counts) else np.zeros(len(at))
+    def _count(entries: np.ndarray, counts: np.ndarray, at: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        if not len(entries):
+            return np.zeros(len(at))
+        wanted = (at << 32) + symbol
+        i = np.minimum(np.searchsorted(entries, wanted), len(entries) - 1)
+        return np.where(entries[i] == wanted, counts[i], 0.0)
 
     def log10(self, classes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """log10 probability of each token's class after what precedes it in its text."""
@@ -277,25 +290,34 @@ class SuffixTree:
         _, total, _, entries, counts = self.levels[0]
         p = (self._count(entries, counts, np.zeros(len(symbol), np.int64), symbol) + 1) / (total.sum() + self.n_classes)
         live = np.arange(len(symbol))
-        keys = _contexts(classes, before, len(self.levels) - 1)
+        depth = max(len(self.levels) - 1, len(self.known))
+        keys = _contexts(classes, before, depth)
         next(keys)
-        for d, (contexts, total, kinds, entries, counts) in enumerate(self.levels[1:], 1):
+        for d in range(1, depth + 1):
             live = live[before[live] >= d]
-            at = contexts.get_indexer(next(keys)[live])
-            live, at = live[at >= 0], at[at >= 0]
+            key, kept = next(keys)[live], np.zeros(len(live), bool)
+            for contexts, total, kinds, entries, counts in [*self.levels[d : d + 1], *self.known[d - 1 : d]]:
+                at = contexts.get_indexer(key)
+                kept |= at >= 0
+                own, at = live[at >= 0], at[at >= 0]
+                p[own] = (self._count(entries, counts, at, symbol[own]) + kinds[at] * p[own]) / (total[at] + kinds[at])
+            live = live[kept]
             if not len(live):
                 break
-            p[live] = (self._count(entries, counts, at, symbol[live]) + kinds[at] * p[live]) / (total[at] + kinds[at])
         return np.log10(p)
 
 
+def symbol_type(n_classes: int) -> type:
+    return np.uint16 if n_classes <= 1 << 16 else np.uint32
+
+
 def _index(rows: DataFrame, classes: Classes, known: pa.Array, values: list[np.ndarray]) -> DataFrame:
     """A row per chunk and distinct word that is not among the ``known`` ones: the word and its number in the chunk. A
     row without word tells the chunk's documents: ids, nulls, held out, token counts; all classes; of the numbered words
     their class, how often and in which document (its place, uint16) they occur; and the sums of the known words by
     document: how many, and of each of the ``values``."""
     schema = "chunk long, word binary, number int, about binary, classes binary, kinds binary, places binary, sums binary"
-    width = np.uint16 if classes.n <= 1 << 16 else np.uint32
+    width = symbol_type(classes.n)
     shared = rows.sparkSession.sparkContext.broadcast((classes, known, [np.append(x, 0.0) for x in values]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,36 +357,130 @@ def _sequence(about: bytes, data: bytes) -> tuple[np.ndarray, np.ndarray, np.nda
     return np.frombuffer(data, np.uint32 if len(data) > 2 * tokens.sum() else np.uint16), tokens, held
 
 
+def _strings(data: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The values, ``size`` of them in each row, as binary."""
+    offsets = np.concatenate(([0], np.cumsum(size))) * data.itemsize
+    return pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _summed(key: np.ndarray, suffix: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One of each pair of context and class, with the sum of its counts."""
+    at, _ = pd.factorize(_longer(key, symbol))
+    one = np.empty(at.max(initial=-1) + 1, np.int64)
+    one[at] = np.arange(len(at))
+    return key[one], suffix[one], symbol[one], np.bincount(at, n, len(one)).astype(np.int64)
+
+
+def _rows(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal keys begins, and how long it is."""
+    first = np.flatnonzero(np.diff(key, prepend=key[:1] - 1))
+    return first, np.diff(first, append=len(key))
+
+
+def _located(of: np.ndarray, each: np.ndarray, wanted: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the classes wanted in each row (``size`` of them), where they are among the row's sorted ones, and which are there."""
+    row = np.arange(len(each)) << 32
+    there, asked = np.repeat(row, each) + of, np.repeat(row, size) + wanted
+    at = np.minimum(np.searchsorted(there, asked), len(there) - 1)
+    return at, there[at] == asked
+
+
 def _counted(sequences: DataFrame, d: int, bits: np.ndarray | None) -> DataFrame:
-    """context, symbol, n, suffix: what follows the contexts of depth d in the training texts, of those with a bit."""
-    schema = "context long, suffix long, symbol int, n long"
+    """context, suffix, total, kinds, after, n: a row per context of depth d that has a bit, with the classes that follow
+    it in the training texts, in order, and their counts.
+
+    A task sends a context's classes and counts in one row; where it is dealt to, rows come by context and are added up.
+    """
+    sent = "context long, suffix long, symbols binary, counts binary"
+    names, schema = ["context", "suffix", "total", "kinds", "after", "n"], "context long, suffix long, total long, kinds long, after array<int>, n array<long>"
     shared = sequences.sparkSession.sparkContext.broadcast(bits)
+    none = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, width = [none], np.uint16
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            key, suffix, symbol, n = _summed(*(np.concatenate(x) for x in zip(*held)))
+            held[:] = [none]
+            order = np.lexsort((symbol, n, key))
+            first, size = _rows(key[order])
+            yield record_batch(sent, key[order][first].view(np.int64), suffix[order][first].view(np.int64),
+                               _strings(symbol[order].astype(width), size), _strings(n[order].astype(np.uint32), size))
+
         for b in batches:
             for about, data in zip(b.column("about").to_pylist(), b.column("classes").to_pylist()):
-                every, lengths, held = _sequence(about, data)
-                found = [[np.zeros(0, t) for t in (np.uint64, np.uint64, np.int32, np.int64)]]
+                every, lengths, held_out = _sequence(about, data)
+                width = every.dtype
                 for texts, own in _parts(lengths):
                     classes, tokens = every[own], lengths[texts]
                     before = _before(tokens)
                     suffix = key = np.zeros(0, np.uint64)
                     for x in _contexts(classes, before, d):
                         suffix, key = key, x
-                    use = np.flatnonzero((before >= d) & np.repeat(held[texts] == 0, tokens))
+                    use = np.flatnonzero((before >= d) & np.repeat(held_out[texts] == 0, tokens))
                     if d:
                         use = use[_among(key[use], shared.value)]
                     where, n = _distinct(key[use], classes[use])
                     use = use[where]
-                    found.append([key[use], suffix[use] if d else np.zeros(len(use), np.uint64), classes[use].astype(np.int32), n])
-                key, suffix, symbol, n = (np.concatenate(x) for x in zip(*found))
-                at, _ = pd.factorize(_longer(key, symbol))  # once a chunk
-                one = np.empty(at.max(initial=-1) + 1, np.int64)
-                one[at] = np.arange(len(at))
-                yield record_batch(schema, key[one].view(np.int64), suffix[one].view(np.int64), symbol[one], np.bincount(at, n, len(one)).astype(np.int64))
+                    held.append([key[use], suffix[use] if d else np.zeros(len(use), np.uint64), classes[use].astype(np.int64), n])
+                    if sum(len(x[0]) for x in held) >= HELD_COUNTS:
+                        held[:] = [_summed(*(np.concatenate(x) for x in zip(*held)))]
+                        if len(held[0][0]) >= HELD_COUNTS // 2:
+                            yield from flush()
+        if len(held) > 1 or len(held[0][0]):
+            yield from flush()
+
+    def shaped(key: np.ndarray, suffix: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        first, size = _rows(key)
+        offsets = pa.array(np.append(first, len(key)).astype(np.int32))
+        total = np.add.reduceat(n, first) if len(first) else n
+        return pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(suffix[first]), pa.array(total), pa.array(size.astype(np.int64)),
+                                           pa.ListArray.from_arrays(offsets, pa.array(symbol.astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(n))], names)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = [x.view(np.int64) for x in none]
+        for b in batches:
+            if not b.num_rows:
+                continue
+            symbols, counts = (b"".join(b.column(k).to_pylist()) for k in ("symbols", "counts"))
+            n = np.frombuffer(counts, np.uint32)
+            size = pc.binary_length(b.column("counts")).to_numpy() // 4
+            new = [np.repeat(b.column(k).to_numpy(), size) for k in ("context", "suffix")] + [np.frombuffer(symbols, np.uint16 if len(symbols) < len(counts) else np.uint32), n]
+            key, suffix, symbol, n = _summed(*(np.concatenate(x).astype(np.int64) for x in zip(last, new)))
+            order = np.lexsort((symbol, key))
+            done = int(np.searchsorted(key[order], key.max()))
+            yield shaped(*(x[order[:done]] for x in (key, suffix, symbol, n)))
+            last = [x[order[done:]] for x in (key, suffix, symbol, n)]
+        yield shaped(*last)
+
+    dealt = sequences.mapInArrow(lambda b: handed_back(run(b)), sent).repartition("context").sortWithinPartitions("context")
+    return staged(dealt.mapInArrow(lambda b: handed_back(merged(b)), schema), f"lm-counts-{d}")
+
+
+def _judged(contexts: DataFrame, divergence: float) -> DataFrame:
+    """context, suffix, total, kinds, kept: whether what follows a context diverges enough from what follows its suffix
+    (the classes above, their counts m and total t)."""
+    schema = "context long, suffix long, total long, kinds long, kept boolean"
 
-    counted = sequences.mapInArrow(lambda b: handed_back(run(b)), schema).groupBy("context", "symbol").agg(F.sum("n").alias("n"), F.first("suffix").alias("suffix"))
-    return staged(counted, f"lm-counts-{d}")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            size, each = (pc.list_value_length(b.column(k)).to_numpy() for k in ("after", "above"))
+            n, m = (b.column(k).flatten().to_numpy() for k in ("n", "m"))
+            at, there = _located(b.column("above").flatten().to_numpy(), each, b.column("after").flatten().to_numpy(), size)
+            row = np.repeat(np.arange(b.num_rows), size)[there]
+            part = np.bincount(row, n[there] * np.log(n[there] / m[at[there]]), b.num_rows)
+            total, kinds, t = (b.column(k).to_numpy() for k in ("total", "kinds", "t"))
+            gain, cost = part - total * np.log(total / t), 0.5 * kinds * np.log(np.maximum(total, 2))
+            yield record_batch(schema, *[b.column(k) for k in ("context", "suffix", "total", "kinds")], (gain >= divergence * total) & (gain >= cost))
+
+    return contexts.mapInArrow(lambda b: handed_back(run(b)), schema)
+
+
+def _pairs(counts: DataFrame) -> DataFrame:
+    """context, symbol, n: a row per context and class."""
+    return counts.select("context", F.col("after").alias("symbol"), "n").select("context", F.inline(F.arrays_zip("symbol", "n")))
 
 
 def fit(index: DataFrame, depth: int, least: float, divergence: float) -> tuple[DataFrame, DataFrame, list[np.ndarray]]:
@@ -375,25 +491,20 @@ def fit(index: DataFrame, depth: int, least: float, divergence: float) -> tuple[
     """
     sequences = index.where("classes is not null").select("about", "classes")
     counts = [_counted(sequences, 0, None)]
-    totals = counts[0].groupBy("context").agg(F.sum("n").alias("total"))
     judged: list[DataFrame] = []
 
     for d in range(1, depth + 1):
         more = []
-        if d == 1 and not counts[0].where((F.col("symbol") == END) & (F.col("n") >= least)).isEmpty():  # every text has one start
+        if d == 1 and not _pairs(counts[0]).where((F.col("symbol") == END) & (F.col("n") >= least)).isEmpty():  # every text has one start
             more = _hash(np.array([START])).tolist()
-        bits = _bits(counts[-1].where((F.col("n") >= least) & (F.col("symbol") != END)).select("context", "symbol"), *more)
+        bits = _bits(_pairs(counts[-1]).where((F.col("n") >= least) & (F.col("symbol") != END)).select("context", "symbol"), *more)
         if bits is None:
             break
-        above = counts[-1].select(F.col("context").alias("suffix"), "symbol", F.col("n").alias("m"))
         counts.append(_counted(sequences, d, bits))
-        parts = counts[-1].join(above, ["suffix", "symbol"]).groupBy("context").agg(
-            F.first("suffix").alias("suffix"), F.sum("n").alias("total"), F.count("n").alias("kinds"), F.sum(F.col("n") * F.log(F.col("n") / F.col("m"))).alias("part"))
-        both = parts.where(F.col("total") >= least).join(totals.select(F.col("context").alias("suffix"), F.col("total").alias("t")), "suffix")
-        gain = F.col("part") - F.col("total") * F.log(F.col("total") / F.col("t"))
-        cost = 0.5 * F.col("kinds") * F.log(F.greatest(F.col("total"), F.lit(2)))
-        judged.append(staged(both.select("context", "suffix", "total", "kinds", ((gain >= divergence * F.col("total")) & (gain >= cost)).alias("kept")), f"lm-contexts-{d}"))
-        totals = judged[-1]
+        candidates = counts[-1].where(F.col("total") >= least)
+        above = with_ids(counts[-2].select(F.col("context").alias("suffix"), F.col("after").alias("above"), F.col("n").alias("m"), F.col("total").alias("t")),
+                         candidates.select("suffix").distinct(), "suffix")
+        judged.append(staged(_judged(candidates.join(above, "suffix"), divergence), f"lm-contexts-{d}", 256))
         discard(sequences.sparkSession)
     levels, bits, need, passed = [], [], None, []
     for d in range(len(judged), 0, -1):
@@ -407,36 +518,41 @@ def fit(index: DataFrame, depth: int, least: float, divergence: float) -> tuple[
         if of is None and not bits:
             continue
         bits.insert(0, of)
-        after = F.sort_array(F.collect_list(F.struct("symbol", "n")))
-        levels.append(counts[d].join(kept.select("context", "total", "kinds"), "context").groupBy("context").agg(
-            F.first("total").alias("total"), F.first("kinds").alias("kinds"), after.alias("after")).select(
-            F.lit(d).alias("depth"), "context", "total", "kinds", F.col("after.symbol").alias("after"), F.col("after.n").alias("n")))
-    tree = counts[0].where("false").selectExpr("0 depth", "context", "n total", "n kinds", "array(symbol) after", "array(n) n")
+        levels.append(with_ids(counts[d], kept.select("context"), "context").select(F.lit(d).alias("depth"), "context", "total", "kinds", "after", "n"))
+    tree = counts[0].where("false").select(F.lit(0).alias("depth"), "context", "total", "kinds", "after", "n")
     for level in levels:
         tree = tree.union(level)
     tree = staged(tree, "lm-tree")
     discard(sequences.sparkSession, *counts[1:], *judged, *passed)
-    return counts[0].select("symbol", "n"), tree, bits
+    return _pairs(counts[0]).select("symbol", "n"), tree, bits
 
 
-def _strings(data: np.ndarray, size: np.ndarray) -> pa.Array:
-    """The values, ``size`` of them in each row, as binary."""
-    offsets = np.concatenate(([0], np.cumsum(size))) * data.itemsize
-    return pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
-
-
-def found(index: DataFrame, tree: DataFrame, bits: list[np.ndarray]) -> DataFrame:
-    """chunk, depth, context, total, kinds, and symbols with their counts: the kept contexts of each chunk, and of the
-    classes that follow them in the chunk those that do so in the training texts."""
-    shared = tree.sparkSession.sparkContext.broadcast(bits)
+def known_to_all(tree: DataFrame, depth: int) -> tuple[list[tuple], DataFrame]:
+    """The levels from depth 1 of the commonest contexts, of KNOWN_COUNTS counts together, and the others."""
+    often = highest(tree, "total", F.col("kinds"), KNOWN_COUNTS)
+    table, levels = tree.where(often).toArrow(), []
+    for d in range(1, depth + 1):
+        t = table.filter(pc.equal(table.column("depth"), d)).combine_chunks()
+        key, total, kinds = (t.column(k).to_numpy() for k in ("context", "total", "kinds"))
+        symbol, n = (pc.list_flatten(t.column(k)).to_numpy() for k in ("after", "n"))
+        levels.append(SuffixTree.level(key.view(np.uint64), total, kinds, np.repeat(np.arange(len(key)), kinds), symbol, n))
+    return levels, tree.where(~often)
+
+
+def found(index: DataFrame, tree: DataFrame, bits: list[np.ndarray], kept: list[np.ndarray], symbols: type, counts: type) -> DataFrame:
+    """chunk, depth, context, total, kinds, and symbols with their counts: the contexts of each chunk that are in ``tree``,
+    and of the classes that follow them in the chunk those that do so in the training texts. ``bits``: by depth of the
+    contexts in ``tree`` (None: it has none), ``kept``: of all kept contexts. The last two are the numbers' types."""
+    shared = tree.sparkSession.sparkContext.broadcast((bits, kept if any(x is not None for x in bits) else []))
     asked = "chunk long, depth int, context long, symbols binary"
     told = "chunk long, depth int, context long, total long, kinds long, symbols binary, counts binary"
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        bits, kept = shared.value
+        for b in batches if kept else ():
             for chunk, about, data in zip(b.column("chunk").to_pylist(), b.column("about").to_pylist(), b.column("classes").to_pylist()):
                 every, lengths, _ = _sequence(about, data)
-                found: list[list] = [[] for _ in shared.value]
+                found: list[list] = [[] for _ in kept]
                 for texts, own in _parts(lengths):
                     classes, before = every[own], _before(lengths[texts])
                     live = np.arange(len(classes))
@@ -444,29 +560,30 @@ def found(index: DataFrame, tree: DataFrame, bits: list[np.ndarray]) -> DataFram
                         if not d:
                             continue
                         live = live[before[live] >= d]
-                        live = live[_among(key[live], shared.value[d - 1])]
-                        one = live[_distinct(key[live], classes[live])[0]]
-                        found[d - 1].append((key[one], classes[one].astype(np.uint32)))
+                        live = live[_among(key[live], kept[d - 1])]
+                        if bits[d - 1] is not None:
+                            one = live[_among(key[live], bits[d - 1])]
+                            one = one[_distinct(key[one], classes[one])[0]]
+                            found[d - 1].append((key[one], classes[one]))
                 for d, parts in enumerate(found, 1):
+                    if not parts:
+                        continue
                     key, symbol = (np.concatenate(x) for x in zip(*parts))
                     one = _distinct(key, symbol)[0]
-                    one = one[np.argsort(key[one])]
-                    context, size = np.unique(key[one], return_counts=True)
-                    yield record_batch(asked, np.full(len(context), chunk), np.full(len(context), d), context.view(np.int64), _strings(symbol[one], size))
+                    one = one[np.lexsort((symbol[one], key[one]))]
+                    first, size = _rows(key[one])
+                    yield record_batch(asked, np.full(len(first), chunk), np.full(len(first), d), key[one][first].view(np.int64), _strings(symbol[one], size))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            each = pc.binary_length(b.column("symbols")).to_numpy() // 4
-            symbol = np.frombuffer(b"".join(b.column("symbols").to_pylist()), np.uint32).astype(np.int64)
-            wanted = (np.repeat(np.arange(b.num_rows), each) << 32) + symbol
-            there = (np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column("after")).to_numpy()) << 32) + b.column("after").flatten().to_numpy()
-            at = np.minimum(np.searchsorted(there, wanted), len(there) - 1)
-            hit = there[at] == wanted
-            size = np.bincount(wanted[hit] >> 32, minlength=b.num_rows)
+            each = pc.binary_length(b.column("symbols")).to_numpy() // np.dtype(symbols).itemsize
+            symbol = np.frombuffer(b"".join(b.column("symbols").to_pylist()), symbols).astype(np.int64)
+            at, hit = _located(b.column("after").flatten().to_numpy(), pc.list_value_length(b.column("after")).to_numpy(), symbol, each)
+            size = np.bincount(np.repeat(np.arange(b.num_rows), each)[hit], minlength=b.num_rows)
             yield record_batch(told, *[b.column(c) for c in ("chunk", "depth", "context", "total", "kinds")],
-                               _strings(symbol[hit].astype(np.uint32), size), _strings(b.column("n").flatten().to_numpy()[at[hit]], size))
+                               _strings(symbol[hit].astype(symbols), size), _strings(b.column("n").flatten().to_numpy()[at[hit]].astype(counts), size))
 
     asks = index.where("classes is not null").select("chunk", "about", "classes").mapInArrow(lambda b: handed_back(ask(b)), asked)
     joined = asks.join(tree, ["depth", "context"]).select("chunk", "depth", "context", "total", "kinds", "symbols", "after", "n")
@@ -530,14 +647,18 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     # both sides of the join are read from files, so it can split a word that every chunk has; words without a count need no answer
     others = words.where(~is_common & (F.col("c") > 0))
     joined = index.where("word is not null").select("chunk", "word", "number").join(others, "word")
-    counts = joined.select("chunk", "number", "c").mapInArrow(lambda b: handed_back(packed(b)), told)
+    counts = staged(joined.select("chunk", "number", "c").mapInArrow(lambda b: handed_back(packed(b)), told), "lm-answers", 10_000)
+    discard(spark, words)
     least = support(n, min_count, min_share)
     root, tree, bits = fit(index, longest(n, least) if depth is None else depth, least, divergence)
     first = root.toPandas()
     top = spark.sparkContext.broadcast(SuffixTree.level(np.zeros(1, np.uint64), np.array([first["n"].sum()]), np.array([len(first)]), np.zeros(len(first), np.int64), first["symbol"].to_numpy(np.int64), first["n"].to_numpy()))
     deep = len(bits)
+    everywhere, rare = known_to_all(tree, deep)
+    often = spark.sparkContext.broadcast(everywhere)
+    symbols, amounts = symbol_type(classes.n), np.uint32 if (rare.agg(F.max("total")).first()[0] or 0) < 1 << 32 else np.int64
     abouts = index.where("classes is not null").drop("word", "number")
-    replies = found(index, tree, bits)
+    replies = found(index, rare, [_bits(rare.where(F.col("depth") == d)) for d in range(1, deep + 1)], bits, symbols, amounts)
     discard(spark, tree)
     parts = abouts.unionByName(counts, allowMissingColumns=True).unionByName(replies.withColumnRenamed("kinds", "follow"), allowMissingColumns=True)
     n_classes = classes.n
@@ -550,11 +671,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         levels, replies = [top.value], t.filter(t.column("depth").is_valid())
         for d in range(1, deep + 1):
             r = replies.filter(pc.equal(replies.column("depth"), d)).combine_chunks()
-            each = pc.binary_length(r.column("symbols")).to_numpy() // 4
+            each = pc.binary_length(r.column("symbols")).to_numpy() // np.dtype(symbols).itemsize
             levels.append(SuffixTree.level(
                 r.column("context").to_numpy().view(np.uint64), r.column("total").to_numpy(), r.column("follow").to_numpy(), np.repeat(np.arange(len(each)), each),
-                np.frombuffer(b"".join(r.column("symbols").to_pylist()), np.uint32), np.frombuffer(b"".join(r.column("counts").to_pylist()), np.int64)))
-        tree, model = np.zeros(len(ids)), SuffixTree(levels, n_classes)
+                np.frombuffer(b"".join(r.column("symbols").to_pylist()), symbols), np.frombuffer(b"".join(r.column("counts").to_pylist()), amounts)))
+        tree, model = np.zeros(len(ids)), SuffixTree(levels, n_classes, often.value)
         every = _sequence(row["about"], row["classes"])[0]
         for texts, own in _parts(tokens):
             log = model.log10(every[own], tokens[texts])

@@ -195,3 +195,39 @@ def test_contexts_and_classes_grow_with_the_corpus():
 def test_no_context_of_a_ten_thousandth_is_lost():
     for n in (10**4, 10**6, 10**8, 10**10):
         assert st.support(n, st.MIN_COUNT, st.MIN_SHARE) <= max(2, 1e-4 * n)
+
+
+def test_contexts_asked_for_count_like_those_every_task_knows(spark, monkeypatch):
+    """Every task knows the commonest contexts, so that chunks ask for few; scores are the same however many it knows."""
+    docs = spark.createDataFrame([(i, f"{prose(i % 40, 60)} once{i}") for i in range(120)] + [(None, None)], "doc_id long, text string").repartition(3)
+    every, asked = st.found, []
+    monkeypatch.setattr(st, "found", lambda *a: asked.append(every(*a)) or asked[-1])
+    monkeypatch.setattr(st, "CHUNK_ROWS", 25)
+    scores = []
+    for n in (st.KNOWN_COUNTS, 0, 60):
+        monkeypatch.setattr(st, "KNOWN_COUNTS", n)
+        scores.append({r["doc_id"]: r["score"] for r in st.score(docs, held_out(), min_count=5).collect()})
+        asked[-1] = asked[-1].count()
+    assert asked[0] == 0 < asked[2] < asked[1]
+    assert all(abs(s[i] - x) < 1e-9 * abs(x) for i, x in scores[0].items() for s in scores[1:])
+
+
+def test_a_context_is_sent_once_a_task(spark, monkeypatch):
+    """Counts go by context, not by context and class, and add up over tasks, batches and what a task hands on early."""
+    docs = spark.createDataFrame([(i, prose(i % 10, 80)) for i in range(60)], "doc_id long, text string").repartition(4)
+    rows = docs.select("doc_id", "text", F.lit(False).alias("held_out"))
+    words = sorted({bytes(r["word"]) for r in st.vocabulary(rows).where("word <> X''").collect()})
+    index = st._index(rows, st.Classes(words, []), pa.array([], pa.binary()), []).where("classes is not null").select("about", "classes")
+    number = {w: k for k, w in enumerate(words, st.OTHER + 1)}
+    count = Counter()
+    for r in docs.collect():
+        s = [st.START, *[number[w.encode()] for w in WORD.findall(lower(r["text"]))], st.END]
+        count.update(zip(s, s[1:]))
+    key = {int(k): c for c, k in zip([st.START, *number.values()], st._hash(np.array([st.START, *number.values()])).view(np.int64))}
+    every = np.full(1 << st.SET_BITS >> 3, 255, np.uint8)
+    for most in (st.HELD_COUNTS, 20):
+        monkeypatch.setattr(st, "HELD_COUNTS", most)
+        got = st._counted(index, 1, every).collect()
+        assert len(got) == len({a for a, _ in count}) < len(count)
+        assert {(key[r["context"]], a): n for r in got for a, n in zip(r["after"], r["n"])} == count
+        assert all(r["total"] == sum(r["n"]) and r["kinds"] == len(r["n"]) and list(r["after"]) == sorted(r["after"]) for r in got)
