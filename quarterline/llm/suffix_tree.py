@@ -40,7 +40,8 @@ CLASS_COUNT, CLASS_SHARE = 10_000, 1e-3
 ENDING = 3
 END, START, OTHER = 0, 1, 2
 BITS = 16
-#: Contexts' bit sets have 2^SET_BITS bits at any size of the corpus; two contexts of a bit are told apart by the tables.
+#: Contexts' bit sets have 2^SET_BITS bits at any size of the corpus, two for a context; two contexts of the same bits are
+#: told apart by the tables.
 SET_BITS = 24
 #: Texts are indexed in chunks of about so many bytes and at most so many documents.
 CHUNK_BYTES, CHUNK_ROWS = 8 << 20, 1 << 16
@@ -48,10 +49,12 @@ CHUNK_BYTES, CHUNK_ROWS = 8 << 20, 1 << 16
 PART_TOKENS = 1 << 19
 #: Words, of up to COMMON_BYTES, whose counts every task has.
 COMMON, COMMON_BYTES = 1 << 18, 64
-#: Counts held per task before they are handed on: of chunks' words, and of contexts' classes.
-HELD_COUNTS = 1 << 20
+#: Counts held per task before some are handed on: of contexts' classes, and half as many of chunks' words.
+HELD_COUNTS = 1 << 21
 #: Counts in the contexts that every task has.
 KNOWN_COUNTS = 1 << 21
+#: A task counts so many tokens for each context it may send, as far as that is not more than TASK_TOKENS.
+CONTEXT_TOKENS, TASK_TOKENS = 1 << 10, 1 << 26
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,8 +190,14 @@ def _contexts(classes: np.ndarray, before: np.ndarray, depth: int) -> Iterator[n
         yield key
 
 
-def _bit(key: np.ndarray) -> np.ndarray:
-    return (mix(key) >> np.uint64(64 - SET_BITS)).astype(np.int64)
+def _bit(mixed: np.ndarray, second: bool) -> np.ndarray:
+    """The first or the second bit of keys that are mixed."""
+    return (mixed << np.uint64(SET_BITS * second) >> np.uint64(64 - SET_BITS)).astype(np.int64)
+
+
+def _both(key: np.ndarray) -> np.ndarray:
+    mixed = mix(key)
+    return np.concatenate((_bit(mixed, False), _bit(mixed, True)))
 
 
 def _bits(contexts: DataFrame, *more: int) -> np.ndarray | None:
@@ -201,19 +210,32 @@ def _bits(contexts: DataFrame, *more: int) -> np.ndarray | None:
             key = b.column("context").to_numpy().view(np.uint64)
             if "symbol" in columns:
                 key = _longer(key, b.column("symbol").to_numpy())
-            yield record_batch("bit int", np.unique(_bit(key)).astype(np.int32))
+            yield record_batch("bit int", np.unique(_both(key)).astype(np.int32))
 
     at = contexts.select(*columns).mapInArrow(lambda b: handed_back(run(b)), "bit int").distinct().toPandas()["bit"].to_numpy(np.int64)
     out = np.zeros(1 << SET_BITS, bool)
     out[at] = True
-    out[_bit(np.array(more, np.uint64))] = True
+    out[_both(np.array(more, np.uint64))] = True
     return np.packbits(out) if len(at) or more else None
 
 
 def _among(key: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Whether the bit of each key is set."""
-    at = _bit(key)
-    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+    """Whether the bits of each key are set."""
+    mixed, out = mix(key), np.zeros(len(key), bool)
+    live = np.arange(len(key))
+    for second in (False, True):
+        at = _bit(mixed[live], second)
+        live = live[(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)]
+    out[live] = True
+    return out
+
+
+def _tasks(tokens: int, bits: np.ndarray | None, cores: int) -> int:
+    """In how many tasks the contexts of these bits are counted. A context is sent by each task that has it, and a larger
+    corpus has more contexts: so tasks become larger with them, and the rows sent stay in proportion to the tokens as far
+    as tasks may become larger and hold the counts."""
+    contexts = 1 if bits is None else sum(np.unpackbits(x).sum(dtype=np.int64) for x in np.array_split(bits, 16)) / 2
+    return max(cores, math.ceil(tokens / min(CONTEXT_TOKENS * max(contexts, 1), TASK_TOKENS)))
 
 
 def _parts(tokens: np.ndarray) -> Iterator[tuple[slice, slice]]:
@@ -385,27 +407,41 @@ def _located(of: np.ndarray, each: np.ndarray, wanted: np.ndarray, size: np.ndar
     return at, there[at] == asked
 
 
-def _counted(sequences: DataFrame, d: int, bits: np.ndarray | None) -> DataFrame:
-    """context, suffix, total, kinds, after, n: a row per context of depth d that has a bit, with the classes that follow
-    it in the training texts, in order, and their counts.
+_NONE = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint16), np.zeros(0, np.uint32)]
+
+
+def _sent(sequences: DataFrame, d: int, bits: np.ndarray | None) -> DataFrame:
+    """context, suffix, symbols, counts: of each task's contexts of depth d that have their bits the classes that follow
+    them in the training texts, and how often.
 
-    A task sends a context's classes and counts in one row; where it is dealt to, rows come by context and are added up.
+    A task sends a context's classes and counts in one row. Where it holds too many it hands on those of the contexts with
+    the most classes, which are few, and goes on adding up the others.
     """
     sent = "context long, suffix long, symbols binary, counts binary"
-    names, schema = ["context", "suffix", "total", "kinds", "after", "n"], "context long, suffix long, total long, kinds long, after array<int>, n array<long>"
     shared = sequences.sparkSession.sparkContext.broadcast(bits)
-    none = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, width = [none], np.uint16
+        held, width = [_NONE], np.uint16
 
-        def flush() -> Iterator[pa.RecordBatch]:
+        def add_up() -> None:
             key, suffix, symbol, n = _summed(*(np.concatenate(x) for x in zip(*held)))
-            held[:] = [none]
+            held[:] = [[key, suffix, symbol, n.astype(np.uint32)]]
+
+        def flush(leave: int = 0) -> Iterator[pa.RecordBatch]:
+            """Hands on contexts, those with the most classes first, until no more than ``leave`` counts are held."""
+            every = held[0]
+            context, _ = pd.factorize(every[0])
+            size = np.bincount(context)
+            first = np.argsort(-size, kind="stable")
+            going = np.zeros(len(size), bool)
+            going[first[: np.searchsorted(np.cumsum(size[first]), len(context) - leave) + 1]] = True
+            going = going[context]
+            held[:] = [[x[~going] for x in every]]
+            key, suffix, symbol, n = (x[going] for x in every)
             order = np.lexsort((symbol, n, key))
             first, size = _rows(key[order])
             yield record_batch(sent, key[order][first].view(np.int64), suffix[order][first].view(np.int64),
-                               _strings(symbol[order].astype(width), size), _strings(n[order].astype(np.uint32), size))
+                               _strings(symbol[order].astype(width), size), _strings(n[order], size))
 
         for b in batches:
             for about, data in zip(b.column("about").to_pylist(), b.column("classes").to_pylist()):
@@ -422,14 +458,23 @@ def _counted(sequences: DataFrame, d: int, bits: np.ndarray | None) -> DataFrame
                         use = use[_among(key[use], shared.value)]
                     where, n = _distinct(key[use], classes[use])
                     use = use[where]
-                    held.append([key[use], suffix[use] if d else np.zeros(len(use), np.uint64), classes[use].astype(np.int64), n])
+                    held.append([key[use], suffix[use] if d else np.zeros(len(use), np.uint64), classes[use], n.astype(np.uint32)])
                     if sum(len(x[0]) for x in held) >= HELD_COUNTS:
-                        held[:] = [_summed(*(np.concatenate(x) for x in zip(*held)))]
-                        if len(held[0][0]) >= HELD_COUNTS // 2:
-                            yield from flush()
-        if len(held) > 1 or len(held[0][0]):
+                        add_up()
+                        if len(held[0][0]) > HELD_COUNTS // 2:
+                            yield from flush(HELD_COUNTS // 2)
+        add_up()
+        if len(held[0][0]):
             yield from flush()
 
+    return sequences.mapInArrow(lambda b: handed_back(run(b)), sent)
+
+
+def _counted(sequences: DataFrame, d: int, bits: np.ndarray | None) -> DataFrame:
+    """context, suffix, total, kinds, after, n: a row per context of depth d that has its bits, with the classes that
+    follow it in the training texts, in order, and their counts: what tasks send comes by context and is added up."""
+    names, schema = ["context", "suffix", "total", "kinds", "after", "n"], "context long, suffix long, total long, kinds long, after array<int>, n array<long>"
+
     def shaped(key: np.ndarray, suffix: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         first, size = _rows(key)
         offsets = pa.array(np.append(first, len(key)).astype(np.int32))
@@ -438,7 +483,7 @@ def _counted(sequences: DataFrame, d: int, bits: np.ndarray | None) -> DataFrame
                                            pa.ListArray.from_arrays(offsets, pa.array(symbol.astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(n))], names)
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = [x.view(np.int64) for x in none]
+        last = [x.astype(np.int64) for x in _NONE]
         for b in batches:
             if not b.num_rows:
                 continue
@@ -453,7 +498,7 @@ def _counted(sequences: DataFrame, d: int, bits: np.ndarray | None) -> DataFrame
             last = [x[order[done:]] for x in (key, suffix, symbol, n)]
         yield shaped(*last)
 
-    dealt = sequences.mapInArrow(lambda b: handed_back(run(b)), sent).repartition("context").sortWithinPartitions("context")
+    dealt = _sent(sequences, d, bits).repartition("context").sortWithinPartitions("context")
     return staged(dealt.mapInArrow(lambda b: handed_back(merged(b)), schema), f"lm-counts-{d}")
 
 
@@ -483,13 +528,14 @@ def _pairs(counts: DataFrame) -> DataFrame:
     return counts.select("context", F.col("after").alias("symbol"), "n").select("context", F.inline(F.arrays_zip("symbol", "n")))
 
 
-def fit(index: DataFrame, depth: int, least: float, divergence: float) -> tuple[DataFrame, DataFrame, list[np.ndarray]]:
+def fit(index: DataFrame, tokens: int, depth: int, least: float, divergence: float) -> tuple[DataFrame, DataFrame, list[np.ndarray]]:
     """The root's counts; depth, context, total, kinds, symbols, counts of the kept contexts; and their bit sets by depth.
+    ``tokens``: how many are counted.
 
     One depth a job: a candidate followed by a class often enough is a candidate of the next depth. Contexts are told
     from others of their bit by their own totals, so the bits change nothing but the work.
     """
-    sequences = index.where("classes is not null").select("about", "classes")
+    sequences, cores = index.where("classes is not null").select("about", "classes"), index.sparkSession.sparkContext.defaultParallelism
     counts = [_counted(sequences, 0, None)]
     judged: list[DataFrame] = []
 
@@ -500,7 +546,7 @@ def fit(index: DataFrame, depth: int, least: float, divergence: float) -> tuple[
         bits = _bits(_pairs(counts[-1]).where((F.col("n") >= least) & (F.col("symbol") != END)).select("context", "symbol"), *more)
         if bits is None:
             break
-        counts.append(_counted(sequences, d, bits))
+        counts.append(_counted(sequences.coalesce(_tasks(tokens, bits, cores)), d, bits))
         candidates = counts[-1].where(F.col("total") >= least)
         above = with_ids(counts[-2].select(F.col("context").alias("suffix"), F.col("after").alias("above"), F.col("n").alias("m"), F.col("total").alias("t")),
                          candidates.select("suffix").distinct(), "suffix")
@@ -639,7 +685,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
 
         for b in batches:
             held.append(b)
-            if sum(x.num_rows for x in held) >= HELD_COUNTS:
+            if sum(x.num_rows for x in held) >= HELD_COUNTS // 2:
                 yield from flush()
         if held:
             yield from flush()
@@ -650,7 +696,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     counts = staged(joined.select("chunk", "number", "c").mapInArrow(lambda b: handed_back(packed(b)), told), "lm-answers", 10_000)
     discard(spark, words)
     least = support(n, min_count, min_share)
-    root, tree, bits = fit(index, longest(n, least) if depth is None else depth, least, divergence)
+    root, tree, bits = fit(index, n, longest(n, least) if depth is None else depth, least, divergence)
     first = root.toPandas()
     top = spark.sparkContext.broadcast(SuffixTree.level(np.zeros(1, np.uint64), np.array([first["n"].sum()]), np.array([len(first)]), np.zeros(len(first), np.int64), first["symbol"].to_numpy(np.int64), first["n"].to_numpy()))
     deep = len(bits)

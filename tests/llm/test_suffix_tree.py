@@ -231,3 +231,58 @@ def test_a_context_is_sent_once_a_task(spark, monkeypatch):
         assert len(got) == len({a for a, _ in count}) < len(count)
         assert {(key[r["context"]], a): n for r in got for a, n in zip(r["after"], r["n"])} == count
         assert all(r["total"] == sum(r["n"]) and r["kinds"] == len(r["n"]) and list(r["after"]) == sorted(r["after"]) for r in got)
+
+
+def test_tasks_become_larger_with_the_contexts(spark, monkeypatch):
+    """Each task sends each of its contexts: with more contexts fewer, larger tasks count them, to the same result."""
+    docs = spark.createDataFrame([(i, prose(i % 40, 60)) for i in range(160)], "doc_id long, text string").repartition(20)
+    every, split = st._counted, {}
+    monkeypatch.setattr(st, "_counted", lambda sequences, d, bits: split.__setitem__(d, sequences.rdd.getNumPartitions()) or every(sequences, d, bits))
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    scores = []
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        for tokens in (st.CONTEXT_TOKENS, 1):
+            monkeypatch.setattr(st, "CONTEXT_TOKENS", tokens)
+            scores.append(({r["doc_id"]: r["score"] for r in st.score(docs, held_out(), min_count=20).collect()}, dict(split)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    (one, few), (other, many) = scores
+    assert few[0] >= 20 and all(few[d] <= spark.sparkContext.defaultParallelism < many[d] for d in (1, 2))
+    assert all(abs(other[i] - x) < 1e-9 * abs(x) for i, x in one.items())
+
+
+def test_rows_sent_keep_pace_with_the_tokens():
+    """Twice the tokens with twice the contexts: as many tasks, so twice the rows, until a task has TASK_TOKENS."""
+    def bits(n):
+        return np.packbits(np.arange(1 << 20) < 2 * n)
+
+    assert st._tasks(10**8, bits(1000), 4) == 2 * st._tasks(10**8, bits(2000), 4) == 98
+    assert st._tasks(2 * 10**8, bits(2000), 4) == st._tasks(10**8, bits(1000), 4)
+    assert st._tasks(10**12, bits(400_000), 4) == math.ceil(10**12 / st.TASK_TOKENS)
+    assert st._tasks(100, bits(1000), 4) == 4 == st._tasks(0, None, 4)
+
+
+def test_what_is_handed_on_early_are_contexts_with_many_classes(spark, monkeypatch):
+    """A task that holds too many counts goes on adding up the contexts with few classes, and sends each of them once."""
+    monkeypatch.setattr(st, "HELD_COUNTS", 600)
+    monkeypatch.setattr(st, "PART_TOKENS", 50)
+    r = np.random.default_rng(2)
+    docs = [(i, " ".join(f"w{k} {'abcde'[k % 5]}" for k in r.integers(0, 60, 40))) for i in range(80)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).select("doc_id", "text", F.lit(False).alias("held_out"))
+    words = [b"a", b"b", b"c", b"d", b"e", *(f"w{k}".encode() for k in range(60))]
+    index = st._index(rows, st.Classes(words, []), pa.array([], pa.binary()), []).where("classes is not null").select("about", "classes")
+    every = np.full(1 << st.SET_BITS >> 3, 255, np.uint8)
+    sent = Counter(x["context"] for x in st._sent(index, 1, every).collect())
+    got = {x["context"]: x for x in st._counted(index, 1, every).collect()}
+    wide = {c for c, x in got.items() if x["kinds"] > 2}  # the letters and the start
+    assert set(sent) == set(got) and len(wide) == 6 and len(got) == 66 and sum(x["total"] for x in got.values()) == 80 * 81
+    assert max(sent.values()) > 1 and all(n == 1 for c, n in sent.items() if c not in wide)
+
+
+def test_two_bits_tell_contexts_apart_that_one_does_not():
+    key = st._hash(np.arange(200_000))
+    bits = np.zeros(1 << st.SET_BITS, bool)
+    bits[st._both(key[:20_000])] = True
+    among = st._among(key, np.packbits(bits))
+    assert among[:20_000].all() and among[20_000:].sum() < 20
